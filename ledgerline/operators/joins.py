@@ -81,10 +81,13 @@ def attach_period(df: DataFrame, date_col: str, periods: DataFrame, how: str = "
 def prev_period(left: DataFrame, right: DataFrame, keys: list[str], period_col: str = "PeriodID",
                 how: str = "left", offset: int = 1) -> DataFrame:
     """Join ``right`` rows of period ``id - offset`` (J-11). Gaps in ids give no match: this is an
-    equi join on the shifted id, not ``lag``."""
-    r = right.withColumnRenamed(period_col, "__prev_pid")
-    cond = [left[k] == r[k] for k in keys] + [(left[period_col] - F.lit(offset)) == r["__prev_pid"]]
-    return left.join(r, reduce(lambda a, b: a & b, cond), how)
+    equi join on the shifted id, not ``lag``. Right-side keys are renamed, so ``left`` and ``right``
+    may come from the same frame (a self join)."""
+    rk = {k: f"__pk_{k}" for k in keys}
+    r = right.select(*[F.col(k).alias(rk[k]) for k in keys], F.col(period_col).alias("__prev_pid"),
+                     *[F.col(c) for c in right.columns if c not in keys and c != period_col])
+    cond = [F.col(k) == F.col(rk[k]) for k in keys] + [(F.col(period_col) - F.lit(offset)) == F.col("__prev_pid")]
+    return left.join(r, reduce(lambda a, b: a & b, cond), how).drop(*rk.values(), "__prev_pid")
 
 
 def not_in_list(df: DataFrame, value: Column, values: DataFrame, list_col: str = "col") -> DataFrame:

@@ -46,3 +46,117 @@ def period_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "period_sales": period_sales,
 }
+
+
+def _kanban(spark: SparkSession, sf_dir: str):
+    return StandIns(spark, sf_dir), kanban_config()
+
+
+def wait_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prospects without assignment (J-14 anti join, J-02, A1)."""
+    return kanban.leads_wait_assign(*_kanban(spark, sf_dir))
+
+
+def wait_follow_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prospect x assignment follow-up count (J-06, J-03, J-20, A2, P18)."""
+    return kanban.leads_wait_follow_up(*_kanban(spark, sf_dir))
+
+
+def clue_wait_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kanban.clues_wait_assign(*_kanban(spark, sf_dir))
+
+
+def clue_wait_follow_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kanban.clues_wait_follow_up(*_kanban(spark, sf_dir))
+
+
+def key_union_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Board 1: UNION of four key sets, org lookups, counts joined back with 0 default (U1, J-04,
+    J-03, P6; a NULL user keeps zeros)."""
+    return kanban.board_leads(*_kanban(spark, sf_dir))
+
+
+def category_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Opportunities reported this month by category group."""
+    out = kanban.oppo_reported(*_kanban(spark, sf_dir))
+    return out.select("Username", "DeptName", "ProductCategory", "OppoReportedQty", _d("OppoEstimatedSupplyQty"))
+
+
+def or_key_supply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Won opportunities with the year's production of either approved project (J-16, J-20)."""
+    out = kanban.oppo_won(*_kanban(spark, sf_dir))
+    return out.select("Username", "DeptName", "ProductCategory", "MonthWinOppoQty", _d("MonthWinOppoSupplyQty"))
+
+
+def board_oppo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Board 2: opportunities (U1 over three key sets, A11, three left joins)."""
+    out = kanban.board_oppo(*_kanban(spark, sf_dir))
+    return out.select("RegionID", "SalesDepartment", "UserName", "TypeName", "OppoReportedQty",
+                      _d("OppoEstimatedSupplyQty"), "MonthWinOppoQty", _d("MonthWinOppoSupplyQty"), "SalesmanID",
+                      "OppoEffectiveQty")
+
+
+def param_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail types kept by the split parameter list (X13, F1, A12, J-13): no trimming, so ' R'
+    does not match 'R'; the empty part matches nothing."""
+    from ledgerline.operators.params import in_param_list
+    src = StandIns(spark, sf_dir)
+    d = in_param_list(src.details(), "Type", src.parameters(), "ProjectSalesTypeFilter")
+    return d.groupBy("Type").agg(F.count(F.lit(1)).alias("n"), F.sum("SalesTotalAmt1").cast("double").alias("amt"))
+
+
+def param_not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Projects whose contract company is not in the excluded list (J-15, NULL-aware NOT IN)."""
+    from ledgerline.operators.joins import not_in_list
+    from ledgerline.operators.params import split_param
+    src = StandIns(spark, sf_dir)
+    p = src.projects().join(F.broadcast(src.companies().withColumnRenamed("ID", "__co")),
+                            F.col("SignCompanyID_PartyA") == F.col("__co"), "left")
+    p = not_in_list(p, F.coalesce(F.col("CompanyName"), F.lit("")),
+                    split_param(src.parameters(), "NotCalcReturnCompanies"))
+    return p.groupBy("SalesDepartment").agg(F.count(F.lit(1)).alias("n"))
+
+
+def prev_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each production group with the previous period's quantity among this year's production
+    (J-11: equi join on id - 1; the first period and gaps get 0)."""
+    from ledgerline.operators.joins import prev_period as prev
+    src, cfg = _kanban(spark, sf_dir)
+    periods = kanban.query_periods(src, cfg)
+    prod = kanban.stage_production(src, cfg, periods, kanban.base_projects(src, cfg))
+    keys = ["SalesDepartment", "UserName", "ProductCategory", "AccountingPaymentType"]
+    last = prod.select(*keys, "PeriodID", F.col("FinalQty").alias("LastFinalQty"))
+    out = prev(prod, last, keys)
+    return out.select(*keys, "PeriodID", F.col("FinalQty").cast("double").alias("FinalQty"),
+                      F.coalesce(F.col("LastFinalQty"), F.lit(0)).cast("double").alias("LastFinalQty"))
+
+
+def board_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Board 3 (1e): J-03, J-08, J-11, A9, A10, P12, P25, U3."""
+    out = kanban.board_sales(*_kanban(spark, sf_dir))
+    money = ["TargetFinalQty", "FinalQty", "TargetSalesAmt", "SalesAmt", "ProfitTargetAmt", "ProfitAmt", "LastFinalQty"]
+    return out.select(*[_d(c) if c in money else F.col(c) for c in out.columns])
+
+
+def board_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Board 4 (1f): A5, A6, A7, A8, J-09, J-12, J-19."""
+    out = kanban.board_returns(*_kanban(spark, sf_dir))
+    money = ["TargetReturnAmt", "PlanReturnAmt", "ReturnAmt"]
+    return out.select(*[_d(c) if c in money else F.col(c) for c in out.columns])
+
+
+QUERIES.update({
+    "wait_assign": wait_assign,
+    "wait_follow_up": wait_follow_up,
+    "clue_wait_assign": clue_wait_assign,
+    "clue_wait_follow_up": clue_wait_follow_up,
+    "key_union_backfill": key_union_backfill,
+    "category_rollup": category_rollup,
+    "or_key_supply": or_key_supply,
+    "board_oppo": board_oppo,
+    "param_in": param_in,
+    "param_not_in": param_not_in,
+    "prev_period": prev_period,
+    "board_sales": board_sales,
+    "board_returns": board_returns,
+})

@@ -206,7 +206,7 @@ class StandIns:
     def clues(self) -> DataFrame:
         b = F.col("c_acctbal")
         return self._customer_nation().select(
-            F.col("c_custkey").alias("ID"), (F.col("c_nationkey") + 1).cast("bigint").alias("ClueOwnerID"),
+            (F.col("c_custkey") + 50).alias("ID"), (F.col("c_nationkey") + 1).cast("bigint").alias("ClueOwnerID"),
             F.col("n_name").alias("SalesDepartment"),
             F.when(b < 0, 1).when(b > 9000, F.lit(None)).otherwise(0).alias("isDeleted"),
             F.when(F.col("c_mktsegment").isin("HOUSEHOLD", "MACHINERY", "AUTOMOBILE"), F.lit("PROSPECT"))
