@@ -49,9 +49,12 @@ class LoadConfig:
     default_payment_type: str = "ADVANCE"
     default_category: str = "STANDARD"
     default_unit: str = "M3"
-    default_weighbridge_unit: str = "T"
-    default_weighbridge_category: str = "DRY_MORTAR"
-    pro_coeff: float = 2.4
-    financial_hours: int = 6
-    unfilled_salesman: str = "UNFILLED"
-    default_type: str = "OWN"
+    default_weighbridge_unit: str = fixed.UNIT_TONNE_SOURCE
+    default_weighbridge_category: str = fixed.WEIGHBRIDGE_CATEGORY_SOURCE
+    pro_coeff: float = fixed.PRO_COEFF
+    financial_hours: int = fixed.FINANCIAL_HOURS
+    unfilled_salesman: str = fixed.UNFILLED_SALESMAN_SOURCE
+    default_type: str = fixed.OWN_PRODUCTION_SOURCE
+    unit_tonne: str = fixed.UNIT_TONNE_SOURCE
+    unit_m3: str = fixed.UNIT_M3_SOURCE
+    remark_labels: tuple = fixed.REMARK_LABELS_SOURCE

@@ -15,6 +15,8 @@ Fixed values (as written in the source system, natural order):
   production coefficient 2.4; financial day starts 6 hours after midnight
   weighbridge weights are in kilograms: divide by 1000
   original id of a weighbridge row: last 12 characters of the ticket number
+  salesman when unfilled: 未填; production nature by default: 自产; weighbridge category by default: 干混砂浆
+  production remark format: 更新日志：<logs>；报表备注：<comment>；小票备注：<ticket comment>
 """
 
 CATEGORY_GROUPS_SOURCE = {
@@ -38,3 +40,7 @@ PRO_COEFF = 2.4
 FINANCIAL_HOURS = 6
 WEIGHT_DIVISOR = 1000
 ORIGINAL_ID_CHARS = 12
+UNFILLED_SALESMAN_SOURCE = "未填"
+OWN_PRODUCTION_SOURCE = "自产"
+WEIGHBRIDGE_CATEGORY_SOURCE = "干混砂浆"
+REMARK_LABELS_SOURCE = ("更新日志：", "；报表备注：", "；小票备注：")

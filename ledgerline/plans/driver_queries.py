@@ -160,3 +160,44 @@ QUERIES.update({
     "board_sales": board_sales,
     "board_returns": board_returns,
 })
+
+
+def load_config():
+    from ledgerline.config import LoadConfig
+    return LoadConfig(creator="loader", tenant_id=1, default_department="UNASSIGNED", default_payment_type="ADVANCE",
+                      default_category="STANDARD", default_unit="M3", default_weighbridge_unit="T",
+                      default_weighbridge_category="DRY_MORTAR", pro_coeff=2.4, financial_hours=6,
+                      unfilled_salesman="UNFILLED", default_type="OWN", unit_tonne="T", unit_m3="M3",
+                      remark_labels=("log:", ";remark:", ";ticket:"))
+
+
+LOAD_COLUMNS = [
+    "DailyReportID", "Type", "OriginalID", "OriginalProjectID", "OriginalPlanID", "ProjectName", "Customer",
+    "SalesDepartment", "Salesman", "PaymentType", "ProductCategory", "Unit", "StrengthGrade", "ReceiptDate",
+    "ProductionTime", "PlanType", "ApplicationUser", "ProductionCoefficient", "ProductionQty_M3", "ProductionQty_T",
+    "ReceiptQty", "SignedQty_M3", "SignedQty_T", "FinalQty_M3", "FinalQty_T", "TSFInQty", "TSFOutQty",
+    "ActualSupplyQty_M3", "ActualSupplyQty_T", "Distance", "ProductionRemarks", "LogisticsFinalQty_M3", "ProjectID",
+    "Grade1", "Feature", "SignedQtyDiffReasonType", "ShipmentCount", "ScaleDiff", "LossQty", "ProductionPlanNumber",
+]
+
+
+def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 over every business day at once."""
+    from ledgerline.plans import daily_load as dl
+    out = dl.daily_load(StandIns(spark, sf_dir), load_config(), None, dt.datetime(2000, 6, 15, 1, 0, 0))
+    return out.select(*LOAD_COLUMNS)
+
+
+def financial_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighbridge tonnage per station and financial day (P14, X7, A4): the day starts 6 hours
+    after midnight, so a weighing at 05:59 belongs to the previous day."""
+    src = StandIns(spark, sf_dir)
+    d = src.delivering().filter(F.col("isDeleted") == 0)
+    s = src.shipping().filter(F.col("isDeleted") == 0).select("DeliveringID", "StationID")
+    j = s.join(d, F.col("DeliveringID") == F.col("ID"))
+    day = F.to_date(F.col("GrossTime") - F.make_interval(hours=F.lit(6)))
+    return j.groupBy("StationID", day.alias("FinancialDay")).agg(
+        F.count(F.lit(1)).alias("n"), (F.sum("Net").cast("double") / 1000.0).alias("tonnes"))
+
+
+QUERIES.update({"daily_load": daily_load, "financial_day": financial_day})

@@ -306,6 +306,114 @@ class StandIns:
                          F.when(F.col("l_returnflag") == "R", "EXPENSE").otherwise("INCOME").alias("ServiceType"),
                          F.lit(0).alias("isDeleted"))
 
+    # ---- daily load (J2) ------------------------------------------------------------------------
+    # production-system columns the load reads besides the ones derived below (all NULL here)
+    MT_NULL_STRING = ["CompanyName", "DischargeType", "TerminalNo", "VehicleNo", "VehicleNum", "DriverName", "Type",
+                      "Creator", "ReceiptSigned", "Overtime", "Remark", "Slump", "VehiclePlate", "Grade1",
+                      "IsProvidePump", "Region", "TechnologyRequest", "PrintOperatorID", "PrintOperator",
+                      "OtherPumpType", "Code", "EgcbOrderCreator", "EgcbOrderCreatorPhone", "EGCBOrderID"]
+    MT_NULL_OTHER = {"Date": "timestamp_ntz", "ProductionTime": "timestamp_ntz", "PrintTime": "timestamp_ntz",
+                     "AcumltQuantity": "decimal(18,2)", "Meters": "decimal(18,2)"}
+
+    def _row_id(self):
+        return F.concat_ws("-", *[F.col(c).cast("string") for c in ["l_orderkey", "l_linenumber", "l_partkey",
+                                                                      "l_suppkey"]])
+
+    def _site_time(self):
+        return F.expr("timestampadd(HOUR, l_linenumber * 3, l_shipdate)")
+
+    def production_records(self) -> DataFrame:
+        """Production-system tickets: lineitem rows with return flag A or N."""
+        lo = self._line_order().filter(F.col("l_returnflag").isin("A", "N"))
+        ln, rf, ls = F.col("l_linenumber"), F.col("l_returnflag"), F.col("l_linestatus")
+        d100 = F.expr("CAST(l_discount * 100 AS DECIMAL(18,2))")
+        t100 = F.expr("CAST(l_tax * 100 AS DECIMAL(18,2))")
+        cols = [
+            self._row_id().alias("Id"),
+            F.when(F.col("o_orderpriority") == "5-LOW", 2).otherwise(1).alias("TenantId"),
+            F.col("l_suppkey").alias("SiteId"), self._site_time().alias("SiteDate"),
+            F.col("o_custkey").alias("ProjectId"), F.col("l_partkey").alias("PlanId"),
+            F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("ProjectName"),
+            F.when(ln == 2, F.lit(None)).otherwise(F.col("o_orderpriority")).alias("Department"),
+            F.when(ln == 3, F.lit(None)).otherwise(F.lit("Clerk")).alias("PersonInCharge"),
+            F.when(ln == 4, F.lit(None)).otherwise(F.lit("CASH")).alias("PaymentType"),
+            F.when((rf == "A") & (ln == 7), F.lit("C60")).when(rf == "A", F.lit("C30"))
+            .when(ls == "O", F.lit("C40")).when(ln == 1, F.lit(None)).otherwise(F.lit("C50")).alias("ConcreteCategory"),
+            F.when((ls == "O") & (ln == 5), F.lit("OUTSOURCED")).alias("ProductionNature"),
+            F.col("l_quantity").cast("decimal(18,2)").alias("ActQuantity"),
+            (F.col("l_quantity") + 1).cast("decimal(18,2)").alias("FaceQuantity"),
+            F.when(F.col("l_discount") == 0, F.lit(0).cast("decimal(18,2)"))
+            .when(F.col("l_discount") == 0.01, F.lit(None))
+            .otherwise(F.col("l_quantity").cast("decimal(18,2)")).alias("SignedQuantity"),
+            F.when(F.col("l_tax") == 0, F.lit(None)).otherwise(t100).alias("TransferIn"),
+            d100.alias("TransferOut"), ln.alias("SignedQtyDiffReason"),
+            (t100 - 3).alias("DeliveryDistance"), d100.alias("HaulDistance"),
+            F.when(F.col("l_discount") == 0.02, F.lit("")).when(F.col("l_discount") == 0.03, F.lit(None))
+            .otherwise(F.concat(F.lit("F"), ln.cast("string"))).alias("Feature"),
+            F.when(ln == 1, F.lit(None)).otherwise(F.lit("u")).alias("UpdateLogs"), F.lit("c").alias("Comment"),
+            F.when(F.col("l_tax") == 0, F.lit(None)).otherwise(F.lit("p")).alias("PrintComment"),
+            F.concat(F.lit("C"), ln.cast("string")).alias("Grade"),
+            F.lit(None).cast("string").alias("Position"), F.col("o_custkey").alias("SourceId1"),
+        ]
+        cols += [F.lit(None).cast("string").alias(c) for c in self.MT_NULL_STRING]
+        cols += [F.lit(None).cast(t).alias(c) for c, t in self.MT_NULL_OTHER.items()]
+        return lo.select(*cols)
+
+    def stations(self) -> DataFrame:
+        return self.raw("supplier").select(
+            (F.col("s_suppkey") + 100000).alias("ID"),
+            F.when(F.col("s_nationkey") < 5, F.lit("PARTNER")).alias("Type"),
+            F.col("s_suppkey").alias("StationID_ProductionSys"), F.col("s_suppkey").alias("StationID_WeighbridgeSys"),
+            F.when(F.col("s_acctbal") < 0, 1).otherwise(0).alias("isDeleted"))
+
+    def station_reports(self) -> DataFrame:
+        """One report per station and day with any lineitem shipped (id from station and day)."""
+        days = self.raw("lineitem").select(F.col("l_suppkey"), F.to_date("l_shipdate").alias("ReportDate")).distinct()
+        return days.select(
+            (F.col("l_suppkey") * 100000 + F.datediff("ReportDate", F.lit("1990-01-01").cast("date"))).alias("ID"),
+            (F.col("l_suppkey") + 100000).alias("StationID"), "ReportDate",
+            F.when(F.dayofmonth("ReportDate") == 13, 1).otherwise(0).alias("isDeleted"))
+
+    def shipping(self) -> DataFrame:
+        lo = self._line_order().filter(F.col("l_returnflag") == "R")
+        ln = F.col("l_linenumber")
+        return lo.select(
+            F.concat(F.lit("WB"), F.lpad(F.col("l_orderkey").cast("string"), 10, "0"),
+                     F.lpad(ln.cast("string"), 4, "0")).alias("Number"),
+            F.when(ln == 6, F.lit(None)).otherwise(F.col("o_custkey")).alias("ProjectID"),
+            F.col("o_custkey").alias("OriginalProjectID"),
+            F.col("l_suppkey").alias("StationID"), self._row_id().alias("DeliveringID"),
+            F.concat(F.lit("P"), F.col("o_custkey").cast("string")).alias("ProjectName"),
+            F.lit("consignee").alias("Consignee"), F.lit(None).cast("string").alias("Position"),
+            F.when((F.col("o_orderstatus") == "P") & (ln == 2), 1).otherwise(0).alias("isDeleted"))
+
+    def delivering(self) -> DataFrame:
+        li = self.raw("lineitem").filter(F.col("l_returnflag") == "R")
+        ln = F.col("l_linenumber")
+        net = F.expr("CAST(l_quantity AS DECIMAL(18,2)) * 1000 + l_linenumber")
+        return li.select(
+            self._row_id().alias("ID"), F.col("l_partkey").alias("UserPlanID"), self._site_time().alias("GrossTime"),
+            net.alias("Net"), (net - 5).alias("RealNet"),
+            F.when(F.col("l_linestatus") == "O", F.lit(None)).otherwise(F.lit("M10")).alias("grade"),
+            F.when(F.col("l_tax") == 0, F.lit(None)).otherwise(F.lit("DM")).alias("Item"),
+            F.concat(F.lit("S"), ln.cast("string")).alias("Specification"), F.lit("g1").alias("grade1"),
+            F.when(F.col("l_discount") == 0, F.lit("")).when(F.col("l_discount") == 0.01, F.lit(None))
+            .otherwise(F.lit("x")).alias("feature"),
+            F.lit("V").alias("Vehicle"), F.lit(0).alias("isDeleted"))
+
+    def user_plans(self) -> DataFrame:
+        return self.raw("part").select(
+            F.col("p_partkey").alias("id"), F.col("p_partkey").alias("PlanId"), F.col("p_type").alias("Type"),
+            F.col("p_brand").alias("Creator"),
+            F.when(F.col("p_size") > 40, F.lit(None)).otherwise(F.col("p_type")).alias("ConcreteCategory"),
+            F.lit(None).cast("string").alias("EgcbOrderCreator"), F.lit(None).cast("string").alias("EgcbOrderCreatorPhone"),
+            F.lit(None).cast("string").alias("EGCBOrderID"))
+
+    def plans(self) -> DataFrame:
+        return self.raw("part").select(F.col("p_partkey").alias("id"),
+                                       F.col("p_size").cast("decimal(18,2)").alias("HaulDistance"),
+                                       F.col("p_name").alias("Code"))
+
     # ---- helpers used by several jobs ---------------------------------------------------------
     def category_group(self, c):
         return category_group(c, CATEGORY_GROUPS)
