@@ -131,45 +131,49 @@ def latest_effective(probes: DataFrame, maps: DataFrame, probe_keys: list[Column
     ``eff <= ts`` (J-17; ``OUTER APPLY (SELECT TOP 1 ... ORDER BY id DESC)``). NULL if none.
 
     Keys compare with ``=``: pass ``coalesce(x, '')`` for keys the source compares null-safely.
-    A probe or mapping with a NULL key matches nothing.
+    A probe or mapping with a NULL key matches nothing; every probe row is returned once.
 
-    No pairs are formed. Time is cut into buckets (``date_trunc(bucket)``), so one hot key is spread
-    over many window partitions:
-      1. mappings are reduced to ``max(struct(id, value))`` per (keys, bucket);
+    No pairs are formed and no group is gathered whole. Time is cut into buckets
+    (``date_trunc(bucket)``), so one hot key is spread over many window partitions:
+      1. mappings are reduced to ``max(struct(id, value))`` per (keys, bucket) (partial aggregation);
       2. a running max over bucket-level rows gives, for each probe bucket, the best mapping of all
-         earlier buckets;
+         earlier buckets (one row per key and bucket, bounded by the calendar span);
       3. a running max inside (keys, bucket) over mappings and probes ordered by time (mapping
          first on ties, since ``ts >= eff`` holds) gives the best mapping of the same bucket;
       4. the greater of the two by id wins.
+    Probe rows travel as a struct through the window, so no synthetic row id is needed.
     """
     nk = len(probe_keys)
     kn = [f"__k{i}" for i in range(nk)]
-    p = probes.withColumn("__pid", F.monotonically_increasing_id())
-    pk = p.select("__pid", *[c.alias(n) for c, n in zip(probe_keys, kn)], F.col(probe_ts).alias("__t"))
-    pk = pk.filter(reduce(lambda x, y: x & y, [F.col(n).isNotNull() for n in kn]) & F.col("__t").isNotNull())
+    row = F.struct(*[F.col(c) for c in probes.columns]).alias("__row")
+    pk = probes.select(row, *[c.alias(n) for c, n in zip(probe_keys, kn)], F.col(probe_ts).alias("__t"))
+    valid = reduce(lambda x, y: x & y, [F.col(n).isNotNull() for n in kn]) & F.col("__t").isNotNull()
     m = maps.select(*[c.alias(n) for c, n in zip(map_keys, kn)], F.col(map_eff).alias("__t"),
                     F.struct(F.col(map_id).alias("id"), F.col(map_value).alias("v")).alias("__s"))
     m = m.filter(reduce(lambda x, y: x & y, [F.col(n).isNotNull() for n in kn]) & F.col("__t").isNotNull()
                  & F.col("__s.id").isNotNull())
-    pk = pk.withColumn("__b", F.date_trunc(bucket, F.col("__t")))
+    vtype = m.schema["__s"].dataType
+    p_ok = pk.filter(valid).withColumn("__b", F.date_trunc(bucket, F.col("__t")))
+    p_bad = pk.filter(~F.coalesce(valid, F.lit(False)))
     m = m.withColumn("__b", F.date_trunc(bucket, F.col("__t")))
 
     # (1) + (2): best mapping strictly before each probe bucket
     mb = m.groupBy(*kn, "__b").agg(F.max("__s").alias("__s")).withColumn("__kind", F.lit(1))
-    pb = pk.select(*kn, "__b").distinct().withColumn("__s", F.lit(None).cast(mb.schema["__s"].dataType)) \
-        .withColumn("__kind", F.lit(0))
+    pb = p_ok.select(*kn, "__b").distinct().withColumn("__s", F.lit(None).cast(vtype)).withColumn("__kind", F.lit(0))
     w1 = Window.partitionBy(*kn).orderBy("__b", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = mb.unionByName(pb).withColumn("__before", F.max("__s").over(w1)) \
         .filter(F.col("__kind") == 0).select(*kn, "__b", "__before")
 
     # (3): best mapping in the same bucket, up to the probe's time
-    mm = m.select(*kn, "__b", "__t", "__s", F.lit(None).cast("long").alias("__pid"), F.lit(0).alias("__kind"))
-    pp = pk.select(*kn, "__b", "__t", F.lit(None).cast(mb.schema["__s"].dataType).alias("__s"), "__pid",
-                   F.lit(1).alias("__kind"))
-    w2 = Window.partitionBy(*kn, "__b").orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rtype = pk.schema["__row"].dataType
+    mm = m.select(F.lit(None).cast(rtype).alias("__row"), *kn, "__b", "__t", "__s", F.lit(0).alias("__kind"))
+    pp = p_ok.select("__row", *kn, "__b", "__t", F.lit(None).cast(vtype).alias("__s"), F.lit(1).alias("__kind"))
+    w2 = Window.partitionBy(*kn, "__b").orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding,
+                                                                             Window.currentRow)
     within = mm.unionByName(pp).withColumn("__in", F.max("__s").over(w2)).filter(F.col("__kind") == 1) \
-        .select("__pid", *kn, "__b", "__in")
+        .select("__row", *kn, "__b", "__in")
 
-    best = within.join(before, kn + ["__b"], "left") \
-        .select("__pid", F.greatest("__in", "__before")["v"].alias(out_col))
-    return p.join(best, "__pid", "left").drop("__pid")
+    found = within.join(before, kn + ["__b"], "left") \
+        .select("__row", F.greatest("__in", "__before")["v"].alias(out_col))
+    missing = p_bad.select("__row", F.lit(None).cast(vtype["v"].dataType).alias(out_col))
+    return found.unionByName(missing).select("__row.*", out_col)

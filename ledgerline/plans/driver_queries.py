@@ -201,3 +201,58 @@ def financial_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES.update({"daily_load": daily_load, "financial_day": financial_day})
+
+
+def asof_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Latest-effective mapping per production amount row (J-17, T2): greatest mapping id among
+    live mappings of the same material (NULL-safe) and station effective at or before the row."""
+    from ledgerline.operators.joins import latest_effective
+    src = StandIns(spark, sf_dir)
+    probes = src.fact_amounts().select("ProductionDetailId", "Material", "StationID", "SiteProdTime")
+    maps = src.mappings().filter(F.col("isDeleted") == 0)
+    return latest_effective(probes, maps,
+                            [F.coalesce(F.col("Material"), F.lit("")), F.col("StationID")],
+                            [F.coalesce(F.col("RecipeMtrName"), F.lit("")), F.col("StationID")],
+                            "SiteProdTime", "EffectiveTime", "ID", "CSEMtrID", "CSEMtrID")
+
+
+def enrich_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 over June 2000 without row cap (J-02, J-10 left, J-19, J-20, P19)."""
+    from ledgerline.plans.enrich import enrich_extract as run
+    src = StandIns(spark, sf_dir)
+    return run(src.details(), src.reports(), src.projects(), src.foreign_view(), src.periods(), src.pricing_sets(),
+               src.payment_types(), dt.date(2000, 6, 1), dt.date(2000, 6, 30))
+
+
+def stale_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New version of the whole weighing table (S9, J-14, P15)."""
+    from ledgerline.plans.reset import stale_reset as run
+    src = StandIns(spark, sf_dir)
+    return run(src.wb_ins(), src.receiving_reports(), src.receiving_details(), 1, dt.date(2000, 6, 15), 2)
+
+
+COPY_T0 = dt.datetime(2024, 1, 20, 0, 0, 0)
+
+
+def incremental_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S10 + W1: the copy as of T0 (newest per key) merged with the next run's 20-minute look-back
+    window 15 minutes later; the overlap does not duplicate rows."""
+    from ledgerline.functions.timefilters import ts_lit
+    from ledgerline.streaming.incremental import latest_per_key, sync_increment
+    src = StandIns(spark, sf_dir).fact_source()
+    keys = ["ProductionDetailId", "Material"]
+    copy0 = latest_per_key(src.filter(F.col("ModifyTime") < ts_lit(COPY_T0)), keys, ["ModifyTime"])
+    out = sync_increment(src, copy0, keys, "ModifyTime", COPY_T0 + dt.timedelta(minutes=15), dt.timedelta(minutes=20))
+    return out.select(*keys, F.col("FactAmt").cast("double").alias("FactAmt"), "ModifyTime")
+
+
+def summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sum and row count per (detail, material)."""
+    from ledgerline.streaming.incremental import summary
+    out = summary(StandIns(spark, sf_dir).fact_lines(), ["ProductionDetailId", "Material"], "FactAmt")
+    return out.select("ProductionDetailId", "Material", F.col("TotalFactAmt").cast("double").alias("TotalFactAmt"),
+                      "RowCount")
+
+
+QUERIES.update({"asof_mapping": asof_mapping, "enrich_extract": enrich_extract, "stale_reset": stale_reset,
+                "incremental_copy": incremental_copy, "summary_table": summary_table})

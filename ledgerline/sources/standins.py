@@ -414,6 +414,77 @@ class StandIns:
                                        F.col("p_size").cast("decimal(18,2)").alias("HaulDistance"),
                                        F.col("p_name").alias("Code"))
 
+    # ---- latest-effective mapping, local copy, summary ------------------------------------------
+    def _material(self):
+        return F.when(F.col("k") == 7, F.lit(None)).otherwise(F.col("k").cast("string"))
+
+    def _events_kk(self, kinds: list[str]) -> DataFrame:
+        e = self.raw("events").filter(F.col("event_type").isin(*kinds))
+        return e.withColumn("k", F.get_json_object("props", "$.k").cast("bigint"))
+
+    def mappings(self) -> DataFrame:
+        """MaterialMappingHistory: signup and view events are mapping versions."""
+        e = self._events_kk(["signup", "view"])
+        return e.select(F.col("event_id").alias("ID"), self._material().alias("RecipeMtrName"),
+                        F.floor(F.col("value") / 100).cast("bigint").alias("StationID"),
+                        F.when((F.col("event_type") == "view") & (F.col("value") > 400), 1).otherwise(0).alias("isDeleted"),
+                        F.col("ts").alias("EffectiveTime"), (F.col("user_id") * 1000 + F.col("k")).alias("CSEMtrID"))
+
+    def fact_amounts(self) -> DataFrame:
+        """View_GetProductionFactAmt with its station: click, purchase and error events."""
+        e = self._events_kk(["click", "purchase", "error"])
+        return e.select(F.col("event_id").alias("ProductionDetailId"), self._material().alias("Material"),
+                        F.floor(F.col("value") / 100).cast("bigint").alias("StationID"),
+                        F.col("ts").alias("SiteProdTime"), F.col("value").cast("decimal(18,2)").alias("FactAmt"))
+
+    def fact_source(self) -> DataFrame:
+        """Remote fact rows with a modification time (source of the local copy)."""
+        e = self._events_kk(["click", "purchase", "error", "signup", "view"])
+        return e.select(F.col("k").alias("ProductionDetailId"), F.col("event_type").alias("Material"),
+                        F.col("value").cast("decimal(18,2)").alias("FactAmt"), F.col("ts").alias("ModifyTime"))
+
+    def fact_lines(self) -> DataFrame:
+        """Per-material production amounts (input of the summary table)."""
+        return self.raw("lineitem").select(
+            F.col("l_orderkey").alias("ProductionDetailId"),
+            F.concat(F.col("l_returnflag"), F.col("l_linestatus")).alias("Material"),
+            F.col("l_extendedprice").cast("decimal(18,2)").alias("FactAmt"))
+
+    # ---- enrichment (J3) and stale-link reset (J4) ----------------------------------------------
+    def foreign_view(self) -> DataFrame:
+        """View_GetProductionDetailsAndLPM of the foreign system: return flag N lines (ids repeat)."""
+        li = self.raw("lineitem").filter(F.col("l_returnflag") == "N")
+        return li.select(F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+                         .alias("Id"), F.col("l_partkey").alias("PlanId"),
+                         F.when(F.col("l_linestatus") == "O", 1).otherwise(0).alias("IsLubricatePumpMortar"))
+
+    def pricing_sets(self) -> DataFrame:
+        c = self.raw("customer")
+        a = c.filter(F.col("c_mktsegment") == "BUILDING").select(F.lit("Project").alias("BusinessType"),
+                                                                 F.col("c_custkey").alias("BusinessRelationID"))
+        b = c.filter(F.col("c_acctbal") > 9000).select(F.lit("Order").alias("BusinessType"),
+                                                       F.col("c_custkey").alias("BusinessRelationID"))
+        d = c.filter(F.col("c_acctbal") > 9500).select(F.lit("Project").alias("BusinessType"),
+                                                       F.col("c_custkey").alias("BusinessRelationID"))
+        return a.unionByName(b).unionByName(d)
+
+    def payment_types(self) -> DataFrame:
+        return self.spark.createDataFrame([("CASH", "T1"), ("OFFSET", "T2"), ("CREDIT", "T3")],
+                                          "PaymentType string, Type string")
+
+    def wb_ins(self) -> DataFrame:
+        return self.raw("lineitem").select(
+            self._row_id().alias("Id"), F.when(F.col("l_returnflag") == "R", 2).otherwise(1).alias("TenantId"),
+            F.col("l_shipdate").alias("SiteDate"), F.col("l_orderkey").alias("ReceivingDailyReportID"))
+
+    def receiving_reports(self) -> DataFrame:
+        return self.raw("orders").select(F.col("o_orderkey").alias("ID"),
+                                         F.when(F.col("o_orderstatus") == "P", 1).otherwise(0).alias("isDeleted"))
+
+    def receiving_details(self) -> DataFrame:
+        li = self.raw("lineitem").filter(F.col("l_linestatus") == "F")
+        return li.select(F.col("l_orderkey").alias("DailyReportID"), self._row_id().alias("OriginalID"))
+
     # ---- helpers used by several jobs ---------------------------------------------------------
     def category_group(self, c):
         return category_group(c, CATEGORY_GROUPS)
