@@ -44,3 +44,31 @@ UNFILLED_SALESMAN_SOURCE = "未填"
 OWN_PRODUCTION_SOURCE = "自产"
 WEIGHBRIDGE_CATEGORY_SOURCE = "干混砂浆"
 REMARK_LABELS_SOURCE = ("更新日志：", "；报表备注：", "；小票备注：")
+
+# Table-level analytics (fixed values, as in the source's query-log census and monitoring queries):
+#   census patterns: remote server name (IPv4 address, optionally bracketed with a port),
+#     dirty-read hint WITH (NOLOCK), split function f_split / STRING_SPLIT, OUTER / CROSS APPLY,
+#     view prefix View_Get, temp table #name, and statements with 5 or more JOINs
+#   candidate index threshold 1000; fragmentation: > 30 REBUILD, > 10 REORGANIZE, else OK,
+#     considered only above 10 percent and 1000 pages; wait statistics skip the benign wait types below
+CENSUS_PATTERNS = [
+    ("remote_server", r"\[?\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(,\d+)?\]?"),
+    ("nolock_hint", r"(?i)with\s*\(\s*nolock\s*\)"),
+    ("split_function", r"(?i)\b(f_split|string_split)\b"),
+    ("apply", r"(?i)\b(outer|cross)\s+apply\b"),
+    ("view_prefix", r"(?i)\bview_get\w*"),
+    ("temp_table", r"#\w+"),
+]
+CENSUS_JOIN_PATTERN = r"(?i)\bjoin\b"
+CENSUS_MIN_JOINS = 5
+INDEX_ADVANTAGE_MIN = 1000
+FRAG_REBUILD = 30
+FRAG_REORGANIZE = 10
+FRAG_MIN_PAGES = 1000
+BENIGN_WAITS = [
+    "CLR_SEMAPHORE", "LAZYWRITER_SLEEP", "RESOURCE_QUEUE", "SLEEP_TASK", "SLEEP_SYSTEMTASK",
+    "SQLTRACE_BUFFER_FLUSH", "WAITFOR", "LOGMGR_QUEUE", "CHECKPOINT_QUEUE", "REQUEST_FOR_DEADLOCK_SEARCH",
+    "XE_TIMER_EVENT", "BROKER_TO_FLUSH", "BROKER_TASK_STOP", "CLR_MANUAL_EVENT", "CLR_AUTO_EVENT",
+    "DISPATCHER_QUEUE_SEMAPHORE", "FT_IFTS_SCHEDULER_IDLE_WAIT", "XE_DISPATCHER_WAIT", "XE_DISPATCHER_JOIN",
+    "SQLTRACE_INCREMENTAL_FLUSH_SLEEP",
+]

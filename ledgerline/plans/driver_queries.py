@@ -256,3 +256,102 @@ def summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES.update({"asof_mapping": asof_mapping, "enrich_extract": enrich_extract, "stale_reset": stale_reset,
                 "incremental_copy": incremental_copy, "summary_table": summary_table})
+
+
+def log_census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 over whole document texts: matches per pattern and share of texts."""
+    from ledgerline.operators.analytics import pattern_census
+    return pattern_census(StandIns(spark, sf_dir).raw("documents"), "text")
+
+
+RENAME_PATTERN = r"\[?\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(,\d+)?\]?"
+
+
+def rename_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remote server references in whole texts rewritten to the local copy's name."""
+    from ledgerline.operators.analytics import rename_refs as run
+    return run(StandIns(spark, sf_dir).raw("documents"), "doc_id", "text", RENAME_PATTERN, "LOCAL_COPY")
+
+
+def cost_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top 20 statements by total CPU with per-call averages."""
+    from ledgerline.operators.analytics import cost_topk as run
+    return run(StandIns(spark, sf_dir).query_stats(), 20)
+
+
+def wait_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wait shares without benign waits."""
+    from ledgerline.operators.analytics import wait_share as run
+    return run(StandIns(spark, sf_dir).wait_stats())
+
+
+def candidate_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: index candidates over a three-table equi join, threshold 1000, generated text."""
+    from ledgerline.operators.analytics import candidate_rank as run
+    src = StandIns(spark, sf_dir)
+    out = run(src.index_groups(), src.index_group_stats(), src.index_details())
+    return out.withColumn("index_advantage", F.col("index_advantage").cast("double"))
+
+
+def frag_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: fragmentation labels."""
+    from ledgerline.operators.analytics import frag_class as run
+    out = run(StandIns(spark, sf_dir).index_physical())
+    return out.withColumn("avg_fragmentation_in_percent", F.col("avg_fragmentation_in_percent").cast("double"))
+
+
+def block_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6: blocked/blocking pairs with the wait."""
+    from ledgerline.operators.analytics import block_pairs as run
+    src = StandIns(spark, sf_dir)
+    out = run(src.requests(), src.waiting_tasks())
+    return out.withColumn("wait_duration_ms", F.col("wait_duration_ms").cast("double"))
+
+
+def size_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Database sizes, share, rank, bucket, top 5."""
+    from ledgerline.operators.analytics import size_rollup as run
+    out = run(StandIns(spark, sf_dir).db_files())
+    return out.withColumn("size_mb", F.col("size_mb").cast("double"))
+
+
+def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs by status (threshold 100 s)."""
+    from ledgerline.operators.analytics import run_summary as run
+    return run(StandIns(spark, sf_dir).runs(), 100.0)
+
+
+def compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First half of the month against the second half, per event type."""
+    from ledgerline.functions.timefilters import ts_lit
+    from ledgerline.operators.analytics import compare_runs as run
+    r = StandIns(spark, sf_dir).runs()
+    cut = ts_lit(dt.datetime(2024, 1, 16))
+    return run(r.filter(F.col("ts") < cut), r.filter(F.col("ts") >= cut), "name")
+
+
+def recon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: the incremental copy against a full recompute one hour later (two-way exceptAll)."""
+    from ledgerline.functions.timefilters import ts_lit
+    from ledgerline.operators.recon import reconcile
+    from ledgerline.streaming.incremental import latest_per_key, sync_increment
+    src = StandIns(spark, sf_dir).fact_source()
+    keys = ["ProductionDetailId", "Material"]
+    copy0 = latest_per_key(src.filter(F.col("ModifyTime") < ts_lit(COPY_T0)), keys, ["ModifyTime"])
+    t1 = COPY_T0 + dt.timedelta(minutes=15)
+    a = sync_increment(src, copy0, keys, "ModifyTime", t1, dt.timedelta(minutes=20))
+    b = latest_per_key(src.filter(F.col("ModifyTime") <= ts_lit(t1 + dt.timedelta(hours=1))), keys, ["ModifyTime"])
+    return reconcile(a, b)
+
+
+def match_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9: share of all detail rows with a foreign-view row."""
+    from ledgerline.operators.recon import match_rate as run
+    src = StandIns(spark, sf_dir)
+    return run(src.details(), "OriginalID", src.foreign_view(), "Id")
+
+
+QUERIES.update({"log_census": log_census, "rename_refs": rename_refs, "cost_topk": cost_topk,
+                "wait_share": wait_share, "candidate_rank": candidate_rank, "frag_class": frag_class,
+                "block_pairs": block_pairs, "size_rollup": size_rollup, "run_summary": run_summary,
+                "compare_runs": compare_runs, "recon": recon, "match_rate": match_rate})

@@ -485,6 +485,90 @@ class StandIns:
         li = self.raw("lineitem").filter(F.col("l_linestatus") == "F")
         return li.select(F.col("l_orderkey").alias("DailyReportID"), self._row_id().alias("OriginalID"))
 
+    # ---- exported monitoring tables (K2-K7, K11, K12) ------------------------------------------
+    def query_stats(self) -> DataFrame:
+        """Per-statement execution statistics: events grouped by user are statements, the user's
+        document is the batch text."""
+        from ledgerline.operators.analytics import statement_text
+        e = self._events_kk(["click", "purchase", "error", "signup", "view"])
+        v = F.col("value").cast("decimal(18,2)")
+        g = e.groupBy(F.col("user_id").alias("statement_id")).agg(
+            F.count(F.lit(1)).alias("execution_count"), F.sum(v * 1000).alias("total_worker_time"),
+            F.sum(v * 1500).alias("total_elapsed_time"), F.sum("k").alias("total_logical_reads"),
+            F.sum(F.when(F.col("event_type") == "error", 1).otherwise(0)).cast("bigint").alias("total_physical_reads"),
+            F.min("ts").alias("creation_time"), F.max("ts").alias("last_execution_time"))
+        d = self.raw("documents").select(F.col("doc_id"), F.col("text"))
+        j = g.join(d, F.col("statement_id") == F.col("doc_id"))
+        end = F.when(F.col("execution_count") > 60, F.lit(200)).otherwise(F.lit(-1))
+        return j.select("statement_id", statement_text(F.col("text"), F.lit(0), end).alias("query_text"),
+                        "execution_count", "total_worker_time", "total_elapsed_time", "total_logical_reads",
+                        "total_physical_reads", "creation_time", "last_execution_time")
+
+    def wait_stats(self) -> DataFrame:
+        e = self.raw("events")
+        et = F.col("event_type")
+        wt = F.when(et == "view", F.lit("SLEEP_TASK")).when(et == "signup", F.lit("WAITFOR")) \
+            .otherwise(F.concat(F.upper(et), F.lit("_"), F.col("user_id").cast("string")))
+        v = F.col("value").cast("decimal(18,2)")
+        return e.groupBy(wt.alias("wait_type")).agg(F.sum(v * 100).alias("wait_time_ms"),
+                                                    F.sum(v * 10).alias("signal_wait_time_ms"),
+                                                    F.count(F.lit(1)).alias("waiting_tasks_count"))
+
+    def _part_line_stats(self) -> DataFrame:
+        return self.raw("lineitem").groupBy(F.col("l_partkey").alias("group_handle")).agg(
+            F.count(F.lit(1)).alias("user_seeks"),
+            F.max("l_quantity").cast("decimal(9,2)").alias("avg_total_user_cost"),
+            (F.max("l_discount") * 1000).cast("decimal(9,2)").alias("avg_user_impact"),
+            F.max("l_shipdate").alias("last_user_seek"))
+
+    def index_groups(self) -> DataFrame:
+        return self.raw("part").select(F.col("p_partkey").alias("index_group_handle"),
+                                       F.col("p_partkey").alias("index_handle"))
+
+    def index_group_stats(self) -> DataFrame:
+        return self._part_line_stats()
+
+    def index_details(self) -> DataFrame:
+        return self.raw("part").select(
+            F.col("p_partkey").alias("index_handle"),
+            F.concat(F.lit("[db].[dbo].["), F.col("p_type"), F.lit("]")).alias("statement"),
+            F.concat(F.lit("["), F.col("p_brand"), F.lit("]")).alias("equality_columns"),
+            F.when(F.col("p_size") > 25, F.lit("[p_size]")).alias("inequality_columns"),
+            F.when(F.col("p_retailprice") > 1500, F.lit("[p_retailprice]")).alias("included_columns"))
+
+    def index_physical(self) -> DataFrame:
+        cnt = self.raw("lineitem").groupBy(F.col("l_partkey").alias("__pk")).agg(F.count(F.lit(1)).alias("__n"))
+        p = self.raw("part").join(cnt, F.col("p_partkey") == F.col("__pk"))
+        return p.select(F.col("p_name").alias("TableName"), F.col("p_brand").alias("IndexName"),
+                        (F.col("p_size").cast("decimal(9,2)") * F.expr("0.8")).alias("avg_fragmentation_in_percent"),
+                        (F.col("__n") * 50).alias("page_count"))
+
+    def requests(self) -> DataFrame:
+        return self.raw("events").select(
+            F.col("event_id").alias("session_id"),
+            F.when(F.col("event_type") == "error", F.col("event_id") - 1).otherwise(F.lit(0)).alias("blocking_session_id"),
+            F.concat(F.col("event_type"), F.lit(":"), F.col("props")).alias("sql_text"))
+
+    def waiting_tasks(self) -> DataFrame:
+        return self.raw("events").filter(F.col("event_type") == "error").select(
+            F.col("event_id").alias("session_id"), (F.col("value").cast("decimal(18,2)") * 1000).alias("wait_duration_ms"),
+            F.lit("LCK_M_X").alias("wait_type"))
+
+    def db_files(self) -> DataFrame:
+        n = F.broadcast(self.raw("nation").join(F.broadcast(self.raw("region")),
+                                                F.col("n_regionkey") == F.col("r_regionkey")))
+        j = self.raw("supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
+        return j.select(F.col("n_name").alias("database"), F.col("r_name").alias("group_name"),
+                        F.when(F.col("n_regionkey").isin(0, 1), "SIMPLE").otherwise("FULL").alias("recovery_model"),
+                        F.col("s_name").alias("file"),
+                        ((F.col("s_acctbal").cast("decimal(18,2)") * 100).cast("bigint") + 100000).alias("size"))
+
+    def runs(self) -> DataFrame:
+        return self.raw("events").select(F.col("event_id").alias("run_id"),
+                                         F.when(F.col("value") > 400, "FAILED").otherwise("OK").alias("status"),
+                                         F.col("value").cast("decimal(18,2)").alias("duration"),
+                                         F.col("event_type").alias("name"), F.col("ts"))
+
     # ---- helpers used by several jobs ---------------------------------------------------------
     def category_group(self, c):
         return category_group(c, CATEGORY_GROUPS)
