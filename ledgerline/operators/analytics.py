@@ -34,8 +34,9 @@ def pattern_census(texts: DataFrame, text_col: str = "text", patterns: list | No
     aggs = [F.count(F.lit(1)).alias("__total")]
     names = []
     for name, pat in patterns:
-        aggs += [F.sum(F.when(t.rlike(pat), 1).otherwise(0)).alias(f"{name}__docs"),
-                 F.sum(F.regexp_count(t, F.lit(pat))).alias(f"{name}__hits")]
+        hits = F.regexp_count(t, F.lit(pat))  # one regex pass per pattern; a text matches iff hits > 0
+        aggs += [F.sum(F.when(hits > 0, 1).otherwise(0)).alias(f"{name}__docs"),
+                 F.sum(hits).alias(f"{name}__hits")]
         names.append(name)
     jn = "joins_5_plus"
     joins = F.regexp_count(t, F.lit(join_pattern))

@@ -66,15 +66,18 @@ def period_days(periods: DataFrame, id_col: str = "ID", start: str = "StartDate"
 
 def attach_period(df: DataFrame, date_col: str, periods: DataFrame, how: str = "inner",
                   id_col: str = "ID", start: str = "StartDate", end: str = "EndDate",
-                  out_col: str = "PeriodID", keep: tuple = ()) -> DataFrame:
+                  out_col: str = "PeriodID", keep: tuple = (), calendar: bool = True) -> DataFrame:
     """``df JOIN periods ON df.date BETWEEN start AND end`` (J-10) as an equi join on the day.
 
     Periods are exploded to days, so the join is a hash join on a date instead of a nested loop;
-    overlapping periods keep BETWEEN's multiplicity. The day table is broadcast when it is small
-    (its size depends on the calendar span, not on the facts).
+    overlapping periods keep BETWEEN's multiplicity. ``calendar=True`` declares ``periods`` a
+    calendar (non-overlapping periods): the day table then has at most one row per day of the
+    calendar span (a few thousand rows for decades), independent of the facts, and is broadcast
+    without a sizing job. ``calendar=False`` checks the row count first.
     """
     days = period_days(periods.select(id_col, start, end, *keep), id_col, start, end)
-    days = bounded_broadcast(days.select(F.col("__pid").alias(out_col), "__day", *keep))
+    days = days.select(F.col("__pid").alias(out_col), "__day", *keep)
+    days = F.broadcast(days) if calendar else bounded_broadcast(days)
     return df.join(days, F.col(date_col).cast("date") == F.col("__day"), how).drop("__day")
 
 

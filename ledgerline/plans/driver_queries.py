@@ -35,7 +35,7 @@ def _d(c: str) -> "F.Column":
 def period_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales by department, user, period, category group and payment type (P3, J-01, J-02, J-10,
     J-13, A4): the production stage of the kanban."""
-    src, cfg = StandIns(spark, sf_dir), kanban_config()
+    src, cfg = StandIns.of(spark, sf_dir), kanban_config()
     periods = kanban.query_periods(src, cfg)
     proj = kanban.base_projects(src, cfg)
     out = kanban.stage_production(src, cfg, periods, proj)
@@ -49,7 +49,7 @@ QUERIES = {
 
 
 def _kanban(spark: SparkSession, sf_dir: str):
-    return StandIns(spark, sf_dir), kanban_config()
+    return StandIns.of(spark, sf_dir), kanban_config()
 
 
 def wait_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +100,7 @@ def param_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Detail types kept by the split parameter list (X13, F1, A12, J-13): no trimming, so ' R'
     does not match 'R'; the empty part matches nothing."""
     from ledgerline.operators.params import in_param_list
-    src = StandIns(spark, sf_dir)
+    src = StandIns.of(spark, sf_dir)
     d = in_param_list(src.details(), "Type", src.parameters(), "ProjectSalesTypeFilter")
     return d.groupBy("Type").agg(F.count(F.lit(1)).alias("n"), F.sum("SalesTotalAmt1").cast("double").alias("amt"))
 
@@ -109,7 +109,7 @@ def param_not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Projects whose contract company is not in the excluded list (J-15, NULL-aware NOT IN)."""
     from ledgerline.operators.joins import not_in_list
     from ledgerline.operators.params import split_param
-    src = StandIns(spark, sf_dir)
+    src = StandIns.of(spark, sf_dir)
     p = src.projects().join(F.broadcast(src.companies().withColumnRenamed("ID", "__co")),
                             F.col("SignCompanyID_PartyA") == F.col("__co"), "left")
     p = not_in_list(p, F.coalesce(F.col("CompanyName"), F.lit("")),
@@ -184,14 +184,14 @@ LOAD_COLUMNS = [
 def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J2 over every business day at once."""
     from ledgerline.plans import daily_load as dl
-    out = dl.daily_load(StandIns(spark, sf_dir), load_config(), None, dt.datetime(2000, 6, 15, 1, 0, 0))
+    out = dl.daily_load(StandIns.of(spark, sf_dir), load_config(), None, dt.datetime(2000, 6, 15, 1, 0, 0))
     return out.select(*LOAD_COLUMNS)
 
 
 def financial_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighbridge tonnage per station and financial day (P14, X7, A4): the day starts 6 hours
     after midnight, so a weighing at 05:59 belongs to the previous day."""
-    src = StandIns(spark, sf_dir)
+    src = StandIns.of(spark, sf_dir)
     d = src.delivering().filter(F.col("isDeleted") == 0)
     s = src.shipping().filter(F.col("isDeleted") == 0).select("DeliveringID", "StationID")
     j = s.join(d, F.col("DeliveringID") == F.col("ID"))
@@ -207,7 +207,7 @@ def asof_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Latest-effective mapping per production amount row (J-17, T2): greatest mapping id among
     live mappings of the same material (NULL-safe) and station effective at or before the row."""
     from ledgerline.operators.joins import latest_effective
-    src = StandIns(spark, sf_dir)
+    src = StandIns.of(spark, sf_dir)
     probes = src.fact_amounts().select("ProductionDetailId", "Material", "StationID", "SiteProdTime")
     maps = src.mappings().filter(F.col("isDeleted") == 0)
     return latest_effective(probes, maps,
@@ -219,7 +219,7 @@ def asof_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 def enrich_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J3 over June 2000 without row cap (J-02, J-10 left, J-19, J-20, P19)."""
     from ledgerline.plans.enrich import enrich_extract as run
-    src = StandIns(spark, sf_dir)
+    src = StandIns.of(spark, sf_dir)
     return run(src.details(), src.reports(), src.projects(), src.foreign_view(), src.periods(), src.pricing_sets(),
                src.payment_types(), dt.date(2000, 6, 1), dt.date(2000, 6, 30))
 
@@ -227,7 +227,7 @@ def enrich_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stale_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New version of the whole weighing table (S9, J-14, P15)."""
     from ledgerline.plans.reset import stale_reset as run
-    src = StandIns(spark, sf_dir)
+    src = StandIns.of(spark, sf_dir)
     return run(src.wb_ins(), src.receiving_reports(), src.receiving_details(), 1, dt.date(2000, 6, 15), 2)
 
 
@@ -239,7 +239,7 @@ def incremental_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     window 15 minutes later; the overlap does not duplicate rows."""
     from ledgerline.functions.timefilters import ts_lit
     from ledgerline.streaming.incremental import latest_per_key, sync_increment
-    src = StandIns(spark, sf_dir).fact_source()
+    src = StandIns.of(spark, sf_dir).fact_source()
     keys = ["ProductionDetailId", "Material"]
     copy0 = latest_per_key(src.filter(F.col("ModifyTime") < ts_lit(COPY_T0)), keys, ["ModifyTime"])
     out = sync_increment(src, copy0, keys, "ModifyTime", COPY_T0 + dt.timedelta(minutes=15), dt.timedelta(minutes=20))
@@ -249,7 +249,7 @@ def incremental_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 def summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sum and row count per (detail, material)."""
     from ledgerline.streaming.incremental import summary
-    out = summary(StandIns(spark, sf_dir).fact_lines(), ["ProductionDetailId", "Material"], "FactAmt")
+    out = summary(StandIns.of(spark, sf_dir).fact_lines(), ["ProductionDetailId", "Material"], "FactAmt")
     return out.select("ProductionDetailId", "Material", F.col("TotalFactAmt").cast("double").alias("TotalFactAmt"),
                       "RowCount")
 
@@ -261,7 +261,7 @@ QUERIES.update({"asof_mapping": asof_mapping, "enrich_extract": enrich_extract,
 def log_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 over whole document texts: matches per pattern and share of texts."""
     from ledgerline.operators.analytics import pattern_census
-    return pattern_census(StandIns(spark, sf_dir).raw("documents"), "text")
+    return pattern_census(StandIns.of(spark, sf_dir).raw("documents"), "text")
 
 
 RENAME_PATTERN = r"\[?\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(,\d+)?\]?"
@@ -270,25 +270,25 @@ RENAME_PATTERN = r"\[?\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(,\d+)?\]?"
 def rename_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Remote server references in whole texts rewritten to the local copy's name."""
     from ledgerline.operators.analytics import rename_refs as run
-    return run(StandIns(spark, sf_dir).raw("documents"), "doc_id", "text", RENAME_PATTERN, "LOCAL_COPY")
+    return run(StandIns.of(spark, sf_dir).raw("documents"), "doc_id", "text", RENAME_PATTERN, "LOCAL_COPY")
 
 
 def cost_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top 20 statements by total CPU with per-call averages."""
     from ledgerline.operators.analytics import cost_topk as run
-    return run(StandIns(spark, sf_dir).query_stats(), 20)
+    return run(StandIns.of(spark, sf_dir).query_stats(), 20)
 
 
 def wait_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wait shares without benign waits."""
     from ledgerline.operators.analytics import wait_share as run
-    return run(StandIns(spark, sf_dir).wait_stats())
+    return run(StandIns.of(spark, sf_dir).wait_stats())
 
 
 def candidate_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K4: index candidates over a three-table equi join, threshold 1000, generated text."""
     from ledgerline.operators.analytics import candidate_rank as run
-    src = StandIns(spark, sf_dir)
+    src = StandIns.of(spark, sf_dir)
     out = run(src.index_groups(), src.index_group_stats(), src.index_details())
     return out.withColumn("index_advantage", F.col("index_advantage").cast("double"))
 
@@ -296,14 +296,14 @@ def candidate_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 def frag_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: fragmentation labels."""
     from ledgerline.operators.analytics import frag_class as run
-    out = run(StandIns(spark, sf_dir).index_physical())
+    out = run(StandIns.of(spark, sf_dir).index_physical())
     return out.withColumn("avg_fragmentation_in_percent", F.col("avg_fragmentation_in_percent").cast("double"))
 
 
 def block_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K6: blocked/blocking pairs with the wait."""
     from ledgerline.operators.analytics import block_pairs as run
-    src = StandIns(spark, sf_dir)
+    src = StandIns.of(spark, sf_dir)
     out = run(src.requests(), src.waiting_tasks())
     return out.withColumn("wait_duration_ms", F.col("wait_duration_ms").cast("double"))
 
@@ -311,21 +311,21 @@ def block_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def size_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Database sizes, share, rank, bucket, top 5."""
     from ledgerline.operators.analytics import size_rollup as run
-    out = run(StandIns(spark, sf_dir).db_files())
+    out = run(StandIns.of(spark, sf_dir).db_files())
     return out.withColumn("size_mb", F.col("size_mb").cast("double"))
 
 
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs by status (threshold 100 s)."""
     from ledgerline.operators.analytics import run_summary as run
-    return run(StandIns(spark, sf_dir).runs(), 100.0)
+    return run(StandIns.of(spark, sf_dir).runs(), 100.0)
 
 
 def compare_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First half of the month against the second half, per event type."""
     from ledgerline.functions.timefilters import ts_lit
     from ledgerline.operators.analytics import compare_runs as run
-    r = StandIns(spark, sf_dir).runs()
+    r = StandIns.of(spark, sf_dir).runs()
     cut = ts_lit(dt.datetime(2024, 1, 16))
     return run(r.filter(F.col("ts") < cut), r.filter(F.col("ts") >= cut), "name")
 
@@ -335,7 +335,7 @@ def recon(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.functions.timefilters import ts_lit
     from ledgerline.operators.recon import reconcile
     from ledgerline.streaming.incremental import latest_per_key, sync_increment
-    src = StandIns(spark, sf_dir).fact_source()
+    src = StandIns.of(spark, sf_dir).fact_source()
     keys = ["ProductionDetailId", "Material"]
     copy0 = latest_per_key(src.filter(F.col("ModifyTime") < ts_lit(COPY_T0)), keys, ["ModifyTime"])
     t1 = COPY_T0 + dt.timedelta(minutes=15)
@@ -347,7 +347,7 @@ def recon(spark: SparkSession, sf_dir: str) -> DataFrame:
 def match_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9: share of all detail rows with a foreign-view row."""
     from ledgerline.operators.recon import match_rate as run
-    src = StandIns(spark, sf_dir)
+    src = StandIns.of(spark, sf_dir)
     return run(src.details(), "OriginalID", src.foreign_view(), "Id")
 
 

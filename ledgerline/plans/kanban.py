@@ -25,7 +25,7 @@ from ledgerline.config import KanbanConfig
 from ledgerline.functions.exprs import (category_group, flag_or_true, live_or_null, live_strict,
                                         payment_group, unit_qty)
 from ledgerline.functions.timefilters import date_lit, in_month, in_year
-from ledgerline.operators.joins import attach_period, bounded_broadcast, left_on_true, not_in_list, sum_by_either
+from ledgerline.operators.joins import attach_period, left_on_true, not_in_list, sum_by_either
 from ledgerline.operators.params import in_param_list, split_param
 from ledgerline.operators.sets import distinct_keys, union_all
 
@@ -265,8 +265,9 @@ PKP = PK + ["AccountingPaymentType"]
 
 
 def _in_periods(df: DataFrame, col: str, periods: DataFrame) -> DataFrame:
-    """``col IN (SELECT ID FROM #QueryPeriod)``: semi join on the bounded period list."""
-    ids = bounded_broadcast(periods.select(F.col("ID").alias("__per")).distinct())
+    """``col IN (SELECT ID FROM #QueryPeriod)``: semi join on one year's period ids (a calendar
+    year holds at most a few dozen periods, so the list is broadcast without a sizing job)."""
+    ids = F.broadcast(periods.select(F.col("ID").alias("__per")).distinct())
     return df.join(ids, F.col(col) == F.col("__per"), "left_semi")
 
 

@@ -69,6 +69,9 @@ def period_id(ts) -> "F.Column":
     return (F.year(ts) * 12 + F.month(ts) - 1).cast("bigint")
 
 
+_INSTANCES: dict = {}
+
+
 class StandIns:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -77,9 +80,22 @@ class StandIns:
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            from ledgerline.sources.schemas import DRIVER
+            r = self.spark.read
+            if name in DRIVER:
+                r = r.schema(DRIVER[name])
+            self._cache[name] = r.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._cache[name]
 
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> "StandIns":
+        """One instance per (session, folder): source frames are built and analysed once."""
+        key = (id(spark), sf_dir.rstrip("/"))
+        inst = _INSTANCES.get(key)
+        if inst is None or inst.spark is not spark:
+            inst = _INSTANCES[key] = cls(spark, sf_dir)
+        return inst
+
     # ---- configuration tables -----------------------------------------------------------------
     def parameters(self) -> DataFrame:
         return self.spark.createDataFrame(PARAMETERS, "ParaName string, ParaValue string")
