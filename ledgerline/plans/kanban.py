@@ -27,7 +27,7 @@ from ledgerline.functions.exprs import (category_group, flag_or_true, live_or_nu
 from ledgerline.functions.timefilters import date_lit, in_month, in_year
 from ledgerline.operators.joins import attach_period, left_on_true, not_in_list, sum_by_either
 from ledgerline.operators.params import in_param_list, split_param
-from ledgerline.operators.sets import distinct_keys, union_all
+from ledgerline.operators.sets import keyed_measures, union_all
 
 def _zero() -> "F.Column":
     return F.lit(0).cast("decimal(18,2)")
@@ -134,18 +134,15 @@ def _attach_org(keys: DataFrame, src, dept_col: str) -> DataFrame:
 def board_leads(src, cfg: KanbanConfig) -> DataFrame:
     """Output 1 (``WorkbenchKanbanPCMAndClue``): the user set with the four counts, 0 by default.
 
-    The count frames join back on (department, user) equality, so a NULL user keeps zeros; same-named
-    salesmen multiply rows (no DISTINCT after the salesman join)."""
-    wa, wf = leads_wait_assign(src, cfg), leads_wait_follow_up(src, cfg)
-    ca, cf = clues_wait_assign(src, cfg), clues_wait_follow_up(src, cfg)
-    keys = distinct_keys(wa, cf, wf, ca, keys=["SalesDepartment", "Username"])
-    users = _attach_org(keys, src, "SalesDepartment").select("RegionID", "SalesDepartment", "SalesmanID", "Username")
-    out = users
-    for name, d in [("PCMWaitAssignQty", wa), ("PCMWaitFollowUpQty", wf), ("ClueWaitAssignQty", ca),
-                    ("ClueWaitFollowUpQty", cf)]:
-        r = d.select(F.col("SalesDepartment").alias("__d"), F.col("Username").alias("__u"), F.col("Qty").alias(name))
-        out = out.join(r, (F.col("SalesDepartment") == F.col("__d")) & (F.col("Username") == F.col("__u")), "left") \
-            .drop("__d", "__u")
+    The counts attach on (department, user) equality, so a NULL user keeps zeros; same-named
+    salesmen multiply rows (no DISTINCT after the salesman join). Each count is computed once
+    (``keyed_measures``)."""
+    frames = [(leads_wait_assign(src, cfg).withColumnRenamed("Qty", "PCMWaitAssignQty"), ["PCMWaitAssignQty"]),
+              (leads_wait_follow_up(src, cfg).withColumnRenamed("Qty", "PCMWaitFollowUpQty"), ["PCMWaitFollowUpQty"]),
+              (clues_wait_assign(src, cfg).withColumnRenamed("Qty", "ClueWaitAssignQty"), ["ClueWaitAssignQty"]),
+              (clues_wait_follow_up(src, cfg).withColumnRenamed("Qty", "ClueWaitFollowUpQty"), ["ClueWaitFollowUpQty"])]
+    keyed = keyed_measures(frames, ["SalesDepartment", "Username"])
+    out = _attach_org(keyed, src, "SalesDepartment")
     return out.select("RegionID", "SalesDepartment", F.col("Username").alias("UserName"),
                       *[_zi(c).alias(c) for c in ["PCMWaitAssignQty", "PCMWaitFollowUpQty", "ClueWaitAssignQty",
                                                   "ClueWaitFollowUpQty"]], "SalesmanID")
@@ -197,26 +194,20 @@ def oppo_effective(src, cfg: KanbanConfig) -> DataFrame:
 
 
 def board_oppo(src, cfg: KanbanConfig) -> DataFrame:
-    """Output 2 (``WorkbenchKanbanOppo``)."""
+    """Output 2 (``WorkbenchKanbanOppo``): distinct (region, department, salesman, user, category)
+    rows of the three key sets with their measures, each measure frame computed once."""
     rep, won, eff = oppo_reported(src, cfg), oppo_won(src, cfg), oppo_effective(src, cfg)
-    keys = distinct_keys(rep, won, eff, keys=["DeptName", "Username", "ProductCategory"])
-    base = _attach_org(keys, src, "DeptName") \
-        .select("RegionID", F.col("DeptName").alias("SalesDepartment"), "SalesmanID", "Username", "ProductCategory") \
-        .distinct()
-    out = base
-    for d, cols in [(rep, ["OppoReportedQty", "OppoEstimatedSupplyQty"]),
-                    (won, ["MonthWinOppoQty", "MonthWinOppoSupplyQty"]), (eff, ["MonthEffectiveOppoQty"])]:
-        r = d.select(F.col("DeptName").alias("__d"), F.col("Username").alias("__u"),
-                     F.col("ProductCategory").alias("__c"), *cols)
-        out = out.join(r, (F.col("SalesDepartment") == F.col("__d")) & (F.col("Username") == F.col("__u"))
-                       & (F.col("ProductCategory") == F.col("__c")), "left").drop("__d", "__u", "__c")
-    return out.select("RegionID", "SalesDepartment", F.col("Username").alias("UserName"),
+    keys = ["DeptName", "Username", "ProductCategory"]
+    keyed = keyed_measures([(rep, ["OppoReportedQty", "OppoEstimatedSupplyQty"]),
+                            (won, ["MonthWinOppoQty", "MonthWinOppoSupplyQty"]), (eff, ["MonthEffectiveOppoQty"])], keys)
+    out = _attach_org(keyed, src, "DeptName")
+    return out.select("RegionID", F.col("DeptName").alias("SalesDepartment"), F.col("Username").alias("UserName"),
                       F.col("ProductCategory").alias("TypeName"),
                       _zi("OppoReportedQty").alias("OppoReportedQty"),
                       _z("OppoEstimatedSupplyQty").alias("OppoEstimatedSupplyQty"),
                       _zi("MonthWinOppoQty").alias("MonthWinOppoQty"),
                       _z("MonthWinOppoSupplyQty").alias("MonthWinOppoSupplyQty"), "SalesmanID",
-                      _zi("MonthEffectiveOppoQty").alias("OppoEffectiveQty"))
+                      _zi("MonthEffectiveOppoQty").alias("OppoEffectiveQty")).distinct()
 
 
 # ------------------------------------------------------------------------------------------------
@@ -443,21 +434,38 @@ def board_returns(src, cfg: KanbanConfig, stages: dict | None = None) -> DataFra
     return union_all(*[o.select(*cols) for o in outs])
 
 
+class _Stages(dict):
+    """Stages built on first use: a board analyses only the stage plans it reads."""
+
+    def __init__(self, factories: dict):
+        super().__init__()
+        self._factories = factories
+
+    def __missing__(self, key):
+        value = self._factories[key]()
+        self[key] = value
+        return value
+
+
 def build_stages(src, cfg: KanbanConfig, persist: bool = False) -> dict:
-    """All 1c/1d stages. ``persist=True`` keeps the re-read base sets (projects are read by six
-    stages) at MEMORY_AND_DISK; a lost executor recomputes them from lineage."""
+    """All 1c/1d stages, built lazily. ``persist=True`` keeps the re-read base sets (projects are
+    read by six stages) at MEMORY_AND_DISK; a lost executor recomputes them from lineage."""
     periods = query_periods(src, cfg)
     proj = base_projects(src, cfg)
     if persist:
         periods = periods.persist(StorageLevel.MEMORY_AND_DISK)
         proj = proj.persist(StorageLevel.MEMORY_AND_DISK)
-    return {
-        "periods": periods, "proj": proj, "sales": base_sales(proj), "types": material_types(src, cfg),
-        "targets": stage_targets(src, cfg, periods), "prod": stage_production(src, cfg, periods, proj),
-        "profit": stage_profit(src, cfg, periods, proj),
-        "return_targets": stage_return_targets(src, cfg, periods, proj),
-        "return_plans": stage_return_plans(src, cfg, periods, proj), "returns": stage_returns(src, cfg, periods, proj),
-    }
+    st = _Stages({
+        "sales": lambda: base_sales(proj), "types": lambda: material_types(src, cfg),
+        "targets": lambda: stage_targets(src, cfg, periods),
+        "prod": lambda: stage_production(src, cfg, periods, proj),
+        "profit": lambda: stage_profit(src, cfg, periods, proj),
+        "return_targets": lambda: stage_return_targets(src, cfg, periods, proj),
+        "return_plans": lambda: stage_return_plans(src, cfg, periods, proj),
+        "returns": lambda: stage_returns(src, cfg, periods, proj),
+    })
+    st["periods"], st["proj"] = periods, proj
+    return st
 
 
 def run_kanban(src, cfg: KanbanConfig, persist: bool = True) -> dict[str, DataFrame]:

@@ -59,3 +59,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Spread a scan over the cluster when it yields fewer splits than there are task slots.
+
+    A file written as one row group is read by one task, so per-row work (regexes over texts, wide
+    projections) would run on one core until the first shuffle. Large inputs already have far more
+    splits than slots and are returned unchanged (no extra shuffle); filters and column pruning
+    still reach the scan below the repartition."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -70,6 +70,8 @@ def period_id(ts) -> "F.Column":
 
 
 _INSTANCES: dict = {}
+# fact and text tables whose per-row work is worth spreading when a file has few splits
+SPREAD = {"documents"}
 
 
 class StandIns:
@@ -84,7 +86,11 @@ class StandIns:
             r = self.spark.read
             if name in DRIVER:
                 r = r.schema(DRIVER[name])
-            self._cache[name] = r.parquet(f"{self.sf_dir}/{name}.parquet")
+            df = r.parquet(f"{self.sf_dir}/{name}.parquet")
+            if name in SPREAD:
+                from ledgerline.session import spread
+                df = spread(df)
+            self._cache[name] = df
         return self._cache[name]
 
     @classmethod
@@ -373,7 +379,8 @@ class StandIns:
         ]
         cols += [F.lit(None).cast("string").alias(c) for c in self.MT_NULL_STRING]
         cols += [F.lit(None).cast(t).alias(c) for c, t in self.MT_NULL_OTHER.items()]
-        return lo.select(*cols)
+        from ledgerline.session import spread
+        return spread(lo.select(*cols))
 
     def stations(self) -> DataFrame:
         return self.raw("supplier").select(
