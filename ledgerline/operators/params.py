@@ -15,13 +15,14 @@ def param_value(params: DataFrame, name: str, name_col: str = "ParaName", value_
 
 def split_param(params: DataFrame, name: str, sep: str = ",", name_col: str = "ParaName",
                 value_col: str = "ParaValue") -> DataFrame:
-    """``f_split((SELECT ParaValue ...), sep)`` as rows of ``col``.
-
-    No trimming; empty parts are kept; a missing parameter or a NULL value gives no rows. More than
-    one matching parameter row is an error in the source (scalar subquery); here each row splits.
-    """
-    v = param_value(params, name, name_col, value_col)
-    return v.select(F.explode(F.split(F.col("value"), _regex_literal(sep), -1)).alias("col"))
+    """``f_split((SELECT ParaValue FROM Parameters WHERE ParaName = name), sep)`` as rows of ``col``.
+
+    The value is a scalar subquery, as in the source: more than one matching parameter row fails the
+    job (SCALAR_SUBQUERY_TOO_MANY_ROWS); a missing parameter or a NULL value gives no rows. No
+    trimming; empty parts are kept."""
+    v = params.filter(F.col(name_col) == F.lit(name)).select(value_col).scalar()
+    one = params.sparkSession.range(1)
+    return one.select(F.explode(F.split(v, _regex_literal(sep), -1)).alias("col"))
 
 
 def _regex_literal(sep: str) -> str:

@@ -468,12 +468,20 @@ def build_stages(src, cfg: KanbanConfig, persist: bool = False) -> dict:
     return st
 
 
+def with_audit(df: DataFrame, run_ts) -> DataFrame:
+    """Creation and modification time of the refresh (one value for the whole run)."""
+    from ledgerline.functions.timefilters import ts_lit
+    return df.select(ts_lit(run_ts).alias("FGC_CreateDate"), ts_lit(run_ts).alias("FGC_LastModifyDate"), "*")
+
+
 def run_kanban(src, cfg: KanbanConfig, persist: bool = True) -> dict[str, DataFrame]:
-    """the procedure as one job; returns the four outputs (write them with ``sinks.refresh_all``)."""
+    """the procedure as one job; returns the four outputs with audit columns (write them
+    together with ``sources.sinks.refresh_all``)."""
     st = build_stages(src, cfg, persist=persist)
-    return {
+    outs = {
         "WorkbenchKanbanPCMAndClue": board_leads(src, cfg),
         "WorkbenchKanbanOppo": board_oppo(src, cfg),
         "WorkbenchKanbanSales": board_sales(src, cfg, st),
         "WorkbenchKanbanReturn": board_returns(src, cfg, st),
     }
+    return {k: with_audit(v, cfg.as_of) for k, v in outs.items()}
