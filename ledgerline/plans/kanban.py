@@ -394,8 +394,9 @@ def board_sales(src, cfg: KanbanConfig, stages: dict | None = None) -> DataFrame
             b = _join_keys(b, last, [("TypeName", "ProductCategory"), ("SalesDepartment", "SalesDepartment"),
                                      ("UserName", "UserName"), ("AccountingPaymentType", "AccountingPaymentType")])
             last_col = F.sum(_z("LastFinalQty"))
-            # TimeType 1 rows exist only when some period holds yesterday (the source's WHERE)
-            b = b.join(F.broadcast(tt1.limit(1).select(F.lit(1).alias("__has"))), how="left_semi", on=F.lit(True))
+            # TimeType 1 rows exist only when some period holds yesterday (the source's WHERE):
+            # an uncorrelated EXISTS, evaluated once
+            b = b.filter(tt1.exists())
         else:
             last_col = F.lit(None).cast("decimal(38,2)")
         tq = F.when(F.col("AccountingPaymentType") != F.lit(cfg.payment_else), _zero()).otherwise(F.col("TargetFinalQty"))
@@ -425,7 +426,7 @@ def board_returns(src, cfg: KanbanConfig, stages: dict | None = None) -> DataFra
             s = _scope_sum(stage, scope, PKP, [m])
             b = _join_keys(b, s, [(k, k) for k in PKP])
         if time_type == 1:
-            b = b.join(F.broadcast(tt1.limit(1).select(F.lit(1).alias("__has"))), how="left_semi", on=F.lit(True))
+            b = b.filter(tt1.exists())
         outs.append(b.groupBy("RegionID", "SalesDepartment", "UserName", "SalesmanID", "AccountingPaymentType").agg(
             F.lit(time_type).alias("TimeType"), F.sum(_z("TargetReturnAmt")).alias("TargetReturnAmt"),
             F.sum(_z("PlanReturnAmt")).alias("PlanReturnAmt"), F.sum(_z("ReturnAmt")).alias("ReturnAmt")))

@@ -100,3 +100,13 @@ def test_streaming_copy_with_foreach_batch(spark):
     want = latest_per_key(src, keys, ["ModifyTime"])
     assert got.count() == want.count()
     assert got.exceptAll(want.select(*got.columns)).count() == 0
+
+
+def test_no_period_holds_yesterday_gives_no_time_type_1(spark):
+    # stand-in periods end in August 2001: yesterday in September has no period, this year has
+    src = StandIns.of(spark, SF)
+    cfg = dq.kanban_config(dt.datetime(2001, 9, 15, 8))
+    sales = kanban.board_sales(src, cfg)
+    returns = kanban.board_returns(src, cfg)
+    assert sales.count() > 0 and returns.count() > 0
+    assert sales.filter("TimeType = 1").count() == 0 and returns.filter("TimeType = 1").count() == 0
