@@ -448,7 +448,7 @@ class _Stages(dict):
         return value
 
 
-def build_stages(src, cfg: KanbanConfig, persist: bool = False) -> dict:
+def build_stages(src, cfg: KanbanConfig, persist: bool = True) -> dict:
     """All 1c/1d stages, built lazily. ``persist=True`` keeps the re-read base sets (projects are
     read by six stages) at MEMORY_AND_DISK; a lost executor recomputes them from lineage."""
     periods = query_periods(src, cfg)
