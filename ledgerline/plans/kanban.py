@@ -345,14 +345,6 @@ def stage_returns(src, cfg: KanbanConfig, periods: DataFrame, proj: DataFrame) -
 # ------------------------------------------------------------------------------------------------
 # 1e / 1f: boards
 # ------------------------------------------------------------------------------------------------
-def _scope_sum(stage: DataFrame, scope_ids: DataFrame, keys: list[str], measures: list[str],
-               period_col: str = "PeriodID", shift: int = 0) -> DataFrame:
-    """Sum a stage over the periods of one scope; ``shift=1`` reads period ``id - 1`` (J-11)."""
-    ids = scope_ids.select((F.col("ID") - F.lit(shift)).alias("__scope"))
-    j = stage.join(F.broadcast(ids), F.col(period_col) == F.col("__scope"))
-    return j.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
-
-
 def _join_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     r = right
     cond = []
@@ -363,76 +355,81 @@ def _join_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]])
     return out.drop(*[f"__r_{rcol}" for _, rcol in pairs])
 
 
-def _scopes(periods: DataFrame, cfg: KanbanConfig) -> tuple[DataFrame, DataFrame]:
+def _current_ids(periods: DataFrame, cfg: KanbanConfig):
+    """Ids of the periods holding yesterday, as an array-valued scalar subquery (a calendar has
+    one, or a few when periods overlap), plus the frame for the EXISTS test."""
     tt1 = periods.filter(date_lit(cfg.yday).between(F.col("StartDate"), F.col("EndDate"))).select("ID")
-    return tt1, periods.select("ID")
+    return tt1.select(F.coalesce(F.collect_list("ID"), F.array())).scalar(), tt1
+
+
+def _scoped(stage: DataFrame, keys: list[str], measures: list[str], ids, last: list[str] = ()) -> DataFrame:
+    """One pass over a stage: sums over the current period(s) (``t1_``), over the whole year
+    (``t2_``), and over the period before a current one (``l1_``, J-11 as ``id + 1 in ids``)."""
+    cur = F.array_contains(ids, F.col("PeriodID"))
+    prev = F.array_contains(ids, F.col("PeriodID") + 1)
+    aggs = [F.sum(F.when(cur, F.col(m))).alias(f"t1_{m}") for m in measures]
+    aggs += [F.sum(m).alias(f"t2_{m}") for m in measures]
+    aggs += [F.sum(F.when(prev, F.col(m))).alias(f"l1_{m}") for m in last]
+    return stage.groupBy(*keys).agg(*aggs)
 
 
 def board_sales(src, cfg: KanbanConfig, stages: dict | None = None) -> DataFrame:
     """Output 3 (``WorkbenchKanbanSales``): TimeType 1 = the period holding yesterday, TimeType 2 =
     all this year's periods. Target quantity counts only on the advance payment type; target amount
     and profit target repeat on every payment type; LastFinalQty is the previous period's quantity
-    among this year's production (so 0 in the first period) and NULL for TimeType 2."""
+    among this year's production (so 0 in the first period) and NULL for TimeType 2.
+
+    Each stage is reduced once with both scopes' sums and joined once to sales x types; both
+    TimeType rows come out of one aggregate."""
     st = stages or build_stages(src, cfg)
-    periods, sales, types = st["periods"], st["sales"], st["types"]
-    base = left_on_true(sales, types)
-    tt1, tt2 = _scopes(periods, cfg)
-    outs = []
-    for time_type, scope in [(1, tt1), (2, tt2)]:
-        tg = _scope_sum(st["targets"], scope, PK + ["ProductCategory"], ["TargetFinalQty", "TargetSalesAmt", "ProfitTargetAmt"])
-        pr = _scope_sum(st["prod"], scope, PKP + ["ProductCategory"], ["FinalQty", "SalesAmt"])
-        pf = _scope_sum(st["profit"], scope, PKP + ["ProductCategory"], ["ProfitAmt"])
-        b = _join_keys(base, tg, [("TypeName", "ProductCategory"), ("SalesDepartment", "SalesDepartment"),
-                                  ("UserName", "UserName")])
-        b = _join_keys(b, pr, [("TypeName", "ProductCategory"), ("SalesDepartment", "SalesDepartment"),
-                               ("UserName", "UserName"), ("AccountingPaymentType", "AccountingPaymentType")])
-        b = _join_keys(b, pf, [("TypeName", "ProductCategory"), ("SalesDepartment", "SalesDepartment"),
-                               ("UserName", "UserName"), ("AccountingPaymentType", "AccountingPaymentType")])
-        if time_type == 1:
-            last = _scope_sum(st["prod"], scope, PKP + ["ProductCategory"], ["FinalQty"], shift=1) \
-                .withColumnRenamed("FinalQty", "LastFinalQty")
-            b = _join_keys(b, last, [("TypeName", "ProductCategory"), ("SalesDepartment", "SalesDepartment"),
-                                     ("UserName", "UserName"), ("AccountingPaymentType", "AccountingPaymentType")])
-            last_col = F.sum(_z("LastFinalQty"))
-            # TimeType 1 rows exist only when some period holds yesterday (the source's WHERE):
-            # an uncorrelated EXISTS, evaluated once
-            b = b.filter(tt1.exists())
-        else:
-            last_col = F.lit(None).cast("decimal(38,2)")
-        tq = F.when(F.col("AccountingPaymentType") != F.lit(cfg.payment_else), _zero()).otherwise(F.col("TargetFinalQty"))
-        outs.append(b.groupBy("RegionID", "SalesDepartment", "UserName", "TypeName", "SalesmanID",
-                              "AccountingPaymentType").agg(
-            F.lit(time_type).alias("TimeType"),
-            F.sum(_z(tq)).alias("TargetFinalQty"), F.sum(_z("FinalQty")).alias("FinalQty"),
-            F.sum(_z("TargetSalesAmt")).alias("TargetSalesAmt"), F.sum(_z("SalesAmt")).alias("SalesAmt"),
-            F.sum(_z("ProfitTargetAmt")).alias("ProfitTargetAmt"), F.sum(_z("ProfitAmt")).alias("ProfitAmt"),
-            last_col.cast("decimal(38,2)").alias("LastFinalQty")))
-    cols = ["RegionID", "SalesDepartment", "UserName", "TypeName", "TimeType", "TargetFinalQty", "FinalQty",
-            "TargetSalesAmt", "SalesAmt", "ProfitTargetAmt", "ProfitAmt", "SalesmanID", "AccountingPaymentType",
-            "LastFinalQty"]
-    return union_all(*[o.select(*cols) for o in outs])
+    ids, tt1 = _current_ids(st["periods"], cfg)
+    base = left_on_true(st["sales"], st["types"])
+    tg = _scoped(st["targets"], PK + ["ProductCategory"], ["TargetFinalQty", "TargetSalesAmt", "ProfitTargetAmt"], ids)
+    pr = _scoped(st["prod"], PKP + ["ProductCategory"], ["FinalQty", "SalesAmt"], ids, last=["FinalQty"])
+    pf = _scoped(st["profit"], PKP + ["ProductCategory"], ["ProfitAmt"], ids)
+    on3 = [("TypeName", "ProductCategory"), ("SalesDepartment", "SalesDepartment"), ("UserName", "UserName")]
+    on4 = on3 + [("AccountingPaymentType", "AccountingPaymentType")]
+    b = _join_keys(_join_keys(_join_keys(base, tg, on3), pr, on4), pf, on4)
+    not_adv = F.col("AccountingPaymentType") != F.lit(cfg.payment_else)
+    sums = []
+    for t in ("t1", "t2"):
+        tq = F.when(not_adv, _zero()).otherwise(F.col(f"{t}_TargetFinalQty"))
+        sums += [F.sum(_z(tq)).alias(f"{t}_TargetFinalQty")]
+        sums += [F.sum(_z(f"{t}_{m}")).alias(f"{t}_{m}")
+                 for m in ["FinalQty", "TargetSalesAmt", "SalesAmt", "ProfitTargetAmt", "ProfitAmt"]]
+    sums.append(F.sum(_z("l1_FinalQty")).alias("l1_FinalQty"))
+    group = ["RegionID", "SalesDepartment", "UserName", "TypeName", "SalesmanID", "AccountingPaymentType"]
+    g = b.groupBy(*group).agg(*sums)
+    ms = ["TargetFinalQty", "FinalQty", "TargetSalesAmt", "SalesAmt", "ProfitTargetAmt", "ProfitAmt"]
+    dec = "decimal(38,6)"
+    s1 = F.struct(F.lit(1).alias("TimeType"), *[F.col(f"t1_{m}").cast(dec).alias(m) for m in ms],
+                  F.col("l1_FinalQty").cast(dec).alias("LastFinalQty"))
+    s2 = F.struct(F.lit(2).alias("TimeType"), *[F.col(f"t2_{m}").cast(dec).alias(m) for m in ms],
+                  F.lit(None).cast(dec).alias("LastFinalQty"))
+    out = g.select(*group, F.explode(F.array(s1, s2)).alias("__r")).select(*group, "__r.*")
+    out = out.filter((F.col("TimeType") == 2) | tt1.exists())
+    return out.select("RegionID", "SalesDepartment", "UserName", "TypeName", "TimeType", *ms, "SalesmanID",
+                      "AccountingPaymentType", "LastFinalQty")
 
 
 def board_returns(src, cfg: KanbanConfig, stages: dict | None = None) -> DataFrame:
-    """Output 4 (``WorkbenchKanbanReturn``): target, plan and net return per time scope."""
+    """Output 4 (``WorkbenchKanbanReturn``): target, plan and net return per time scope, from one
+    aggregate per stage and one join each."""
     st = stages or build_stages(src, cfg)
-    periods, sales = st["periods"], st["sales"]
-    tt1, tt2 = _scopes(periods, cfg)
-    outs = []
-    for time_type, scope in [(1, tt1), (2, tt2)]:
-        b = sales
-        for stage, m in [(st["return_targets"], "TargetReturnAmt"), (st["return_plans"], "PlanReturnAmt"),
-                         (st["returns"], "ReturnAmt")]:
-            s = _scope_sum(stage, scope, PKP, [m])
-            b = _join_keys(b, s, [(k, k) for k in PKP])
-        if time_type == 1:
-            b = b.filter(tt1.exists())
-        outs.append(b.groupBy("RegionID", "SalesDepartment", "UserName", "SalesmanID", "AccountingPaymentType").agg(
-            F.lit(time_type).alias("TimeType"), F.sum(_z("TargetReturnAmt")).alias("TargetReturnAmt"),
-            F.sum(_z("PlanReturnAmt")).alias("PlanReturnAmt"), F.sum(_z("ReturnAmt")).alias("ReturnAmt")))
-    cols = ["RegionID", "SalesDepartment", "UserName", "TimeType", "TargetReturnAmt", "PlanReturnAmt", "ReturnAmt",
-            "SalesmanID", "AccountingPaymentType"]
-    return union_all(*[o.select(*cols) for o in outs])
+    ids, tt1 = _current_ids(st["periods"], cfg)
+    b = st["sales"]
+    ms = ["TargetReturnAmt", "PlanReturnAmt", "ReturnAmt"]
+    for stage, m in zip([st["return_targets"], st["return_plans"], st["returns"]], ms):
+        b = _join_keys(b, _scoped(stage, PKP, [m], ids), [(k, k) for k in PKP])
+    group = ["RegionID", "SalesDepartment", "UserName", "SalesmanID", "AccountingPaymentType"]
+    g = b.groupBy(*group).agg(*[F.sum(_z(f"{t}_{m}")).alias(f"{t}_{m}") for t in ("t1", "t2") for m in ms])
+    dec = "decimal(38,6)"
+    s1 = F.struct(F.lit(1).alias("TimeType"), *[F.col(f"t1_{m}").cast(dec).alias(m) for m in ms])
+    s2 = F.struct(F.lit(2).alias("TimeType"), *[F.col(f"t2_{m}").cast(dec).alias(m) for m in ms])
+    out = g.select(*group, F.explode(F.array(s1, s2)).alias("__r")).select(*group, "__r.*")
+    out = out.filter((F.col("TimeType") == 2) | tt1.exists())
+    return out.select("RegionID", "SalesDepartment", "UserName", "TimeType", *ms, "SalesmanID",
+                      "AccountingPaymentType")
 
 
 class _Stages(dict):
