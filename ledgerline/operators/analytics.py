@@ -49,7 +49,7 @@ def pattern_census(texts: DataFrame, text_col: str = "text", patterns: list | No
     out = one.selectExpr("__total", stack)
     return out.select("pattern", F.coalesce("n_docs", F.lit(0)).cast("bigint").alias("n_docs"),
                       F.coalesce("n_hits", F.lit(0)).cast("bigint").alias("n_hits"),
-                      (_dbl(F.coalesce("n_docs", F.lit(0))) / _dbl("__total")).alias("share"))
+                      F.try_divide(_dbl(F.coalesce("n_docs", F.lit(0))), _dbl("__total")).alias("share"))
 
 
 def rename_refs(texts: DataFrame, id_col: str, text_col: str, pattern: str, replacement: str) -> DataFrame:

@@ -28,4 +28,4 @@ def match_rate(df: DataFrame, key: str, other: DataFrame, other_key: str) -> Dat
     keys = other.select(F.col(other_key).alias("__m")).distinct()
     j = df.join(keys, F.col(key) == F.col("__m"), "left")
     return j.agg(F.count(F.lit(1)).alias("rows"), F.count("__m").alias("matched"),
-                 (F.count("__m") / F.count(F.lit(1))).alias("match_rate"))
+                 F.try_divide(F.count("__m").cast("double"), F.count(F.lit(1)).cast("double")).alias("match_rate"))

@@ -122,8 +122,7 @@ def prev_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     (J-11: equi join on id - 1; the first period and gaps get 0)."""
     from ledgerline.operators.joins import prev_period as prev
     src, cfg = _kanban(spark, sf_dir)
-    periods = kanban.query_periods(src, cfg)
-    prod = kanban.stage_production(src, cfg, periods, kanban.base_projects(src, cfg))
+    prod = kanban.build_stages(src, cfg)["prod"]  # persisted: read twice by the self join
     keys = ["SalesDepartment", "UserName", "ProductCategory", "AccountingPaymentType"]
     last = prod.select(*keys, "PeriodID", F.col("FinalQty").alias("LastFinalQty"))
     out = prev(prod, last, keys)

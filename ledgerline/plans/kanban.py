@@ -436,14 +436,20 @@ def board_returns(src, cfg: KanbanConfig, stages: dict | None = None) -> DataFra
 
 
 class _Stages(dict):
-    """Stages built on first use: a board analyses only the stage plans it reads."""
+    """Stages built on first use: a board analyses only the stage plans it reads. With ``persist``
+    every stage is kept at MEMORY_AND_DISK once built: a stage is a small aggregate (department x
+    user x period x category) read by both time scopes and the previous-period lookup, so the facts
+    under it are scanned and shuffled once instead of once per reader."""
 
-    def __init__(self, factories: dict):
+    def __init__(self, factories: dict, persist: bool = False):
         super().__init__()
         self._factories = factories
+        self._persist = persist
 
     def __missing__(self, key):
         value = self._factories[key]()
+        if self._persist and key not in ("types",):
+            value = value.persist(StorageLevel.MEMORY_AND_DISK)
         self[key] = value
         return value
 
@@ -464,7 +470,7 @@ def build_stages(src, cfg: KanbanConfig, persist: bool = True) -> dict:
         "return_targets": lambda: stage_return_targets(src, cfg, periods, proj),
         "return_plans": lambda: stage_return_plans(src, cfg, periods, proj),
         "returns": lambda: stage_returns(src, cfg, periods, proj),
-    })
+    }, persist=persist)
     st["periods"], st["proj"] = periods, proj
     return st
 
