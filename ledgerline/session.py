@@ -70,5 +70,9 @@ def spread(df, min_partitions: int | None = None):
     projections) would run on one core until the first shuffle. Large inputs already have far more
     splits than slots and are returned unchanged (no extra shuffle); filters and column pruning
     still reach the scan below the repartition."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without an RDD API (Spark Connect): leave the plan as it is
+        return df
+    return df.repartition(target) if splits < target else df
