@@ -34,6 +34,8 @@ class KanbanConfig:
     unit_tonne: str = fixed.UNIT_TONNE_SOURCE
     todo_open: int = fixed.TODO_OPEN
     follow_up_stopped: int = fixed.FOLLOW_UP_STOPPED
+    # name lookups compare like the source collation (case-insensitive, trailing blanks ignored)
+    ci_names: bool = True
 
     @property
     def yday(self) -> dt.date:
@@ -58,3 +60,4 @@ class LoadConfig:
     unit_tonne: str = fixed.UNIT_TONNE_SOURCE
     unit_m3: str = fixed.UNIT_M3_SOURCE
     remark_labels: tuple = fixed.REMARK_LABELS_SOURCE
+    ci_names: bool = True

@@ -14,7 +14,7 @@ from ledgerline.functions import fixed
 __all__ = [
     "col_of", "live_strict", "live_or_null", "category_group", "payment_group", "unit_qty",
     "blank_to_null", "positive_or", "not_blank", "flag_or_true", "typed_null", "isnull_keep_type",
-    "text_plus", "to_dec",
+    "text_plus", "to_dec", "name_key",
 ]
 
 
@@ -109,3 +109,9 @@ def text_plus(*parts) -> Column:
 
 def to_dec(c, precision: int = 18, scale: int = 2) -> Column:
     return col_of(c).cast(f"decimal({precision},{scale})")
+
+
+def name_key(c, ci: bool = True) -> Column:
+    """Join key for names under the source databases' collation (case-insensitive, trailing
+    blanks ignored by ``=``): ``lower(rtrim(x))``. The equality stays an equi join."""
+    return F.lower(F.rtrim(col_of(c))) if ci else col_of(c)

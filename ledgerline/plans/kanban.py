@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.config import KanbanConfig
-from ledgerline.functions.exprs import (category_group, flag_or_true, live_or_null, live_strict,
+from ledgerline.functions.exprs import (category_group, flag_or_true, live_or_null, live_strict, name_key,
                                         payment_group, unit_qty)
 from ledgerline.functions.timefilters import date_lit, in_month, in_year
 from ledgerline.operators.joins import attach_period, left_on_true, not_in_list, sum_by_either
@@ -119,15 +119,16 @@ def clues_wait_follow_up(src, cfg: KanbanConfig) -> DataFrame:
     return j.groupBy("Username", "SalesDepartment").agg(_cnt().alias("Qty"))
 
 
-def _attach_org(keys: DataFrame, src, dept_col: str) -> DataFrame:
-    """Left join live salesman by name, live department by name, and its group (region)."""
+def _attach_org(keys: DataFrame, src, dept_col: str, ci: bool = True) -> DataFrame:
+    """Left join live salesman by name, live department by name (names compared as the source
+    collation does), and the department's group (region)."""
     sm = src("salesman").filter(live_strict("IsDeleted")).select(F.col("ID").alias("SalesmanID"),
-                                                                 F.col("UserName").alias("__sname"))
-    sd = src("departments").filter(live_strict("isDeleted")).select(F.col("DepartmentName").alias("__dname"),
+                                                                 name_key("UserName", ci).alias("__sname"))
+    sd = src("departments").filter(live_strict("isDeleted")).select(name_key("DepartmentName", ci).alias("__dname"),
                                                                      F.col("GroupID").alias("__gid"))
     g = src("department_groups").select(F.col("ID").alias("__grp"), "RegionID")
-    return keys.join(sm, F.col("Username") == F.col("__sname"), "left") \
-        .join(sd, F.col(dept_col) == F.col("__dname"), "left") \
+    return keys.join(sm, name_key("Username", ci) == F.col("__sname"), "left") \
+        .join(sd, name_key(dept_col, ci) == F.col("__dname"), "left") \
         .join(g, F.col("__gid") == F.col("__grp"), "left")
 
 
@@ -142,7 +143,7 @@ def board_leads(src, cfg: KanbanConfig) -> DataFrame:
               (clues_wait_assign(src, cfg).withColumnRenamed("Qty", "ClueWaitAssignQty"), ["ClueWaitAssignQty"]),
               (clues_wait_follow_up(src, cfg).withColumnRenamed("Qty", "ClueWaitFollowUpQty"), ["ClueWaitFollowUpQty"])]
     keyed = keyed_measures(frames, ["SalesDepartment", "Username"])
-    out = _attach_org(keyed, src, "SalesDepartment")
+    out = _attach_org(keyed, src, "SalesDepartment", cfg.ci_names)
     return out.select("RegionID", "SalesDepartment", F.col("Username").alias("UserName"),
                       *[_zi(c).alias(c) for c in ["PCMWaitAssignQty", "PCMWaitFollowUpQty", "ClueWaitAssignQty",
                                                   "ClueWaitFollowUpQty"]], "SalesmanID")
@@ -200,7 +201,7 @@ def board_oppo(src, cfg: KanbanConfig) -> DataFrame:
     keys = ["DeptName", "Username", "ProductCategory"]
     keyed = keyed_measures([(rep, ["OppoReportedQty", "OppoEstimatedSupplyQty"]),
                             (won, ["MonthWinOppoQty", "MonthWinOppoSupplyQty"]), (eff, ["MonthEffectiveOppoQty"])], keys)
-    out = _attach_org(keyed, src, "DeptName")
+    out = _attach_org(keyed, src, "DeptName", cfg.ci_names)
     return out.select("RegionID", F.col("DeptName").alias("SalesDepartment"), F.col("Username").alias("UserName"),
                       F.col("ProductCategory").alias("TypeName"),
                       _zi("OppoReportedQty").alias("OppoReportedQty"),
@@ -218,12 +219,13 @@ def base_projects(src, cfg: KanbanConfig) -> DataFrame:
     calculation, contract company not excluded (NULL-aware NOT IN), category among the six."""
     p = src("projects").filter(live_strict("isDeleted") & F.col("ProductCategory").isin(list(cfg.six_categories)))
     sm = src("salesman").filter(live_strict("IsDeleted")).select(F.col("ID").alias("__sid"), "UserName")
-    sd = src("departments").select(F.col("DepartmentName").alias("__dname"), F.col("GroupID").alias("__gid"))
+    sd = src("departments").select(name_key("DepartmentName", cfg.ci_names).alias("__dname"),
+                                   F.col("GroupID").alias("__gid"))
     g = src("department_groups").select(F.col("ID").alias("__grp"), "RegionID")
     ms = src("manage_sets").select(F.col("ID").alias("__msid"), "IsParticipateInReturnCalc")
     co = src("companies").select(F.col("ID").alias("__coid"), "CompanyName")
     j = p.join(sm, F.col("SalesmanID") == F.col("__sid")) \
-        .join(sd, F.col("SalesDepartment") == F.col("__dname"), "left") \
+        .join(sd, name_key("SalesDepartment", cfg.ci_names) == F.col("__dname"), "left") \
         .join(g, F.col("__gid") == F.col("__grp"), "left") \
         .join(ms, F.col("ProjectRealManageSetID") == F.col("__msid"), "left") \
         .join(co, F.col("SignCompanyID_PartyA") == F.col("__coid"), "left") \

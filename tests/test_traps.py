@@ -171,3 +171,12 @@ def test_clock_split_on_first_of_month_and_year():
     cfg = KanbanConfig(as_of=dt.datetime(2001, 1, 1, 8))
     assert cfg.yday == dt.date(2000, 12, 31)      # boards and periods use last year
     assert cfg.as_of.month == 1                   # opportunities use the new month
+
+
+def test_name_key_follows_source_collation(spark):
+    from ledgerline.functions.exprs import name_key
+    a = spark.createDataFrame([("Alice ",), ("BOB",), ("carol",)], "n string")
+    b = spark.createDataFrame([("alice",), ("Bob",), ("Carol  x",)], "m string")
+    got = a.join(b, name_key("n") == name_key("m")).count()
+    assert got == 2
+    assert a.join(b, name_key("n", ci=False) == name_key("m", ci=False)).count() == 0
