@@ -599,3 +599,29 @@ class StandIns:
     def __call__(self, name: str) -> DataFrame:
         """Registry-style access: ``src("projects")``."""
         return getattr(self, name)()
+
+
+def _memoise(cls) -> None:
+    """Build each stand-in frame once per instance (no-argument public methods)."""
+    import functools
+    import inspect
+
+    for name, fn in list(vars(cls).items()):
+        if name.startswith("_") or not inspect.isfunction(fn) or name in ("raw", "category_group"):
+            continue
+        if len(inspect.signature(fn).parameters) != 1:
+            continue
+
+        def wrap(f):
+            @functools.wraps(f)
+            def inner(self):
+                memo = self.__dict__.setdefault("_memo", {})
+                if f.__name__ not in memo:
+                    memo[f.__name__] = f(self)
+                return memo[f.__name__]
+            return inner
+
+        setattr(cls, name, wrap(fn))
+
+
+_memoise(StandIns)
