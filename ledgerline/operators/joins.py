@@ -18,7 +18,7 @@ __all__ = [
 
 # Upper bound for sides we broadcast by hint. Larger sides keep the shuffle join and AQE may still
 # turn it into a broadcast from runtime sizes.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 500_000
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> list | None:

@@ -180,3 +180,18 @@ def test_name_key_follows_source_collation(spark):
     got = a.join(b, name_key("n") == name_key("m")).count()
     assert got == 2
     assert a.join(b, name_key("n", ci=False) == name_key("m", ci=False)).count() == 0
+
+
+def test_distinct_keys_groups_null_keys(spark):
+    from ledgerline.operators.sets import distinct_keys
+    a = spark.createDataFrame([(None, "u", 1), ("d", "u", 2)], "d string, u string, q int")
+    b = spark.createDataFrame([(None, "u", 5), ("d", "v", 1)], "d string, u string, q int")
+    assert distinct_keys(a, b, keys=["d", "u"]).count() == 3
+
+
+def test_keyed_measures_null_key_keeps_null_measures(spark):
+    from ledgerline.operators.sets import keyed_measures
+    a = spark.createDataFrame([(None, "u", 3), ("x", "u", 4)], "d string, u string, qa bigint")
+    b = spark.createDataFrame([("x", "u", 7), ("y", None, 1)], "d string, u string, qb bigint")
+    rows = {(r.d, r.u): (r.qa, r.qb) for r in keyed_measures([(a, ["qa"]), (b, ["qb"])], ["d", "u"]).collect()}
+    assert rows == {(None, "u"): (None, None), ("x", "u"): (4, 7), ("y", None): (None, None)}
