@@ -129,7 +129,7 @@ def sum_by_either(df: DataFrame, a: str, b: str, fact: DataFrame, key: str, meas
 
 def latest_effective(probes: DataFrame, maps: DataFrame, probe_keys: list[Column], map_keys: list[Column],
                      probe_ts: str, map_eff: str, map_id: str, map_value: str, out_col: str,
-                     bucket: str = "day") -> DataFrame:
+                     bucket: str = "hour") -> DataFrame:
     """Per probe: the value of the mapping with the greatest id among those with the same keys and
     ``eff <= ts`` (J-17; ``OUTER APPLY (SELECT TOP 1 ... ORDER BY id DESC)``). NULL if none.
 
@@ -137,7 +137,11 @@ def latest_effective(probes: DataFrame, maps: DataFrame, probe_keys: list[Column
     A probe or mapping with a NULL key matches nothing; every probe row is returned once.
 
     No pairs are formed and no group is gathered whole. Time is cut into buckets
-    (``date_trunc(bucket)``), so one hot key is spread over many window partitions:
+    (``date_trunc(bucket)``, an hour by default), so one hot key is spread over many window
+    partitions; the bucket-level window holds one row per bucket of the calendar span per key (about
+    88k hours for a decade):
+      0. mappings of one key at the same instant are reduced to their best (partial aggregation), so
+         a bulk load stamped with one time becomes one row;
       1. mappings are reduced to ``max(struct(id, value))`` per (keys, bucket) (partial aggregation);
       2. a running max over bucket-level rows gives, for each probe bucket, the best mapping of all
          earlier buckets (one row per key and bucket, bounded by the calendar span);
@@ -156,6 +160,7 @@ def latest_effective(probes: DataFrame, maps: DataFrame, probe_keys: list[Column
     m = m.filter(reduce(lambda x, y: x & y, [F.col(n).isNotNull() for n in kn]) & F.col("__t").isNotNull()
                  & F.col("__s.id").isNotNull())
     vtype = m.schema["__s"].dataType
+    m = m.groupBy(*kn, "__t").agg(F.max("__s").alias("__s"))
     p_ok = pk.filter(valid).withColumn("__b", F.date_trunc(bucket, F.col("__t")))
     p_bad = pk.filter(~F.coalesce(valid, F.lit(False)))
     m = m.withColumn("__b", F.date_trunc(bucket, F.col("__t")))

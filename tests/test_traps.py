@@ -195,3 +195,21 @@ def test_keyed_measures_null_key_keeps_null_measures(spark):
     b = spark.createDataFrame([("x", "u", 7), ("y", None, 1)], "d string, u string, qb bigint")
     rows = {(r.d, r.u): (r.qa, r.qb) for r in keyed_measures([(a, ["qa"]), (b, ["qb"])], ["d", "u"]).collect()}
     assert rows == {(None, "u"): (None, None), ("x", "u"): (4, 7), ("y", None): (None, None)}
+
+
+def test_latest_effective_bulk_instants_and_buckets_against_brute_force(spark):
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    instants = [base + dt.timedelta(minutes=rnd.randint(0, 60 * 24 * 3)) for _ in range(40)]
+    maps = [(i, "hot" if rnd.random() < 0.6 else "cold", rnd.choice(instants), rnd.randint(0, 9)) for i in range(500)]
+    probes = [(j, "hot" if rnd.random() < 0.6 else "cold", rnd.choice(instants)) for j in range(300)]
+    mdf = spark.createDataFrame(maps, "id int, k string, eff timestamp_ntz, v int")
+    pdf = spark.createDataFrame(probes, "pid int, k string, ts timestamp_ntz")
+    for bucket in ("hour", "day", "minute"):
+        out = latest_effective(pdf, mdf, [F.col("k")], [F.col("k")], "ts", "eff", "id", "v", "v", bucket=bucket)
+        got = {r.pid: r.v for r in out.collect()}
+        want = {}
+        for pid, k, ts in probes:
+            cand = [(i, v) for i, mk, eff, v in maps if mk == k and eff <= ts]
+            want[pid] = max(cand)[1] if cand else None
+        assert got == want, bucket
