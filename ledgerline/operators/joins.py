@@ -97,7 +97,9 @@ def not_in_list(df: DataFrame, value: Column, values: DataFrame, list_col: str =
     """``value NOT IN (SELECT col FROM values)`` with SQL's NULL rules (J-15).
 
     A NULL in the list removes every row; a NULL ``value`` is removed when the list is non-empty.
-    Spark plans this as a null-aware anti join (broadcast when the list is small).
+    Spark plans this as a null-aware anti join, which is a hash join only when the list is
+    broadcast: use it for bounded lists (parameter values). For a list that is an unbounded table,
+    decide the NULL cases explicitly and use a ``left_anti`` join instead.
     """
     name = "__nin_v"
     tmp = df.withColumn(name, value)
