@@ -110,3 +110,18 @@ def test_no_period_holds_yesterday_gives_no_time_type_1(spark):
     returns = kanban.board_returns(src, cfg)
     assert sales.count() > 0 and returns.count() > 0
     assert sales.filter("TimeType = 1").count() == 0 and returns.filter("TimeType = 1").count() == 0
+
+
+def test_daily_load_backfill_equals_single_days(spark):
+    from ledgerline.plans.daily_load import daily_load
+    src = StandIns.of(spark, SF)
+    cfg = dq.load_config()
+    run_ts = dt.datetime(2000, 6, 15, 1)
+    full = daily_load(src, cfg, None, run_ts, date_col="ReportDate").persist()
+    days = [r.ReportDate for r in full.select("ReportDate").distinct().orderBy("ReportDate").limit(3).collect()]
+    days.append(dt.date(1995, 1, 1))
+    for d in days:
+        one = daily_load(src, cfg, d, run_ts, date_col="ReportDate")
+        part = full.filter(F.col("ReportDate") == F.lit(d))
+        assert one.exceptAll(part).count() == 0 and part.exceptAll(one).count() == 0, d
+    full.unpersist()
