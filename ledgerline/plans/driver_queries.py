@@ -354,3 +354,13 @@ QUERIES.update({"log_census": log_census, "rename_refs": rename_refs, "cost_topk
                 "wait_share": wait_share, "candidate_rank": candidate_rank, "frag_class": frag_class,
                 "block_pairs": block_pairs, "size_rollup": size_rollup, "run_summary": run_summary,
                 "compare_runs": compare_runs, "recon": recon, "match_rate": match_rate})
+
+
+def label_match_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9 over the partial-match dimension: share of all documents that have a label row."""
+    from ledgerline.operators.recon import match_rate as run
+    src = StandIns.of(spark, sf_dir)
+    return run(src.raw("documents").select("doc_id"), "doc_id", src.raw("labels"), "doc_id")
+
+
+QUERIES["label_match_rate"] = label_match_rate
