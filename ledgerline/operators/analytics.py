@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions import fixed
 
 __all__ = ["pattern_census", "rename_refs", "statement_text", "cost_topk", "wait_share", "candidate_rank",
-           "frag_class", "block_pairs", "size_rollup", "run_summary", "compare_runs"]
+           "frag_class", "block_pairs", "size_rollup", "inventory_rollup", "run_summary", "compare_runs"]
 
 
 def _dbl(c) -> Column:
@@ -197,3 +197,18 @@ def compare_runs(before: DataFrame, after: DataFrame, key: str = "name") -> Data
                     ((b - a) / F.nullif(b, F.lit(0.0)) * 100.0).alias("saved_pct"),
                     (b / F.nullif(a, F.lit(0.0))).alias("speedup"),
                     (_dbl("rows_before") / _dbl(F.col("rows_before") + F.col("rows_after"))).alias("share_before"))
+
+
+def inventory_rollup(per_db: DataFrame) -> DataFrame:
+    """K7: the database inventory rolled up by group and by recovery mode: number of databases,
+    size in MB and share of the total, one row per (dimension, value). ``per_db`` is the output of
+    ``size_rollup`` (one row per database, so the global window is bounded by the databases)."""
+    parts = []
+    for dim, col in (("group", "group_name"), ("recovery_model", "recovery_model")):
+        parts.append(per_db.groupBy(F.col(col).alias("value")).agg(
+            F.count(F.lit(1)).alias("databases"), F.sum("size_mb").alias("size_mb"))
+            .withColumn("dimension", F.lit(dim)))
+    out = parts[0].unionByName(parts[1])
+    w = Window.partitionBy("dimension")
+    return out.select("dimension", "value", "databases", _dbl("size_mb").alias("size_mb"),
+                      (_dbl("size_mb") / _dbl(F.sum("size_mb").over(w))).alias("share"))

@@ -364,3 +364,13 @@ def label_match_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["label_match_rate"] = label_match_rate
+
+
+def inventory_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K7: sizes and database counts by group and by recovery mode, with shares."""
+    from ledgerline.operators.analytics import inventory_rollup as run
+    from ledgerline.operators.analytics import size_rollup
+    return run(size_rollup(StandIns.of(spark, sf_dir).db_files()))
+
+
+QUERIES["inventory_rollup"] = inventory_rollup
