@@ -437,33 +437,44 @@ def board_returns(src, cfg: KanbanConfig, stages: dict | None = None) -> DataFra
     return union_all(*[o.select(*cols) for o in outs])
 
 
+def _keep(df: DataFrame, store) -> DataFrame:
+    """Keep a re-read frame: ``"persist"`` (or True) caches it at MEMORY_AND_DISK, recomputed from
+    lineage if an executor is lost; ``"checkpoint"`` writes it to the shared folder named by
+    ``spark.checkpoint.dir`` and cuts the lineage; False/None keeps nothing."""
+    if store == "checkpoint":
+        from ledgerline.session import checkpoint_dir
+        checkpoint_dir(df.sparkSession)
+        return df.checkpoint(eager=True)
+    if store:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df
+
+
 class _Stages(dict):
-    """Stages built on first use: a board analyses only the stage plans it reads. With ``persist``
-    every stage is kept at MEMORY_AND_DISK once built: a stage is a small aggregate (department x
-    user x period x category) read by both time scopes and the previous-period lookup, so the facts
-    under it are scanned and shuffled once instead of once per reader."""
+    """Stages built on first use: a board analyses only the stage plans it reads. Each stage is a
+    small aggregate (department x user x period x category) read by both time scopes and the
+    previous-period lookup; keeping it (``_keep``) means the facts under it are scanned and shuffled
+    once instead of once per reader."""
 
-    def __init__(self, factories: dict, persist: bool = False):
+    def __init__(self, factories: dict, store=False):
         super().__init__()
         self._factories = factories
-        self._persist = persist
+        self._store = store
 
     def __missing__(self, key):
         value = self._factories[key]()
-        if self._persist and key not in ("types",):
-            value = value.persist(StorageLevel.MEMORY_AND_DISK)
+        if key not in ("types",):
+            value = _keep(value, self._store)
         self[key] = value
         return value
 
 
-def build_stages(src, cfg: KanbanConfig, persist: bool = True) -> dict:
-    """All 1c/1d stages, built lazily. ``persist=True`` keeps the re-read base sets (projects are
-    read by six stages) at MEMORY_AND_DISK; a lost executor recomputes them from lineage."""
-    periods = query_periods(src, cfg)
-    proj = base_projects(src, cfg)
-    if persist:
-        periods = periods.persist(StorageLevel.MEMORY_AND_DISK)
-        proj = proj.persist(StorageLevel.MEMORY_AND_DISK)
+def build_stages(src, cfg: KanbanConfig, persist=True) -> dict:
+    """All 1c/1d stages, built lazily. ``persist`` is how re-read frames are kept (see ``_keep``):
+    True / "persist" caches them, "checkpoint" writes them to the shared checkpoint folder.
+    Projects are read by six stages and the year's periods by all of them."""
+    periods = _keep(query_periods(src, cfg), persist)
+    proj = _keep(base_projects(src, cfg), persist)
     st = _Stages({
         "sales": lambda: base_sales(proj), "types": lambda: material_types(src, cfg),
         "targets": lambda: stage_targets(src, cfg, periods),
@@ -472,7 +483,7 @@ def build_stages(src, cfg: KanbanConfig, persist: bool = True) -> dict:
         "return_targets": lambda: stage_return_targets(src, cfg, periods, proj),
         "return_plans": lambda: stage_return_plans(src, cfg, periods, proj),
         "returns": lambda: stage_returns(src, cfg, periods, proj),
-    }, persist=persist)
+    }, store=persist)
     st["periods"], st["proj"] = periods, proj
     return st
 
@@ -483,9 +494,14 @@ def with_audit(df: DataFrame, run_ts) -> DataFrame:
     return df.select(ts_lit(run_ts).alias("FGC_CreateDate"), ts_lit(run_ts).alias("FGC_LastModifyDate"), "*")
 
 
-def run_kanban(src, cfg: KanbanConfig, persist: bool = True) -> dict[str, DataFrame]:
+def run_kanban(src, cfg: KanbanConfig, persist=None) -> dict[str, DataFrame]:
     """the procedure as one job; returns the four outputs with audit columns (write them
     together with ``sources.sinks.refresh_all``)."""
+    if persist is None:
+        # a cluster names a shared checkpoint folder: stages survive executor loss without
+        # rescanning their facts; without one (local runs, tests) they are cached
+        spark = src("periods").sparkSession
+        persist = "checkpoint" if spark.conf.get("spark.checkpoint.dir", None) else "persist"
     st = build_stages(src, cfg, persist=persist)
     outs = {
         "WorkbenchKanbanPCMAndClue": board_leads(src, cfg),

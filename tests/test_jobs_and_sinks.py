@@ -125,3 +125,13 @@ def test_daily_load_backfill_equals_single_days(spark):
         part = full.filter(F.col("ReportDate") == F.lit(d))
         assert one.exceptAll(part).count() == 0 and part.exceptAll(one).count() == 0, d
     full.unpersist()
+
+
+def test_run_kanban_with_checkpointed_stages_matches_cached(spark):
+    src, cfg = StandIns.of(spark, SF), dq.kanban_config()
+    cached = kanban.run_kanban(src, cfg, persist="persist")
+    ckpt = kanban.run_kanban(src, cfg, persist="checkpoint")
+    for name in cached:
+        a = cached[name].drop("FGC_CreateDate", "FGC_LastModifyDate")
+        b = ckpt[name].drop("FGC_CreateDate", "FGC_LastModifyDate")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
