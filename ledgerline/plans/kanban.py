@@ -50,7 +50,7 @@ def _zi(c) -> "F.Column":
 # Stage 0: this year's periods
 # ------------------------------------------------------------------------------------------------
 def query_periods(src, cfg: KanbanConfig) -> DataFrame:
-    """Strict-live periods whose name starts with yesterday's year (``KB`` stage 0)."""
+    """Stage 0: strict-live periods whose name starts with yesterday's year."""
     p = src("periods")
     year = F.expr("try_cast(left(PeriodName, 4) AS INT)")
     return p.filter(live_strict("isDeleted") & (year == F.lit(cfg.yday.year))).select("ID", "StartDate", "EndDate")
