@@ -6,15 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.llm import bpe_transducer, line_rules, secret_scan
 from ledgerline.llm.common import read
 from ledgerline.llm.ngram_join import jaccard_components
 
 
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.quality(read(spark, sf_dir, "documents"))
+
+
 def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents"))
 
 
+def op9_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe_transducer.tokens(read(spark, sf_dir, "documents"),
+                                 public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.find_secrets(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_line_rules": op7_line_rules,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op9_bpe_transducer": op9_bpe_transducer,
+    "op10_secret_scan": op10_secret_scan,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_line_rules": line_rules.ORACLE}
