@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe_transducer, line_rules, secret_scan
+from ledgerline.llm import bpe_transducer, line_rules, pfair_mix, secret_scan
 from ledgerline.llm.common import read
 from ledgerline.llm.ngram_join import jaccard_components
 
 
+def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pfair_mix.mix(read(spark, sf_dir, "documents"))
+
+
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality(read(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_pfair_mix": op4_pfair_mix,
     "op7_line_rules": op7_line_rules,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_bpe_transducer": op9_bpe_transducer,
