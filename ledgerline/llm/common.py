@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -13,7 +14,18 @@ from pyspark.sql import functions as F
 from ledgerline.session import checkpoint_dir
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the library from where the driver has it, whatever folder they
+    run in. On a cluster it is installed on the executors or sent with --py-files."""
+    env = spark.sparkContext.environment
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in have:
+        env["PYTHONPATH"] = os.pathsep.join([root, *have])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe_transducer, line_rules, pfair_mix, secret_scan
+from ledgerline.llm import bpe_transducer, line_rules, pfair_mix, secret_scan, vector_links
 from ledgerline.llm.common import read
 from ledgerline.llm.ngram_join import jaccard_components
 
 
+def op1_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_links.vector_links(read(spark, sf_dir, "embeddings"))
+
+
 def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mix.mix(read(spark, sf_dir, "documents"))
 
@@ -35,6 +39,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_vector_links": op1_vector_links,
     "op4_pfair_mix": op4_pfair_mix,
     "op7_line_rules": op7_line_rules,
     "op8_ngram_jaccard": op8_ngram_jaccard,
