@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe_transducer, line_rules, pfair_mix, secret_scan, vector_links
+from ledgerline.llm import bpe_transducer, line_rules, pfair_mix, secret_scan, token_store, vector_links
 from ledgerline.llm.common import read
 from ledgerline.llm.ngram_join import jaccard_components
 
@@ -15,6 +15,12 @@ def op1_vector_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_links.vector_links(read(spark, sf_dir, "embeddings"))
 
 
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_store.store(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mix.mix(read(spark, sf_dir, "documents"))
 
@@ -40,6 +46,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_links": op1_vector_links,
+    "op2_token_store": op2_token_store,
     "op4_pfair_mix": op4_pfair_mix,
     "op7_line_rules": op7_line_rules,
     "op8_ngram_jaccard": op8_ngram_jaccard,
