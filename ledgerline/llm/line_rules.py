@@ -81,7 +81,8 @@ def _repeated_words(words: Column) -> Column:
             (p + WINDOW).alias("end")), lambda acc: acc["n"])
 
     def count(w: Column) -> Column:
-        hashes = F.transform(starts(w), lambda x, i: F.xxhash64(F.slice(w, i + 1, WINDOW)))
+        hashes = _let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: F.transform(
+            starts(h), lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, WINDOW)])))
         distinct = _let(hashes, lambda h: F.size(F.array_distinct(h)) == F.size(h))
         return F.when(F.size(w) <= WINDOW, F.lit(0).cast("long")).when(distinct, F.lit(0).cast("long")).otherwise(
             marked(w))
@@ -93,15 +94,14 @@ def _without(text: Column, chars: str) -> Column:
     return F.translate(text, chars, "")
 
 
-def line_fails(line: Column, rules: Rules) -> Column:
-    """Does a line with at least one word fail a rule?"""
-    n = F.size(words_of(line))
+def line_fails(line: Column, n: Column, rules: Rules) -> Column:
+    """Does a line with n words, at least one, fail a rule?"""
     bare = _without(line, SPACE)
     separators = F.length(line) - F.length(_without(line, SEPARATORS))
-    return (F.when(~line.rlike(ENDS) & (n < rules.short_line), True)
-            .when((separators >= 2) & (separators * 5 >= n), True)
-            .when(line.rlike(BOILERPLATE) & (n < rules.boilerplate_line), True)
-            .when(F.length(F.regexp_replace(bare, r"[\p{L}\p{M}\p{N}]", "")) * 2 > F.length(bare), True)
+    return (F.when((n < rules.short_line) & ~line.rlike(ENDS), True)
+            .when((n < rules.boilerplate_line) & line.rlike(BOILERPLATE), True)
+            .when(_let(separators, lambda k: (k >= 2) & (k * 5 >= n)), True)
+            .when(F.length(F.regexp_replace(bare, r"[\p{L}\p{M}\p{N}]+", "")) * 2 > F.length(bare), True)
             .otherwise(False))
 
 
@@ -112,40 +112,42 @@ def with_rules(docs: DataFrame, rules: Rules = Rules()) -> tuple[DataFrame, str]
     n_failed_lines, lost_chars (long; characters of failing lines), clean_text (string: the text without
     failing lines). A null text counts as none: all counts 0, base_failed, clean_text null.
     """
-    t0, w0, l0, b0, out = fresh(docs, "rule_text", "rule_words", "rule_lines", "rule_base", "rules")
-    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    d = docs.withColumn(t0, text).withColumns({w0: words_of(F.col(t0)), l0: F.split(F.col(t0), "\n")})
-    t, w = F.col(t0), F.col(w0)
-    dup = _let(F.filter(F.col(l0), lambda x: x.rlike(WORD)), lambda a: F.size(a) - F.size(F.array_distinct(a)))
-    # one struct from one lambda per helper array: (words' counts, lines' verdicts)
-    base = F.struct(
-        F.size(w).cast("long").alias("n_words"),
-        F.length(_without(t, SPACE)).cast("long").alias("word_chars"),
+    t0, w0, l0, *counts, out = fresh(docs, "rule_text", "rule_words", "rule_lines", "rule_n", "rule_repeat", "rule_dup",
+                                     "rule_parts", "rules")
+    n0, r0, d0, p0 = map(F.col, counts)
+    t, w, lines = F.col(t0), F.col(w0), F.col(l0)
+
+    def tried(line: Column) -> Column:
+        return _let(F.size(words_of(line)), lambda n: F.struct(
+            line.alias("line"), (n > 0).alias("words"),
+            F.when(n > 0, line_fails(line, n, rules)).otherwise(False).alias("fails")))
+
+    def chars(which: str) -> Column:
+        return F.aggregate(lines, F.lit(0).cast("long"),
+                           lambda a, x: F.when(x[which], a + F.length(x["line"])).otherwise(a))
+
+    def repeats(a: Column) -> Column:
+        return F.size(a) - F.size(F.array_distinct(a))
+
+    d = docs.withColumn(t0, F.coalesce(docs["text"].cast("string"), F.lit("")))
+    d = d.withColumns({w0: words_of(t), l0: F.transform(F.split(t, "\n"), tried)})
+    # columns of their own, so that each is computed once
+    d = d.withColumns({
+        counts[0]: F.size(w).cast("long"), counts[1]: _repeated_words(w),
+        counts[2]: _let(F.transform(F.filter(lines, lambda x: x["words"]), lambda x: x["line"]), repeats).cast("long"),
+        counts[3]: F.struct(chars("fails").alias("lost"), chars("words").alias("all"))})
+    failed = (n0 < rules.min_words) | (100 * r0 > rules.max_repeated_percent * n0)
+    verdict = F.struct(
+        n0.alias("n_words"), F.length(_without(t, SPACE)).cast("long").alias("word_chars"),
         (F.length(t) - F.length(_without(t, SYMBOLS))).cast("long").alias("n_symbols"),
-        dup.cast("long").alias("n_dup_lines"), _repeated_words(w).alias("n_repeat_words"),
-        F.transform(F.col(l0), lambda x: F.struct(
-            x.alias("line"), x.rlike(WORD).alias("words"),
-            F.when(x.rlike(WORD), line_fails(x, rules)).otherwise(False).alias("fails"))).alias("lines"))
-    d = d.withColumn(b0, base).drop(w0, l0)
-    b = F.col(b0)
-
-    def chars(which: Callable[[Column], Column]) -> Column:
-        return F.aggregate(b["lines"], F.lit(0).cast("long"),
-                           lambda a, x: F.when(which(x), a + F.length(x["line"])).otherwise(a))
-
-    failed = ((b["n_words"] < rules.min_words)
-              | (100 * b["n_repeat_words"] > rules.max_repeated_percent * b["n_words"]))
-    parts = F.struct(chars(lambda x: x["fails"]).alias("lost"), chars(lambda x: x["words"]).alias("all"))
-    verdict = _let(parts, lambda p: F.struct(
-        b["n_words"], b["word_chars"], b["n_symbols"], b["n_dup_lines"], b["n_repeat_words"],
-        failed.alias("base_failed"),
-        (~failed & (100 * p["lost"] <= rules.max_lost_percent * p["all"])).alias("kept"),
-        F.size(b["lines"]).cast("long").alias("n_lines"),
-        F.size(F.filter(b["lines"], lambda x: x["fails"])).cast("long").alias("n_failed_lines"),
-        p["lost"].alias("lost_chars"),
+        d0.alias("n_dup_lines"), r0.alias("n_repeat_words"), failed.alias("base_failed"),
+        (~failed & (100 * p0["lost"] <= rules.max_lost_percent * p0["all"])).alias("kept"),
+        F.size(lines).cast("long").alias("n_lines"),
+        F.size(F.filter(lines, lambda x: x["fails"])).cast("long").alias("n_failed_lines"),
+        p0["lost"].alias("lost_chars"),
         F.when(docs["text"].isNotNull(), F.array_join(F.transform(
-            F.filter(b["lines"], lambda x: ~x["fails"]), lambda x: x["line"]), "\n")).alias("clean_text")))
-    return d.withColumn(out, verdict).drop(t0, b0), out
+            F.filter(lines, lambda x: ~x["fails"]), lambda x: x["line"]), "\n")).alias("clean_text"))
+    return d.withColumn(out, verdict).drop(t0, w0, l0, *counts), out
 
 
 FIELDS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
