@@ -14,9 +14,16 @@ from pyspark.sql import functions as F
 from ledgerline.session import checkpoint_dir
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the library from where the driver has it, whatever folder they
-    run in. On a cluster it is installed on the executors or sent with --py-files."""
+BATCH_BYTES = 8 << 20
+
+
+def prepare(spark: SparkSession) -> None:
+    """What the operators need of a session. Batches that go to Python workers are bounded in bytes (texts may be
+    long), unless the session sets a bound. Workers on this machine import the library from where the
+    driver has it, whatever folder they run in; on a cluster it is installed or sent with --py-files."""
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bound) == f"{64 << 20}b":  # Spark's own setting
+        spark.conf.set(bound, BATCH_BYTES)
     env = spark.sparkContext.environment
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     have = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
@@ -25,7 +32,7 @@ def importable(spark: SparkSession) -> None:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    importable(spark)
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -90,3 +97,51 @@ def slices_of(counts: np.ndarray, n_slices: int) -> Iterator[pa.RecordBatch]:
 def as_bytes(col: str) -> F.Column:
     """A text column's UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(col), F.lit("")).cast("binary")
+
+
+FILTER_BITS = 24  # a key filter has 2**24 bits
+FILTER_SLICES = 32
+
+
+def filter_places(keys: np.ndarray) -> np.ndarray:
+    """A key's bit (64-bit integer keys)."""
+    h = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return ((h ^ (h >> np.uint64(32))) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def key_filter(keys: DataFrame):
+    """A broadcast bit set of fixed size (2 MB) with the bits of one column of long keys.
+
+    It spares work for rows that can't match; false hits are left to a join. Tasks fill sets of their own, joined
+    by OR in a few tasks; the driver gets one set, however many keys there are."""
+
+    def rows(total: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        if total:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(total), pa.int32()), pa.array([a.tobytes() for a in total.values()], pa.binary())],
+                ["slice", "bits"])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << FILTER_BITS, bool)
+        for b in batches:
+            total[filter_places(b.column(0).drop_null().to_numpy(zero_copy_only=False))] = True
+        cut = np.split(np.packbits(total), FILTER_SLICES)
+        yield from rows({k: a for k, a in enumerate(cut) if a.any()})
+
+    def either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                a = np.frombuffer(v, np.uint8)
+                total[k] = total[k] | a if k in total else a
+        yield from rows(total)
+
+    kind = "slice int, bits binary"
+    got = {r[0]: r[1] for r in keys.mapInArrow(fill, kind).repartition(FILTER_SLICES, "slice").mapInArrow(either, kind).collect()}
+    empty = bytes((1 << FILTER_BITS) // 8 // FILTER_SLICES)
+    return keys.sparkSession.sparkContext.broadcast(b"".join(got.get(k, empty) for k in range(FILTER_SLICES)))
+
+
+def filter_bits(broadcast) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(broadcast.value, np.uint8)).view(bool)

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import bpe_transducer, line_rules, pfair_mix, secret_scan, token_store, vector_links
+from ledgerline.llm import (
+    bpe_transducer, chunk_repeats, lang_zstd, line_rules, pfair_mix, secret_scan, token_store, toxic_chain, vector_links)
 from ledgerline.llm.common import read
 from ledgerline.llm.ngram_join import jaccard_components
 
@@ -21,10 +22,22 @@ def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.store(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op3_chunk_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_repeats.repeated_passages(read(spark, sf_dir, "documents"))
+
+
 def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mix.mix(read(spark, sf_dir, "documents"))
 
 
+def op5_lang_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_zstd.languages(read(spark, sf_dir, "documents"))
+
+
+def op6_toxic_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxic_chain.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.quality(read(spark, sf_dir, "documents"))
 
@@ -47,7 +60,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_links": op1_vector_links,
     "op2_token_store": op2_token_store,
+    "op3_chunk_repeats": op3_chunk_repeats,
     "op4_pfair_mix": op4_pfair_mix,
+    "op5_lang_zstd": op5_lang_zstd,
+    "op6_toxic_chain": op6_toxic_chain,
     "op7_line_rules": op7_line_rules,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_bpe_transducer": op9_bpe_transducer,
