@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import bpe_transducer, line_rules, ngram_join, pfair_mix, secret_scan
-from ledgerline.llm.common import importable, materialise, read
+from ledgerline.llm.common import prepare, materialise, read
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -22,13 +22,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
-    importable(spark)
+    prepare(spark)
     return ngram_join.one_of_each(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Found secrets are replaced by a mark."""
-    importable(spark)
+    prepare(spark)
     return secret_scan.redacted(docs)
 
 
@@ -39,7 +39,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of the text decoded from them."""
-    importable(spark)
+    prepare(spark)
     return bpe_transducer.tokens(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ids=True)
 
 
