@@ -87,7 +87,7 @@ def main(argv: list[str] | None = None) -> int:
             s.add_argument("--limit", type=int, default=None)
         if name == "sync-copy":
             s.add_argument("--run-at", required=True)
-            s.add_argument("--lookback-minutes", type=int, default=20)
+            s.add_argument("--overlap-minutes", type=int, default=5)
     args = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -111,26 +111,22 @@ def main(argv: list[str] | None = None) -> int:
         from ledgerline.plans.reset import stale_reset
         names = ("wb_ins", "receiving_reports", "receiving_details")
         out = stale_reset(*[src(n) for n in names], args.tenant, dt.date.fromisoformat(args.report_date), args.months)
-        sinks.refresh(out, args.out, sinks.version_tag(run_ts))
+        sinks.refresh(spark, out, args.out, run_ts)
     elif args.job == "enrich":
         from ledgerline.plans.enrich import enrich_extract
         names = ("details", "reports", "projects", "foreign_view", "periods", "pricing_sets", "payment_types")
         out = enrich_extract(*[src(n) for n in names], dt.date.fromisoformat(args.start),
                              dt.date.fromisoformat(args.end), limit=args.limit)
-        sinks.refresh(out, args.out, sinks.version_tag(run_ts))
+        sinks.refresh(spark, out, args.out, run_ts)
     elif args.job == "sync-copy":
         from ledgerline.streaming.incremental import sync_increment
         keys = ["ProductionDetailId", "Material"]
-        prev = None
-        try:
-            prev = sinks.read_current(spark, os.path.dirname(args.out.rstrip("/")), os.path.basename(args.out.rstrip("/")))
-        except FileNotFoundError:
-            prev = None
+        # only a table without any version is new: with versions and no pointer read_current fails
+        prev = sinks.read_current(spark, *os.path.split(args.out.rstrip("/"))) if sinks.versions(spark, args.out) else None
         run_at = dt.datetime.fromisoformat(args.run_at)
         out = sync_increment(src("fact_source"), prev, keys, "ModifyTime", run_at,
-                             dt.timedelta(minutes=args.lookback_minutes))
-        root, name = os.path.dirname(args.out.rstrip("/")), os.path.basename(args.out.rstrip("/"))
-        sinks.refresh_all(spark, {name: out}, root, run_at)
+                             dt.timedelta(minutes=args.overlap_minutes))
+        sinks.refresh(spark, out, args.out, run_at, keep=3)
     return 0
 
 

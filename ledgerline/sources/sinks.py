@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,16 +25,34 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file through the Hadoop file system (works on HDFS/S3/local alike): write a
-    temporary file, then rename it over the target."""
+    """Write a small file through the Hadoop file system (works on HDFS/S3/local alike): a temporary file of a
+    name of its own, then one rename that replaces the target. The target is never missing in between."""
+    jvm = spark.sparkContext._jvm
     fs, p = _fs(spark, path)
-    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + ".tmp")
-    out = fs.create(tmp, True)
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp, False)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    how = spark.sparkContext._gateway.new_array(rename, 1)
+    how[0] = rename.OVERWRITE
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    files.rename(tmp, p, how)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a version that no reader resolves any more."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def versions(spark: SparkSession, target: str) -> list[str]:
+    """Version folders of a table, oldest first; also those of failed runs."""
+    fs, p = _fs(spark, target)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+    return sorted(n for n in names if n.startswith("v"))
 
 
 def _read_text(spark: SparkSession, path: str) -> str | None:
@@ -52,27 +71,35 @@ def _read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def version_tag(run_ts: dt.datetime) -> str:
-    return run_ts.strftime("v%Y%m%dT%H%M%S")
-
-
-def refresh(df: DataFrame, target: str, version: str) -> str:
-    """Full refresh of ``target`` (the source's DELETE + INSERT) as ``target/<version>``."""
-    path = os.path.join(target, version)
-    df.write.mode("overwrite").parquet(path)
-    return path
+    """A version name of this attempt alone: a run that is repeated never writes into an earlier one's folder."""
+    return f"{run_ts:v%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:12]}"
 
 
-def refresh_all(spark: SparkSession, outputs: dict[str, DataFrame], root: str, run_ts: dt.datetime) -> dict:
-    """Write all outputs of one run, then switch every pointer: the source refreshes its four
-    targets without a transaction; here no reader sees a mix of old and new versions of one table,
-    and a failure before the switch leaves the previous versions current."""
+def refresh_all(spark: SparkSession, outputs: dict[str, DataFrame], root: str, run_ts: dt.datetime,
+                keep: int | None = None) -> dict:
+    """Full refresh of the tables of one run (the source's DELETE + INSERT): all outputs are written as new
+    versions, then every pointer is switched. No reader sees a mix of old and new versions of one table, and a failure
+    before the switch, also of a repeated run, leaves the previous versions current and whole.
+    ``keep``: remove versions older than the last so many once the new ones are current."""
     version = version_tag(run_ts)
-    paths = {name: refresh(df, os.path.join(root, name), version) for name, df in outputs.items()}
+    paths = {name: os.path.join(root, name, version) for name in outputs}
+    for name, df in outputs.items():
+        df.write.mode("errorifexists").parquet(paths[name])
     for name in outputs:
         _write_text(spark, os.path.join(root, name, POINTER), json.dumps({"version": version}))
+    for name in outputs if keep else ():
+        for old in versions(spark, os.path.join(root, name))[:-keep]:
+            if old != version:
+                delete_path(spark, os.path.join(root, name, old))
     return paths
 
 
+def refresh(spark: SparkSession, df: DataFrame, target: str, run_ts: dt.datetime, keep: int | None = None) -> str:
+    """``refresh_all`` for one table."""
+    root, name = os.path.split(target.rstrip("/"))
+    return refresh_all(spark, {name: df}, root, run_ts, keep)[name]
+
+
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
     meta = _read_text(spark, os.path.join(root, name, POINTER))
     if meta is None:

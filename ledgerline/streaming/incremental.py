@@ -1,8 +1,9 @@
 """Incremental local copy of a remote table, as a batch function and a foreachBatch sink.
 
 The source job copies rows modified in the last 20 minutes every 15 minutes and appends them, so
-the overlap duplicates rows. Here each run merges the increment into the previous copy and keeps
-the newest row per key (the source's ``ROW_NUMBER() ... = 1``), written as a new version.
+the overlap duplicates rows, and a late run loses some. Here each run reads from the newest row that the copy holds,
+less an overlap, merges the increment into the previous copy and keeps the newest row per key (the
+source's ``ROW_NUMBER() ... = 1``), written as a new version.
 """
 
 from __future__ import annotations
@@ -28,33 +29,38 @@ def latest_per_key(df: DataFrame, keys: list[str], order_cols: list[str]) -> Dat
 
 
 def sync_increment(source: DataFrame, copy: DataFrame | None, keys: list[str], ts_col: str,
-                   run_at: dt.datetime, lookback: dt.timedelta) -> DataFrame:
-    """The copy after a run at ``run_at``: source rows modified in ``(run_at - lookback, run_at]``
-    merged into the previous copy, newest per key kept."""
-    inc = source.filter((F.col(ts_col) > ts_lit(run_at - lookback)) & (F.col(ts_col) <= ts_lit(run_at)))
-    merged = inc if copy is None else copy.select(*inc.columns).unionByName(inc)
-    return latest_per_key(merged, keys, [ts_col])
+                   run_at: dt.datetime, overlap: dt.timedelta) -> DataFrame:
+    """The copy after a run at ``run_at``: source rows modified up to then, from the copy's newest row less ``overlap``
+    (for rows that were committed late), merged into the previous copy, newest per key kept.
 
+    However late the run is, nothing between the last copied row and ``run_at`` is left out. Without a
+    copy (or with an empty one) all rows up to ``run_at`` are read."""
+    inc = source.filter(F.col(ts_col) <= ts_lit(run_at))
+    if copy is None:
+        return latest_per_key(inc, keys, [ts_col])
+    since = copy.agg(F.max(ts_col) - F.expr(f"INTERVAL {int(overlap.total_seconds())} SECOND")).scalar()
+    inc = inc.filter(since.isNull() | (F.col(ts_col) > since))
+    return latest_per_key(copy.select(*inc.columns).unionByName(inc), keys, [ts_col])
 
-def batch_merger(target_path: str, keys: list[str], ts_col: str, version_col: str = "__version"):
+
+def batch_merger(target_path: str, keys: list[str], ts_col: str, keep: int = 2):
     """A ``foreachBatch`` function: merge each micro-batch into the copy at ``target_path``.
 
     Every batch writes ``target_path/v=<epoch>`` from the previous version plus the batch, so a
     replayed epoch after a failure rewrites the same version (idempotent), and readers use the
-    highest complete version."""
-    import os
+    highest complete version. Epochs follow one another, so a later epoch whose previous version can't be read
+    fails instead of starting an empty copy. Versions older than the last ``keep`` are removed."""
+    from ledgerline.sources.sinks import delete_path
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        prev = None
+        rows = batch
         if epoch_id > 0:
-            try:
-                prev = spark.read.parquet(os.path.join(target_path, f"v={epoch_id - 1}"))
-            except Exception:  # first batch after a fresh start
-                prev = None
-        merged = latest_per_key(batch if prev is None else prev.unionByName(batch.select(*prev.columns)), keys,
-                                [ts_col])
-        merged.write.mode("overwrite").parquet(os.path.join(target_path, f"v={epoch_id}"))
+            prev = spark.read.parquet(f"{target_path}/v={epoch_id - 1}")
+            rows = prev.unionByName(batch.select(*prev.columns))
+        latest_per_key(rows, keys, [ts_col]).write.mode("overwrite").parquet(f"{target_path}/v={epoch_id}")
+        if epoch_id >= keep:
+            delete_path(spark, f"{target_path}/v={epoch_id - keep}")
 
     return merge
 

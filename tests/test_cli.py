@@ -22,6 +22,6 @@ def test_cli_jobs(spark):
     assert main(["enrich", "--standins", SF, "--start", "2000-06-01", "--end", "2000-06-30", "--limit", "5",
                  "--out", os.path.join(out, "extract")]) == 0
     for run_at in ("2024-01-20T00:00", "2024-01-20T00:15"):
-        assert main(["sync-copy", "--standins", SF, "--run-at", run_at, "--lookback-minutes", "20000",
+        assert main(["sync-copy", "--standins", SF, "--run-at", run_at, "--overlap-minutes", "20000",
                      "--out", os.path.join(out, "copy", "fact_copy")]) == 0
     assert sinks.read_current(spark, os.path.join(out, "copy"), "fact_copy").count() > 0
