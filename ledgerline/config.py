@@ -27,8 +27,7 @@ class KanbanConfig:
     won_status: int = fixed.WON_STATUS
     # vocabulary (defaults are the source system's fixed values)
     category_groups: dict = field(default_factory=lambda: dict(fixed.CATEGORY_GROUPS_SOURCE))
-    six_categories: tuple = tuple(fixed.CATEGORY_GROUPS_SOURCE["砼"][:3] + fixed.CATEGORY_GROUPS_SOURCE["砂浆"]
-                                  + fixed.CATEGORY_GROUPS_SOURCE["砼"][3:])
+    six_categories: tuple = tuple(fixed.SIX_CATEGORIES_SOURCE)
     payment_keep: tuple = tuple(fixed.PAYMENT_KEEP_SOURCE)
     payment_else: str = fixed.PAYMENT_ELSE_SOURCE
     unit_tonne: str = fixed.UNIT_TONNE_SOURCE

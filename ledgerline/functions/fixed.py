@@ -23,6 +23,7 @@ CATEGORY_GROUPS_SOURCE = {
     "砼": ["普混", "陶粒", "透水", "泡沫混凝土"],
     "砂浆": ["砂浆", "干混砂浆"],
 }
+SIX_CATEGORIES_SOURCE = ["普混", "陶粒", "透水", "砂浆", "干混砂浆", "泡沫混凝土"]
 PAYMENT_KEEP_SOURCE = ["现金", "站点抵款"]
 PAYMENT_ELSE_SOURCE = "垫资"
 UNIT_TONNE_SOURCE = "吨"

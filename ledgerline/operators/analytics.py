@@ -52,12 +52,15 @@ def pattern_census(texts: DataFrame, text_col: str = "text", patterns: list | No
                       F.try_divide(_dbl(F.coalesce("n_docs", F.lit(0))), _dbl("__total")).alias("share"))
 
 
-def rename_refs(texts: DataFrame, id_col: str, text_col: str, pattern: str, replacement: str) -> DataFrame:
-    """Rewrite references in whole texts and count the replacements per text."""
+def rename_refs(texts: DataFrame, id_col: str, text_col: str, names: list[tuple[str, str]]) -> DataFrame:
+    """Corrected whole texts, by a name map of (pattern, new name) applied in order, and the number of
+    replacements per text."""
     t = F.col(text_col)
-    new = F.regexp_replace(t, pattern, replacement)
-    return texts.select(id_col, F.regexp_count(t, F.lit(pattern)).alias("n_replaced"),
-                        F.octet_length(new).alias("new_bytes"), F.md5(new).alias("new_md5"))
+    n = F.lit(0)
+    for pattern, new_name in names:
+        n = n + F.regexp_count(t, F.lit(pattern))
+        t = F.regexp_replace(t, pattern, new_name)
+    return texts.select(id_col, n.alias("n_replaced"), t.alias("new_text"))
 
 
 def statement_text(text: Column, start_offset: Column, end_offset: Column) -> Column:
@@ -76,7 +79,8 @@ def cost_topk(stats: DataFrame, k: int = 20) -> DataFrame:
     out = stats.select(
         "statement_id", "query_text", "execution_count",
         (_dbl("total_worker_time") / 1000000.0).alias("total_cpu_sec"),
-        (_dbl("total_worker_time") / _dbl("execution_count") / 1000.0).alias("avg_cpu_ms"),
+        # whole microseconds a call first: the source divides integers
+        (_dbl(F.expr("total_worker_time DIV nullif(execution_count, 0)")) / 1000.0).alias("avg_cpu_ms"),
         (_dbl("total_elapsed_time") / 1000000.0).alias("total_elapsed_sec"),
         "total_logical_reads", "total_physical_reads", "creation_time", "last_execution_time",
         F.col("total_worker_time").alias("__order"))
@@ -84,16 +88,16 @@ def cost_topk(stats: DataFrame, k: int = 20) -> DataFrame:
 
 
 def wait_share(waits: DataFrame, exclude: list | None = None) -> DataFrame:
-    """K3: wait statistics without benign waits: seconds, resource wait = total - signal, average
-    per task with a zero guard, share of all kept wait time; positive waits only, largest first."""
+    """K3: wait statistics without benign waits: seconds, resource wait = total - signal, whole
+    milliseconds per task with a zero guard, share of all kept wait time; positive waits only, largest first."""
     exclude = exclude if exclude is not None else fixed.BENIGN_WAITS
     w = waits.filter(~F.col("wait_type").isin(list(exclude)) & (F.col("wait_time_ms") > 0))
-    total = F.sum("wait_time_ms").over(Window.partitionBy())
+    total = w.agg(F.sum("wait_time_ms")).scalar()  # one row, aggregated in every task first
     out = w.select(
         "wait_type", (_dbl("wait_time_ms") / 1000.0).alias("wait_time_sec"),
         (_dbl(F.col("wait_time_ms") - F.col("signal_wait_time_ms")) / 1000.0).alias("resource_wait_sec"),
         (_dbl("signal_wait_time_ms") / 1000.0).alias("signal_wait_sec"), "waiting_tasks_count",
-        (_dbl("wait_time_ms") / _dbl(F.nullif(F.col("waiting_tasks_count"), F.lit(0)))).alias("avg_wait_ms"),
+        F.expr("wait_time_ms DIV nullif(waiting_tasks_count, 0)").alias("avg_wait_ms"),
         (_dbl("wait_time_ms") / _dbl(total)).alias("share"), F.col("wait_time_ms").alias("__o"))
     return out.orderBy(F.col("__o").desc(), "wait_type").drop("__o")
 
@@ -105,7 +109,7 @@ def candidate_rank(groups: DataFrame, stats: DataFrame, details: DataFrame,
     threshold = threshold if threshold is not None else fixed.INDEX_ADVANTAGE_MIN
     j = groups.join(stats, groups["index_group_handle"] == stats["group_handle"]) \
         .join(details, groups["index_handle"] == details["index_handle"])
-    adv = (F.col("user_seeks").cast("decimal(10,0)") * F.col("avg_total_user_cost")
+    adv = (F.col("user_seeks").cast("decimal(19,0)") * F.col("avg_total_user_cost")
            * (F.col("avg_user_impact") * F.expr("0.01"))).cast("decimal(18,2)")
     stmt = F.col("statement")
     name = F.regexp_replace(F.regexp_replace(F.regexp_replace(stmt, r"\[", ""), r"\]", ""), r"\.", "_")
@@ -151,13 +155,13 @@ def block_pairs(requests: DataFrame, waits: DataFrame) -> DataFrame:
 
 
 def size_rollup(files: DataFrame, top: int = 5) -> DataFrame:
-    """Size per database in MB (``CAST(SUM(size) * 8.0 / 1024 AS DECIMAL(10,2))``),
+    """Size per database in MB (``CAST(SUM(size) * 8.0 / 1024 AS DECIMAL(10,2))``, here 20 digits),
     its group, share of the total, rank, size bucket, and top-N-or-other label.
 
     ``files``: database, group_name, recovery_model, size (8 KB pages). The window runs over one row
     per database."""
     per_db = files.groupBy("database", "group_name", "recovery_model").agg(
-        (F.sum("size") * F.expr("8.0") / F.lit(1024)).cast("decimal(10,2)").alias("size_mb"),
+        (F.sum("size") * F.expr("8.0") / F.lit(1024)).cast("decimal(20,2)").alias("size_mb"),
         F.count(F.lit(1)).alias("files"))
     w = Window.partitionBy()
     gb = _dbl("size_mb") / 1024.0
@@ -187,11 +191,12 @@ def run_summary(runs: DataFrame, threshold_sec: float = 1.0) -> DataFrame:
 
 def compare_runs(before: DataFrame, after: DataFrame, key: str = "name") -> DataFrame:
     """Per name, mean time before and after, time saved, percent saved and speed-up (zero
-    guards), and the share of rows in each run. ``before``/``after``: name, duration."""
+    guards), and the share of rows in each run. A name that only one run has keeps its row, with 0 rows and no
+    times for the other run. ``before``/``after``: name, duration."""
     def agg(df, tag):
         return df.groupBy(key).agg(F.count(F.lit(1)).alias(f"rows_{tag}"),
                                    (_dbl(F.sum("duration")) / F.count(F.lit(1))).alias(f"mean_{tag}"))
-    j = agg(before, "before").join(agg(after, "after"), key)
+    j = agg(before, "before").join(agg(after, "after"), key, "full").fillna(0, ["rows_before", "rows_after"])
     b, a = F.col("mean_before"), F.col("mean_after")
     return j.select(key, "rows_before", "rows_after", "mean_before", "mean_after", (b - a).alias("saved_sec"),
                     ((b - a) / F.nullif(b, F.lit(0.0)) * 100.0).alias("saved_pct"),

@@ -1,7 +1,7 @@
 """Joins whose SQL semantics need care on Spark.
 
 Every operator here is an equi join, a semi/anti join, an aggregate or a window; none emits all
-pairs of a group, and a side is broadcast only after its row count was checked against a bound.
+pairs of a group. Calendars and parameter lists, which don't grow with the data, are the only broadcast sides.
 """
 
 from __future__ import annotations
@@ -12,46 +12,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 __all__ = [
-    "BROADCAST_MAX_ROWS", "bounded_broadcast", "bounded_rows", "left_on_true", "period_days",
+    "left_on_true", "period_days",
     "attach_period", "prev_period", "not_in_list", "sum_by_either", "latest_effective",
 ]
 
-# Upper bound for sides we broadcast by hint. Larger sides keep the shuffle join and AQE may still
-# turn it into a broadcast from runtime sizes.
-BROADCAST_MAX_ROWS = 500_000
 
+def left_on_true(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``left LEFT JOIN right ON 1 = 1`` (J-08) for a dictionary-like ``right``.
 
-def bounded_rows(df: DataFrame, max_rows: int) -> list | None:
-    """Rows of ``df`` when there are at most ``max_rows`` of them, else ``None``.
-
-    Reads at most ``max_rows + 1`` rows, so the check itself is bounded.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    return rows if len(rows) <= max_rows else None
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only for a side proven to hold at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
-def left_on_true(left: DataFrame, right: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """``left LEFT JOIN right ON 1 = 1`` (J-08) for a small, bounded ``right``.
-
-    The right rows are inlined as an array literal and exploded with ``explode_outer``: every left
-    row is kept once with NULLs when ``right`` is empty, and duplicates in ``right`` keep their
-    multiplicity. No join and no shuffle; refuses an unbounded right side.
+    The right rows become one array, a scalar subquery that runs with the job, and every left row explodes it with
+    ``explode_outer``: a left row stays once with NULLs when ``right`` is empty, and duplicates in ``right`` keep
+    their multiplicity. Nothing runs while the frame is built, and no row count changes the plan.
     """
-    rows = bounded_rows(right, max_rows)
-    if rows is None:
-        raise ValueError(f"left_on_true: right side exceeds {max_rows} rows")
-    fields = right.schema.fields
-    structs = [F.struct(*[F.lit(r[f.name]).cast(f.dataType).alias(f.name) for f in fields]) for r in rows]
-    elem = "struct<" + ",".join(f"`{f.name}`:{f.dataType.simpleString()}" for f in fields) + ">"
-    arr = F.array(*structs) if structs else F.array().cast(f"array<{elem}>")
-    out = left.withColumn("__r", F.explode_outer(arr))
-    return out.select(*[F.col(c) for c in left.columns], *[F.col("__r")[f.name].alias(f.name) for f in fields])
+    rows = right.agg(F.collect_list(F.struct(*[F.col(c) for c in right.columns]))).scalar()
+    out = left.withColumn("__r", F.explode_outer(rows))
+    return out.select(*[F.col(c) for c in left.columns], *[F.col("__r")[c].alias(c) for c in right.columns])
 
 
 def period_days(periods: DataFrame, id_col: str = "ID", start: str = "StartDate", end: str = "EndDate",
@@ -66,19 +41,16 @@ def period_days(periods: DataFrame, id_col: str = "ID", start: str = "StartDate"
 
 def attach_period(df: DataFrame, date_col: str, periods: DataFrame, how: str = "inner",
                   id_col: str = "ID", start: str = "StartDate", end: str = "EndDate",
-                  out_col: str = "PeriodID", keep: tuple = (), calendar: bool = True) -> DataFrame:
+                  out_col: str = "PeriodID", keep: tuple = ()) -> DataFrame:
     """``df JOIN periods ON df.date BETWEEN start AND end`` (J-10) as an equi join on the day.
 
     Periods are exploded to days, so the join is a hash join on a date instead of a nested loop;
-    overlapping periods keep BETWEEN's multiplicity. ``calendar=True`` declares ``periods`` a
-    calendar (non-overlapping periods): the day table then has at most one row per day of the
-    calendar span (a few thousand rows for decades), independent of the facts, and is broadcast
-    without a sizing job. ``calendar=False`` checks the row count first.
+    overlapping periods keep BETWEEN's multiplicity. ``periods`` is a calendar: its day table has a row per day and
+    period (a few thousand for decades), whatever the facts hold, and is broadcast.
     """
     days = period_days(periods.select(id_col, start, end, *keep), id_col, start, end)
     days = days.select(F.col("__pid").alias(out_col), "__day", *keep)
-    days = F.broadcast(days) if calendar else bounded_broadcast(days)
-    return df.join(days, F.col(date_col).cast("date") == F.col("__day"), how).drop("__day")
+    return df.join(F.broadcast(days), F.col(date_col).cast("date") == F.col("__day"), how).drop("__day")
 
 
 def prev_period(left: DataFrame, right: DataFrame, keys: list[str], period_col: str = "PeriodID",
@@ -101,13 +73,10 @@ def not_in_list(df: DataFrame, value: Column, values: DataFrame, list_col: str =
     broadcast: use it for bounded lists (parameter values). For a list that is an unbounded table,
     decide the NULL cases explicitly and use a ``left_anti`` join instead.
     """
-    name = "__nin_v"
-    tmp = df.withColumn(name, value)
-    tmp.createOrReplaceTempView("__nin_left")
-    values.select(F.col(list_col).alias("__nin_c")).createOrReplaceTempView("__nin_list")
-    spark = df.sparkSession
-    out = spark.sql(f"SELECT * FROM __nin_left WHERE {name} NOT IN (SELECT __nin_c FROM __nin_list)")
-    return out.drop(name)
+    v, c = "__nin_v", "__nin_c"
+    left, right = df.withColumn(v, value), values.select(F.col(list_col).alias(c))
+    # null-aware: a row goes if it equals a list value or the comparison is unknown
+    return left.join(F.broadcast(right), (F.col(v) == F.col(c)) | (F.col(v) == F.col(c)).isNull(), "left_anti").drop(v)
 
 
 def sum_by_either(df: DataFrame, a: str, b: str, fact: DataFrame, key: str, measure: Column,

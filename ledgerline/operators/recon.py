@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 
 def reconcile(a: DataFrame, b: DataFrame) -> DataFrame:
     """K8: row counts of both versions, whether they are equal, and the multiset differences both
-    ways (``exceptAll``), so equal counts with different rows are caught too. One output row, from
-    one global aggregate over the four tagged inputs (no join)."""
+    ways, so equal counts with different rows are caught too. One output row.
+
+    Both versions are tagged and grouped once by all columns; every figure follows from each group's two counts."""
     cols = a.columns
-    b = b.select(*cols)
-    parts = [(a, "rows_a"), (b, "rows_b"), (a.exceptAll(b), "only_a"), (b.exceptAll(a), "only_b")]
-    tagged = None
-    for df, tag in parts:
-        t = df.select(F.lit(tag).alias("__tag"))
-        tagged = t if tagged is None else tagged.unionByName(t)
-    out = tagged.agg(*[F.sum(F.when(F.col("__tag") == tag, 1).otherwise(0)).cast("bigint").alias(tag)
-                       for _, tag in parts])
+    n_a, n_b = (F.sum(F.when(F.col("__side") == s, 1).otherwise(0)).alias(n) for s, n in ((0, "__a"), (1, "__b")))
+    both = a.withColumn("__side", F.lit(0)).unionByName(b.select(*cols).withColumn("__side", F.lit(1)))
+    g = both.groupBy(*cols).agg(n_a, n_b)
+    more = F.col("__a") - F.col("__b")
+    figures = {"rows_a": F.col("__a"), "rows_b": F.col("__b"), "only_a": F.greatest(more, F.lit(0)),
+               "only_b": F.greatest(-more, F.lit(0))}
+    out = g.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("bigint").alias(n) for n, c in figures.items()])
     return out.withColumn("counts_equal", F.col("rows_a") == F.col("rows_b"))
 
 

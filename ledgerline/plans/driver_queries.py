@@ -110,7 +110,7 @@ def param_not_in(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ledgerline.operators.joins import not_in_list
     from ledgerline.operators.params import split_param
     src = StandIns.of(spark, sf_dir)
-    p = src.projects().join(F.broadcast(src.companies().withColumnRenamed("ID", "__co")),
+    p = src.projects().join(src.companies().withColumnRenamed("ID", "__co"),
                             F.col("SignCompanyID_PartyA") == F.col("__co"), "left")
     p = not_in_list(p, F.coalesce(F.col("CompanyName"), F.lit("")),
                     split_param(src.parameters(), "NotCalcReturnCompanies"))
@@ -223,6 +223,14 @@ def enrich_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
                src.payment_types(), dt.date(2000, 6, 1), dt.date(2000, 6, 30))
 
 
+def enrich_top1000(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 over June 2000, the first 1,000 rows by detail id."""
+    from ledgerline.plans.enrich import enrich_extract as run
+    src = StandIns.of(spark, sf_dir)
+    return run(src.details(), src.reports(), src.projects(), src.foreign_view(), src.periods(), src.pricing_sets(),
+               src.payment_types(), dt.date(2000, 6, 1), dt.date(2000, 6, 30), limit=1000)
+
+
 def stale_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New version of the whole weighing table (S9, J-14, P15)."""
     from ledgerline.plans.reset import stale_reset as run
@@ -234,14 +242,14 @@ COPY_T0 = dt.datetime(2024, 1, 20, 0, 0, 0)
 
 
 def incremental_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S10 + W1: the copy as of T0 (newest per key) merged with the next run's 20-minute look-back
-    window 15 minutes later; the overlap does not duplicate rows."""
+    """S10 + W1: the copy as of T0 (newest per key) merged with the next run 15 minutes later, which reads from the
+    copy's newest row less 5 minutes; the overlap does not duplicate rows."""
     from ledgerline.functions.timefilters import ts_lit
     from ledgerline.streaming.incremental import latest_per_key, sync_increment
     src = StandIns.of(spark, sf_dir).fact_source()
     keys = ["ProductionDetailId", "Material"]
     copy0 = latest_per_key(src.filter(F.col("ModifyTime") < ts_lit(COPY_T0)), keys, ["ModifyTime"])
-    out = sync_increment(src, copy0, keys, "ModifyTime", COPY_T0 + dt.timedelta(minutes=15), dt.timedelta(minutes=20))
+    out = sync_increment(src, copy0, keys, "ModifyTime", COPY_T0 + dt.timedelta(minutes=15), dt.timedelta(minutes=5))
     return out.select(*keys, F.col("FactAmt").cast("double").alias("FactAmt"), "ModifyTime")
 
 
@@ -253,7 +261,7 @@ def summary_table(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "RowCount")
 
 
-QUERIES.update({"asof_mapping": asof_mapping, "enrich_extract": enrich_extract, "stale_reset": stale_reset,
+QUERIES.update({"asof_mapping": asof_mapping, "enrich_extract": enrich_extract, "enrich_top1000": enrich_top1000, "stale_reset": stale_reset,
                 "incremental_copy": incremental_copy, "summary_table": summary_table})
 
 
@@ -263,13 +271,13 @@ def log_census(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pattern_census(StandIns.of(spark, sf_dir).raw("documents"), "text")
 
 
-RENAME_PATTERN = r"\[?\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(,\d+)?\]?"
+RENAME_MAP = [(r"\[?\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(,\d+)?\]?", "LOCAL_COPY"), (r"\bthe\b", "THE_TABLE")]
 
 
 def rename_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Remote server references in whole texts rewritten to the local copy's name."""
+    """Remote server references in whole texts rewritten to the local copy's name, and a common name."""
     from ledgerline.operators.analytics import rename_refs as run
-    return run(StandIns.of(spark, sf_dir).raw("documents"), "doc_id", "text", RENAME_PATTERN, "LOCAL_COPY")
+    return run(StandIns.of(spark, sf_dir).raw("documents"), "doc_id", "text", RENAME_MAP)
 
 
 def cost_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -338,7 +346,7 @@ def recon(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["ProductionDetailId", "Material"]
     copy0 = latest_per_key(src.filter(F.col("ModifyTime") < ts_lit(COPY_T0)), keys, ["ModifyTime"])
     t1 = COPY_T0 + dt.timedelta(minutes=15)
-    a = sync_increment(src, copy0, keys, "ModifyTime", t1, dt.timedelta(minutes=20))
+    a = sync_increment(src, copy0, keys, "ModifyTime", t1, dt.timedelta(minutes=5))
     b = latest_per_key(src.filter(F.col("ModifyTime") <= ts_lit(t1 + dt.timedelta(hours=1))), keys, ["ModifyTime"])
     return reconcile(a, b)
 

@@ -20,7 +20,8 @@ def enrich_extract(details: DataFrame, reports: DataFrame, projects: DataFrame,
 
     The report join is a left join turned inner by the WHERE on the report (J-19). Periods and the
     pricing set add no columns but multiply rows (J-20); ``strict_compat=False`` leaves them out.
-    ``limit`` keeps the first rows by detail id (the source's TOP without ORDER BY is undefined)."""
+    ``limit`` keeps the first rows by detail id, then by the other columns (the source's TOP without
+    ORDER BY is undefined)."""
     d = details.filter(F.col("ProjectID").isNotNull() & not_blank("StrengthGrade"))
     r = reports.filter(live_or_null("isDeleted") & F.col("ReportDate").between(date_lit(start), date_lit(end))) \
         .select(F.col("ID").alias("__rid"), "StationID", "ReportDate")
@@ -35,9 +36,9 @@ def enrich_extract(details: DataFrame, reports: DataFrame, projects: DataFrame,
         x = x.join(ps, F.col("__br") == F.col("ProjectID"), "left")
     pt = F.broadcast(payment_types.select(F.col("PaymentType").alias("__pt"), F.col("Type").alias("ProjectType")))
     x = x.join(pt, F.col("AccountingPaymentType") == F.col("__pt"), "left")
-    out = x.select(F.col("OriginalID").alias("ID"), "ProjectType",
+    out = x.select("ID", "ProjectType",
                    F.coalesce(F.col("AccountingPaymentType"), F.lit("")).alias("AccountingPaymentType"),
                    "StationID", "ProjectID", "AgentID", "ReportDate", "PlanId", "IsLubricatePumpMortar")
     if limit is not None:
-        out = out.orderBy("ID").limit(limit)
+        out = out.orderBy("ID", *[c for c in out.columns if c != "ID"]).limit(limit)
     return out

@@ -10,7 +10,7 @@ Plan shape. The source builds temp tables and joins them with ``ON 1 = 1`` to ev
 type; here each fact is first reduced by (project, period) with partial aggregation, then joined
 to the one-row-per-project attributes and reduced again, and the boards join per-scope sums. No
 cross product of facts is formed; the only row multiplication left is by the bounded list of
-material types (an inlined array, see ``left_on_true``).
+material types (see ``left_on_true``).
 """
 
 from __future__ import annotations
@@ -400,7 +400,7 @@ def board_sales(src, cfg: KanbanConfig, stages: dict | None = None) -> DataFrame
             # an uncorrelated EXISTS, evaluated once
             b = b.filter(tt1.exists())
         else:
-            last_col = F.lit(None).cast("decimal(38,2)")
+            last_col = F.lit(None).cast("decimal(38,6)")
         tq = F.when(F.col("AccountingPaymentType") != F.lit(cfg.payment_else), _zero()).otherwise(F.col("TargetFinalQty"))
         outs.append(b.groupBy("RegionID", "SalesDepartment", "UserName", "TypeName", "SalesmanID",
                               "AccountingPaymentType").agg(
@@ -408,7 +408,7 @@ def board_sales(src, cfg: KanbanConfig, stages: dict | None = None) -> DataFrame
             F.sum(_z(tq)).alias("TargetFinalQty"), F.sum(_z("FinalQty")).alias("FinalQty"),
             F.sum(_z("TargetSalesAmt")).alias("TargetSalesAmt"), F.sum(_z("SalesAmt")).alias("SalesAmt"),
             F.sum(_z("ProfitTargetAmt")).alias("ProfitTargetAmt"), F.sum(_z("ProfitAmt")).alias("ProfitAmt"),
-            last_col.cast("decimal(38,2)").alias("LastFinalQty")))
+            last_col.cast("decimal(38,6)").alias("LastFinalQty")))
     cols = ["RegionID", "SalesDepartment", "UserName", "TypeName", "TimeType", "TargetFinalQty", "FinalQty",
             "TargetSalesAmt", "SalesAmt", "ProfitTargetAmt", "ProfitAmt", "SalesmanID", "AccountingPaymentType",
             "LastFinalQty"]

@@ -44,35 +44,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    On a cluster the setting must point at shared storage; only when it is unset (local tests)
-    a private scratch folder is created and registered.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    Only a local session (one machine, as in tests) that names none gets a folder of its own; elsewhere
+    executors would not see a machine-local folder, so a missing setting is an error."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), name)
-
-
-def spread(df, min_partitions: int | None = None):
-    """Spread a scan over the cluster when it yields fewer splits than there are task slots.
-
-    A file written as one row group is read by one task, so per-row work (regexes over texts, wide
-    projections) would run on one core until the first shuffle. Large inputs already have far more
-    splits than slots and are returned unchanged (no extra shuffle); filters and column pruning
-    still reach the scan below the repartition."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without an RDD API (Spark Connect): leave the plan as it is
-        return df
-    return df.repartition(target) if splits < target else df

@@ -70,8 +70,6 @@ def period_id(ts) -> "F.Column":
 
 
 _INSTANCES: dict = {}
-# fact and text tables whose per-row work is worth spreading when a file has few splits
-SPREAD = {"documents"}
 
 
 class StandIns:
@@ -87,9 +85,6 @@ class StandIns:
             if name in DRIVER:
                 r = r.schema(DRIVER[name])
             df = r.parquet(f"{self.sf_dir}/{name}.parquet")
-            if name in SPREAD:
-                from ledgerline.session import spread
-                df = spread(df)
             self._cache[name] = df
         return self._cache[name]
 
@@ -184,6 +179,7 @@ class StandIns:
     def details(self) -> DataFrame:
         lo = self._line_order()
         return lo.select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("ID"),
             F.col("l_orderkey").alias("DailyReportID"),
             F.when((F.col("o_orderpriority") == "5-LOW") & (F.col("l_linenumber") == 1), F.lit(None))
             .otherwise(F.col("o_custkey")).alias("ProjectID"),
@@ -379,8 +375,7 @@ class StandIns:
         ]
         cols += [F.lit(None).cast("string").alias(c) for c in self.MT_NULL_STRING]
         cols += [F.lit(None).cast(t).alias(c) for c, t in self.MT_NULL_OTHER.items()]
-        from ledgerline.session import spread
-        return spread(lo.select(*cols))
+        return lo.select(*cols)
 
     def stations(self) -> DataFrame:
         return self.raw("supplier").select(
@@ -516,14 +511,17 @@ class StandIns:
         e = self._events_kk(["click", "purchase", "error", "signup", "view"])
         v = F.col("value").cast("decimal(18,2)")
         g = e.groupBy(F.col("user_id").alias("statement_id")).agg(
-            F.count(F.lit(1)).alias("execution_count"), F.sum(v * 1000).alias("total_worker_time"),
-            F.sum(v * 1500).alias("total_elapsed_time"), F.sum("k").alias("total_logical_reads"),
+            F.count(F.lit(1)).alias("execution_count"), F.sum(v * 1000).cast("bigint").alias("total_worker_time"),
+            F.sum(v * 1500).cast("bigint").alias("total_elapsed_time"), F.sum("k").alias("total_logical_reads"),
             F.sum(F.when(F.col("event_type") == "error", 1).otherwise(0)).cast("bigint").alias("total_physical_reads"),
             F.min("ts").alias("creation_time"), F.max("ts").alias("last_execution_time"))
         d = self.raw("documents").select(F.col("doc_id"), F.col("text"))
         j = g.join(d, F.col("statement_id") == F.col("doc_id"))
-        end = F.when(F.col("execution_count") > 60, F.lit(200)).otherwise(F.lit(-1))
-        return j.select("statement_id", statement_text(F.col("text"), F.lit(0), end).alias("query_text"),
+        # a batch's statement begins at an offset of its own; long-running ones also end inside the batch
+        start = (F.col("statement_id") % 7 * 6).cast("int")
+        end = F.when(F.col("execution_count") > 60, start + 200 + (F.col("statement_id") % 5 * 2).cast("int")) \
+            .otherwise(F.lit(-1))
+        return j.select("statement_id", statement_text(F.col("text"), start, end).alias("query_text"),
                         "execution_count", "total_worker_time", "total_elapsed_time", "total_logical_reads",
                         "total_physical_reads", "creation_time", "last_execution_time")
 
@@ -533,8 +531,8 @@ class StandIns:
         wt = F.when(et == "view", F.lit("SLEEP_TASK")).when(et == "signup", F.lit("WAITFOR")) \
             .otherwise(F.concat(F.upper(et), F.lit("_"), F.col("user_id").cast("string")))
         v = F.col("value").cast("decimal(18,2)")
-        return e.groupBy(wt.alias("wait_type")).agg(F.sum(v * 100).alias("wait_time_ms"),
-                                                    F.sum(v * 10).alias("signal_wait_time_ms"),
+        return e.groupBy(wt.alias("wait_type")).agg(F.sum(v * 100).cast("bigint").alias("wait_time_ms"),
+                                                    F.sum(v * 10).cast("bigint").alias("signal_wait_time_ms"),
                                                     F.count(F.lit(1)).alias("waiting_tasks_count"))
 
     def _part_line_stats(self) -> DataFrame:
@@ -590,7 +588,8 @@ class StandIns:
         return self.raw("events").select(F.col("event_id").alias("run_id"),
                                          F.when(F.col("value") > 400, "FAILED").otherwise("OK").alias("status"),
                                          F.col("value").cast("decimal(18,2)").alias("duration"),
-                                         F.col("event_type").alias("name"), F.col("ts"))
+                                         F.concat_ws("_", "event_type", F.col("user_id").cast("string")).alias("name"),
+                                         F.col("ts"))
 
     # ---- helpers used by several jobs ---------------------------------------------------------
     def category_group(self, c):

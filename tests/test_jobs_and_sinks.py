@@ -135,3 +135,92 @@ def test_run_kanban_with_checkpointed_stages_matches_cached(spark):
         a = cached[name].drop("FGC_CreateDate", "FGC_LastModifyDate")
         b = ckpt[name].drop("FGC_CreateDate", "FGC_LastModifyDate")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, name
+
+
+KEYS = ["k"]
+
+
+def _at(minute):
+    return dt.datetime(2024, 1, 1) + dt.timedelta(minutes=minute)
+
+
+def test_a_late_run_loses_no_rows(spark):
+    from ledgerline.streaming.incremental import sync_increment
+    rows = [(1, _at(10)), (2, _at(25)), (3, _at(50)), (1, _at(55))]
+    src = spark.createDataFrame(rows, "k int, ts timestamp_ntz")
+    copy = sync_increment(src, None, KEYS, "ts", _at(15), dt.timedelta(minutes=5))
+    assert [r.k for r in copy.collect()] == [1]
+    late = sync_increment(src, copy, KEYS, "ts", _at(60), dt.timedelta(minutes=5))
+    assert sorted((r.k, r.ts) for r in late.collect()) == [(1, _at(55)), (2, _at(25)), (3, _at(50))]
+    empty = sync_increment(src, copy.limit(0), KEYS, "ts", _at(60), dt.timedelta(minutes=5))
+    assert empty.count() == 3
+
+
+def test_a_missing_version_fails_and_old_ones_go(spark):
+    target = scratch()
+    merge = batch_merger(target, KEYS, "ts")
+    batches = [spark.createDataFrame([(k, _at(k))], "k int, ts timestamp_ntz") for k in range(4)]
+    for epoch, b in enumerate(batches[:3]):
+        merge(b, epoch)
+    merge(batches[2], 2)  # a replayed epoch
+    assert spark.read.parquet(f"{target}/v=2").count() == 3
+    assert sorted(d for d in os.listdir(target) if d.startswith("v=")) == ["v=1", "v=2"]
+    with pytest.raises(Exception):
+        merge(batches[3], 5)
+    assert not os.path.exists(f"{target}/v=5")
+
+
+def test_a_failed_repeated_run_leaves_the_current_version(spark):
+    root, ts = scratch(), dt.datetime(2024, 1, 1)
+    good = spark.range(3).withColumnRenamed("id", "v")
+    bad = good.select(F.when(F.col("v") > 1, F.raise_error(F.lit("no")).cast("long")).otherwise(F.col("v")).alias("v"))
+    sinks.refresh_all(spark, {"t": good}, root, ts)
+    with pytest.raises(Exception):
+        sinks.refresh_all(spark, {"t": bad}, root, ts)
+    assert sinks.read_current(spark, root, "t").count() == 3
+    sinks.refresh_all(spark, {"t": good.limit(2)}, root, ts, keep=1)
+    assert sinks.read_current(spark, root, "t").count() == 2
+    assert len(sinks.versions(spark, os.path.join(root, "t"))) == 1
+
+
+def test_a_lost_pointer_is_no_first_run(spark):
+    root = scratch()
+    sinks.refresh(spark, spark.range(3), os.path.join(root, "t"), dt.datetime(2024, 1, 1))
+    assert sinks.read_current(spark, root, "t").count() == 3
+    os.remove(os.path.join(root, "t", sinks.POINTER))
+    assert sinks.versions(spark, os.path.join(root, "t"))
+    with pytest.raises(FileNotFoundError):
+        sinks.read_current(spark, root, "t")
+
+
+def test_a_cluster_must_name_its_checkpoint_folder():
+    from types import SimpleNamespace
+
+    from ledgerline.session import checkpoint_dir
+    sc = SimpleNamespace(master="local-cluster[2,1,1024]", getCheckpointDir=lambda: None)
+    with pytest.raises(ValueError):
+        checkpoint_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: None), sparkContext=sc))
+
+
+def test_reconcile_counts_multisets(spark):
+    from ledgerline.operators.recon import reconcile
+    a = spark.createDataFrame([(1, None), (1, None), (2, "x"), (3, "y")], "k int, v string")
+    b = spark.createDataFrame([(1, None), (2, "z"), (3, "y"), (3, "y")], "k int, v string")
+    assert tuple(reconcile(a, b).first()) == (4, 4, 2, 2, True)
+    assert tuple(reconcile(a.limit(0), b.limit(0)).first()) == (0, 0, 0, 0, True)
+
+
+def test_without_the_corpus_operators_everything_else_imports():
+    import shutil
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    to = scratch()
+    for name in ("__spark_entry__.py", "ledgerline"):
+        src = os.path.join(root, name)
+        if os.path.isdir(src):
+            shutil.copytree(src, os.path.join(to, name), ignore=shutil.ignore_patterns("llm", "__pycache__"))
+        else:
+            shutil.copy(src, to)
+    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) >= 36 and not any(n.startswith('op') and n[2].isdigit() for n in q); assert set(e.oracle_sql()) <= set(q)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=to, env={**os.environ, "PYTHONPATH": to}).returncode == 0

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from harness import compare, duck
+from ledgerline.plans.driver_queries import QUERIES
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ORACLE = E.oracle_sql()
@@ -16,9 +17,9 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = E.queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     assert name in ORACLE, f"{name} has no oracle"
     r = compare(df, ORACLE[name], con)
     assert r["ok"], r

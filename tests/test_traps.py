@@ -67,6 +67,8 @@ def test_left_on_true_keeps_rows_when_right_empty(spark):
     assert sorted((r.a, r.t) for r in out) == [(1, None), (2, None)]
     dup = spark.createDataFrame([("x",), ("x",)], "t string")
     assert left_on_true(left, dup).count() == 4
+    many = spark.range(10_001).withColumnRenamed("id", dup.columns[0])
+    assert left_on_true(left, many).count() == left.count() * 10_001
 
 
 def test_not_in_with_null_in_list(spark):
