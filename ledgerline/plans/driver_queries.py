@@ -170,21 +170,19 @@ def load_config():
                       remark_labels=("log:", ";remark:", ";ticket:"))
 
 
-LOAD_COLUMNS = [
-    "DailyReportID", "Type", "OriginalID", "OriginalProjectID", "OriginalPlanID", "ProjectName", "Customer",
-    "SalesDepartment", "Salesman", "PaymentType", "ProductCategory", "Unit", "StrengthGrade", "ReceiptDate",
-    "ProductionTime", "PlanType", "ApplicationUser", "ProductionCoefficient", "ProductionQty_M3", "ProductionQty_T",
-    "ReceiptQty", "SignedQty_M3", "SignedQty_T", "FinalQty_M3", "FinalQty_T", "TSFInQty", "TSFOutQty",
-    "ActualSupplyQty_M3", "ActualSupplyQty_T", "Distance", "ProductionRemarks", "LogisticsFinalQty_M3", "ProjectID",
-    "Grade1", "Feature", "SignedQtyDiffReasonType", "ShipmentCount", "ScaleDiff", "LossQty", "ProductionPlanNumber",
-]
+LOAD_RUN = dt.datetime(2000, 6, 15, 1, 0, 0)
 
 
 def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J2 over every business day at once."""
+    """J2 over every business day at once, all 73 columns."""
     from ledgerline.plans import daily_load as dl
-    out = dl.daily_load(StandIns.of(spark, sf_dir), load_config(), None, dt.datetime(2000, 6, 15, 1, 0, 0))
-    return out.select(*LOAD_COLUMNS)
+    return dl.daily_load(StandIns.of(spark, sf_dir), load_config(), None, LOAD_RUN)
+
+
+def daily_load_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J2 for one report date, 1995-06-17, as the source runs it (P13, P14): all 73 columns."""
+    from ledgerline.plans import daily_load as dl
+    return dl.daily_load(StandIns.of(spark, sf_dir), load_config(), dt.date(1995, 6, 17), LOAD_RUN)
 
 
 def financial_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +197,7 @@ def financial_day(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"), (F.sum("Net").cast("double") / 1000.0).alias("tonnes"))
 
 
-QUERIES.update({"daily_load": daily_load, "financial_day": financial_day})
+QUERIES.update({"daily_load": daily_load, "daily_load_day": daily_load_day, "financial_day": financial_day})
 
 
 def asof_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -325,13 +325,12 @@ class StandIns:
                          F.lit(0).alias("isDeleted"))
 
     # ---- daily load (J2) ------------------------------------------------------------------------
-    # production-system columns the load reads besides the ones derived below (all NULL here)
-    MT_NULL_STRING = ["CompanyName", "DischargeType", "TerminalNo", "VehicleNo", "VehicleNum", "DriverName", "Type",
-                      "Creator", "ReceiptSigned", "Overtime", "Remark", "Slump", "VehiclePlate", "Grade1",
-                      "IsProvidePump", "Region", "TechnologyRequest", "PrintOperatorID", "PrintOperator",
-                      "OtherPumpType", "Code", "EgcbOrderCreator", "EgcbOrderCreatorPhone", "EGCBOrderID"]
-    MT_NULL_OTHER = {"Date": "timestamp_ntz", "ProductionTime": "timestamp_ntz", "PrintTime": "timestamp_ntz",
-                     "AcumltQuantity": "decimal(18,2)", "Meters": "decimal(18,2)"}
+    # production-system columns the load reads besides the ones derived below: the k-th is NULL on every fourth
+    # line, else two letters of its name and a small number
+    MT_TEXT = ["CompanyName", "DischargeType", "TerminalNo", "VehicleNo", "VehicleNum", "DriverName", "Type",
+               "Creator", "ReceiptSigned", "Overtime", "Remark", "Slump", "VehiclePlate", "Grade1",
+               "IsProvidePump", "Region", "TechnologyRequest", "PrintOperatorID", "PrintOperator",
+               "OtherPumpType", "Code", "EgcbOrderCreator", "EgcbOrderCreatorPhone", "EGCBOrderID"]
 
     def _row_id(self):
         return F.concat_ws("-", *[F.col(c).cast("string") for c in ["l_orderkey", "l_linenumber", "l_partkey",
@@ -373,8 +372,13 @@ class StandIns:
             F.concat(F.lit("C"), ln.cast("string")).alias("Grade"),
             F.lit(None).cast("string").alias("Position"), F.col("o_custkey").alias("SourceId1"),
         ]
-        cols += [F.lit(None).cast("string").alias(c) for c in self.MT_NULL_STRING]
-        cols += [F.lit(None).cast(t).alias(c) for c, t in self.MT_NULL_OTHER.items()]
+        cols += [F.when(ln % 4 != k % 4, F.concat(F.lit(c[:2]), ((F.col("l_suppkey") + k) % 9).cast("string"))).alias(c)
+                 for k, c in enumerate(self.MT_TEXT)]
+        at = self._site_time()
+        cols += [(at - F.expr("INTERVAL 1 DAY")).alias("Date"), (at + F.expr("INTERVAL 1 HOUR")).alias("ProductionTime"),
+                 F.when(ln != 5, at + F.expr("INTERVAL 2 HOUR")).alias("PrintTime"),
+                 F.expr("CAST(l_quantity AS DECIMAL(18,2)) * 2").alias("AcumltQuantity"),
+                 F.when(ln != 5, F.expr("CAST(l_tax * 100 AS DECIMAL(18,2))")).alias("Meters")]
         return lo.select(*cols)
 
     def stations(self) -> DataFrame:
@@ -424,8 +428,9 @@ class StandIns:
             F.col("p_partkey").alias("id"), F.col("p_partkey").alias("PlanId"), F.col("p_type").alias("Type"),
             F.col("p_brand").alias("Creator"),
             F.when(F.col("p_size") > 40, F.lit(None)).otherwise(F.col("p_type")).alias("ConcreteCategory"),
-            F.lit(None).cast("string").alias("EgcbOrderCreator"), F.lit(None).cast("string").alias("EgcbOrderCreatorPhone"),
-            F.lit(None).cast("string").alias("EGCBOrderID"))
+            F.when(F.col("p_size") > 10, F.col("p_brand")).alias("EgcbOrderCreator"),
+            F.concat(F.lit("+"), F.col("p_size").cast("string")).alias("EgcbOrderCreatorPhone"),
+            F.when(F.col("p_size") < 30, F.col("p_partkey").cast("string")).alias("EGCBOrderID"))
 
     def plans(self) -> DataFrame:
         return self.raw("part").select(F.col("p_partkey").alias("id"),
