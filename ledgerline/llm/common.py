@@ -61,7 +61,7 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 
 def sum_slices(parts: DataFrame, n_slices: int) -> np.ndarray:
-    """Add up per-task counter arrays, cut into ``n_slices`` rows (slice int, counts binary of int64).
+    """Add up per-task counter arrays, cut into ``n_slices`` rows (slice int, counts binary of int32).
 
     The sum runs in tasks, a few slices in each; the driver gets one array of the fixed size.
     """
@@ -70,8 +70,7 @@ def sum_slices(parts: DataFrame, n_slices: int) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                a = np.frombuffer(v, np.int64)
-                total[k] = total[k] + a if k in total else a
+                total[k] = total.get(k, 0) + np.frombuffer(v, np.int32).astype(np.int64)
         if total:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(total), pa.int32()), pa.array([a.tobytes() for a in total.values()], pa.binary())],
@@ -87,7 +86,7 @@ def sum_slices(parts: DataFrame, n_slices: int) -> np.ndarray:
 
 def slices_of(counts: np.ndarray, n_slices: int) -> Iterator[pa.RecordBatch]:
     """What ``sum_slices`` adds up: this task's counters, without slices that are all zero."""
-    rows = [(k, a.astype(np.int64).tobytes()) for k, a in enumerate(np.split(counts, n_slices)) if a.any()]
+    rows = [(k, a.astype(np.int32).tobytes()) for k, a in enumerate(np.split(counts, n_slices)) if a.any()]
     if rows:
         yield pa.RecordBatch.from_arrays(
             [pa.array([k for k, _ in rows], pa.int32()), pa.array([a for _, a in rows], pa.binary())],
@@ -103,15 +102,15 @@ FILTER_BITS = 24  # a key filter has 2**24 bits
 FILTER_SLICES = 32
 
 
-def filter_places(keys: np.ndarray) -> np.ndarray:
+def filter_places(keys: np.ndarray, bits: int = FILTER_BITS) -> np.ndarray:
     """A key's bit (64-bit integer keys)."""
     h = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return ((h ^ (h >> np.uint64(32))) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+    return ((h ^ (h >> np.uint64(32))) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def key_filter(keys: DataFrame):
-    """A broadcast bit set of fixed size (2 MB) with the bits of one column of long keys.
+def key_filter(keys: DataFrame, bits: int = FILTER_BITS):
+    """A broadcast bit set of fixed size (2**bits bits) with the bits of one column of long keys.
 
     It spares work for rows that can't match; false hits are left to a join. Tasks fill sets of their own, joined
     by OR in a few tasks; the driver gets one set, however many keys there are."""
@@ -123,9 +122,9 @@ def key_filter(keys: DataFrame):
                 ["slice", "bits"])
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << FILTER_BITS, bool)
+        total = np.zeros(1 << bits, bool)
         for b in batches:
-            total[filter_places(b.column(0).drop_null().to_numpy(zero_copy_only=False))] = True
+            total[filter_places(b.column(0).drop_null().to_numpy(zero_copy_only=False), bits)] = True
         cut = np.split(np.packbits(total), FILTER_SLICES)
         yield from rows({k: a for k, a in enumerate(cut) if a.any()})
 
@@ -139,7 +138,7 @@ def key_filter(keys: DataFrame):
 
     kind = "slice int, bits binary"
     got = {r[0]: r[1] for r in keys.mapInArrow(fill, kind).repartition(FILTER_SLICES, "slice").mapInArrow(either, kind).collect()}
-    empty = bytes((1 << FILTER_BITS) // 8 // FILTER_SLICES)
+    empty = bytes((1 << bits) // 8 // FILTER_SLICES)
     return keys.sparkSession.sparkContext.broadcast(b"".join(got.get(k, empty) for k in range(FILTER_SLICES)))
 
 

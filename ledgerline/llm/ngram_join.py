@@ -10,14 +10,17 @@ Documents link when 100 * |A and B| >= threshold * |A or B|.
 2. Prefix: of a set of n shingles the first n - ceil(threshold * n) + 1 in that order are indexed. Two
    sets that link share one of these. A task indexes a set once; later copies in the same task
    link to the first, so a large group of copies shrinks before the shuffle.
-3. Pivot pairs: in each bucket of a shared prefix shingle every document meets the bucket's smallest id.
-   Pairs pass the length filter and the positional filter (matches so far plus what is left of either set),
-   are made distinct, pass the suffix filter (sizes of both sets in 16 fixed hash ranges bound the overlap)
-   and are verified on whole sets, once.
-4. Cross pairs: buckets that now hold several components (most hold one) pair up documents of
-   different components, by the same filters. A pair inside one component can't change the result.
-
-Sets are compared by 64-bit shingle hashes. Nothing but the counter table (2**20 longs) and a bit set of
+3. In each bucket of a shared prefix shingle the number of documents is exact. A document's shared shingles are
+   ranked by it; a shingle's slack is the number of shared shingles from there to the most frequent one. A pair needs
+   to meet only where its slack can make up the needed overlap (``_near``), besides the length and positional filters.
+4. Pivot pairs: each document meets one document, that which is the smallest id in most of its buckets. Then all
+   shingles that both prefixes hold, plus what lies behind them, must reach the needed overlap. Only for documents of
+   pairs that are left whole sets are made; the suffix filter (sizes of both sets in 16 fixed hash ranges bound
+   the overlap) comes before the intersection, and each pair is verified once.
+5. Cross pairs: buckets that now hold several components (a large group of near copies is one by now) pair up
+   documents of different components, by the same filters. A pair inside one component can't change the result.
+
+Sets are compared by 64-bit shingle hashes. Nothing but the counter table (2**22 longs) and a bit set of
 fixed size reach the driver.
 """
 
@@ -31,16 +34,16 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import as_bytes, fresh, materialise, slices_of, sum_slices
+from ledgerline.llm.common import as_bytes, filter_bits, filter_places, fresh, key_filter, materialise, slices_of, sum_slices
 from ledgerline.llm.graph import components
 
 WORDS = 5
 THRESHOLD = 80  # per cent
-COUNTER_BITS = 20  # corpus counters: 2**20
-FILTER_BITS = 24  # bits of the candidate filter: 2**24
+COUNTER_BITS = 22  # corpus counters: 2**22
 SLICES = 32
 RANGES = 16  # of the suffix filter
-CACHED_WORDS = 500_000
+ROWS = 1000  # whose shingles are held at once
+CACHED_WORDS = 200_000
 
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -79,18 +82,19 @@ def shingles(text: bytes, width: int = WORDS) -> np.ndarray:
     return np.unique(h)
 
 
-def _doc_hash(ids: np.ndarray) -> np.ndarray:
-    return (_mix(ids.astype(np.uint64) * _C1) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-
-
 def _corpus_counts(docs: DataFrame, width: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << COUNTER_BITS, np.int64)
+        total = np.zeros(1 << COUNTER_BITS, np.int32)
+        sets, held = [], 0
         for b in batches:
-            sets = [shingles(t, width) for t in b.column(0).to_pylist()]
-            if sets:
-                h = np.concatenate(sets) >> np.uint64(64 - COUNTER_BITS)
-                total += np.bincount(h.astype(np.int64), minlength=len(total))
+            for t in b.column(0):
+                sets.append((shingles(t.as_py(), width) >> np.uint64(64 - COUNTER_BITS)).astype(np.int32))
+                held += len(sets[-1])
+                if held > 1 << 21:
+                    total += np.bincount(np.concatenate(sets), minlength=len(total)).astype(np.int32)
+                    sets, held = [], 0
+        if sets:
+            total += np.bincount(np.concatenate(sets), minlength=len(total)).astype(np.int32)
         yield from slices_of(total, SLICES)
 
     counts = sum_slices(docs.select("text").mapInArrow(count, "slice int, counts binary"), SLICES)
@@ -104,7 +108,7 @@ def _index(docs: DataFrame, counts: np.ndarray, width: int, threshold: int) -> D
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
         rank = order.value
-        for b in batches:
+        for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             ids, n, first, prefix = b.column(0).to_pylist(), [], [], []
             for i, text in zip(ids, b.column(1).to_pylist()):
                 h = shingles(text, width)
@@ -127,38 +131,16 @@ def _index(docs: DataFrame, counts: np.ndarray, width: int, threshold: int) -> D
 def _candidate_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(id, n, hashes, ranges) of the documents in ``ids``; others are skipped by a bit set, then a join."""
 
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << FILTER_BITS, bool)
-        for b in batches:
-            total[_doc_hash(b.column(0).to_numpy(zero_copy_only=False))] = True
-        yield from slices_of(np.packbits(total).view(np.int64), SLICES)
-
-    packed = ids.mapInArrow(bits, "slice int, counts binary")
-    # bit sets are joined by OR
-    def either(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
-        for b in batches:
-            for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                a = np.frombuffer(v, np.int64)
-                total[k] = total[k] | a if k in total else a
-        if total:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(total), pa.int32()), pa.array([a.tobytes() for a in total.values()], pa.binary())],
-                ["slice", "counts"])
-
-    got = {r[0]: r[1] for r in packed.repartition(SLICES, "slice")
-           .mapInArrow(either, "slice int, counts binary").collect()}
-    empty = bytes((1 << FILTER_BITS) // 8 // SLICES)
-    field = docs.sparkSession.sparkContext.broadcast(b"".join(got.get(k, empty) for k in range(SLICES)))
+    field = key_filter(ids)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bit = np.unpackbits(np.frombuffer(field.value, np.uint8)).view(bool)
+        bit = filter_bits(field)
         for b in batches:
             b = b.filter(b.column(0).is_valid())
             i = b.column(0).to_numpy(zero_copy_only=False)
-            b = b.filter(pa.array(bit[_doc_hash(i)]))
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
+            b = b.filter(pa.array(bit[filter_places(i)]))
+            for at in range(0, b.num_rows, ROWS):
+                part = b.slice(at, ROWS)
                 h = [shingles(t, width) for t in part.column(1).to_pylist()]
                 ranges = [np.bincount((x >> np.uint64(60)).astype(np.int64), minlength=RANGES) for x in h]
                 yield pa.RecordBatch.from_arrays(
@@ -171,11 +153,34 @@ def _candidate_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return found.join(ids, "id", "left_semi")
 
 
-def _near(threshold: int, na: str, ia: str, nb: str, ib: str) -> F.Column:
-    """Length and positional filters; ia and ib are places (from 0) of a shared shingle in either set's order."""
-    sizes = F.expr(f"100 * least({na}, {nb}) >= {threshold} * greatest({na}, {nb})")
-    most = F.expr(f"1 + least({ia}, {ib}) + least({na} - {ia}, {nb} - {ib}) - 1")
-    return sizes & (most * (100 + threshold) >= threshold * F.expr(f"({na} + {nb})"))
+def _near(threshold: int, a: tuple, b: tuple) -> F.Column:
+    """Length, positional and slack filters at one shingle that two prefixes share. a, b: columns with the size of either
+    set, the shingle's place in its order (from 0), and its slack, if known.
+
+    A pair that links shares, within both prefixes, at least the needed overlap less what lies behind the
+    prefix of either set. The rarest of these shingles, by the number of prefixes with it, has all others
+    behind it in either document, so there the slack is as large; elsewhere the pair need not be formed."""
+    (na, ia, sa), (nb, ib, sb) = a, b
+    sizes = f"100 * least({na}, {nb}) >= {threshold} * greatest({na}, {nb})"
+    place = f"(least({ia}, {ib}) + least({na} - {ia}, {nb} - {ib})) * {100 + threshold} >= {threshold} * ({na} + {nb})"
+    behind = f"(floor(({threshold} * greatest({na}, {nb}) + 99) / 100) - 1)"
+    slack = [f"({s} + {behind}) * {100 + threshold} >= {threshold} * ({na} + {nb})" for s in (sa, sb) if s]
+    return F.expr(" AND ".join([sizes, place, *slack]))
+
+
+def _enough_shared(pairs: DataFrame, shared: DataFrame, threshold: int) -> DataFrame:
+    """Distinct pairs (a, b) whose prefixes share enough.
+
+    The prefix that ends first in the common order has every shared shingle up to there; so the overlap is at most
+    the shingles that both prefixes hold, and what lies behind the prefix of either set. (n and top: least and largest set of an id that several rows have.)"""
+    least = shared.groupBy("id").agg(F.min("n").alias("n"), F.max("n").alias("top"), F.array_distinct(
+        F.flatten(F.collect_list(F.transform("hs", lambda x: x["h"])))).alias("hs"))
+    for k in "ab":
+        pairs = pairs.join(least.select(F.col("id").alias(k), *[F.col(c).alias(f"{c}_{k}")
+                                                                for c in ("n", "top", "hs")]), k)
+    rest = F.expr(f"floor(({threshold} * greatest(top_a, top_b) + 99) / 100) - 1")
+    most = F.expr("size(array_intersect(hs_a, hs_b))") + rest
+    return pairs.where(most * (100 + threshold) >= threshold * F.expr("n_a + n_b")).select("a", "b")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -204,34 +209,42 @@ def jaccard_components(docs: DataFrame, width: int = WORDS, threshold: int = THR
     buckets = (index.where("prefix IS NOT NULL")
                .select(F.posexplode("prefix").alias("i", "h"), F.col("doc_id").alias("id"), "n")
                .withColumn("pivot", F.min(F.struct("id", "n", "i")).over(w))
-               .withColumn("last", F.max("id").over(w))
+               .withColumn("last", F.max("id").over(w)).withColumn("m", F.count("*").over(w))
                .where("pivot.id < last").drop("last"))
-    buckets = materialise(buckets, "ngram-buckets")
-    sets = materialise(_candidate_sets(docs, buckets.select("id").distinct(), width), "ngram-sets")
-
-    pivot_pairs = (buckets.where("id <> pivot.id")
-                   .where(_near(threshold, "n", "i", "pivot.n", "pivot.i"))
-                   .select(F.col("pivot.id").alias("a"), F.col("id").alias("b")).distinct())
-    pivot_pairs = materialise(pivot_pairs, "ngram-pairs")
+    # of each document the shared shingles, most frequent first: a shingle's place is its slack
+    shared = materialise(buckets.groupBy("id", "n").agg(
+        F.sort_array(F.collect_list(F.struct("m", "h", "i", "pivot")), asc=False).alias("hs")), "ngram-shared")
+    rows = shared.select("id", "n", F.posexplode("hs").alias("slack", "x")).select(
+        "id", "n", (F.col("slack") + 1).alias("slack"), "x.h", "x.i", "x.pivot")
+
+    def links(pairs: DataFrame, name: str) -> DataFrame:
+        pairs = materialise(_enough_shared(pairs, shared, threshold), f"ngram-{name}-pairs")
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        found = _verified(pairs, _candidate_sets(docs, ids, width), threshold)
+        return materialise(found.select(F.col("a").alias("u"), F.col("b").alias("v")), f"ngram-{name}-links")
+
+    pivots = (rows.where("id <> pivot.id")
+              .where(_near(threshold, ("n", "i", "slack"), ("pivot.n", "pivot.i", None)))
+              .groupBy("id", F.col("pivot.id").alias("a")).agg(F.count("*").alias("m"))
+              .groupBy("id").agg(F.max_by("a", F.struct("m", -F.col("a"))).alias("a"))
+              .select("a", F.col("id").alias("b")))
     copies = index.where("first <> doc_id").select(F.col("first").alias("u"), F.col("doc_id").alias("v"))
-    links = materialise(_verified(pivot_pairs, sets, threshold).select(F.col("a").alias("u"), F.col("b").alias("v")),
-                        "ngram-links")
-    comps = materialise(components(links), "ngram-components")
+    comps = materialise(components(links(pivots, "pivot").union(copies)), "ngram-components")
 
     of = comps.select(F.col("node").alias("id"), "component")
-    rows = (buckets.join(of, "id", "left").select("h", "i", "id", "n", F.coalesce("component", "id").alias("c")))
-    mixed = (rows.groupBy("h", "c").agg(F.count("*").alias("m"))
+    held = rows.join(of, "id", "left").select("h", "i", "id", "n", "slack", F.coalesce("component", "id").alias("c"))
+    held = materialise(held, "ngram-rows")
+    mixed = (held.groupBy("h", "c").agg(F.count("*").alias("m"))
              .groupBy("h").agg(F.count("*").alias("k"), F.max_by("c", F.struct("m", "c")).alias("most"))
              .where("k > 1").select("h", "most"))
-    rows = materialise(rows.join(mixed, "h"), "ngram-mixed")
-    few = rows.where("c <> most").select("h", *[F.col(x).alias(f"{x}_x") for x in ("i", "id", "n", "c")])
-    cross = (few.join(rows, "h").where("c <> c_x AND (c = most OR c < c_x)")
-             .where(_near(threshold, "n", "i", "n_x", "i_x"))
-             .select(F.least("id", "id_x").alias("a"), F.greatest("id", "id_x").alias("b")).distinct()
-             .join(pivot_pairs, ["a", "b"], "left_anti"))
-    more = _verified(cross, sets, threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    held = materialise(held.join(mixed, "h"), "ngram-mixed")
+    few = held.where("c <> most").select("h", *[F.col(x).alias(f"{x}_x") for x in ("i", "id", "n", "slack", "c")])
+    cross = (few.join(held, "h").where("c <> c_x AND (c = most OR c < c_x)")
+             .where(_near(threshold, ("n", "i", "slack"), ("n_x", "i_x", "slack_x")))
+             .select(F.least("id", "id_x").alias("a"), F.greatest("id", "id_x").alias("b")).distinct())
+    more = links(cross, "cross")
     star = comps.where("node <> component").select(F.col("component").alias("u"), F.col("node").alias("v"))
-    final = components(star.union(more).union(copies))
+    final = components(star.union(more))
     return (index.select("doc_id", F.col("n").alias("n_shingles"))
             .join(final.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")))
