@@ -264,9 +264,9 @@ QUERIES.update({"asof_mapping": asof_mapping, "enrich_extract": enrich_extract,
 
 
 def log_census(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1 over whole document texts: matches per pattern and share of texts."""
+    """K1 over the logged statements and whole document texts: matches per pattern and share of texts."""
     from ledgerline.operators.analytics import pattern_census
-    return pattern_census(StandIns.of(spark, sf_dir).raw("documents"), "text")
+    return pattern_census(StandIns.of(spark, sf_dir).logged_statements(), "text")
 
 
 RENAME_MAP = [(r"\[?\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(,\d+)?\]?", "LOCAL_COPY"), (r"\bthe\b", "THE_TABLE")]

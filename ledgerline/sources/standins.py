@@ -233,8 +233,10 @@ class StandIns:
             F.when(b < 1000, 2).otherwise(1).alias("FollowUpStatus"))
 
     def clue_members(self) -> DataFrame:
-        return self._events_k("view").select(F.col("k").alias("ProjectCustomerID"),
-                                              F.col("user_id").alias("MemberUserID"))
+        seen = self._events_k("view").select(F.col("k").alias("ProjectCustomerID"), F.col("user_id").alias("MemberUserID"))
+        own = self.raw("customer").filter(F.col("c_custkey") % 4 == 0).select(
+            (F.col("c_custkey") + 50).alias("ProjectCustomerID"), F.col("c_nationkey").cast("bigint").alias("MemberUserID"))
+        return seen.unionByName(own)
 
     def opportunities(self) -> DataFrame:
         o = self.raw("orders")
@@ -530,6 +532,19 @@ class StandIns:
                         "execution_count", "total_worker_time", "total_elapsed_time", "total_logical_reads",
                         "total_physical_reads", "creation_time", "last_execution_time")
 
+    def logged_statements(self) -> DataFrame:
+        """The query log: a statement an event, by its type, and the documents' texts."""
+        k = F.col("user_id").cast("string")
+        kind = F.col("event_type")
+        statement = (
+            F.when(kind == "click", F.concat(F.lit("SELECT a FROM t"), k, F.lit(" WITH (NOLOCK)")))
+            .when(kind == "purchase", F.concat(F.lit("SELECT a FROM [10.0.0."), (F.col("user_id") % 200).cast("string"),
+                                               F.lit(",1433].db.dbo.t")))
+            .when(kind == "error", F.lit("SELECT v FROM f_split('a,b', ',') x OUTER APPLY y"))
+            .when(kind == "signup", F.concat(F.lit("INSERT INTO #tmp"), k, F.lit(" SELECT a FROM View_GetOrders")))
+            .otherwise(F.concat(F.lit("SELECT 1 FROM a"), F.repeat(F.lit(" JOIN b ON 1 = 1"), (F.col("user_id") % 8).cast("int")))))
+        return self.raw("events").select(statement.alias("text")).unionByName(self.raw("documents").select("text"))
+
     def wait_stats(self) -> DataFrame:
         e = self.raw("events")
         et = F.col("event_type")
@@ -572,7 +587,9 @@ class StandIns:
     def requests(self) -> DataFrame:
         return self.raw("events").select(
             F.col("event_id").alias("session_id"),
-            F.when(F.col("event_type") == "error", F.col("event_id") - 1).otherwise(F.lit(0)).alias("blocking_session_id"),
+            # the first request of ten blocks those of the ten that failed
+            F.when((F.col("event_type") == "error") & (F.col("event_id") % 10 != 0),
+                   F.col("event_id") - F.col("event_id") % 10).otherwise(F.lit(0)).alias("blocking_session_id"),
             F.concat(F.col("event_type"), F.lit(":"), F.col("props")).alias("sql_text"))
 
     def waiting_tasks(self) -> DataFrame:
