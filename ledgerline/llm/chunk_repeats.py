@@ -9,8 +9,8 @@ A passage of 51 words has about 290 bytes; its chunks away from both ends are eq
 bytes apart on average they span ``MIN_RUN`` bytes but for about 2 passages in 1000 of this least length, and
 the share falls fast with length.
 
-The digest counts are aggregated before their shuffle. A bit set of fixed size then keeps chunks (and later
-documents) that can't match out of the joins.
+The digest counts are aggregated before their shuffle; digests that occur again go to tasks as a bit set of fixed
+size (``FILTER_BITS``). Its false hits only add windows to compare.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import as_bytes, filter_bits, filter_places, key_filter, materialise
+from ledgerline.llm.common import as_bytes, filter_places, key_filter
 
 AVERAGE = 24
 LEAST_GAP = 8  # a chunk end right behind another candidate is none
@@ -32,7 +32,9 @@ SHORT = 14  # chunks under so many bytes are not counted; inside a run they go a
 MIN_RUN = 72
 SLACK = 40  # bytes between counted chunks of one run
 WINDOW = 50
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+FILTER_BITS = 26
+TEXTS = 200  # whose windows are held at once
 
 _GEAR = np.random.default_rng(20_240_503).integers(0, 1 << 16, 256, dtype=np.uint16)
 _GEAR[0] = 0  # zero bytes set documents apart
@@ -84,44 +86,47 @@ def chunks(texts: list[bytes], average: int = AVERAGE) -> tuple[np.ndarray, np.n
     return tuple(np.concatenate(a) if a else np.zeros(0, np.int64) for a in out)
 
 
-def _word_windows(text: bytes, regions: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, first word's number, first byte and end byte of the WINDOW-word windows that meet a region."""
+def runs(start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
+    """Stretches of at least MIN_RUN bytes of chunks (in order) that lie no more than SLACK bytes apart."""
+    if not len(start):
+        return []
+    first = np.flatnonzero(np.append(True, start[1:] - stop[:-1] > SLACK))
+    last = np.append(first[1:], len(start)) - 1
+    return [(s, e) for s, e in zip(start[first].tolist(), stop[last].tolist()) if e - s >= MIN_RUN]
+
+
+def word_windows(text: bytes, regions: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and first word's number of the WINDOW-word windows that meet a region (bytes)."""
     raw = np.frombuffer(text, np.uint8)
     space = (raw == 32) | ((raw >= 9) & (raw <= 13))
     edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
     first, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     n = len(first) - WINDOW + 1
-    if n < 1:
-        return (np.zeros(0, np.int64),) * 4
-    want = np.zeros(n, bool)
+    want = np.zeros(max(n, 0), bool)
     for s, e in regions:
         a, b = np.searchsorted(stop, s, "right"), np.searchsorted(first, e)
         want[max(0, a - WINDOW + 1):b] = True
     at = np.flatnonzero(want)
     if not len(at):
-        return (np.zeros(0, np.int64),) * 4
+        return np.zeros(0, np.int64), at
     lo, hi = int(at[0]), int(at[-1]) + WINDOW
     w = np.fromiter((xxhash.xxh3_64_intdigest(text[s:e]) for s, e in zip(first[lo:hi].tolist(), stop[lo:hi].tolist())),
                     np.uint64, hi - lo)
-    # sum of words' hashes times powers of an odd number, then stirred
-    h = np.zeros(len(at), np.uint64)
-    k = at - lo
-    mul = np.uint64(0x9E3779B97F4A7C15)
+    h, mul = np.zeros(len(at), np.uint64), np.uint64(0x9E3779B97F4A7C15)
     for j in range(WINDOW):
-        h = (h * mul) ^ (w[k + j] + (h >> np.uint64(29)))
+        h = (h * mul) ^ (w[at - lo + j] + (h >> np.uint64(29)))
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    return h.view(np.int64), at, first[at], stop[at + WINDOW - 1]
-
+    return h.view(np.int64), at
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
-    """One row per passage of a document that another document holds too: doc_id, first_char, end_char (code points,
-    end exclusive), n_words, first_doc_id (the smallest doc_id with the passage's first window), repeats
+    """One row per passage of a document that another document holds too: doc_id, first_word (its number in the
+    text, from 0), n_words, first_doc_id (the smallest doc_id with the passage's first window), repeats
     (doc_id <> first_doc_id: a deduplication would drop it here).
 
-    Passages have at least WINDOW words (runs without ASCII white space), equal but for white space; overlapping
-    windows make one passage. docs: doc_id, text; other columns are ignored. Texts that are null or shorter have
-    none; rows without doc_id are left out; rows that repeat a doc_id are one document to each other, so a
+    Passages have at least WINDOW words (runs without ASCII white space), equal but for white space; overlapping and
+    adjoining windows make one passage. docs: doc_id, text; other columns are ignored. Texts that are null or shorter
+    have none; rows without doc_id are left out; rows that repeat a doc_id are one document to each other, so a
     passage that only they share doesn't count. An empty table gives no rows.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes("text").alias("text")).where(
@@ -132,80 +137,33 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(chunks(b.column(0).to_pylist())[3])], ["digest"])
 
     counts = docs.select("text").mapInArrow(digests, "digest long").groupBy("digest").agg(F.count("*").alias("n"))
-    again = materialise(counts.where("n > 1").select("digest"), "chunk-digests")
-    known = key_filter(again)
-
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = filter_bits(known)
-        for b in batches:
-            doc, start, length, digest = chunks(b.column(1).to_pylist())
-            keep = np.flatnonzero(bits[filter_places(digest)]) if len(digest) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(doc[keep])), pa.array(start[keep].astype(np.int32)),
-                 pa.array((start + length)[keep].astype(np.int32)), pa.array(digest[keep])],
-                ["doc_id", "s", "e", "digest"])
-
-    found = (docs.mapInArrow(candidates, "doc_id long, s int, e int, digest long").join(again, "digest", "left_semi")
-             .select("doc_id", "s", "e"))
-    by_doc = Window.partitionBy("doc_id").orderBy("s", "e")
-    upto = by_doc.rowsBetween(Window.unboundedPreceding, -1)
-    regions = (found.withColumn("new", (F.col("s") - F.coalesce(F.max("e").over(upto), F.lit(-1_000_000)) > SLACK)
-                                .cast("int"))
-               .withColumn("run", F.sum("new").over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
-               .groupBy("doc_id", "run").agg(F.min("s").alias("s"), F.max("e").alias("e"))
-               .where(f"e - s >= {MIN_RUN}")
-               .groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("regions")))
-    regions = materialise(regions, "chunk-regions")
-    wanted = key_filter(regions.select("doc_id"))
-
-    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = filter_bits(wanted)
-        for b in batches:
-            yield b.filter(pa.array(bits[filter_places(b.column(0).to_numpy())]))
+    known = key_filter(counts.where("n > 1").select("digest"), FILTER_BITS)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, b.num_rows, 200):
-                part = b.slice(at, 200)
-                got = [_word_windows(t, [(r["s"], r["e"]) for r in rs]) for t, rs in
-                       zip(part.column(1).to_pylist(), part.column(2).to_pylist())]
-                n = [len(g[0]) for g in got]
-                ids = np.repeat(part.column(0).to_numpy(), n)
-                cols = [np.concatenate([g[k] for g in got]) for k in range(4)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids), pa.array(cols[0]), *[pa.array(c.astype(np.int32)) for c in cols[1:]]],
-                    ["doc_id", "h", "i", "s", "e"])
-
-    texts = docs.mapInArrow(chosen, "doc_id long, text binary").join(regions, "doc_id")
-    rows = materialise(texts.select("doc_id", "text", "regions")
-                       .mapInArrow(windows, "doc_id long, h long, i int, s int, e int"), "chunk-windows")
-    shared = (rows.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-              .where("first <> last").select("h", "first"))
-    spans = rows.join(shared, "h").select("doc_id", "i", "s", "e", "first")
-    order = Window.partitionBy("doc_id").orderBy("i", "s")
-    spans = (spans.withColumn("new", (F.col("i") - F.coalesce(F.lag("i").over(order), F.lit(-1_000_000)) > WINDOW)
-                              .cast("int"))
-             .withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-             .groupBy("doc_id", "run").agg(
-                 F.min("s").alias("s"), F.max("e").alias("e"), F.min_by("first", "i").alias("first_doc_id"),
-                 (F.max("i") - F.min("i") + WINDOW).cast("long").alias("n_words")))
-    spans = materialise(spans.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("s", "e", "n_words", "first_doc_id"))).alias("spans")), "chunk-spans")
-
-    # byte offsets become code points beside the text
-    def points(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = []
-            for i, t, found in zip(*(b.column(k).to_pylist() for k in range(3))):
-                for x in found:
-                    s = len(t[:x["s"]].decode("utf-8", "replace"))
-                    e = s + len(t[x["s"]:x["e"]].decode("utf-8", "replace"))
-                    rows.append((i, s, e, x["n_words"], x["first_doc_id"], i != x["first_doc_id"]))
-            cols = list(zip(*rows)) if rows else [[]] * 6
-            kinds = [pa.int64()] * 5 + [pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
-
-    names = ["doc_id", "first_char", "end_char", "n_words", "first_doc_id", "repeats"]
-    texts = docs.mapInArrow(chosen, "doc_id long, text binary").join(spans, "doc_id")
-    return texts.select("doc_id", "text", "spans").mapInArrow(
-        points, "doc_id long, first_char long, end_char long, n_words long, first_doc_id long, repeats boolean")
+        bits = np.frombuffer(known.value, np.uint8)  # packed: one bit a key
+        for b in (b.slice(at, TEXTS) for b in batches for at in range(0, b.num_rows, TEXTS)):
+            texts = b.column(1).to_pylist()
+            doc, start, length, digest = chunks(texts)
+            at = filter_places(digest, FILTER_BITS)
+            keep = (bits[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
+            doc, start, stop = doc[keep], start[keep], (start + length)[keep]
+            cut = np.searchsorted(doc, np.arange(len(texts) + 1))
+            got = [word_windows(t, runs(start[a:z], stop[a:z])) for t, a, z in zip(texts, cut[:-1], cut[1:])]
+            ids = np.repeat(b.column(0).to_numpy(), [len(h) for h, _ in got])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), *[pa.array(np.concatenate(c).astype(t)) for c, t in zip(zip(*got), (np.int64, np.int32))]],
+                ["doc_id", "h", "i"])
+
+    by_hash, by_doc = Window.partitionBy("h"), Window.partitionBy("doc_id").orderBy("i")
+    shared = (docs.mapInArrow(windows, "doc_id long, h long, i int")
+              .withColumn("first", F.min("doc_id").over(by_hash)).withColumn("last", F.max("doc_id").over(by_hash))
+              .where("first <> last").select("doc_id", "i", "first"))
+    new = (F.col("i") - F.coalesce(F.lag("i").over(by_doc), F.lit(-WINDOW - 1)) > WINDOW).cast("int")
+    return (shared.withColumn("new", new)
+            .withColumn("run", F.sum("new").over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
+            .groupBy("doc_id", "run").agg(
+                F.min("i").cast("long").alias("first_word"),
+                (F.max("i") - F.min("i") + WINDOW).cast("long").alias("n_words"),
+                F.min_by("first", F.struct("i", "first")).alias("first_doc_id"))
+            .select("doc_id", "first_word", "n_words", "first_doc_id",
+                    (F.col("doc_id") != F.col("first_doc_id")).alias("repeats")))
