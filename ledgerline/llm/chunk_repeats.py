@@ -95,8 +95,9 @@ def runs(start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
     return [(s, e) for s, e in zip(start[first].tolist(), stop[last].tolist()) if e - s >= MIN_RUN]
 
 
-def word_windows(text: bytes, regions: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and first word's number of the WINDOW-word windows that meet a region (bytes)."""
+def word_windows(text: bytes, regions: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the WINDOW-word windows that meet a region (bytes): distinct hashes, the number of each one's first word where
+    it stands first, how many more times it stands, and the first words' numbers there, one hash's after another's."""
     raw = np.frombuffer(text, np.uint8)
     space = (raw == 32) | ((raw >= 9) & (raw <= 13))
     edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
@@ -108,7 +109,7 @@ def word_windows(text: bytes, regions: list[tuple[int, int]]) -> tuple[np.ndarra
         want[max(0, a - WINDOW + 1):b] = True
     at = np.flatnonzero(want)
     if not len(at):
-        return np.zeros(0, np.int64), at
+        return (np.zeros(0, np.int64),) * 4
     lo, hi = int(at[0]), int(at[-1]) + WINDOW
     w = np.fromiter((xxhash.xxh3_64_intdigest(text[s:e]) for s, e in zip(first[lo:hi].tolist(), stop[lo:hi].tolist())),
                     np.uint64, hi - lo)
@@ -116,7 +117,11 @@ def word_windows(text: bytes, regions: list[tuple[int, int]]) -> tuple[np.ndarra
     for j in range(WINDOW):
         h = (h * mul) ^ (w[at - lo + j] + (h >> np.uint64(29)))
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
-    return h.view(np.int64), at
+    order = np.argsort(h, kind="stable")
+    h, at = h[order], at[order]
+    new = np.append(True, h[1:] != h[:-1])
+    first = np.flatnonzero(new)
+    return h[first].view(np.int64), at[first], np.diff(np.append(first, len(h))) - 1, at[~new]
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -149,15 +154,20 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
             doc, start, stop = doc[keep], start[keep], (start + length)[keep]
             cut = np.searchsorted(doc, np.arange(len(texts) + 1))
             got = [word_windows(t, runs(start[a:z], stop[a:z])) for t, a, z in zip(texts, cut[:-1], cut[1:])]
-            ids = np.repeat(b.column(0).to_numpy(), [len(h) for h, _ in got])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids), *[pa.array(np.concatenate(c).astype(t)) for c, t in zip(zip(*got), (np.int64, np.int32))]],
-                ["doc_id", "h", "i"])
+            ids = np.repeat(b.column(0).to_numpy(), [len(g[0]) for g in got])
+            h, first, times, others = (np.concatenate(c) for c in zip(*got))
+            more = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(times)).astype(np.int32)),
+                                            pa.array(others.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(h), pa.array(first.astype(np.int32)), more],
+                                             ["doc_id", "h", "i", "more"])
 
     by_hash, by_doc = Window.partitionBy("h"), Window.partitionBy("doc_id").orderBy("i")
-    shared = (docs.mapInArrow(windows, "doc_id long, h long, i int")
+    # a window that repeats inside a document is one row, so a window's rows are no more than documents
+    shared = (docs.mapInArrow(windows, "doc_id long, h long, i int, more array<int>")
               .withColumn("first", F.min("doc_id").over(by_hash)).withColumn("last", F.max("doc_id").over(by_hash))
-              .where("first <> last").select("doc_id", "i", "first"))
+              .where("first <> last")
+              .select("doc_id", "first", F.explode(F.when(F.size("more") == 0, F.array("i")).otherwise(
+                  F.concat(F.array("i"), "more"))).alias("i")))
     new = (F.col("i") - F.coalesce(F.lag("i").over(by_doc), F.lit(-WINDOW - 1)) > WINDOW).cast("int")
     return (shared.withColumn("new", new)
             .withColumn("run", F.sum("new").over(by_doc.rowsBetween(Window.unboundedPreceding, 0)))
