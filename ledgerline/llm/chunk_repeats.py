@@ -177,3 +177,25 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
                 F.min_by("first", F.struct("i", "first")).alias("first_doc_id"))
             .select("doc_id", "first_word", "n_words", "first_doc_id",
                     (F.col("doc_id") != F.col("first_doc_id")).alias("repeats")))
+
+
+#: DuckDB SQL for ``repeated_passages``: all windows of all documents.
+ORACLE = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents WHERE doc_id IS NOT NULL),
+win AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(w) - 48), lambda i: array_to_string(w[i:i+49], ' '))) AS k,
+         unnest(range(0, len(w) - 49)) AS i
+  FROM w WHERE len(w) >= 50),
+shared AS (
+  SELECT doc_id, i, first FROM (
+    SELECT doc_id, i, min(doc_id) OVER g AS first, max(doc_id) OVER g AS last FROM win WINDOW g AS (PARTITION BY k))
+  WHERE first <> last),
+runs AS (
+  SELECT *, sum(CASE WHEN i - before > 50 OR before IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i) AS run
+  FROM (SELECT *, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before FROM shared))
+SELECT doc_id, min(i) AS first_word, max(i) - min(i) + 50 AS n_words, arg_min(first, i) AS first_doc_id,
+       doc_id <> arg_min(first, i) AS repeats
+FROM runs GROUP BY doc_id, run
+"""

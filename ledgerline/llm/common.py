@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -60,10 +62,11 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def sum_slices(parts: DataFrame, n_slices: int) -> np.ndarray:
-    """Add up per-task counter arrays, cut into ``n_slices`` rows (slice int, counts binary of int32).
+def sum_slices(parts: DataFrame, n_slices: int, width: int) -> np.ndarray:
+    """Add up per-task counter arrays of ``width``, cut into ``n_slices`` rows (slice int, counts binary of int32).
 
-    The sum runs in tasks, a few slices in each; the driver gets one array of the fixed size.
+    The sums run in tasks, a slice each. The driver gets 16 bits a counter: the logarithm of its sum, in steps of
+    1/2048 of a doubling, which keeps the counters' order but for sums that differ by less than 1/3000.
     """
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
@@ -72,16 +75,15 @@ def sum_slices(parts: DataFrame, n_slices: int) -> np.ndarray:
             for k, v in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 total[k] = total.get(k, 0) + np.frombuffer(v, np.int32).astype(np.int64)
         if total:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(total), pa.int32()), pa.array([a.tobytes() for a in total.values()], pa.binary())],
-                ["slice", "counts"])
-
-    rows = parts.repartition(n_slices, "slice").mapInArrow(add, "slice int, counts binary").collect()
-    got = {r["slice"]: np.frombuffer(r["counts"], np.int64) for r in rows}
-    if not got:
-        return np.zeros(0, np.int64)
-    width = len(next(iter(got.values())))
-    return np.concatenate([got.get(k, np.zeros(width, np.int64)) for k in range(n_slices)])
+            logs = [np.minimum(2048 * np.log2(a + 1), 65535).astype(np.uint16).tobytes() for a in total.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(logs, pa.binary())],
+                                             ["slice", "counts"])
+
+    out = np.zeros(width, np.uint16)
+    for r in parts.repartition(n_slices, "slice").mapInArrow(add, "slice int, counts binary").collect():
+        n = width // n_slices
+        out[r["slice"] * n:(r["slice"] + 1) * n] = np.frombuffer(r["counts"], np.uint16)
+    return out
 
 
 def slices_of(counts: np.ndarray, n_slices: int) -> Iterator[pa.RecordBatch]:
@@ -93,6 +95,19 @@ def slices_of(counts: np.ndarray, n_slices: int) -> Iterator[pa.RecordBatch]:
             ["slice", "counts"])
 
 
+@contextmanager
+def without_cycle_search() -> Iterator[None]:
+    """For loops that make many small objects and no cycles: searching for cycles over large memos takes a fifth
+    of their time. Reference counting goes on as ever."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def as_bytes(col: str) -> F.Column:
     """A text column's UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(col), F.lit("")).cast("binary")

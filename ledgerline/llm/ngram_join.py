@@ -20,7 +20,7 @@ Documents link when 100 * |A and B| >= threshold * |A or B|.
 5. Cross pairs: buckets that now hold several components (a large group of near copies is one by now) pair up
    documents of different components, by the same filters. A pair inside one component can't change the result.
 
-Sets are compared by 64-bit shingle hashes. Nothing but the counter table (2**22 longs) and a bit set of
+Sets are compared by 64-bit shingle hashes. Nothing but the counter table (2**22 16-bit logarithms) and a bit set of
 fixed size reach the driver.
 """
 
@@ -40,7 +40,7 @@ from ledgerline.llm.graph import components
 WORDS = 5
 THRESHOLD = 80  # per cent
 COUNTER_BITS = 22  # corpus counters: 2**22
-SLICES = 32
+SLICES = 256
 RANGES = 16  # of the suffix filter
 ROWS = 1000  # whose shingles are held at once
 CACHED_WORDS = 200_000
@@ -97,13 +97,12 @@ def _corpus_counts(docs: DataFrame, width: int) -> np.ndarray:
             total += np.bincount(np.concatenate(sets), minlength=len(total)).astype(np.int32)
         yield from slices_of(total, SLICES)
 
-    counts = sum_slices(docs.select("text").mapInArrow(count, "slice int, counts binary"), SLICES)
-    return counts if len(counts) else np.zeros(1 << COUNTER_BITS, np.int64)
+    return sum_slices(docs.select("text").mapInArrow(count, "slice int, counts binary"), SLICES, 1 << COUNTER_BITS)
 
 
 def _index(docs: DataFrame, counts: np.ndarray, width: int, threshold: int) -> DataFrame:
     """Per row of docs: doc_id, n (set size), first (the task's first id with this set), prefix (rare first)."""
-    order = docs.sparkSession.sparkContext.broadcast(np.minimum(counts, 2**32 - 1).astype(np.uint32))
+    order = docs.sparkSession.sparkContext.broadcast(counts)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, int] = {}
@@ -267,3 +266,26 @@ def one_of_each(docs: DataFrame, width: int = WORDS, threshold: int = THRESHOLD)
     twice = docs.join(marked.where("NOT goes").select(i), docs["doc_id"].cast("long") == F.col(i), "left_semi")
     w = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
     return plain.unionByName(twice.withColumn(n, F.row_number().over(w)).where(F.col(n) == 1).drop(n))
+
+
+#: DuckDB SQL for ``jaccard_components`` with the settings above: all pairs that share a shingle.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5
+      THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
+      WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS k
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 80 * (x.n + y.n - i)),
+e AS (SELECT a AS u, b AS v FROM links UNION ALL SELECT b, a FROM links),
+r(u, v) AS (SELECT u, v FROM e UNION SELECT r.u, e.v FROM r JOIN e ON r.v = e.u),
+least_of AS (SELECT u, min(v) AS v FROM r GROUP BY u)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least(d.doc_id, m.v), d.doc_id) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN least_of m ON m.u = d.doc_id
+"""

@@ -231,3 +231,21 @@ def vector_links(vectors: DataFrame, threshold: float = 0.93, how: Hashing = Has
             .select(i.alias("vec_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("component", "id").alias("component_id"),
                     F.coalesce(F.coalesce("component", "id") == i, F.lit(False)).alias("kept")))
+
+
+#: DuckDB SQL for ``vector_links`` with the settings above: all pairs of a label.
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda y: y <> 0)) > 0
+    AND len(list_filter(embedding, lambda y: isfinite(y))) = len(embedding)),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.x) = len(b.x) WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+r(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM r JOIN links l ON r.b = l.a),
+least_of AS (SELECT a, min(b) AS b FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(m.b, vec_id)) AS component_id,
+       vec_id <= coalesce(m.b, vec_id) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN least_of m ON m.a = vec_id
+"""
