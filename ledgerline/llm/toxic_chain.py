@@ -23,9 +23,10 @@ from ledgerline.llm.common import as_bytes
 
 SAMPLE = 6000
 FOLDS = 3
+MIN_TIE = 15.0  # chi-square that a word and a category need
 MIN_DOCS = 3  # sampled documents that a word must be in
 ROUNDS = 60
-PENALTY = 0.5
+PENALTY = 0.1
 LOWEST = 0.2  # of the verdict's threshold: few labels give no better one
 BUCKETS = 1_000_000_007
 #: Categories in the order of the chain: SQL over the labels' columns. The last one is the verdict.
@@ -53,6 +54,20 @@ class _Rows:
     def back(self, r: np.ndarray) -> np.ndarray:
         return np.bincount(self.col, r[self.row], self.width)
 
+    def ties(self, y: np.ndarray) -> np.ndarray:
+        """Chi-square of each column and the category, with the correction for small counts."""
+        a, has, n, yes = self.back(y), self.back(np.ones(self.n)), self.n, y.sum()
+        off = np.maximum(np.abs(a * (n - has - yes + a) - (has - a) * (yes - a)) - n / 2, 0)
+        return n * off * off / np.maximum(has * (n - has) * yes * (n - yes), 1e-9)
+
+    def columns(self, which: np.ndarray) -> _Rows:
+        out = object.__new__(_Rows)
+        place = np.full(self.width, -1)
+        place[which] = np.arange(len(which))
+        at = place[self.col] >= 0
+        out.n, out.width, out.row, out.col = self.n, len(which), self.row[at], place[self.col[at]]
+        return out
+
     def only(self, keep: np.ndarray) -> _Rows:
         out = object.__new__(_Rows)
         place = np.cumsum(keep) - 1
@@ -69,7 +84,10 @@ def _odds(p: np.ndarray) -> np.ndarray:
 def fit(x: _Rows, extra: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, penalty: float = PENALTY
         ) -> tuple[np.ndarray, np.ndarray, float]:
     """Weights of words and of extra columns, and the intercept: logistic loss with an L2 penalty, by
-    limited-memory quasi-Newton steps."""
+    limited-memory quasi-Newton steps. Words that these rows don't tie to the category have no weight."""
+    tied = np.flatnonzero(x.ties(y) >= MIN_TIE)
+    weights = np.zeros(x.width)
+    x = x.columns(tied)
     n_words, n_extra = x.width, extra.shape[1]
     cost = np.full(n_words + n_extra + 1, penalty)
     cost[-1] = 1e-6
@@ -108,7 +126,8 @@ def fit(x: _Rows, extra: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, penalt
         if s @ t > 1e-12:
             past = [*past[-9:], (s, t, 1 / (s @ t))]
         v, value, g = new, new_value, new_g
-    return v[:n_words], v[n_words:-1], float(v[-1])
+    weights[tied] = v[:n_words]
+    return weights, v[n_words:-1], float(v[-1])
 
 
 def _predict(x: _Rows, extra: np.ndarray, model: tuple[np.ndarray, np.ndarray, float]) -> np.ndarray:
@@ -144,7 +163,7 @@ class Chain:
             self.out_of_fold[:, k] = oof
             extra = np.column_stack([extra, _odds(oof)])
         self.threshold = self._best(self.out_of_fold[:, -1], labels[:, -1]) if n else 0.5
-        self.weights = {w: tuple(float(m[0][k]) for m in self.models) for w, k in place.items()}
+        self.weights = {w: c for w, k in place.items() if any(c := tuple(float(m[0][k]) for m in self.models))}
         self.extra = [tuple(map(float, m[1])) for m in self.models]
         self.base = [float(m[2]) for m in self.models]
         del self.models
