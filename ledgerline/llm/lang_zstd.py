@@ -18,9 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DOCS = 240  # sampled rows a language, about
+DOCS = 500  # sampled rows a language, about
 DOC_BYTES = 4096
-DICT_BYTES = 1 << 18
+DICT_BYTES = 1 << 19
 PIECE = 4096
 LEVEL = 12
 MARGIN = 0.004  # of the best size; under it a prediction is rejected
