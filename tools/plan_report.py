@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from ledgerline.session import build_session  # noqa: E402
 
-import __spark_entry__ as E  # noqa: E402
+from ledgerline.plans.driver_queries import QUERIES  # noqa: E402
 
 COLUMNS = {
     "shuffle": ["ShuffleExchangeExec"],
@@ -66,7 +66,7 @@ def main() -> None:
     print("cached frame or a reused exchange counts once). `pushed` = parquet scans with pushed filters.\n")
     print("| query | " + " | ".join(COLUMNS) + " | pushed |")
     print("|---|" + "---|" * (len(COLUMNS) + 1))
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         df = fn(spark, sf)
         df.collect()
         counts, scans = Counter(), []
