@@ -236,7 +236,7 @@ def walk(a: Automaton, data: np.ndarray, lanes: int = LANES) -> np.ndarray:
 
 def _spans(text: bytes, states: np.ndarray, a: Automaton, rules: tuple[Rule, ...],
            finds: tuple[re.Pattern, ...]) -> list[tuple[int, int, int]]:
-    """(start, end, rule) in bytes."""
+    """(start, end, rule) in bytes, by start and then rule."""
     bits = a.bits[states]
     at_start = np.flatnonzero(states == a.start)
     out = []
@@ -253,7 +253,7 @@ def _spans(text: bytes, states: np.ndarray, a: Automaton, rules: tuple[Rule, ...
                 used = m.end()
                 if m.end(rule.group) - m.start(rule.group) >= rule.least:
                     out.append((m.start(), m.end(), r))
-    return sorted(out)
+    return sorted(out, key=lambda x: (x[0], x[2]))
 
 
 def scan_texts(texts: list[bytes], rules: tuple[Rule, ...] = RULES) -> list[list[tuple[int, int, int]]]:

@@ -16,7 +16,7 @@ def brute(text, rules=S.RULES):
     out = []
     for k, r in enumerate(rules):
         out += [(m.start(), m.end(), k) for m in re.finditer(r.find, text) if len(m.group(r.group)) >= r.least]
-    return sorted(out)
+    return sorted(out, key=lambda x: (x[0], x[2]))
 
 
 def named(spans):
