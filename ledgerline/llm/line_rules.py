@@ -167,11 +167,14 @@ def cleaned(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """docs without rejected documents, and without the failing lines of those that stay (n_chars follows, if
     docs has it). All columns are kept."""
     d, c = with_rules(docs, rules)
-    new = F.col(c)["clean_text"]
+    kept, = fresh(d, "rules_kept")
+    # a generator, not a filter: a filter on the verdict would be pushed down and computed a second time
+    d = d.select("*", F.explode(F.filter(F.array(F.col(c)), lambda x: x["kept"])).alias(kept))
+    new = F.col(kept)["clean_text"]
     put = {"text": new}
     if "n_chars" in docs.columns:
         put["n_chars"] = F.length(new).cast(docs.schema["n_chars"].dataType)
-    return d.where(F.col(c)["kept"]).withColumns(put).drop(c).select(*docs.columns)
+    return d.withColumns(put).select(*docs.columns)
 
 
 #: DuckDB SQL for ``quality`` with the settings above.
