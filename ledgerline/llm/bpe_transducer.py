@@ -24,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import without_cycle_search
+
 MAX_STATES = 200_000
-MAX_SEGMENTS = 250_000
+MAX_SEGMENTS = 80_000
 MAX_SEGMENT_CHARS = 64
 CHUNK_IDS = 8192
-MAX_PAIRS = 500_000
+MAX_PAIRS = 150_000
 TRIED = 32
 _FAR = 1 << 60
 
@@ -54,11 +56,8 @@ class Vocabulary:
         self.leaves = set(self.token_at) - set(below)
         self._hope: dict[int, bool] = {}
         self._parts: dict[int, tuple[int, int] | None] = {}
-        self._edges: dict[int, tuple[list[tuple[int, int]], list[tuple[int, int]]]] = {}
+        self._edges: dict[int, tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]]] = {}
         self._apart: dict[int, bool] = {}
-        #: two tokens, left << 32 | right: the rank of both together
-        self.joined = {x << 32 | y: r for token, r in ranks.items() for k in range(1, len(token))
-                       if (x := ranks.get(token[:k])) is not None and (y := ranks.get(token[k:])) is not None}
         if any(bytes([b]) not in ranks for b in range(256)):
             raise ValueError("every byte needs a rank of its own")
 
@@ -84,14 +83,14 @@ class Vocabulary:
             self._parts[token] = got
         return self._parts[token]
 
-    def edges(self, token: int) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-        """What stands at the token's right and left end while it is merged: (symbol, rank of the merge that ends it)."""
+    def edges(self, token: int) -> tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]]:
+        """What stands at the token's right and left end while it is merged: (its bytes, rank of the merge that ends it)."""
         if token not in self._edges:
             both = []
             for side in (1, 0):
                 line, t, until = [], token, _FAR
                 while True:
-                    line.append((t, until))
+                    line.append((self.bytes_of[t], until))
                     two = self.parts(t)
                     if two is None:
                         break
@@ -130,10 +129,10 @@ class Vocabulary:
         return got
 
     def _stay(self, left: int, right: int) -> bool:
-        rank, line = self.joined.get, self.edges(right)[1]
+        rank, line = self.ranks.get, self.edges(right)[1]
         for x, x_until in self.edges(left)[0]:
             for y, y_until in line:
-                m = rank(x << 32 | y)
+                m = rank(x + y)
                 if m is not None and m < x_until and m <= y_until:
                     return False
         return True
@@ -147,19 +146,25 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
-        # a state's paths: (last token or -1, trie node, tokens held back); the path that has read whole tokens is last
-        self.keys: list[tuple] = [((-1, 0, ()),)]
+        # a state's paths, one behind the other in a flat tuple (nested ones take three times the memory): last token or
+        # -1, trie node, number of tokens held back, and these; the path that has read whole tokens is the last
+        self.keys: list[tuple[int, ...]] = [(-1, 0, 0)]
         self.known = {self.keys[0]: 0}
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # state << 8 | byte: (state, emitted)
         self.finals: list[tuple[int, ...]] = [()]
+        self.same: dict[tuple[int, ...], tuple[int, ...]] = {}  # emitted tokens, once each
 
     def _build(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        v = self.v
+        v, key = self.v, self.keys[state]
         trie, token_at, live, whole = v.trie, v.token_at, [], None
-        for last, node, held in self.keys[state]:  # in the order of where their open tokens begin
+        at, end = 0, len(key)
+        while at < end:  # paths in the order of where their open tokens begin
+            last, node, n = key[at], key[at + 1], key[at + 2]
+            at += 3 + n
             to = trie.get(node << 8 | byte)
             if to is None:
                 continue
+            held = key[at - n:at]
             if whole is None and (t := token_at.get(to)) is not None and (last < 0 or v.apart(last, t)):
                 whole = t, 0, (*held, t)  # the one sequence of all bytes so far
             if v.hope(last, to):
@@ -172,14 +177,19 @@ class Transducer:
                 k += 1
             agreed = k
         live.append(whole)
-        key = tuple([(last, node, held[agreed:]) for last, node, held in live]) if agreed else tuple(live)
+        flat: list[int] = []
+        for last, node, held in live:
+            flat += (last, node, len(held) - agreed)
+            flat += held[agreed:]
+        key = tuple(flat)
         to = self.known.get(key)
         if to is None:
             to = self.known[key] = len(self.keys)
             self.keys.append(key)
-            self.finals.append(key[-1][2])
+            self.finals.append(self.same.setdefault(first[agreed:], first[agreed:]))
             self.built += 1
-        got = self.steps[state << 8 | byte] = to, first[:agreed]
+        out = first[:agreed]
+        got = self.steps[state << 8 | byte] = to, self.same.setdefault(out, out)
         return got
 
     def encode(self, piece: bytes) -> list[int]:
@@ -299,13 +309,14 @@ def tokens(docs: DataFrame, path: str, pattern: str, ids: bool = False) -> DataF
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern)
         for b in batches:
-            coded = [c.encode(t or "") for t in b.column(1).to_pylist()]
-            back = []
-            for x in coded:
-                h, a = hashlib.sha256(), np.frombuffer(x, "<u4")
-                for part in c.decode(a[k:k + CHUNK_IDS] for k in range(0, len(a), CHUNK_IDS)):
-                    h.update(part.encode())
-                back.append(h.hexdigest())
+            with without_cycle_search():
+                coded = [c.encode(t or "") for t in b.column(1).to_pylist()]
+                back = []
+                for x in coded:
+                    h, a = hashlib.sha256(), np.frombuffer(x, "<u4")
+                    for part in c.decode(a[k:k + CHUNK_IDS] for k in range(0, len(a), CHUNK_IDS)):
+                        h.update(part.encode())
+                    back.append(h.hexdigest())
             cols = [b.column(0), pa.array([len(x) // 4 for x in coded], pa.int64()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in coded], pa.string()), pa.array(back, pa.string())]
             if ids:
