@@ -49,7 +49,7 @@ _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np
 
 
 class _WordHash(dict):
-    """Word to 64-bit hash; a bounded memo."""
+    """Word to 64-bit hash; a bounded memo, emptied at the end of each task (workers live on)."""
 
     def __missing__(self, word: bytes) -> int:
         h = xxhash.xxh3_64_intdigest(word)
@@ -93,6 +93,7 @@ def _corpus_counts(docs: DataFrame, width: int) -> np.ndarray:
                 if held > 1 << 21:
                     total += np.bincount(np.concatenate(sets), minlength=len(total)).astype(np.int32)
                     sets, held = [], 0
+        _word_hash.clear()
         if sets:
             total += np.bincount(np.concatenate(sets), minlength=len(total)).astype(np.int32)
         yield from slices_of(total, SLICES)
@@ -123,6 +124,7 @@ def _index(docs: DataFrame, counts: np.ndarray, width: int, threshold: int) -> D
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(first, pa.int64()),
                  pa.array(prefix, pa.list_(pa.int64()))], ["doc_id", "n", "first", "prefix"])
+        _word_hash.clear()
 
     return docs.mapInArrow(rows, "doc_id long, n long, first long, prefix array<long>")
 
@@ -147,6 +149,7 @@ def _candidate_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                      pa.array([x.view(np.int64) for x in h], pa.list_(pa.int64())),
                      pa.array([x.astype(np.int32) for x in ranges], pa.list_(pa.int32()))],
                     ["id", "n", "hashes", "ranges"])
+        _word_hash.clear()
 
     found = docs.mapInArrow(sets, "id long, n long, hashes array<long>, ranges array<int>")
     return found.join(ids, "id", "left_semi")
@@ -257,15 +260,26 @@ def one_of_each(docs: DataFrame, width: int = WORDS, threshold: int = THRESHOLD)
     """
     got = materialise(jaccard_components(docs, width, threshold), "ngram-groups").where("doc_id IS NOT NULL")
     again = got.groupBy("doc_id").agg(F.count("*").alias("rows"), F.min("component_id").alias("component_id"))
-    # ids to look at again are few: those that go and those that occur twice
-    marked = again.where("rows > 1 OR component_id <> doc_id").select(
-        F.col("doc_id").alias("id"), (F.col("component_id") != F.col("doc_id")).alias("goes"))
-    n, i = fresh(docs, "place", "marked_id")
+    # ids to look at again: those that go and those that occur twice
+    marked = materialise(again.where("rows > 1 OR component_id <> doc_id").select(
+        F.col("doc_id").alias("id"), (F.col("component_id") != F.col("doc_id")).alias("goes")), "ngram-marked")
+    field = key_filter(marked.select("id"))
+
+    @F.arrow_udf("boolean")
+    def may_be_marked(ids: pa.Array) -> pa.Array:
+        hit = filter_bits(field)[filter_places(ids.fill_null(0).to_numpy(zero_copy_only=False))]
+        return pa.array(hit & ids.is_valid().to_numpy(zero_copy_only=False))
+
+    # only documents that a bit set can't clear meet the list of ids, so few texts are shuffled
+    n, i, hit = fresh(docs, "place", "marked_id", "may_be_marked")
     marked = marked.withColumnRenamed("id", i)
-    plain = docs.join(marked, docs["doc_id"].cast("long") == F.col(i), "left_anti")
-    twice = docs.join(marked.where("NOT goes").select(i), docs["doc_id"].cast("long") == F.col(i), "left_semi")
+    looked = docs.withColumn(hit, may_be_marked(F.col("doc_id").cast("long")))
+    clear, rest = looked.where(~F.col(hit)).drop(hit), looked.where(hit).drop(hit)
+    plain = rest.join(marked, rest["doc_id"].cast("long") == F.col(i), "left_anti")
+    twice = rest.join(marked.where("NOT goes").select(i), rest["doc_id"].cast("long") == F.col(i), "left_semi")
     w = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    return plain.unionByName(twice.withColumn(n, F.row_number().over(w)).where(F.col(n) == 1).drop(n))
+    first = twice.withColumn(n, F.row_number().over(w)).where(F.col(n) == 1).drop(n)
+    return clear.unionByName(plain).unionByName(first)
 
 
 #: DuckDB SQL for ``jaccard_components`` with the settings above: all pairs that share a shingle.
