@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialise, scratch
+from ledgerline.llm.common import materialise, scratch, without_cycle_search
 
 MAGIC = b"PFR1"
 BLOCK = 128
@@ -36,24 +36,24 @@ PERCENTILE = 0.9
 FOOTER = struct.Struct("<QQQQQI4s")
 FLUSH = 512 * BLOCK  # ids packed at once
 READ = 1 << 20  # ids read at once, but for a longer document
-MAX_SEGMENTS = 400_000
+MAX_SEGMENTS = 900_000
 END_ID = 0
 JOINED = 1000  # new segments sent to the library as one text
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
     """Bits that each value needs."""
-    return np.where(x > 0, np.floor(np.log2(np.maximum(x, 1).astype(np.float64))).astype(np.int64) + 1, 0)
+    return np.frexp(x.astype(np.float64))[1].astype(np.int64)
 
 
 def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[bytes, np.ndarray]:
     """Blocks of ids (uint32, a multiple of BLOCK) and each block's length in bytes."""
-    a = ids.reshape(-1, BLOCK).astype(np.uint64)
+    a = ids.reshape(-1, BLOCK)
     low = a.min(axis=1)
     d = a - low[:, None]
     k = max(0, int(np.ceil(percentile * BLOCK)) - 1)
     width = _bits(np.partition(d, k, axis=1)[:, k])
-    limit = np.left_shift(np.uint64(1), width.astype(np.uint64)) - np.uint64(1)
+    limit = ((1 << width) - 1).astype(np.uint32)
     out_of = d > limit[:, None]
     n_out = out_of.sum(axis=1)
     sizes = 6 + 16 * width + 5 * n_out
@@ -61,19 +61,19 @@ def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[bytes, np.nda
     out = np.zeros(int(sizes.sum()), np.uint8)
     head = np.column_stack([low.astype("<u4").view(np.uint8).reshape(-1, 4), width.astype(np.uint8), n_out.astype(np.uint8)])
     out[starts[:, None] + np.arange(6)] = head
-    d = np.where(out_of, np.uint64(0), d)
+    d[out_of] = 0
     for w in np.unique(width):
         if not w:
             continue
         at = np.flatnonzero(width == w)
         v = np.ascontiguousarray(d[at].T)
-        words = np.zeros((2 * w, len(at)), np.uint64)
+        words = np.zeros((4 * w, len(at)), np.uint32)
         for i in range(BLOCK):
-            word, off = divmod(i * int(w), 64)
-            words[word] |= v[i] << np.uint64(off)
-            if off + w > 64:
-                words[word + 1] |= v[i] >> np.uint64(64 - off)
-        packed = np.ascontiguousarray(words.T).astype("<u8").view(np.uint8).reshape(len(at), -1)
+            word, off = divmod(i * int(w), 32)
+            words[word] |= v[i] << np.uint32(off)
+            if off + w > 32:
+                words[word + 1] |= v[i] >> np.uint32(32 - off)
+        packed = np.ascontiguousarray(words.T).astype("<u4").view(np.uint8).reshape(len(at), -1)
         out[(starts[at] + 6)[:, None] + np.arange(16 * w)] = packed
     r, c = np.nonzero(out_of)
     if len(r):
@@ -88,21 +88,21 @@ def pack(ids: np.ndarray, percentile: float = PERCENTILE) -> tuple[bytes, np.nda
 def unpack(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Ids (uint32) of the blocks that begin at ``starts`` in data (uint8)."""
     head = data[starts[:, None] + np.arange(6)]
-    low = np.ascontiguousarray(head[:, :4]).view("<u4").ravel().astype(np.uint64)
+    low = np.ascontiguousarray(head[:, :4]).view("<u4").ravel()
     width, n_out = head[:, 4].astype(np.int64), head[:, 5].astype(np.int64)
-    d = np.zeros((len(starts), BLOCK), np.uint64)
+    d = np.zeros((len(starts), BLOCK), np.uint32)
     for w in np.unique(width):
         if not w:
             continue
         at = np.flatnonzero(width == w)
-        words = np.ascontiguousarray(data[(starts[at] + 6)[:, None] + np.arange(16 * w)]).view("<u8").T
+        words = np.ascontiguousarray(data[(starts[at] + 6)[:, None] + np.arange(16 * w)]).view("<u4").T
         words = np.ascontiguousarray(words)
-        v, mask = np.empty((BLOCK, len(at)), np.uint64), np.uint64((1 << int(w)) - 1)
+        v, mask = np.empty((BLOCK, len(at)), np.uint32), np.uint32((1 << int(w)) - 1)
         for i in range(BLOCK):
-            word, off = divmod(i * int(w), 64)
-            x = words[word] >> np.uint64(off)
-            if off + w > 64:
-                x = x | (words[word + 1] << np.uint64(64 - off))
+            word, off = divmod(i * int(w), 32)
+            x = words[word] >> np.uint32(off)
+            if off + w > 32:
+                x = x | (words[word + 1] << np.uint32(32 - off))
             v[i] = x & mask
         d[at] = v.T
     r = np.repeat(np.arange(len(starts)), n_out)
@@ -111,7 +111,7 @@ def unpack(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         tail = starts[r] + 6 + 16 * width[r]
         value = np.ascontiguousarray(data[(tail + n_out[r] + 4 * rank)[:, None] + np.arange(4)]).view("<u4").ravel()
         d[r, data[tail + rank]] = value
-    return (d + low[:, None]).astype(np.uint32).ravel()
+    return (d + low[:, None]).ravel()
 
 
 def _fs(path: str) -> tuple[pafs.FileSystem, str]:
@@ -204,8 +204,10 @@ class TokenFile:
 
 
 class _Encoder:
-    """A tokenizer file of the tokenizers library. The pattern before its merges can't cross a plain space between
-    other characters, so texts are cut there and ids of such segments are memoised, up to a bound."""
+    """A tokenizer file of the tokenizers library. The pattern before its merges can't cross a plain space or a single
+    line end between other characters, so texts are cut there and ids of such segments are memoised, up to a bound.
+    A segment is a word behind its space, or a line's first word with the line end before it. A full stop or comma
+    behind a letter is a match of its own, so only the word before it goes to the library."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -216,6 +218,7 @@ class _Encoder:
         self.t.encode_special_tokens = True  # their strings in a text are ordinary text
         self.odd = Codec._ODD.search
         self.known: dict[str, bytes] = {}
+        self.marks = dict(zip(".,", (a.tobytes() for a in self._ids([".", ","]))))
         # in a byte-level vocabulary a token's characters stand for a byte each
         vocab = self.t.get_vocab()
         self.n_bytes = np.zeros(max(vocab.values()) + 1, np.int64)
@@ -226,35 +229,52 @@ class _Encoder:
         return [np.array(e.ids, "<u4") for e in self.t.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, segments: list[str]) -> None:
-        """Ids of segments behind a space. Many go to the library as one text; its ids are cut where a
-        segment's bytes end, as each token stands for so many bytes."""
-        alone = [s for s in segments if not s or s[0].isspace() or s[-1].isspace()]
-        self.known.update(zip(alone, (a.tobytes() for a in self._ids([f" {s}" for s in alone]))))
-        odd = set(alone)
-        rest = [s for s in segments if s not in odd] if odd else segments
+        """Ids of segments. Many go to the library as one text; its ids are cut where a segment's bytes end, as
+        each token stands for so many bytes."""
+        known, marks, stops = self.known, self.marks, []
+        whole = set()
+        for s in segments:
+            if s[-1:] in marks and s[-2:-1].isalpha():
+                stops.append(s)
+                if s[:-1] not in known:
+                    whole.add(s[:-1])
+            else:
+                whole.add(s)
+        alone = [s for s in ("", "\n") if s in whole]  # white space would join its neighbours'
+        known.update(zip(alone, (a.tobytes() for a in self._ids([s or " " for s in alone]))))
+        rest = list(whole.difference(alone))
         runs = [rest[k:k + JOINED] for k in range(0, len(rest), JOINED)]
-        for run, ids in zip(runs, self._ids([" " + " ".join(run) for run in runs])):
-            ends = np.cumsum([len(s.encode()) + 1 for s in run])
-            cuts = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1
-            data = ids.tobytes()
-            at = 0
-            for s, cut in zip(run, (4 * cuts).tolist()):
-                self.known[s] = data[at:cut]
+        texts = ["".join([s if s[0] == "\n" else f" {s}" for s in run]) for run in runs]
+        for run, text, ids in zip(runs, texts, self._ids(texts)):
+            raw = np.frombuffer(text.encode(), np.uint8)
+            ends = np.append(np.flatnonzero((raw == 32) | (raw == 10))[1:], len(raw))
+            cuts = 4 * (np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1)
+            data, at = ids.tobytes(), 0
+            for s, cut in zip(run, cuts.tolist()):
+                known[s] = data[at:cut]
                 at = cut
+        for s in stops:
+            known[s] = known[s[:-1]] + marks[s[-1]]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > MAX_SEGMENTS:
             self.known.clear()
-        known, cut, new = self.known, [], {}
+        get, heads, rows, new = self.known.get, [], [], set()
         for t in texts:
-            plain = not ("  " in t or "\n " in t or " \n" in t or self.odd(t))
-            first, *rest = t.split(" ") if plain else [t]
-            cut.append((first, rest))
-            new.update(dict.fromkeys(s for s in rest if s not in known))
+            plain = not ("  " in t or "\n " in t or " \n" in t or "\n\n" in t or self.odd(t))
+            first, *rest = t.replace("\n", " \n").split(" ") if plain else [t]
+            got = list(map(get, rest))
+            lacks = [k for k, g in enumerate(got) if g is None] if None in got else []
+            new.update([rest[k] for k in lacks])
+            heads.append(first)
+            rows.append((got, lacks, [rest[k] for k in lacks]))
         self._learn(list(new))
-        heads = self._ids([first for first, _ in cut])
-        return [np.frombuffer(b"".join([head.tobytes(), *map(known.__getitem__, rest)]), "<u4")
-                for head, (_, rest) in zip(heads, cut)]
+        out = []
+        for head, (got, lacks, names) in zip(self._ids(heads), rows):
+            for k, s in zip(lacks, names):
+                got[k] = self.known[s]
+            out.append(np.frombuffer(b"".join([head.tobytes(), *got]), "<u4"))
+        return out
 
 
 @lru_cache(maxsize=2)
@@ -279,7 +299,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
         trial = f"{root}/.{name}-{uuid.uuid4().hex}"
         enc, writer, n_docs, n = encoder(tokenizer), None, 0, 0
         fs.create_dir(root, recursive=True)
-        with fs.open_output_stream(trial) as out:
+        with without_cycle_search(), fs.open_output_stream(trial) as out:
             writer = TokenWriter(out)
             for b in batches:
                 for at in range(0, b.num_rows, 500):
