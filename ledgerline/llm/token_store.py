@@ -36,7 +36,7 @@ PERCENTILE = 0.9
 FOOTER = struct.Struct("<QQQQQI4s")
 FLUSH = 512 * BLOCK  # ids packed at once
 READ = 1 << 20  # ids read at once, but for a longer document
-MAX_SEGMENTS = 900_000
+MAX_SEGMENTS = 1_300_000
 END_ID = 0
 JOINED = 1000  # new segments sent to the library as one text
 
