@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import without_cycle_search
 
 MAX_STATES = 200_000
-MAX_SEGMENTS = 80_000
+MAX_SEGMENTS = 250_000  # and as many words; some 60 MB more than 80,000 of each
 MAX_SEGMENT_CHARS = 64
 CHUNK_IDS = 8192
 MAX_PAIRS = 150_000
@@ -291,23 +291,23 @@ class Codec:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str, pattern: str) -> Codec:
+def codec(path: str, pattern: str, memo: int = MAX_SEGMENTS) -> Codec:
     """The codec of a rank file (a base64 token and its rank a line); one per worker."""
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-    return Codec(ranks, pattern)
+    return Codec(ranks, pattern, memo)
 
 
-def tokens(docs: DataFrame, path: str, pattern: str, ids: bool = False) -> DataFrame:
+def tokens(docs: DataFrame, path: str, pattern: str, ids: bool = False, memo: int = MAX_SEGMENTS) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids, array<int>) per row of docs (doc_id, text).
 
-    path: a rank file that every executor has. Whole texts; null counts as empty, which has no ids
+    path: a rank file that every executor has. memo: segments and words that a worker keeps the ids of. Whole texts; null counts as empty, which has no ids
     and the digests of empty strings. Other columns are ignored; repeated rows give a row each; a null
     doc_id stays null; an empty table gives no rows. The second digest is of the ids decoded again.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = codec(path, pattern)
+        c = codec(path, pattern, memo)
         for b in batches:
             with without_cycle_search():
                 coded = [c.encode(t or "") for t in b.column(1).to_pylist()]
