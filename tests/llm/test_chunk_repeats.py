@@ -70,3 +70,18 @@ def test_chunks_cover_a_text_and_resist_shifts():
     assert len(ends) > 400 and len({e for e in ends if e > 40} - shifted) <= 1
     doc, start, length, digest = C.chunks([b"", body, b"a" * 9000, b"x"])
     assert length.max() <= C.MOST and (length >= C.SHORT).all() and set(doc) == {1, 2}
+
+
+def test_copies_that_differ_in_white_space(spark):
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(r.randint(3, 7)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    texts = {}
+    for k in range(0, 80, 4):
+        w = prose(60).split(" ")
+        wide = "\n".join(" ".join(w[a:a + 4]) for a in range(0, 60, 4))
+        for j, copy in enumerate([" ".join(w), wide, "\t".join(w), "  ".join(w[:30]) + " \r\n\r\n " + "\r\n".join(w[30:])]):
+            texts[k + j] = f"{prose(r.randint(5, 90))}{' ' * r.randint(1, 3)}{copy}\n{prose(r.randint(5, 90))}"
+    want = passages(list(texts.items()))
+    assert {i for i, *_ in want} == set(texts)
+    assert found(docs(spark, texts).repartition(4)) == want
