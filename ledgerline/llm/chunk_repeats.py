@@ -1,14 +1,16 @@
 """Repeated passages by content-defined chunking with a gear rolling hash.
 
-A gear hash of the last 16 bytes decides where chunks end, so an insertion moves chunk borders near it and no
-others. Words are first joined by one space, so that chunks compare what windows compare: other line ends, tabs or
-double spaces change no chunk. Chunks (about 24 bytes, none over 1024) are counted by digest over all documents. Where chunks that occur
-more than once follow one another for ``MIN_RUN`` bytes, a passage may repeat; only there are windows of ``WINDOW`` words
-compared exactly (by 64-bit hashes of whole words), and a window that two documents hold is part of a repeated passage.
-
-A passage of 51 words has about 290 bytes; its chunks away from both ends are equal in every copy. With chunk ends 24
-bytes apart on average they span ``MIN_RUN`` bytes but for about 2 passages in 1000 of this least length, and
-the share falls fast with length.
+Words are first joined by one space, so that chunks compare what windows compare: other line ends, tabs or double
+spaces change no chunk. Chunks end where the gear hash of the last ``GEAR`` bytes is the least of ``REACH``
+neighbours (the last of equal ones), and hold those ``GEAR`` bytes before their begin too. An insertion moves chunk
+borders near it and no others. Chunks are counted by digest over all documents. Where chunks that occur more than
+once follow one another without a gap, a passage may repeat; only there are windows of ``WINDOW`` words compared
+exactly (by 64-bit hashes of whole words), and a window that two documents hold is part of a repeated passage.
+
+No window is missed. ``WINDOW`` words have 2 * WINDOW - 1 bytes at least, so GEAR - 1 bytes and two neighbourhoods that
+don't meet. The least places of all neighbourhoods inside the window follow from its bytes alone, are two
+or more, and no other neighbourhood has its least place between them: the chunks from the first to the last of
+them are the same in every copy, all occur more than once, and end less than REACH bytes from both ends of the window.
 
 The digest counts are aggregated before their shuffle; digests that occur again go to tasks as a bit set of fixed
 size (``FILTER_BITS``). Its false hits only add windows to compare.
@@ -26,19 +28,16 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import as_bytes, filter_places, key_filter
 
-AVERAGE = 24
-LEAST_GAP = 8  # a chunk end right behind another candidate is none
-MOST = 1024
-SHORT = 14  # chunks under so many bytes are not counted; inside a run they go along
-MIN_RUN = 72
-SLACK = 40  # bytes between counted chunks of one run
 WINDOW = 50
+GEAR = 16  # bytes that the hash sees
+REACH = (2 * WINDOW - GEAR) // 2  # places of a neighbourhood: two and GEAR - 1 bytes are in any window
+SHORT, MOST = GEAR + 1, GEAR + REACH  # bytes of a chunk
+BLOCK = 1 << 18  # places whose neighbourhoods are compared at once
 BATCH_BYTES = 4 << 20
 FILTER_BITS = 26
 TEXTS = 200  # whose windows are held at once
 
 _GEAR = np.random.default_rng(20_240_503).integers(0, 1 << 16, 256, dtype=np.uint16)
-_GEAR[0] = 0  # zero bytes set documents apart
 
 
 def joined_words(text: bytes) -> bytes:
@@ -46,42 +45,55 @@ def joined_words(text: bytes) -> bytes:
     return b" ".join(text.split())
 
 
-def chunk_ends(data: np.ndarray, average: int = AVERAGE) -> np.ndarray:
-    """Where chunks end (exclusive) by content alone, in bytes (uint8) of one or more texts."""
+def chunk_ends(data: np.ndarray, sizes: np.ndarray | None = None) -> np.ndarray:
+    """Where chunks end (exclusive) by content alone, in bytes (uint8) of one text or of texts of these sizes, one
+    behind another. A text's first end only begins a chunk."""
+    sizes = np.array([len(data)]) if sizes is None else sizes
     h, span = _GEAR[data], 1
-    while span < 16:  # h[i] sums gear values of the last 2 * span bytes, each shifted by its age
+    while span < GEAR:  # h[i] sums gear values of the last 2 * span bytes, each shifted by its age
         older = np.zeros_like(h)
         older[span:] = h[:-span] << np.uint16(span)
         h = h + older
         span *= 2
-    at = np.flatnonzero(h < (1 << 16) // average) + 1
-    return at[np.diff(at, prepend=-LEAST_GAP) >= LEAST_GAP]
-
-
-def chunks(texts: list[bytes], average: int = AVERAGE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text number, start, length and digest (int64) of all chunks of at least SHORT bytes."""
+    # neighbourhoods begin where the hash sees no byte of the text before, and end with their text
+    count = np.maximum(sizes - (GEAR - 1) - (REACH - 1), 0)
+    inside = np.zeros(len(data) + 1, np.int32)
+    begin = (np.cumsum(sizes) - sizes + GEAR - 1)[count > 0]
+    inside[begin] += 1
+    inside[begin + count[count > 0]] -= 1
+    inside = np.cumsum(inside[:-1]).astype(bool)
+    last, out = np.uint64((1 << 48) - 1), [np.zeros(0, np.int64)]
+    for at in range(0, len(data) - REACH + 1, BLOCK):
+        part = h[at:at + BLOCK + REACH - 1].astype(np.uint64)
+        least = (part << np.uint64(48)) | (last - np.arange(at, at + len(part), dtype=np.uint64))  # of equal ones the last
+        span = 1
+        while span < REACH:
+            step = min(span, REACH - span)
+            least = np.minimum(least[:-step], least[step:])
+            span += step
+        place = (last - (least[inside[at:at + len(least)]] & last)).astype(np.int64)
+        out.append(place[np.append(True, place[1:] != place[:-1])] if len(place) else place)
+    place = np.concatenate(out)
+    return place[np.append(True, place[1:] != place[:-1])] + 1 if len(place) else place
+
+
+def chunks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, start, length and digest (int64) of all chunks, in order. A chunk has the bytes from one end to the
+    next and GEAR before them."""
     out: list[list[np.ndarray]] = [[], [], [], []]
     at = 0
     while at < len(texts):
         upto, size = at, 0
         while upto < len(texts) and (upto == at or size + len(texts[upto]) < BATCH_BYTES):
-            size += len(texts[upto]) + 16
+            size += len(texts[upto])
             upto += 1
-        joined = bytes(16).join(texts[at:upto])
+        joined = b"".join(texts[at:upto])
         sizes = np.array([len(t) for t in texts[at:upto]], np.int64)
-        starts = np.cumsum(sizes + 16) - sizes - 16
-        content = chunk_ends(np.frombuffer(joined, np.uint8), average) if joined else np.zeros(0, np.int64)
-        begin = np.unique(np.concatenate([starts, starts + sizes, content]))
-        doc = np.searchsorted(starts, begin, "right") - 1
-        stop = np.minimum(np.append(begin[1:], len(joined)), (starts + sizes)[doc])
-        keep = begin < stop
-        begin, stop, doc = begin[keep], stop[keep], doc[keep]
-        n = -(-(stop - begin) // MOST)  # long ones are cut at equal steps from their start
-        k = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        begin, stop, doc = np.repeat(begin, n) + k * MOST, np.repeat(stop, n), np.repeat(doc, n)
-        stop = np.minimum(stop, begin + MOST)
-        keep = stop - begin >= SHORT
-        begin, stop, doc = begin[keep], stop[keep], doc[keep]
+        starts = np.cumsum(sizes) - sizes
+        ends = chunk_ends(np.frombuffer(joined, np.uint8), sizes)
+        doc = np.searchsorted(starts, ends - 1, "right") - 1
+        same = doc[1:] == doc[:-1]
+        begin, stop, doc = ends[:-1][same] - GEAR, ends[1:][same], doc[1:][same]
         digest = xxhash.xxh3_64_intdigest
         out[0].append(doc + at)
         out[1].append(begin - starts[doc])
@@ -92,32 +104,40 @@ def chunks(texts: list[bytes], average: int = AVERAGE) -> tuple[np.ndarray, np.n
     return tuple(np.concatenate(a) if a else np.zeros(0, np.int64) for a in out)
 
 
-def runs(start: np.ndarray, stop: np.ndarray) -> list[tuple[int, int]]:
-    """Stretches of at least MIN_RUN bytes of chunks (in order) that lie no more than SLACK bytes apart."""
-    if not len(start):
-        return []
-    first = np.flatnonzero(np.append(True, start[1:] - stop[:-1] > SLACK))
-    last = np.append(first[1:], len(start)) - 1
-    return [(s, e) for s, e in zip(start[first].tolist(), stop[last].tolist()) if e - s >= MIN_RUN]
+def runs(doc: np.ndarray, start: np.ndarray, length: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Text number, start and stop of stretches of chunks that are kept, from a text's chunks in order."""
+    new = np.append(True, doc[1:] != doc[:-1])[:len(doc)]
+    first = np.flatnonzero(keep & (new | ~np.append(True, keep[:-1])[:len(doc)]))
+    last = np.flatnonzero(keep & (np.append(new[1:], True)[:len(doc)] | ~np.append(keep[1:], True)[:len(doc)]))
+    return doc[first], start[first], (start + length)[last]
 
 
-def word_windows(text: bytes, regions: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of the WINDOW-word windows that meet a region (bytes): distinct hashes, the number of each one's first word where
-    it stands first, how many more times it stands, and the first words' numbers there, one hash's after another's."""
+def word_windows(text: bytes, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of the WINDOW-word windows that lie in a run (bytes), but for less than REACH bytes at either end: distinct hashes,
+    the number of each one's first word where it stands first, how many more times it stands, and the first words'
+    numbers there, one hash's after another's."""
+    none = (np.zeros(0, np.int64),) * 4
+    if not len(start):
+        return none
     raw = np.frombuffer(text, np.uint8)
     space = (raw == 32) | ((raw >= 9) & (raw <= 13))
     edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
-    first, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+    first, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     n = len(first) - WINDOW + 1
-    want = np.zeros(max(n, 0), bool)
-    for s, e in regions:
-        a, b = np.searchsorted(stop, s, "right"), np.searchsorted(first, e)
-        want[max(0, a - WINDOW + 1):b] = True
+    if n < 1:
+        return none
+    a = np.searchsorted(first, start - REACH, "right")
+    b = np.searchsorted(ends[WINDOW - 1:], stop + REACH)  # windows a <= k < b
+    a, b = a[a < b], b[a < b]
+    mark = np.zeros(n + 1, np.int64)
+    np.add.at(mark, a, 1)
+    np.add.at(mark, b, -1)
+    want = np.cumsum(mark[:n]) > 0
     at = np.flatnonzero(want)
     if not len(at):
-        return (np.zeros(0, np.int64),) * 4
+        return none
     lo, hi = int(at[0]), int(at[-1]) + WINDOW
-    w = np.fromiter((xxhash.xxh3_64_intdigest(text[s:e]) for s, e in zip(first[lo:hi].tolist(), stop[lo:hi].tolist())),
+    w = np.fromiter((xxhash.xxh3_64_intdigest(text[s:e]) for s, e in zip(first[lo:hi].tolist(), ends[lo:hi].tolist())),
                     np.uint64, hi - lo)
     h, mul = np.zeros(len(at), np.uint64), np.uint64(0x9E3779B97F4A7C15)
     for j in range(WINDOW):
@@ -157,9 +177,9 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
             doc, start, length, digest = chunks(texts)
             at = filter_places(digest, FILTER_BITS)
             keep = (bits[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
-            doc, start, stop = doc[keep], start[keep], (start + length)[keep]
+            doc, start, stop = runs(doc, start, length, keep)
             cut = np.searchsorted(doc, np.arange(len(texts) + 1))
-            got = [word_windows(t, runs(start[a:z], stop[a:z])) for t, a, z in zip(texts, cut[:-1], cut[1:])]
+            got = [word_windows(t, start[a:z], stop[a:z]) for t, a, z in zip(texts, cut[:-1], cut[1:])]
             ids = np.repeat(b.column(0).to_numpy(), [len(g[0]) for g in got])
             h, first, times, others = (np.concatenate(c) for c in zip(*got))
             more = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(times)).astype(np.int32)),

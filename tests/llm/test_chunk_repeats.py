@@ -85,3 +85,33 @@ def test_copies_that_differ_in_white_space(spark):
     want = passages(list(texts.items()))
     assert {i for i, *_ in want} == set(texts)
     assert found(docs(spark, texts).repartition(4)) == want
+
+
+def test_passages_of_short_words_and_short_periods(spark):
+    r = random.Random(17)
+    kinds = [lambda: r.choice("0123456789"), lambda: r.choice("日本語文字列"), lambda: "".join(r.choices("ab1", k=2)),
+             lambda: "".join(r.choices("abcde", k=3)), lambda: "same"]
+    prose = lambda n: " ".join("".join(r.choices("abcdefghij", k=r.randint(2, 8))) for _ in range(n))
+    texts = {}
+    for word in kinds:
+        for size in (50, 51) * 12:
+            passage = " ".join(word() for _ in range(size))
+            for _ in range(2):
+                texts[len(texts)] = f"{prose(r.randint(0, 90))} {passage}\n{prose(r.randint(0, 90))}"
+    period = " ".join(["ab", "c"] * 40)
+    for k in range(5):
+        texts[len(texts)] = f"{prose(k)} {period} {prose(20)}"
+    want = passages(list(texts.items()))
+    assert {i for i, *_ in want} == set(texts)
+    assert found(docs(spark, texts).repartition(4)) == want
+
+
+def test_any_window_holds_a_chunk_of_its_own():
+    r = random.Random(23)
+    for letters in ("a", "ab", "0123456789", "abcdefghijklmnopqrstuvwxyz"):
+        for _ in range(100):
+            window = " ".join(r.choice(letters) for _ in range(C.WINDOW)).encode()
+            other = lambda: bytes(r.choices(range(97, 123), k=r.randint(0, 150)))
+            a, b, alone = other() + b" " + window + b" " + other(), other() + b" " + window, window
+            digests = [set(C.chunks([t])[3].tolist()) for t in (a, b, alone)]
+            assert digests[2] and digests[2] <= digests[0] & digests[1]
