@@ -16,6 +16,7 @@ Places within a source come from counts in two levels of hash ranges, so no wind
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -27,6 +28,7 @@ from ledgerline.llm.common import fresh
 
 BLOCK_ROWS = 64
 RANGE_BITS = 8  # of each of the two levels: 65,536 hash ranges a source
+MOST_WEIGHT = 100
 MOST_SLOTS = 1_000_000  # sum of weights: the period that the driver works out
 
 
@@ -52,6 +54,18 @@ def period(weights: list[int]) -> np.ndarray:
     return out
 
 
+def target_weights(docs: DataFrame, most: int = MOST_WEIGHT) -> dict[str | None, int]:
+    """Weights of all sources of docs (source, text), by their name: the square root of a source's characters over all
+    rows, so that a large source gets more slots but not in proportion, as integers from 1 to ``most`` for the
+    largest (less if the period would pass MOST_SLOTS). A null source has the key None; null texts have no characters.
+    """
+    sizes = {r["source"]: r["n"] or 0 for r in docs.groupBy(F.col("source").cast("string").alias("source")).agg(
+        F.sum(F.length(F.col("text").cast("string"))).alias("n")).collect()}  # one row a source
+    top = max(sizes.values(), default=0)
+    most = max(1, min(most, MOST_SLOTS // max(1, len(sizes))))
+    return {s: max(1, round(most * math.sqrt(n / top))) if top else 1 for s, n in sizes.items()}
+
+
 @dataclass(frozen=True)
 class Phase:
     """A source's part of a phase: its blocks first_block <= b < end_block run in the slots

@@ -27,7 +27,9 @@ def op3_chunk_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pfair_mix.mix(read(spark, sf_dir, "documents"))
+    docs = read(spark, sf_dir, "documents")
+    weights = pfair_mix.target_weights(docs)
+    return pfair_mix.mix(docs, weights, weights.get(None, 1))
 
 
 def op5_lang_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 
 from cases import no_docs, odd_docs, odd_rows, table
 from ledgerline.llm import pfair_mix as M
+from ledgerline.llm import queries as Q
 
 
 @pytest.mark.parametrize("seed", range(20))
@@ -95,3 +96,23 @@ def test_weights_are_checked():
     for w in ([], [0, 1], [M.MOST_SLOTS, 1]):
         with pytest.raises(ValueError):
             M.period(w)
+
+
+def test_registered_weights_follow_the_sources_texts(spark):
+    rows = [tuple(r) for r in table(spark, "documents").selectExpr("source", "xxhash64(doc_id) h", "doc_id", "text").collect()]
+    chars = Counter()
+    for s, _, _, text in rows:
+        chars[s] += len(text or "")
+    weights = {s: max(1, round(100 * (n / max(chars.values())) ** 0.5)) for s, n in chars.items()}
+    assert len(set(weights.values())) > 1
+    want = simulate([(s, h % 2**64, i) for s, h, i, _ in rows], weights, 64)
+    got = sorted((r["position"], r["doc_id"]) for r in Q.op4_pfair_mix(spark, "/root/testdata/sf0.001").collect())
+    assert [i for _, i in got] == want
+
+
+def test_target_weights(spark):
+    d = spark.createDataFrame([("a", "x" * 400), ("a", None), ("b", "x" * 60), ("b", "x" * 40), ("c", None), (None, "x" * 36)],
+                              "source string, text string")
+    assert M.target_weights(d, 20) == {"a": 20, "b": 10, "c": 1, None: 6}
+    assert M.target_weights(d.where("text IS NULL")) == {"a": 1, "c": 1}
+    assert M.target_weights(no_docs(spark)) == {}
