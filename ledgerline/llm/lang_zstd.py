@@ -6,7 +6,10 @@ text and not for its beginning alone. A narrow margin between the two best total
 ``rejected``; the prediction itself stays the best language).
 
 Learning: documents per language are counted over all labelled rows; a row is in the sample if a hash of its id is under
-DOCS / count, which bounds the sample to about ``DOCS`` rows a language, of up to ``DOC_BYTES`` each.
+DOCS / count, which bounds the sample to about ``DOCS`` rows a language. A sampled row gives at most DICT_BYTES / rows
+found bytes of folded text (1,048 at 500 rows; 256 at least), from a place in the whole text that a hash of its id gives: the
+driver gets ``DOC_CHARS`` characters around there, and takes the bytes from a hashed place inside those. Shorter texts are
+taken whole.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DOCS = 500  # sampled rows a language, about
-DOC_BYTES = 4096
+DOC_CHARS = 4096  # of a sampled row that reach the driver
 DICT_BYTES = 1 << 19
 PIECE = 4096
 LEVEL = 12
@@ -32,6 +35,12 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _piece(text: Column, spot: Column) -> Column:
+    """DOC_CHARS characters of a text from a place that a hash gives, all places alike; a shorter text as it is."""
+    places = F.greatest(F.length(text) - (DOC_CHARS - 1), F.lit(1))
+    return F.substring(text, (spot % places + 1).cast("int"), F.lit(DOC_CHARS))
+
+
 def learn(docs: DataFrame, docs_per_language: int = DOCS) -> dict[str, bytes]:
     """Dictionary content by language, from rows with text, lang and a doc_id that isn't held out."""
     rows = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").where(~held_out())
@@ -40,15 +49,17 @@ def learn(docs: DataFrame, docs_per_language: int = DOCS) -> dict[str, bytes]:
         return {}
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, docs_per_language / n))])
     place = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS))
+    spot = F.pmod(F.xxhash64("doc_id", F.lit("piece")), F.lit(BUCKETS))  # not place: that is small in the sample
     sample = rows.where(place < F.get(F.array(share), F.lit(0))[F.col("lang")] * BUCKETS).select(
-        "lang", place.alias("place"), "doc_id", F.substring("text", 1, DOC_BYTES).alias("text"))
-    texts: dict[str, list[str]] = {k: [] for k in counts}
+        "lang", place.alias("place"), "doc_id", _piece(F.col("text"), spot).alias("text"), spot.alias("spot"))
+    texts: dict[str, list[tuple[bytes, int]]] = {k: [] for k in counts}
     for r in sorted(sample.collect(), key=lambda r: (r["place"], r["doc_id"], r["text"])):
-        texts[r["lang"]].append(r["text"])
+        texts[r["lang"]].append((folded(r["text"]), r["spot"]))
     out = {}
     for lang, found in texts.items():
         each = max(256, DICT_BYTES // max(1, len(found)))
-        out[lang] = b" ".join(folded(t)[:each] for t in found)[:DICT_BYTES]
+        cut = [spot // DOC_CHARS % max(1, len(t) - each + 1) for t, spot in found]
+        out[lang] = b" ".join(t[at:at + each] for (t, _), at in zip(found, cut))[:DICT_BYTES]
     return {k: v for k, v in out.items() if len(v) >= 8}
 
 

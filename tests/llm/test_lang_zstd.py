@@ -34,3 +34,13 @@ def test_no_letter_is_und_and_odd_cases(spark):
 def test_nothing_to_learn_from(spark):
     d = docs(spark, {1: "some text", 2: None}).withColumn("lang", L.F.lit(None).cast("string"))
     assert sorted((r["doc_id"], r["lang_pred"], r["score"]) for r in L.languages(d).collect()) == [(1, "und", 0.0), (2, "und", 0.0)]
+
+
+def test_samples_come_from_any_place_of_a_text(spark):
+    header = "this page was sent to you by the keeper of the list and holds the same notice as every other page. "
+    body = "".join(f"wort{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)} " for k in range(2000))
+    for head, rest in ((header * 60, body), (header * 12, body[:2000])):  # longer and shorter than what the driver gets
+        d = docs(spark, {k: head + rest for k in range(600)}).withColumn("lang", L.F.lit("de"))
+        got = L.learn(d)["de"]
+        assert got.count(b"wort") > 0.1 * len(got) / 8 and got.count(b"keeper") > 0
+        assert len(got) <= L.DICT_BYTES and got == L.learn(d)["de"]
