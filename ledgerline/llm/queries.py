@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (
-    bpe_transducer, chunk_repeats, lang_zstd, line_rules, ngram_join, pfair_mix, secret_scan, token_store, toxic_chain,
+    bpe_transducer, chunk_repeats, collocations, lang_zstd, line_rules, ngram_join, pfair_mix, secret_scan, token_store, toxic_chain,
     vector_links)
 from ledgerline.llm.common import read
 
@@ -59,6 +59,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(read(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_links": op1_vector_links,
     "op2_token_store": op2_token_store,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_bpe_transducer": op9_bpe_transducer,
     "op10_secret_scan": op10_secret_scan,
+    "op11_collocations": op11_collocations,
 }
 #: Where SQL can say it; the others are tested against the named libraries, brute force or held-out rows.
 ORACLE: dict[str, str] = {
@@ -77,4 +82,5 @@ ORACLE: dict[str, str] = {
     "op3_chunk_repeats": chunk_repeats.ORACLE,
     "op7_line_rules": line_rules.ORACLE,
     "op8_ngram_jaccard": ngram_join.ORACLE,
+    "op11_collocations": collocations.ORACLE,
 }
