@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm import (
-    bpe_transducer, chunk_repeats, collocations, lang_zstd, line_rules, ngram_join, pfair_mix, secret_scan, token_store, toxic_chain,
-    vector_links)
+    bpe_transducer, chunk_repeats, collocations, lang_zstd, lexical_search, line_rules, ngram_join, pair_index, pfair_mix,
+    secret_scan, token_store, toxic_chain, vector_links)
 from ledgerline.llm.common import read
 
 
@@ -63,6 +63,16 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read(spark, sf_dir, "documents"))
 
 
+def op12_pair_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pair_index.tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_vector_links": op1_vector_links,
     "op2_token_store": op2_token_store,
@@ -75,6 +85,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe_transducer": op9_bpe_transducer,
     "op10_secret_scan": op10_secret_scan,
     "op11_collocations": op11_collocations,
+    "op12_pair_index": op12_pair_index,
+    "op13_lexical_search": op13_lexical_search,
 }
 #: Where SQL can say it; the others are tested against the named libraries, brute force or held-out rows.
 ORACLE: dict[str, str] = {
@@ -83,4 +95,5 @@ ORACLE: dict[str, str] = {
     "op7_line_rules": line_rules.ORACLE,
     "op8_ngram_jaccard": ngram_join.ORACLE,
     "op11_collocations": collocations.ORACLE,
+    "op13_lexical_search": lexical_search.ORACLE,
 }
