@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +30,7 @@ LONGEST = 3
 TOP = 2000
 SHARE = 50  # percent
 BUCKET_BYTES = 16 << 20  # bytes of text a bucket of the hash space
-WORDS = 3 << 20  # words counted at once in a task
+WORDS = 1 << 20  # words counted at once in a task
 BLOCK = 1 << 20  # bytes whose words are found at once
 MOST_BITS = 28
 NO_LANG = "und"
@@ -70,10 +69,11 @@ class Words:
             parts.append((start + at, end - start, ends[start] + pieces))
             pieces += int(ends[-1])
             at = to
-        join = (lambda k: np.concatenate([p[k] for p in parts])) if parts else (lambda k: np.zeros(0, np.int64))
-        self.start, self.length, self.piece = join(0), join(1), join(2)
+        small = np.int32 if len(self.data) < 1 << 31 else np.int64
+        self.start, self.length, self.piece = (
+            np.concatenate([p[k].astype(small) for p in parts]) if parts else np.zeros(0, small) for k in range(3))
         begins = np.cumsum([0, *(len(r) + 1 for r in raw)][:-1]) if raw else np.zeros(0, np.int64)
-        self.text = np.searchsorted(begins, self.start, "right") - 1
+        self.text = (np.searchsorted(begins, self.start, "right") - 1).astype(np.int32)
         self.hash = self.hashed(0)
 
     @staticmethod
@@ -88,7 +88,7 @@ class Words:
 
     def hashed(self, salt: int) -> np.ndarray:
         factor, out, a, n = _factors(salt), np.zeros(len(self.start), np.uint64), 0, len(self.start)
-        ends = np.cumsum(self.length)
+        ends = np.cumsum(self.length, dtype=np.int64)
         while a < n:
             b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BLOCK, "right")))
             size = self.length[a:b]
@@ -303,6 +303,52 @@ def _bit_set(survivors: DataFrame, total: int):
     return survivors.sparkSession.sparkContext.broadcast(whole.tobytes()), bits
 
 
+def counted(texts: list[str | None], langs: list[str | None], bit: np.ndarray, bits: int, longest: int) -> Iterator[pa.RecordBatch]:
+    """Exact counts of some texts' n-grams whose hash is in the bit set."""
+    words, seeds = Words(texts), _seeds(langs)
+    number, first = words.distinct()
+    name = [v or NO_LANG for v in langs]
+    of = {v: k for k, v in enumerate(dict.fromkeys(name))}
+    names, lang = list(of), np.array([of[v] for v in name], np.int32)[words.text]
+    known: dict[int, bytes] = {}
+
+    def spelled(k: int) -> bytes:
+        got = known.get(k)
+        if got is None:
+            got = known[k] = words.word(int(first[k]))
+        return got
+
+    for at in range(0, len(words.hash), WORDS):
+        for n, (key, fits) in enumerate(words.keys(seeds, longest, at, min(at + WORDS, len(words.hash))), 1):
+            place = key >> np.uint64(64 - bits)
+            hit = bit[(place >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (place & np.uint64(7)).astype(np.uint8))
+            chosen = np.flatnonzero(fits & (hit & 1).astype(bool))
+            if not len(chosen):
+                continue
+            order = np.argsort(key[chosen], kind="stable")
+            where, same = chosen[order] + at, key[chosen[order]]
+            ids = np.stack([lang[where], *(number[where + k] for k in range(n))])
+            differ = np.concatenate([[True], (ids[:, 1:] != ids[:, :-1]).any(axis=0)])
+            if (differ[1:] & (same[1:] == same[:-1])).any():  # two n-grams share a hash
+                ids = ids[:, np.lexsort(ids)]
+                differ = np.concatenate([[True], (ids[:, 1:] != ids[:, :-1]).any(axis=0)])
+            begin = np.flatnonzero(differ)
+            count = np.diff(np.append(begin, len(where)))
+            for k in range(0, len(begin), 50_000):
+                cols = ids[:, begin[k:k + 50_000]]
+                spelt = zip(*(map(spelled, c.tolist()) for c in cols[1:]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([names[x] for x in cols[0].tolist()], pa.string()),
+                     pa.array(list(map(b" ".join, spelt)), pa.binary()).cast(pa.string()),
+                     pa.array(np.full(cols.shape[1], n, np.int32)), pa.array(count[k:k + 50_000], pa.int64())], COUNTED)
+    totals = np.bincount(lang, minlength=len(of))
+    yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([""] * len(of)),
+                                      pa.array(np.zeros(len(of), np.int32)), pa.array(totals, pa.int64())], COUNTED)
+
+
+COUNTED = ["lang", "phrase", "words", "f"]
+
+
 def _exact(docs: DataFrame, held, bits: int, longest: int) -> DataFrame:
     """Second pass, in tasks: lang, phrase, words and how often, of n-grams whose hash survived. The row of no words
     has the number of all words."""
@@ -310,53 +356,7 @@ def _exact(docs: DataFrame, held, bits: int, longest: int) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bit = np.frombuffer(held.value, np.uint8)
         for texts, langs in _texts(batches):
-            words, seeds = Words(texts), _seeds(langs)
-            number, first = words.distinct()
-            name = [v or NO_LANG for v in langs]
-            of = {v: k for k, v in enumerate(dict.fromkeys(name))}
-            lang = np.array([of[v] for v in name])[words.text] if len(words.hash) else np.zeros(0, np.int64)
-            known = {}
-
-            def spelled(k: int) -> bytes:
-                got = known.get(k)
-                if got is None:
-                    got = known[k] = words.word(int(first[k]))
-                return got
-
-            for at in range(0, len(words.hash), WORDS):
-                to = min(at + WORDS, len(words.hash))
-                for n, (key, fits) in enumerate(words.keys(seeds, longest, at, to), 1):
-                    place = key >> np.uint64(64 - bits)
-                    hit = (bit[(place >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (place & np.uint64(7)).astype(np.uint8))) & 1
-                    chosen = np.flatnonzero(fits & hit.astype(bool))
-                    if not len(chosen):
-                        continue
-                    order = np.argsort(key[chosen], kind="stable")
-                    where = chosen[order] + at
-                    ids = np.stack([lang[where], *(number[where + k] for k in range(n))])
-                    same = key[chosen][order]
-                    new = np.concatenate([[True], same[1:] != same[:-1]])
-                    differ = np.concatenate([[True], (ids[:, 1:] != ids[:, :-1]).any(axis=0)])
-                    if (differ & ~new).any():  # two n-grams share a hash
-                        order = np.lexsort(ids)
-                        ids = ids[:, order]
-                        differ = np.concatenate([[True], (ids[:, 1:] != ids[:, :-1]).any(axis=0)])
-                    begin = np.flatnonzero(differ)
-                    count = np.diff(np.append(begin, len(where)))
-                    cols = ids[:, begin]
-                    spelt = [list(map(spelled, c.tolist())) for c in cols[1:]]
-                    names = list(of)
-                    for k in range(0, len(begin), 50_000):
-                        cut = slice(k, k + 50_000)
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([names[x] for x in cols[0][cut].tolist()], pa.string()),
-                             pa.array(list(map(b" ".join, zip(*(s[cut] for s in spelt)))), pa.binary()).cast(pa.string()),
-                             pa.array(np.full(len(begin[cut]), n, np.int32)), pa.array(count[cut], pa.int64())],
-                            ["lang", "phrase", "words", "f"])
-            totals = np.bincount(lang, minlength=len(of))
-            yield pa.RecordBatch.from_arrays([pa.array(list(of), pa.string()), pa.array([""] * len(of)),
-                                              pa.array(np.zeros(len(of), np.int32)), pa.array(totals, pa.int64())],
-                                             ["lang", "phrase", "words", "f"])
+            yield from counted(texts, langs, bit, bits, longest)
 
     return docs.mapInArrow(rows, "lang string, phrase string, words int, f long")
 

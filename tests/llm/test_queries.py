@@ -13,7 +13,7 @@ def test_query_matches_its_sql(spark, name):
     assert out["ok"], out
 
 
-def test_all_ten_and_the_pipeline_are_registered(spark):
+def test_all_operators_and_the_pipeline_are_registered(spark):
     names = E.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{k}" for k in range(1, 14)}
     assert "pipeline" in names and set(E.oracle_sql()) <= set(names)
