@@ -17,7 +17,6 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
-import os
 import sys
 
 from ledgerline.config import KanbanConfig, LoadConfig
@@ -119,14 +118,12 @@ def main(argv: list[str] | None = None) -> int:
                              dt.date.fromisoformat(args.end), limit=args.limit)
         sinks.refresh(spark, out, args.out, run_ts)
     elif args.job == "sync-copy":
-        from ledgerline.streaming.incremental import sync_increment
-        keys = ["ProductionDetailId", "Material"]
-        # only a table without any version is new: with versions and no pointer read_current fails
-        prev = sinks.read_current(spark, *os.path.split(args.out.rstrip("/"))) if sinks.versions(spark, args.out) else None
-        run_at = dt.datetime.fromisoformat(args.run_at)
-        out = sync_increment(src("fact_source"), prev, keys, "ModifyTime", run_at,
-                             dt.timedelta(minutes=args.overlap_minutes))
-        sinks.refresh(spark, out, args.out, run_at, keep=3)
+        from ledgerline.sources.keyed_table import KeyedTable, sync
+        source = src("fact_source")
+        table = KeyedTable(spark, args.out, source.schema, ["ProductionDetailId", "Material"], ["ModifyTime"])
+        sync(table, source, "ModifyTime", dt.datetime.fromisoformat(args.run_at), dt.timedelta(minutes=args.overlap_minutes))
+        table.compact()
+        table.vacuum()
     return 0
 
 

@@ -1,8 +1,9 @@
 """Sinks: versioned full refresh, partition load, CSV export.
 
-Parquet tables take no DELETE/UPDATE/MERGE and a table cannot be overwritten while it is read, so
-every refresh writes a new version folder and then moves a small pointer file; readers resolve the
-pointer. A failed or retried job leaves earlier versions untouched.
+Parquet tables take no DELETE/UPDATE/MERGE and a table cannot be overwritten while it is read, so every refresh writes
+new version folders and then publishes one commit that names the current version of every table (``commits``).
+Readers resolve a commit once, so tables of one run are seen together. A failed or retried job leaves earlier
+versions untouched.
 """
 
 from __future__ import annotations
@@ -15,59 +16,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-POINTER = "_CURRENT"
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small file through the Hadoop file system (works on HDFS/S3/local alike): a temporary file of a
-    name of its own, then one rename that replaces the target. The target is never missing in between."""
-    jvm = spark.sparkContext._jvm
-    fs, p = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
-    out = fs.create(tmp, False)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    how = spark.sparkContext._gateway.new_array(rename, 1)
-    how[0] = rename.OVERWRITE
-    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
-    files.rename(tmp, p, how)
+from ledgerline.sources import files
+from ledgerline.sources.commits import GRACE, POINTER, CommitLog
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of a version that no reader resolves any more."""
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)
+    files.delete(spark, path)
 
 
 def versions(spark: SparkSession, target: str) -> list[str]:
-    """Version folders of a table, oldest first; also those of failed runs."""
-    fs, p = _fs(spark, target)
-    if not fs.exists(p):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-    return sorted(n for n in names if n.startswith("v"))
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    stream = fs.open(p)
-    reader = spark.sparkContext._jvm.java.io.BufferedReader(spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-    lines = []
-    line = reader.readLine()
-    while line is not None:
-        lines.append(line)
-        line = reader.readLine()
-    reader.close()
-    return "\n".join(lines)
+    """Version folders of a table by name; also those of failed runs."""
+    return sorted(n for n in files.names(spark, target, folders=True) if n.startswith("v"))
 
 
 def version_tag(run_ts: dt.datetime) -> str:
@@ -76,21 +36,46 @@ def version_tag(run_ts: dt.datetime) -> str:
 
 
 def refresh_all(spark: SparkSession, outputs: dict[str, DataFrame], root: str, run_ts: dt.datetime,
-                keep: int | None = None) -> dict:
+                keep: int | None = None, grace: dt.timedelta = GRACE) -> dict:
     """Full refresh of the tables of one run (the source's DELETE + INSERT): all outputs are written as new
-    versions, then every pointer is switched. No reader sees a mix of old and new versions of one table, and a failure
-    before the switch, also of a repeated run, leaves the previous versions current and whole.
-    ``keep``: remove versions older than the last so many once the new ones are current."""
-    version = version_tag(run_ts)
+    versions, then one commit makes all of them current. No reader sees a mix of two runs, of one table or of several, and
+    a failure before the commit, also of a repeated run, leaves the previous versions current and whole.
+
+    A commit also names the versions before; tables of other runs under ``root`` stay as they are in it. ``keep``: of
+    this run's tables only the last so many versions, by the commits that made them, stay; folders of earlier
+    ones and of failed runs go once the commit is there, folders of runs in progress don't. A run that died without an
+    end counts as in progress for ``grace``."""
+    log, version = CommitLog(spark, root), version_tag(run_ts)
     paths = {name: os.path.join(root, name, version) for name in outputs}
-    for name, df in outputs.items():
-        df.write.mode("errorifexists").parquet(paths[name])
-    for name in outputs:
-        _write_text(spark, os.path.join(root, name, POINTER), json.dumps({"version": version}))
-    for name in outputs if keep else ():
-        for old in versions(spark, os.path.join(root, name))[:-keep]:
-            if old != version:
-                delete_path(spark, os.path.join(root, name, old))
+    with log.run(version):
+        try:
+            for name, df in outputs.items():
+                df.write.mode("errorifexists").parquet(paths[name])
+            for name in outputs:
+                link = os.path.join(root, name, POINTER)
+                if not files.exists(spark, link):
+                    files.write_text(spark, link, json.dumps({"commits": ".."}))
+        except BaseException:
+            for path in paths.values():
+                files.delete(spark, path)
+            raise
+
+        def change(state: dict, number: int) -> dict:
+            tables = state.setdefault("tables", {})
+            for name in outputs:
+                made = [*tables.get(name, []), {"commit": number, "version": version, "run_ts": run_ts.isoformat()}]
+                tables[name] = made[-keep:] if keep else made
+            return state
+
+        log.commit(change)
+    if keep:
+        # in this order: a folder seen here belongs to a run that is still marked, to one that has committed, or to none
+        folders = {name: versions(spark, os.path.join(root, name)) for name in outputs}
+        running = log.running(grace)
+        tables = log.latest()[1]["tables"]
+        for name, found in folders.items():
+            for folder in set(found) - running - {v["version"] for v in tables[name]}:
+                files.delete(spark, os.path.join(root, name, folder))
     return paths
 
 
@@ -100,11 +85,33 @@ def refresh(spark: SparkSession, df: DataFrame, target: str, run_ts: dt.datetime
     return refresh_all(spark, {name: df}, root, run_ts, keep)[name]
 
 
+def read_commit(spark: SparkSession, root: str, names: list[str] | None = None, commit: int | None = None) -> dict[str, DataFrame]:
+    """Tables as one commit names them (the newest, or an earlier one as far as its versions are kept): all tables of
+    ``root``, or ``names``. They are resolved together, so they show the same runs whatever is written meanwhile."""
+    latest, state = CommitLog(spark, root).latest()
+    at, out = latest if commit is None else commit, {}
+    if not 0 < at <= latest:
+        raise FileNotFoundError(f"no commit {at} under {root}")
+    for name, made in state["tables"].items():
+        if names is None or name in names:
+            then = [v["version"] for v in made if v["commit"] <= at]
+            if then:
+                out[name] = spark.read.parquet(os.path.join(root, name, then[-1]))
+    missing = [n for n in names or () if n not in out]
+    if missing:
+        raise FileNotFoundError(f"no version of {missing[0]} at commit {at}")
+    return out
+
+
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame:
-    meta = _read_text(spark, os.path.join(root, name, POINTER))
-    if meta is None:
+    """One table's current version, or a keyed table's rows as of its newest commit."""
+    from ledgerline.sources.keyed_table import KeyedTable
+    link = files.read_text(spark, os.path.join(root, name, POINTER))
+    if link is None:
         raise FileNotFoundError(f"no current version of {name}")
-    return spark.read.parquet(os.path.join(root, name, json.loads(meta)["version"]))
+    if "keyed" in json.loads(link):
+        return KeyedTable.open(spark, os.path.join(root, name)).read()
+    return read_commit(spark, root, [name])[name]
 
 
 def load_partition(df: DataFrame, target: str, date_col: str = "ReportDate", part_col: str = "report_date",

@@ -51,7 +51,7 @@ PRODUCT_CATEGORIES = [("C30", "T"), ("C40", "M3"), ("C50", "BAG")]
 RETURN_RATIOS = [("HEAVY", "0.30"), ("LIGHT", "0.25")]
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-          "documents", "labels"]
+          "documents", "benchmark", "labels"]
 
 
 def _dec(c):
@@ -476,6 +476,13 @@ class StandIns:
             F.col("l_extendedprice").cast("decimal(18,2)").alias("FactAmt"))
 
     # ---- enrichment (J3) and stale-link reset (J4) ----------------------------------------------
+    def known_names(self) -> DataFrame:
+        """Names to look for and their new ones: every identifier of the benchmark texts."""
+        from ledgerline.operators.analytics import IDENTIFIER
+        w = F.explode(F.regexp_extract_all("text", F.lit(IDENTIFIER), F.lit(0)))
+        return self.raw("benchmark").select(w.alias("old_name")).distinct() \
+            .withColumn("new_name", F.concat(F.lit("N_"), F.upper("old_name")))
+
     def foreign_view(self) -> DataFrame:
         """View_GetProductionDetailsAndLPM of the foreign system: return flag N lines (ids repeat)."""
         li = self.raw("lineitem").filter(F.col("l_returnflag") == "N")
