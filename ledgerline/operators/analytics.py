@@ -2,8 +2,7 @@
 
 The source runs these against a live server's internal views; here each one is a DataFrame
 function over exported tables with the same column names, so it runs on any size of export.
-Global shares use a window over an already-aggregated frame whose size is bounded by the number
-of groups (wait types, databases, statuses), never by the raw rows.
+Shares of runs by status use a window over one row per status; ranks and shares over databases use none.
 """
 
 from __future__ import annotations
@@ -12,8 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import fixed
+from ledgerline.operators.ranks import global_rank
 
-__all__ = ["pattern_census", "rename_refs", "statement_text", "cost_topk", "wait_share", "candidate_rank",
+__all__ = ["pattern_census", "names_census", "rename_refs", "rename_names", "statement_text", "cost_topk", "wait_share", "candidate_rank",
            "frag_class", "block_pairs", "size_rollup", "inventory_rollup", "run_summary", "compare_runs"]
 
 
@@ -63,6 +63,57 @@ def rename_refs(texts: DataFrame, id_col: str, text_col: str, names: list[tuple[
     return texts.select(id_col, n.alias("n_replaced"), t.alias("new_text"))
 
 
+#: An identifier of a statement.
+IDENTIFIER = "[A-Za-z_][A-Za-z0-9_]*"
+_SHELVES = 1024
+
+
+def _shelved(names: DataFrame, name_col: str, value: Column) -> Column:
+    """A dictionary as one value: an array of 1,024 shelves by the name's hash, so a lookup reads one shelf. It is a scalar
+    subquery, so its size is bounded by what a driver may hold: some 100,000 names."""
+    shelves = names.filter(F.col(name_col).isNotNull()).groupBy(F.col(name_col).alias("__n")).agg(F.max(value).alias("__v")) \
+        .groupBy(F.pmod(F.xxhash64("__n"), F.lit(_SHELVES)).cast("int").alias("__s")) \
+        .agg(F.map_from_entries(F.collect_list(F.struct("__n", "__v"))).alias("__m"))
+    by_number = shelves.agg(F.map_from_entries(F.collect_list(F.struct("__s", "__m"))).alias("__all"))
+    return by_number.select(F.transform(F.sequence(F.lit(0), F.lit(_SHELVES - 1)), lambda k: F.element_at("__all", k))).scalar()
+
+
+def names_census(texts: DataFrame, text_col: str, names: DataFrame, name_col: str) -> DataFrame:
+    """K1 for names: per name, the number of texts that hold it as an identifier, all its occurrences and the share of
+    texts; names that no text holds have zeros. A name counts by its characters; NULL and repeated names don't add rows.
+
+    One pass of each text whatever the number of names: its identifiers are counted per task before they are shuffled, and
+    meet the names in an equi join, so the names may be any number."""
+    ids = F.regexp_extract_all(F.col(text_col), F.lit(IDENTIFIER), F.lit(0))
+    mark = lambda words, doc, hit: F.transform(words, lambda w: F.struct(w.alias("w"), F.lit(doc).alias("d"), F.lit(hit).alias("h")))
+    words = texts.select(ids.alias("__i")).select(F.explode(F.concat(mark(F.array_distinct("__i"), 1, 0), mark(F.col("__i"), 0, 1))).alias("__e"))
+    per_word = words.groupBy(F.col("__e.w").alias("__w")).agg(F.sum("__e.d").alias("n_docs"), F.sum("__e.h").alias("n_hits"))
+    asked = names.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct()
+    total = texts.agg(F.count(F.lit(1))).scalar()
+    out = asked.join(per_word, F.col("name") == F.col("__w"), "left")
+    counted = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_docs", "n_hits")]
+    return out.select("name", *counted).withColumn("share", F.try_divide(_dbl("n_docs"), _dbl(total)))
+
+
+def rename_names(texts: DataFrame, id_col: str, text_col: str, names: DataFrame, old: str, new: str) -> DataFrame:
+    """K10 for many names: whole texts in which every identifier that is an ``old`` name is replaced by its ``new`` one, and
+    the number of replacements. Replaced text isn't looked at again; of several new names of one old name the greatest counts;
+    a NULL text has no identifiers and stays NULL.
+
+    One pass of each text whatever the number of names: it is cut at its identifiers once, and each is looked up."""
+    t = F.col(text_col)
+    book = _shelved(names, old, F.col(new))
+    # what stands between identifiers and the identifiers, in turn
+    gaps, found = F.split(t, IDENTIFIER), F.regexp_extract_all(t, F.lit(IDENTIFIER), F.lit(0))
+    lookup = lambda w: F.element_at(F.get("__book", F.pmod(F.xxhash64(w), F.lit(_SHELVES)).cast("int")), w)
+    out = texts.select(F.col(id_col), gaps.alias("__g"), found.alias("__f"), book.alias("__book")).withColumn("__n", F.transform("__f", lookup))
+    pairs = F.zip_with(F.col("__f"), F.col("__n"), lambda f, n: F.coalesce(n, f))
+    text = F.concat_ws("", F.flatten(F.zip_with(F.col("__g"), pairs, lambda g, p: F.array(g, F.coalesce(p, F.lit(""))))))
+    n = F.size(F.filter("__n", lambda x: x.isNotNull()))
+    return out.select(id_col, F.when(F.col("__f").isNull(), 0).otherwise(n).alias("n_replaced"),
+                      F.when(F.col("__f").isNotNull(), text).alias("new_text"))
+
+
 def statement_text(text: Column, start_offset: Column, end_offset: Column) -> Column:
     """The statement inside a batch text from byte offsets of an NVARCHAR buffer (2 bytes per
     character); ``end = -1`` means the end of the text (X12)."""
@@ -158,19 +209,18 @@ def size_rollup(files: DataFrame, top: int = 5) -> DataFrame:
     """Size per database in MB (``CAST(SUM(size) * 8.0 / 1024 AS DECIMAL(10,2))``, here 20 digits),
     its group, share of the total, rank, size bucket, and top-N-or-other label.
 
-    ``files``: database, group_name, recovery_model, size (8 KB pages). The window runs over one row
-    per database."""
+    ``files``: database, group_name, recovery_model, size (8 KB pages). The total is a scalar subquery, the rank comes from
+    counts per range of sizes (``ranks.global_rank``), so no task holds all databases."""
     per_db = files.groupBy("database", "group_name", "recovery_model").agg(
         (F.sum("size") * F.expr("8.0") / F.lit(1024)).cast("decimal(20,2)").alias("size_mb"),
         F.count(F.lit(1)).alias("files"))
-    w = Window.partitionBy()
     gb = _dbl("size_mb") / 1024.0
     bucket = F.when(gb > 50, "XL (>50GB)").when(gb >= 10, "L (10-50GB)").when(gb >= 1, "M (1-10GB)") \
         .otherwise("S (<1GB)")
-    rank = F.rank().over(w.orderBy(F.col("size_mb").desc()))
-    out = per_db.select("database", "group_name", "recovery_model", "files", "size_mb", gb.alias("size_gb"),
-                        (_dbl("size_mb") / _dbl(F.sum("size_mb").over(w))).alias("share"), rank.alias("rank"),
-                        bucket.alias("bucket"))
+    total = per_db.agg(F.sum("size_mb")).scalar()
+    out = global_rank(per_db, "size_mb").select(
+        "database", "group_name", "recovery_model", "files", "size_mb", gb.alias("size_gb"),
+        (_dbl("size_mb") / _dbl(total)).alias("share"), "rank", bucket.alias("bucket"))
     return out.withColumn("top_label", F.when(F.col("rank") <= top, F.col("database")).otherwise(F.lit("other")))
 
 

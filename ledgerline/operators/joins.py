@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "left_on_true", "period_days",
-    "attach_period", "prev_period", "not_in_list", "sum_by_either", "latest_effective",
+    "attach_period", "prev_period", "not_in_list", "not_in_rows", "sum_by_either", "latest_effective",
 ]
 
 
@@ -70,8 +70,7 @@ def not_in_list(df: DataFrame, value: Column, values: DataFrame, list_col: str =
 
     A NULL in the list removes every row; a NULL ``value`` is removed when the list is non-empty.
     Spark plans this as a null-aware anti join, which is a hash join only when the list is
-    broadcast: use it for bounded lists (parameter values). For a list that is an unbounded table,
-    decide the NULL cases explicitly and use a ``left_anti`` join instead.
+    broadcast: use it for bounded lists (parameter values), and ``not_in_rows`` for a list that is an unbounded table.
     """
     v, c = "__nin_v", "__nin_c"
     left, right = df.withColumn(v, value), values.select(F.col(list_col).alias(c))
@@ -79,6 +78,20 @@ def not_in_list(df: DataFrame, value: Column, values: DataFrame, list_col: str =
     return left.join(F.broadcast(right), (F.col(v) == F.col(c)) | (F.col(v) == F.col(c)).isNull(), "left_anti").drop(v)
 
 
+def not_in_rows(df: DataFrame, value: Column, values: DataFrame, list_col: str = "col") -> DataFrame:
+    """``value NOT IN (SELECT col FROM values)`` with SQL's NULL rules (J-15), for a list of any size.
+
+    Whether the list is empty and whether it holds a NULL are two figures of one aggregate: an empty list keeps every row,
+    one with a NULL none, and any other those whose value isn't NULL and isn't in it. The last is a ``left_anti`` equi join on the
+    list's distinct values, so nothing needs to be broadcast, and a value that a third of all rows share is split like
+    any skewed join key."""
+    v, c = "__nin_v", "__nin_c"
+    size = values.agg(F.struct(F.count(F.lit(1)).alias("rows"), F.count(F.col(list_col)).alias("known"))).scalar()
+    may = (size["rows"] == 0) | ((size["rows"] == size["known"]) & F.col(v).isNotNull())
+    right = values.select(F.col(list_col).alias(c)).filter(F.col(c).isNotNull()).distinct()
+    return df.withColumn(v, value).filter(may).join(right, F.col(v) == F.col(c), "left_anti").drop(v)
+
+
 def sum_by_either(df: DataFrame, a: str, b: str, fact: DataFrame, key: str, measure: Column,
                   out_col: str) -> DataFrame:
     """Per row of ``df``: ``SUM(measure)`` over fact rows whose ``key`` equals ``a`` OR ``b`` (J-16).
@@ -107,52 +120,38 @@ def latest_effective(probes: DataFrame, maps: DataFrame, probe_keys: list[Column
     Keys compare with ``=``: pass ``coalesce(x, '')`` for keys the source compares null-safely.
     A probe or mapping with a NULL key matches nothing; every probe row is returned once.
 
-    No pairs are formed and no group is gathered whole. Time is cut into buckets
-    (``date_trunc(bucket)``, an hour by default), so one hot key is spread over many window
-    partitions; the bucket-level window holds one row per bucket of the calendar span per key (about
-    88k hours for a decade):
-      0. mappings of one key at the same instant are reduced to their best (partial aggregation), so
-         a bulk load stamped with one time becomes one row;
-      1. mappings are reduced to ``max(struct(id, value))`` per (keys, bucket) (partial aggregation);
-      2. a running max over bucket-level rows gives, for each probe bucket, the best mapping of all
-         earlier buckets (one row per key and bucket, bounded by the calendar span);
-      3. a running max inside (keys, bucket) over mappings and probes ordered by time (mapping
-         first on ties, since ``ts >= eff`` holds) gives the best mapping of the same bucket;
-      4. the greater of the two by id wins.
-    Probe rows travel as a struct through the window, so no synthetic row id is needed.
+    No pairs are formed, and every window's group is bounded by the clock instead of by the rows. Mappings and probes are
+    first reduced to one row per key and instant (partial aggregation, so neither a bulk load with one time nor a
+    burst of probes grows a group). Time is cut into buckets (an hour by default), these into seconds, and the best
+    mapping is carried downwards: over all buckets before (a row per bucket of a key), over the bucket's seconds before (at
+    most a bucket's seconds), over the second's instants up to the probe's (at most a million). The greatest by id wins.
+    Probe rows then find their instant's result by an equi join whose right side is unique, so a key, or an instant,
+    that a third of all probes share is split like any skewed join key.
     """
-    nk = len(probe_keys)
-    kn = [f"__k{i}" for i in range(nk)]
-    row = F.struct(*[F.col(c) for c in probes.columns]).alias("__row")
-    pk = probes.select(row, *[c.alias(n) for c, n in zip(probe_keys, kn)], F.col(probe_ts).alias("__t"))
-    valid = reduce(lambda x, y: x & y, [F.col(n).isNotNull() for n in kn]) & F.col("__t").isNotNull()
+    kn = [f"__k{i}" for i in range(len(probe_keys))]
+    known = lambda cols: reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in cols])
     m = maps.select(*[c.alias(n) for c, n in zip(map_keys, kn)], F.col(map_eff).alias("__t"),
                     F.struct(F.col(map_id).alias("id"), F.col(map_value).alias("v")).alias("__s"))
-    m = m.filter(reduce(lambda x, y: x & y, [F.col(n).isNotNull() for n in kn]) & F.col("__t").isNotNull()
-                 & F.col("__s.id").isNotNull())
+    m = m.filter(known([*kn, "__t", "__s.id"]))
     vtype = m.schema["__s"].dataType
-    m = m.groupBy(*kn, "__t").agg(F.max("__s").alias("__s"))
-    p_ok = pk.filter(valid).withColumn("__b", F.date_trunc(bucket, F.col("__t")))
-    p_bad = pk.filter(~F.coalesce(valid, F.lit(False)))
-    m = m.withColumn("__b", F.date_trunc(bucket, F.col("__t")))
-
-    # (1) + (2): best mapping strictly before each probe bucket
-    mb = m.groupBy(*kn, "__b").agg(F.max("__s").alias("__s")).withColumn("__kind", F.lit(1))
-    pb = p_ok.select(*kn, "__b").distinct().withColumn("__s", F.lit(None).cast(vtype)).withColumn("__kind", F.lit(0))
-    w1 = Window.partitionBy(*kn).orderBy("__b", "__kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = mb.unionByName(pb).withColumn("__before", F.max("__s").over(w1)) \
-        .filter(F.col("__kind") == 0).select(*kn, "__b", "__before")
-
-    # (3): best mapping in the same bucket, up to the probe's time
-    rtype = pk.schema["__row"].dataType
-    mm = m.select(F.lit(None).cast(rtype).alias("__row"), *kn, "__b", "__t", "__s", F.lit(0).alias("__kind"))
-    pp = p_ok.select("__row", *kn, "__b", "__t", F.lit(None).cast(vtype).alias("__s"), F.lit(1).alias("__kind"))
-    w2 = Window.partitionBy(*kn, "__b").orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding,
-                                                                             Window.currentRow)
-    within = mm.unionByName(pp).withColumn("__in", F.max("__s").over(w2)).filter(F.col("__kind") == 1) \
-        .select("__row", *kn, "__b", "__in")
-
-    found = within.join(before, kn + ["__b"], "left") \
-        .select("__row", F.greatest("__in", "__before")["v"].alias(out_col))
-    missing = p_bad.select("__row", F.lit(None).cast(vtype["v"].dataType).alias(out_col))
-    return found.unionByName(missing).select("__row.*", out_col)
+    p = probes.select("*", *[c.alias(n) for c, n in zip(probe_keys, kn)], F.col(probe_ts).alias("__t"))
+    asked = p.filter(known([*kn, "__t"])).select(*kn, "__t", F.lit(None).cast(vtype).alias("__s"), F.lit(True).alias("__asked"))
+
+    # one row per key and instant: its best mapping, and whether a probe asks for it
+    at = asked.unionByName(m.withColumn("__asked", F.lit(False)))
+    at = at.groupBy(*kn, "__t").agg(F.max("__s").alias("__s"), F.max("__asked").alias("__asked"))
+    second, coarse = F.date_trunc("second", F.col("__t")), F.date_trunc(bucket, F.col("__t"))
+    seconds = at.groupBy(*kn, coarse.alias("__b"), second.alias("__sec")).agg(F.max("__s").alias("__s"))
+    buckets = seconds.groupBy(*kn, "__b").agg(F.max("__s").alias("__s"))
+
+    def before(parts: list[str], order: str, last: int) -> Column:
+        w = Window.partitionBy(*parts).orderBy(order).rowsBetween(Window.unboundedPreceding, last)
+        return F.max("__s").over(w)
+
+    earlier = buckets.select(*kn, "__b", before(kn, "__b", -1).alias("__e"))
+    sooner = seconds.select(*kn, "__b", "__sec", before([*kn, "__b"], "__sec", -1).alias("__f"))
+    carried = sooner.join(earlier, [*kn, "__b"]).select(*kn, "__sec", F.greatest("__e", "__f").alias("__e"))
+    here = at.withColumn("__sec", second)
+    here = here.withColumn("__f", before([*kn, "__sec"], "__t", Window.currentRow)).filter("__asked")
+    found = here.join(carried, [*kn, "__sec"]).select(*kn, "__t", F.greatest("__e", "__f")["v"].alias(out_col))
+    return p.join(found, [*kn, "__t"], "left").select(*[p[c] for c in probes.columns], out_col)

@@ -380,3 +380,66 @@ def inventory_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["inventory_rollup"] = inventory_rollup
+
+
+def names_census(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 over every identifier of the benchmark texts as a name: occurrences in whole document texts."""
+    from ledgerline.operators.analytics import names_census as run
+    src = StandIns.of(spark, sf_dir)
+    return run(src.raw("documents"), "text", src.known_names(), "old_name")
+
+
+def rename_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K10 by a dictionary of many names: whole document texts with every known name replaced."""
+    from ledgerline.operators.analytics import rename_names as run
+    src = StandIns.of(spark, sf_dir)
+    return run(src.raw("documents"), "doc_id", "text", src.known_names(), "old_name", "new_name")
+
+
+def not_in_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-15 with an unbounded list: customers by segment whose key isn't among the open orders' customers, with NULL keys
+    on the left, against the list as it is, with a NULL in it, and empty."""
+    from ledgerline.operators.joins import not_in_rows as run
+    src = StandIns.of(spark, sf_dir)
+    c = src.raw("customer").withColumn("k", F.when(F.col("c_custkey") % 50 != 0, F.col("c_custkey")))
+    o = src.raw("orders").filter(F.col("o_orderstatus") == "O")
+    lists = {"rows": o.select(F.col("o_custkey").alias("k")), "null": o.select(F.nullif("o_custkey", F.lit(7)).alias("k")).unionByName(
+        o.limit(1).select(F.lit(None).cast("bigint").alias("k"))), "empty": o.filter("o_custkey < 0").select(F.col("o_custkey").alias("k"))}
+    out = None
+    for name, values in lists.items():
+        part = run(c, F.col("k"), values, "k").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"), F.count("k").alias("known")) \
+            .withColumn("list", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def open_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-10 for intervals of any length: per order date and brand, the parts on offer that day; offers last some days, a
+    tenth never end (9999-12-31), some have a NULL end (open) or end before they start, and they overlap."""
+    from ledgerline.operators.intervals import interval_join
+    src = StandIns.of(spark, sf_dir)
+    start = F.date_add(F.lit("1992-01-01").cast("date"), (F.col("p_partkey") * 37 % 2400).cast("int"))
+    days = (F.col("p_partkey") % 61 - 5).cast("int")
+    offers = src.raw("part").select("p_brand", "p_size", start.alias("from_day"),
+                                    F.when(F.col("p_partkey") % 10 == 0, F.lit("9999-12-31").cast("date"))
+                                    .when(F.col("p_partkey") % 17 != 0, F.date_add(start, days)).alias("to_day"))
+    orders = src.raw("orders").select(F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderkey")
+    out = interval_join(orders, offers, "o_orderdate", "from_day", "to_day", keep=["p_brand", "p_size"], open_end=True)
+    return out.groupBy("o_orderdate", "p_brand").agg(F.count(F.lit(1)).alias("n"), F.sum("p_size").cast("bigint").alias("size"))
+
+
+def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J-10 with time stamps to the microsecond, by user: events and the error windows that they fall into (each error opens
+    one of some minutes), events outside of all windows once."""
+    from ledgerline.operators.intervals import interval_join
+    e = StandIns.of(spark, sf_dir).raw("events")
+    opened = e.filter(F.col("event_type") == "error").select(
+        "user_id", F.col("event_id").alias("window_id"), F.col("ts").alias("opens"),
+        (F.col("ts") + F.make_dt_interval(mins=(F.col("event_id") % 4000).cast("int"))).alias("closes"))
+    events = e.select("event_id", "user_id", "ts")
+    return interval_join(events, opened, "ts", "opens", "closes", on=["user_id"], how="left", keep=["window_id"]) \
+        .select("event_id", "window_id")
+
+
+QUERIES.update({"names_census": names_census, "rename_names": rename_names, "not_in_rows": not_in_rows,
+                "open_periods": open_periods, "session_windows": session_windows})

@@ -215,3 +215,23 @@ def test_latest_effective_bulk_instants_and_buckets_against_brute_force(spark):
             cand = [(i, v) for i, mk, eff, v in maps if mk == k and eff <= ts]
             want[pid] = max(cand)[1] if cand else None
         assert got == want, bucket
+
+
+def test_latest_effective_burst_within_an_hour(spark):
+    """A third of all probes in one hour, many of them at one instant; mappings at the same instants; microseconds count."""
+    rnd = random.Random(11)
+    at = lambda: T(5) + dt.timedelta(microseconds=rnd.choice([0, 1, 999_999, 1_000_000, rnd.randint(0, 5_000_000)]))
+    maps = [(i, "a", at(), rnd.choice([None, i])) for i in range(60)] + [(100 + i, "b", T(i), i) for i in range(20)]
+    probes = [(j, "a", at()) for j in range(300)] + [(300 + j, rnd.choice(["a", "b", "c"]), T(rnd.randint(0, 30))) for j in range(300)]
+    probes += [(600, "a", None), (601, None, T(5)), (602, "a", T(5)), (602, "a", T(5))]
+    mdf = spark.createDataFrame(maps + [(900, None, T(0), 1), (None, "a", T(0), 2), (901, "a", None, 3)],
+                                "id int, k string, eff timestamp_ntz, v int")
+    pdf = spark.createDataFrame(probes, "pid int, k string, ts timestamp_ntz")
+    for bucket in ("hour", "day", "second"):
+        out = latest_effective(pdf, mdf, [F.col("k")], [F.col("k")], "ts", "eff", "id", "v", "found", bucket=bucket)
+        assert out.columns == ["pid", "k", "ts", "found"]
+        want = []
+        for pid, k, ts in probes:
+            cand = [(i, v) for i, mk, eff, v in maps if mk == k and ts is not None and eff <= ts]
+            want.append((pid, k, ts, max(cand, key=lambda c: c[0])[1] if cand else None))
+        assert sorted(map(str, map(tuple, out.collect()))) == sorted(map(str, want))
