@@ -395,7 +395,7 @@ def collocations(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, to
     wholes = counts.filter("words > 1")
     w = F.split("phrase", " ")
     cuts = [F.struct(F.lit(k).alias("k"), F.lit(left).alias("left"),
-                     F.array_join(F.slice(w, 1, k) if left else F.slice(w, k + 1, F.col("words") - k), " ").alias("part"))
+                     F.array_join(F.slice(w, 1, k) if left else F.slice(w, k + 1, F.greatest(F.col("words") - k, F.lit(0))), " ").alias("part"))
             for k in range(1, longest) for left in (True, False)]
     parts = wholes.select("lang", "phrase", "f", F.explode(F.filter(F.array(*cuts), lambda c: c["k"] < F.col("words"))).alias("c")) \
         .select("lang", F.col("phrase").alias("whole"), F.col("f").alias("a"), "c.k", "c.left", F.col("c.part").alias("phrase"))
