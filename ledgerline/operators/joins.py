@@ -29,24 +29,28 @@ def left_on_true(left: DataFrame, right: DataFrame) -> DataFrame:
     return out.select(*[F.col(c) for c in left.columns], *[F.col("__r")[c].alias(c) for c in right.columns])
 
 
+MOST_DAYS = 3660  # days of a period that are written out
+
+
 def period_days(periods: DataFrame, id_col: str = "ID", start: str = "StartDate", end: str = "EndDate",
                 day_col: str = "__day") -> DataFrame:
-    """One row per (period, day in [start, end]); the size is bounded by the calendar span."""
-    return periods.select(
-        F.col(id_col).alias("__pid"),
-        F.explode(F.sequence(F.col(start).cast("date"), F.col(end).cast("date"))).alias(day_col),
-        *[F.col(c) for c in periods.columns if c != id_col],
-    )
+    """One row per (period, day in [start, end]). A period of more than ten years fails: ``intervals.interval_join`` takes
+    those."""
+    first, last = F.col(start).cast("date"), F.col(end).cast("date")
+    days = F.when(F.datediff(last, first) >= MOST_DAYS, F.raise_error(F.lit(f"a period of over {MOST_DAYS} days: use interval_join"))
+                  .cast("array<date>")).when(first <= last, F.sequence(first, last))
+    return periods.select(F.col(id_col).alias("__pid"), F.explode(days).alias(day_col), *[F.col(c) for c in periods.columns if c != id_col])
 
 
 def attach_period(df: DataFrame, date_col: str, periods: DataFrame, how: str = "inner",
                   id_col: str = "ID", start: str = "StartDate", end: str = "EndDate",
                   out_col: str = "PeriodID", keep: tuple = ()) -> DataFrame:
-    """``df JOIN periods ON df.date BETWEEN start AND end`` (J-10) as an equi join on the day.
+    """``df JOIN periods ON df.date BETWEEN start AND end`` (J-10) for a calendar of periods, as an equi join on the day.
 
-    Periods are exploded to days, so the join is a hash join on a date instead of a nested loop;
-    overlapping periods keep BETWEEN's multiplicity. ``periods`` is a calendar: its day table has a row per day and
-    period (a few thousand for decades), whatever the facts hold, and is broadcast.
+    Periods are written out as days, so the join is a hash join on a date instead of a nested loop; overlapping periods
+    keep BETWEEN's multiplicity. ``periods`` is a calendar (months of some years): its day table has a row per day and
+    period, whatever the facts hold, and is broadcast. Long or open-ended periods, time stamps, and tables of periods that
+    grow with the data are ``intervals.interval_join``'s.
     """
     days = period_days(periods.select(id_col, start, end, *keep), id_col, start, end)
     days = days.select(F.col("__pid").alias(out_col), "__day", *keep)
