@@ -18,7 +18,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.config import KanbanConfig
@@ -27,7 +27,7 @@ from ledgerline.functions.exprs import (category_group, flag_or_true, live_or_nu
 from ledgerline.functions.timefilters import date_lit, in_month, in_year
 from ledgerline.operators.joins import attach_period, left_on_true, not_in_list, sum_by_either
 from ledgerline.operators.params import in_param_list, split_param
-from ledgerline.operators.sets import keyed_measures, union_all
+from ledgerline.operators.sets import keyed_measures
 
 def _zero() -> "F.Column":
     return F.lit(0).cast("decimal(18,2)")
@@ -347,12 +347,13 @@ def stage_returns(src, cfg: KanbanConfig, periods: DataFrame, proj: DataFrame) -
 # ------------------------------------------------------------------------------------------------
 # 1e / 1f: boards
 # ------------------------------------------------------------------------------------------------
-def _scope_sum(stage: DataFrame, scope_ids: DataFrame, keys: list[str], measures: list[str],
-               period_col: str = "PeriodID", shift: int = 0) -> DataFrame:
-    """Sum a stage over the periods of one scope; ``shift=1`` reads period ``id - 1`` (J-11)."""
-    ids = scope_ids.select((F.col("ID") - F.lit(shift)).alias("__scope"))
-    j = stage.join(F.broadcast(ids), F.col(period_col) == F.col("__scope"))
-    return j.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])
+def _scope_sums(stage: DataFrame, current: Column, keys: list[str], measures: list[str], previous: tuple = ()) -> DataFrame:
+    """A stage read once, each measure summed over every time scope (A10): ``now_`` over the periods that hold yesterday (ids
+    in ``current``), ``year_`` over all periods, and for ``previous`` ones ``last_`` over the period before (J-11)."""
+    now = F.array_contains(current, F.col("PeriodID"))
+    before = F.array_contains(current, F.col("PeriodID") + F.lit(1))
+    sums = [F.sum(F.when(now, F.col(m))).alias(f"now_{m}") for m in measures] + [F.sum(m).alias(f"year_{m}") for m in measures]
+    return stage.groupBy(*keys).agg(*sums, *[F.sum(F.when(before, F.col(m))).alias(f"last_{m}") for m in previous])
 
 
 def _join_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -365,76 +366,66 @@ def _join_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]])
     return out.drop(*[f"__r_{rcol}" for _, rcol in pairs])
 
 
-def _scopes(periods: DataFrame, cfg: KanbanConfig) -> tuple[DataFrame, DataFrame]:
-    tt1 = periods.filter(date_lit(cfg.yday).between(F.col("StartDate"), F.col("EndDate"))).select("ID")
-    return tt1, periods.select("ID")
+def _current(periods: DataFrame, cfg: KanbanConfig) -> tuple[Column, Column]:
+    """The ids of the periods that hold yesterday (an array, a scalar subquery over a year's periods), and whether there is one:
+    TimeType 1 rows exist only then (the source's WHERE)."""
+    now = periods.filter(date_lit(cfg.yday).between(F.col("StartDate"), F.col("EndDate"))).select("ID")
+    return now.agg(F.collect_set("ID")).scalar(), now.exists()
+
+
+def _by_scope(sums: DataFrame, keys: list[str], measures: list[str], extra: dict[str, tuple[Column, Column]], any_now: Column) -> DataFrame:
+    """A row per time scope from one row with all scopes' sums; ``extra``: columns with a value for each scope."""
+    def scope(k: int, prefix: str) -> Column:
+        return F.struct(F.lit(k + 1).alias("TimeType"), *[F.col(f"{prefix}_{m}").alias(m) for m in measures],
+                        *[v[k].alias(n) for n, v in extra.items()])
+    both = F.array(scope(0, "now"), scope(1, "year"))
+    return sums.select(*keys, F.explode(both).alias("__s")).select(*keys, "__s.*").filter((F.col("TimeType") == 2) | any_now)
 
 
 def board_sales(src, cfg: KanbanConfig, stages: dict | None = None) -> DataFrame:
     """Output 3 (``WorkbenchKanbanSales``): TimeType 1 = the period holding yesterday, TimeType 2 =
     all this year's periods. Target quantity counts only on the advance payment type; target amount
     and profit target repeat on every payment type; LastFinalQty is the previous period's quantity
-    among this year's production (so 0 in the first period) and NULL for TimeType 2."""
+    among this year's production (so 0 in the first period) and NULL for TimeType 2.
+
+    Each stage is read and summed once for all scopes and joined once."""
     st = stages or build_stages(src, cfg)
-    periods, sales, types = st["periods"], st["sales"], st["types"]
-    base = left_on_true(sales, types)
-    tt1, tt2 = _scopes(periods, cfg)
-    outs = []
-    for time_type, scope in [(1, tt1), (2, tt2)]:
-        tg = _scope_sum(st["targets"], scope, PK + ["ProductCategory"], ["TargetFinalQty", "TargetSalesAmt", "ProfitTargetAmt"])
-        pr = _scope_sum(st["prod"], scope, PKP + ["ProductCategory"], ["FinalQty", "SalesAmt"])
-        pf = _scope_sum(st["profit"], scope, PKP + ["ProductCategory"], ["ProfitAmt"])
-        b = _join_keys(base, tg, [("TypeName", "ProductCategory"), ("SalesDepartment", "SalesDepartment"),
-                                  ("UserName", "UserName")])
-        b = _join_keys(b, pr, [("TypeName", "ProductCategory"), ("SalesDepartment", "SalesDepartment"),
-                               ("UserName", "UserName"), ("AccountingPaymentType", "AccountingPaymentType")])
-        b = _join_keys(b, pf, [("TypeName", "ProductCategory"), ("SalesDepartment", "SalesDepartment"),
-                               ("UserName", "UserName"), ("AccountingPaymentType", "AccountingPaymentType")])
-        if time_type == 1:
-            last = _scope_sum(st["prod"], scope, PKP + ["ProductCategory"], ["FinalQty"], shift=1) \
-                .withColumnRenamed("FinalQty", "LastFinalQty")
-            b = _join_keys(b, last, [("TypeName", "ProductCategory"), ("SalesDepartment", "SalesDepartment"),
-                                     ("UserName", "UserName"), ("AccountingPaymentType", "AccountingPaymentType")])
-            last_col = F.sum(_z("LastFinalQty"))
-            # TimeType 1 rows exist only when some period holds yesterday (the source's WHERE):
-            # an uncorrelated EXISTS, evaluated once
-            b = b.filter(tt1.exists())
-        else:
-            last_col = F.lit(None).cast("decimal(38,6)")
-        tq = F.when(F.col("AccountingPaymentType") != F.lit(cfg.payment_else), _zero()).otherwise(F.col("TargetFinalQty"))
-        outs.append(b.groupBy("RegionID", "SalesDepartment", "UserName", "TypeName", "SalesmanID",
-                              "AccountingPaymentType").agg(
-            F.lit(time_type).alias("TimeType"),
-            F.sum(_z(tq)).alias("TargetFinalQty"), F.sum(_z("FinalQty")).alias("FinalQty"),
-            F.sum(_z("TargetSalesAmt")).alias("TargetSalesAmt"), F.sum(_z("SalesAmt")).alias("SalesAmt"),
-            F.sum(_z("ProfitTargetAmt")).alias("ProfitTargetAmt"), F.sum(_z("ProfitAmt")).alias("ProfitAmt"),
-            last_col.cast("decimal(38,6)").alias("LastFinalQty")))
-    cols = ["RegionID", "SalesDepartment", "UserName", "TypeName", "TimeType", "TargetFinalQty", "FinalQty",
-            "TargetSalesAmt", "SalesAmt", "ProfitTargetAmt", "ProfitAmt", "SalesmanID", "AccountingPaymentType",
-            "LastFinalQty"]
-    return union_all(*[o.select(*cols) for o in outs])
+    current, any_now = _current(st["periods"], cfg)
+    targets = ["TargetFinalQty", "TargetSalesAmt", "ProfitTargetAmt"]
+    org = [("TypeName", "ProductCategory"), ("SalesDepartment", "SalesDepartment"), ("UserName", "UserName")]
+    paid = org + [("AccountingPaymentType", "AccountingPaymentType")]
+    b = left_on_true(st["sales"], st["types"])
+    b = _join_keys(b, _scope_sums(st["targets"], current, PK + ["ProductCategory"], targets), org)
+    b = _join_keys(b, _scope_sums(st["prod"], current, PKP + ["ProductCategory"], ["FinalQty", "SalesAmt"], ("FinalQty",)), paid)
+    b = _join_keys(b, _scope_sums(st["profit"], current, PKP + ["ProductCategory"], ["ProfitAmt"]), paid)
+    advance = F.col("AccountingPaymentType") == F.lit(cfg.payment_else)
+    keys = ["RegionID", "SalesDepartment", "UserName", "TypeName", "SalesmanID", "AccountingPaymentType"]
+    measures = ["TargetFinalQty", "FinalQty", "TargetSalesAmt", "SalesAmt", "ProfitTargetAmt", "ProfitAmt"]
+
+    def total(c: str) -> Column:
+        # a NULL payment type keeps its target, as in the source's CASE
+        value = F.when(~advance, _zero()).otherwise(F.col(c)) if c.endswith("_TargetFinalQty") else F.col(c)
+        return F.sum(_z(value)).alias(c)
+
+    sums = b.groupBy(*keys).agg(*[total(f"{p}_{m}") for p in ("now", "year") for m in measures], total("last_FinalQty"))
+    last = F.col("last_FinalQty").cast("decimal(38,6)")
+    out = _by_scope(sums, keys, measures, {"LastFinalQty": (last, F.lit(None).cast("decimal(38,6)"))}, any_now)
+    return out.select("RegionID", "SalesDepartment", "UserName", "TypeName", "TimeType", *measures, "SalesmanID",
+                      "AccountingPaymentType", "LastFinalQty")
 
 
 def board_returns(src, cfg: KanbanConfig, stages: dict | None = None) -> DataFrame:
-    """Output 4 (``WorkbenchKanbanReturn``): target, plan and net return per time scope."""
+    """Output 4 (``WorkbenchKanbanReturn``): target, plan and net return per time scope; each stage is read once."""
     st = stages or build_stages(src, cfg)
-    periods, sales = st["periods"], st["sales"]
-    tt1, tt2 = _scopes(periods, cfg)
-    outs = []
-    for time_type, scope in [(1, tt1), (2, tt2)]:
-        b = sales
-        for stage, m in [(st["return_targets"], "TargetReturnAmt"), (st["return_plans"], "PlanReturnAmt"),
-                         (st["returns"], "ReturnAmt")]:
-            s = _scope_sum(stage, scope, PKP, [m])
-            b = _join_keys(b, s, [(k, k) for k in PKP])
-        if time_type == 1:
-            b = b.filter(tt1.exists())
-        outs.append(b.groupBy("RegionID", "SalesDepartment", "UserName", "SalesmanID", "AccountingPaymentType").agg(
-            F.lit(time_type).alias("TimeType"), F.sum(_z("TargetReturnAmt")).alias("TargetReturnAmt"),
-            F.sum(_z("PlanReturnAmt")).alias("PlanReturnAmt"), F.sum(_z("ReturnAmt")).alias("ReturnAmt")))
-    cols = ["RegionID", "SalesDepartment", "UserName", "TimeType", "TargetReturnAmt", "PlanReturnAmt", "ReturnAmt",
-            "SalesmanID", "AccountingPaymentType"]
-    return union_all(*[o.select(*cols) for o in outs])
+    current, any_now = _current(st["periods"], cfg)
+    b = st["sales"]
+    measures = {"return_targets": "TargetReturnAmt", "return_plans": "PlanReturnAmt", "returns": "ReturnAmt"}
+    for stage, m in measures.items():
+        b = _join_keys(b, _scope_sums(st[stage], current, PKP, [m]), [(k, k) for k in PKP])
+    keys = ["RegionID", "SalesDepartment", "UserName", "SalesmanID", "AccountingPaymentType"]
+    sums = b.groupBy(*keys).agg(*[F.sum(_z(f"{p}_{m}")).alias(f"{p}_{m}") for p in ("now", "year") for m in measures.values()])
+    out = _by_scope(sums, keys, list(measures.values()), {}, any_now)
+    return out.select("RegionID", "SalesDepartment", "UserName", "TimeType", *measures.values(), "SalesmanID", "AccountingPaymentType")
 
 
 def _keep(df: DataFrame, store) -> DataFrame:
