@@ -31,7 +31,7 @@ TOP = 2000
 SHARE = 50  # percent
 SHARES = 16  # parts of a language that are ranked by themselves first
 BUCKET_BYTES = 16 << 20  # bytes of text a bucket of the hash space
-WORDS = 1 << 20  # words counted at once in a task
+WORDS = 1 << 19  # words counted at once in a task
 BLOCK = 1 << 20  # bytes whose words are found at once
 MOST_BITS = 28
 NO_LANG = "und"
