@@ -35,6 +35,8 @@ class KanbanConfig:
     follow_up_stopped: int = fixed.FOLLOW_UP_STOPPED
     # name lookups compare like the source collation (case-insensitive, trailing blanks ignored)
     ci_names: bool = True
+    # a collation for all name columns of a run (``sources.collated``), so groups and DISTINCT follow it, too; None: as read
+    name_collation: str | None = fixed.COLLATION
 
     @property
     def yday(self) -> dt.date:
@@ -60,3 +62,4 @@ class LoadConfig:
     unit_m3: str = fixed.UNIT_M3_SOURCE
     remark_labels: tuple = fixed.REMARK_LABELS_SOURCE
     ci_names: bool = True
+    name_collation: str | None = fixed.COLLATION

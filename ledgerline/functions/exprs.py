@@ -6,15 +6,16 @@ whole-stage codegen; none is a Python UDF.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions import fixed
 
 __all__ = [
     "col_of", "live_strict", "live_or_null", "category_group", "payment_group", "unit_qty",
     "blank_to_null", "positive_or", "not_blank", "flag_or_true", "typed_null", "isnull_keep_type",
-    "text_plus", "to_dec", "name_key",
+    "text_plus", "to_dec", "name_key", "as_text_of", "same_text",
 ]
 
 
@@ -115,3 +116,18 @@ def name_key(c, ci: bool = True) -> Column:
     """Join key for names under the source databases' collation (case-insensitive, trailing
     blanks ignored by ``=``): ``lower(rtrim(x))``. The equality stays an equi join."""
     return F.lower(F.rtrim(col_of(c))) if ci else col_of(c)
+
+
+def as_text_of(df: DataFrame, name: str, c: Column) -> Column:
+    """A text column ``c`` with the collation of ``df``'s text column ``name``, so that the two compare by that one."""
+    kind = df.schema[name].dataType
+    return c.cast(kind).alias("col") if isinstance(kind, T.StringType) and kind != T.StringType() else c.alias("col")
+
+
+def same_text(left: DataFrame, lcol: str, right: DataFrame, rcol: str) -> Column:
+    """``lcol = rcol`` of two frames; where only one of them has a collation (the other comes of literals), by that one."""
+    a, b = left.schema[lcol].dataType, right.schema[rcol].dataType
+    x, y = F.col(lcol), F.col(rcol)
+    if isinstance(a, T.StringType) and isinstance(b, T.StringType) and a != b:
+        x, y = (x.cast(b), y) if a == T.StringType() else (x, y.cast(a))
+    return x == y

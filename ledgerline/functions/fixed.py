@@ -73,3 +73,5 @@ BENIGN_WAITS = [
     "DISPATCHER_QUEUE_SEMAPHORE", "FT_IFTS_SCHEDULER_IDLE_WAIT", "XE_DISPATCHER_WAIT", "XE_DISPATCHER_JOIN",
     "SQLTRACE_INCREMENTAL_FLUSH_SLEEP",
 ]
+# how the source's databases compare text: case-insensitive, trailing blanks ignored
+COLLATION = "UTF8_LCASE_RTRIM"

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.exprs import as_text_of
+
 __all__ = [
     "left_on_true", "period_days",
     "attach_period", "prev_period", "not_in_list", "not_in_rows", "sum_by_either", "latest_effective",
@@ -77,7 +79,8 @@ def not_in_list(df: DataFrame, value: Column, values: DataFrame, list_col: str =
     broadcast: use it for bounded lists (parameter values), and ``not_in_rows`` for a list that is an unbounded table.
     """
     v, c = "__nin_v", "__nin_c"
-    left, right = df.withColumn(v, value), values.select(F.col(list_col).alias(c))
+    left = df.withColumn(v, value)
+    right = values.select(as_text_of(left, v, F.col(list_col)).alias(c))
     # null-aware: a row goes if it equals a list value or the comparison is unknown
     return left.join(F.broadcast(right), (F.col(v) == F.col(c)) | (F.col(v) == F.col(c)).isNull(), "left_anti").drop(v)
 
@@ -92,8 +95,9 @@ def not_in_rows(df: DataFrame, value: Column, values: DataFrame, list_col: str =
     v, c = "__nin_v", "__nin_c"
     size = values.agg(F.struct(F.count(F.lit(1)).alias("rows"), F.count(F.col(list_col)).alias("known"))).scalar()
     may = (size["rows"] == 0) | ((size["rows"] == size["known"]) & F.col(v).isNotNull())
-    right = values.select(F.col(list_col).alias(c)).filter(F.col(c).isNotNull()).distinct()
-    return df.withColumn(v, value).filter(may).join(right, F.col(v) == F.col(c), "left_anti").drop(v)
+    left = df.withColumn(v, value)
+    right = values.select(as_text_of(left, v, F.col(list_col)).alias(c)).filter(F.col(c).isNotNull()).distinct()
+    return left.filter(may).join(right, F.col(v) == F.col(c), "left_anti").drop(v)
 
 
 def sum_by_either(df: DataFrame, a: str, b: str, fact: DataFrame, key: str, measure: Column,

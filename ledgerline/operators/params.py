@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.exprs import as_text_of
+
 __all__ = ["param_value", "split_param", "in_param_list"]
 
 
@@ -32,5 +34,5 @@ def _regex_literal(sep: str) -> str:
 def in_param_list(df: DataFrame, value_col: str, params: DataFrame, name: str, sep: str = ",") -> DataFrame:
     """``value IN (SELECT col FROM f_split(...))`` as a left-semi join on the split list. The list is
     the parts of one parameter value (bounded by one text field), so it is broadcast."""
-    lst = F.broadcast(split_param(params, name, sep).distinct())
+    lst = F.broadcast(split_param(params, name, sep).select(as_text_of(df, value_col, F.col("col"))).distinct())
     return df.join(lst, F.col(value_col) == F.col("col"), "left_semi")

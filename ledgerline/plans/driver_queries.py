@@ -25,7 +25,7 @@ def kanban_config(as_of: dt.datetime = AS_OF) -> KanbanConfig:
         as_of=as_of, target_type_group="MonthlyTargetCategory", target_type_exclude="NEWMAT",
         refund_service_type="EXPENSE", prospect_source="PROSPECT",
         category_groups=si.CATEGORY_GROUPS, six_categories=tuple(si.SIX_CATEGORIES),
-        payment_keep=tuple(si.PAYMENT_KEEP), payment_else=si.PAYMENT_ELSE, unit_tonne=si.UNIT_TONNE)
+        payment_keep=tuple(si.PAYMENT_KEEP), payment_else=si.PAYMENT_ELSE, unit_tonne=si.UNIT_TONNE, name_collation=None)
 
 
 def _d(c: str) -> "F.Column":
@@ -167,7 +167,7 @@ def load_config():
                       default_category="STANDARD", default_unit="M3", default_weighbridge_unit="T",
                       default_weighbridge_category="DRY_MORTAR", pro_coeff=2.4, financial_hours=6,
                       unfilled_salesman="UNFILLED", default_type="OWN", unit_tonne="T", unit_m3="M3",
-                      remark_labels=("log:", ";remark:", ";ticket:"))
+                      remark_labels=("log:", ";remark:", ";ticket:"), name_collation=None)
 
 
 LOAD_RUN = dt.datetime(2000, 6, 15, 1, 0, 0)

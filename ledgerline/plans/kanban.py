@@ -22,12 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.config import KanbanConfig
-from ledgerline.functions.exprs import (category_group, flag_or_true, live_or_null, live_strict, name_key,
+from ledgerline.functions.exprs import (category_group, flag_or_true, live_or_null, live_strict, name_key, same_text,
                                         payment_group, unit_qty)
 from ledgerline.functions.timefilters import date_lit, in_month, in_year
 from ledgerline.operators.joins import attach_period, left_on_true, not_in_list, sum_by_either
 from ledgerline.operators.params import in_param_list, split_param
 from ledgerline.operators.sets import keyed_measures
+from ledgerline.sources.collated import CollatedSources, plain
 
 def _zero() -> "F.Column":
     return F.lit(0).cast("decimal(18,2)")
@@ -316,7 +317,7 @@ def stage_return_targets(src, cfg: KanbanConfig, periods: DataFrame, proj: DataF
     t = _in_periods(src("return_targets"), "PeriodID", periods)
     p = proj.select(F.col("ProjectID").alias("__pj"), *PKP, F.col("ProductCategory").alias("__cat"))
     j = ar.join(p, F.col("ProjectID") == F.col("__pj")) \
-        .join(t, (F.col("ProductCategoryType") == F.col("__cat")) & (F.col("PeriodID") - 1 == F.col("__arp")))
+        .join(t, same_text(t, "ProductCategoryType", p, "__cat") & (F.col("PeriodID") - 1 == F.col("__arp")))
     return j.groupBy(*PK, "PeriodID", "AccountingPaymentType").agg(
         F.sum(F.col("__ar") * _z("TargetRatio")).alias("TargetReturnAmt"))
 
@@ -361,7 +362,7 @@ def _join_keys(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]])
     cond = []
     for lcol, rcol in pairs:
         r = r.withColumnRenamed(rcol, f"__r_{rcol}")
-        cond.append(F.col(lcol) == F.col(f"__r_{rcol}"))
+        cond.append(same_text(left, lcol, r, f"__r_{rcol}"))
     out = left.join(r, reduce(lambda a, b: a & b, cond), "left")
     return out.drop(*[f"__r_{rcol}" for _, rcol in pairs])
 
@@ -487,12 +488,14 @@ def with_audit(df: DataFrame, run_ts) -> DataFrame:
 
 def run_kanban(src, cfg: KanbanConfig, persist=None) -> dict[str, DataFrame]:
     """the procedure as one job; returns the four outputs with audit columns (write them
-    together with ``sources.sinks.refresh_all``)."""
+    together with ``sources.sinks.refresh_all``). Names compare by ``cfg.name_collation``; outputs are plain text."""
     if persist is None:
         # a cluster names a shared checkpoint folder: stages survive executor loss without
         # rescanning their facts; without one (local runs, tests) they are cached
         spark = src("periods").sparkSession
         persist = "checkpoint" if spark.conf.get("spark.checkpoint.dir", None) else "persist"
+    if cfg.name_collation:
+        src = CollatedSources(src, cfg.name_collation)
     st = build_stages(src, cfg, persist=persist)
     outs = {
         "WorkbenchKanbanPCMAndClue": board_leads(src, cfg),
@@ -500,4 +503,4 @@ def run_kanban(src, cfg: KanbanConfig, persist=None) -> dict[str, DataFrame]:
         "WorkbenchKanbanSales": board_sales(src, cfg, st),
         "WorkbenchKanbanReturn": board_returns(src, cfg, st),
     }
-    return {k: with_audit(v, cfg.as_of) for k, v in outs.items()}
+    return {k: with_audit(plain(v), cfg.as_of) for k, v in outs.items()}
