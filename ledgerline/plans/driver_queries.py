@@ -443,3 +443,20 @@ def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES.update({"names_census": names_census, "rename_names": rename_names, "not_in_rows": not_in_rows,
                 "open_periods": open_periods, "session_windows": session_windows})
+
+
+DETAILS_OF_DAYS = """
+SELECT r.ReportDate, d.Type, COUNT(*) AS n, CAST(SUM(d.SalesTotalAmt1) AS DOUBLE) AS amt
+FROM {details} d JOIN {reports} r ON d.DailyReportID = r.ID
+WHERE r.isDeleted = 0 AND r.ReportDate BETWEEN :first AND :last AND d.Type <> :without
+GROUP BY r.ReportDate, d.Type"""
+
+
+def details_of_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P24 as SQL text with named parameters: values are bound as typed literals, never pasted into the text."""
+    src = StandIns.of(spark, sf_dir)
+    return spark.sql(DETAILS_OF_DAYS, {"first": dt.date(2000, 6, 1), "last": dt.date(2000, 6, 30), "without": "A' OR '1' = '1"},
+                     details=src.details(), reports=src.reports())
+
+
+QUERIES["details_of_days"] = details_of_days
