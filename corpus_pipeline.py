@@ -40,8 +40,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with digests of the ids and of the text decoded from them."""
     prepare(spark)
-    # a smaller memo than op9's: the workers also keep what the stages before left
-    return bpe_transducer.tokens(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ids=True, memo=80_000)
+    # a smaller memo than op9's, dropped after each task: workers go on to other stages, and keep what those left
+    return bpe_transducer.tokens(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ids=True, memo=80_000, forget=True)
 
 
 STAGES = [("quality rules", quality_rules), ("near duplicates", near_duplicates), ("secrets", secrets),

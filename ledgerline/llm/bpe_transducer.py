@@ -282,6 +282,14 @@ class Codec:
             out.append(got)
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Drop states and memos; the vocabulary stays."""
+        self.segments.clear()
+        self.words.clear()
+        self.transducer._reset()
+        self.vocabulary._hope.clear()
+        self.vocabulary._apart.clear()
+
     def decode(self, ids: Iterable[np.ndarray]) -> Iterator[str]:
         """Texts of a stream of id chunks, each as soon as its characters are whole."""
         machine, name = Utf8Machine(), self.vocabulary.bytes_of
@@ -298,11 +306,12 @@ def codec(path: str, pattern: str, memo: int = MAX_SEGMENTS) -> Codec:
     return Codec(ranks, pattern, memo)
 
 
-def tokens(docs: DataFrame, path: str, pattern: str, ids: bool = False, memo: int = MAX_SEGMENTS) -> DataFrame:
+def tokens(docs: DataFrame, path: str, pattern: str, ids: bool = False, memo: int = MAX_SEGMENTS, forget: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 (and ids, array<int>) per row of docs (doc_id, text).
 
-    path: a rank file that every executor has. memo: segments and words that a worker keeps the ids of. Whole texts; null counts as empty, which has no ids
-    and the digests of empty strings. Other columns are ignored; repeated rows give a row each; a null
+    path: a rank file that every executor has. memo: segments and words that a worker keeps the ids of; with ``forget`` it
+    drops them and its states at the end of each task, for jobs whose other stages need the memory. Whole texts; null counts
+    as empty, which has no ids and the digests of empty strings. Other columns are ignored; repeated rows give a row each; a null
     doc_id stays null; an empty table gives no rows. The second digest is of the ids decoded again.
     """
 
@@ -324,6 +333,8 @@ def tokens(docs: DataFrame, path: str, pattern: str, ids: bool = False, memo: in
                 ends = np.cumsum([0, *(len(x) // 4 for x in coded)])
                 cols.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())))
             yield pa.RecordBatch.from_arrays(cols, names)
+        if forget:
+            c.forget()
 
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * ids]
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string")).mapInArrow(

@@ -75,3 +75,16 @@ def test_tables(spark, make):
 def test_empty_table(spark):
     assert B.tokens(no_docs(spark), PATH, P.PATTERN).collect() == []
     assert len(odd_rows()) > 0
+
+
+def test_a_codec_that_forgets_goes_on_as_before(spark):
+    c = B.Codec(RANKS, P.PATTERN)
+    for text in ("the river ran past the old mill", "é 12 日本", ""):
+        want = LIB.encode_ordinary(text)
+        assert np.frombuffer(c.encode(text), "<u4").tolist() == want
+        c.forget()
+        assert not c.words and not c.segments and len(c.transducer.keys) == 1 and not c.vocabulary._apart
+        assert np.frombuffer(c.encode(text), "<u4").tolist() == want
+    d = odd_docs(spark)
+    keep, drop = (sorted(map(str, B.tokens(d, PATH, P.PATTERN, ids=True, forget=f).collect())) for f in (False, True))
+    assert keep == drop
