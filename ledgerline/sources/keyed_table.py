@@ -26,6 +26,7 @@ from ledgerline.streaming.incremental import latest_per_key
 BUCKET, SEQ = "__bucket", "__seq"
 MOST_DELTAS = 8  # a bucket with more is compacted
 DELTA_SHARE = 0.25  # and so is one whose deltas have this share of its base's bytes
+MOST_FOLDERS = 64  # folders of buckets with deltas; the buckets of older ones are compacted, so that plans stay small
 KEPT = 3  # commits whose folders stay for readers
 
 
@@ -143,9 +144,10 @@ class KeyedTable:
         return None if rows is None else latest_per_key(rows, [*self.keys, BUCKET], [*self.order, SEQ])
 
     def read(self) -> DataFrame:
-        """The table as of its newest commit: buckets without deltas are read as they lie, without a shuffle."""
+        """The table as of its newest commit: buckets without deltas are read as they lie, by one scan without a shuffle."""
         parts = self.log.latest()[1].get("parts", {})
-        whole = self._rows(parts, [b for b, p in parts.items() if len(p) == 1])
+        paths = [f"{self.path}/{p[0][0]}/{BUCKET}={b}" for b, p in parts.items() if len(p) == 1]
+        whole = self.spark.read.schema(self.schema).parquet(*paths) if paths else None
         merged = self._merged(parts, [b for b, p in parts.items() if len(p) > 1])
         out = None
         for d in (whole, merged):
@@ -160,10 +162,13 @@ class KeyedTable:
 
     def compact(self, most_deltas: int = MOST_DELTAS, share: float = DELTA_SHARE) -> list[int]:
         """Rewrite the buckets with more than ``most_deltas`` deltas, or whose deltas have ``share`` or more of their base's
-        bytes; deltas that are committed meanwhile stay beside the new base. The buckets."""
+        bytes, or that lie in more than MOST_FOLDERS folders together; deltas that are committed meanwhile stay beside the
+        new base. The buckets."""
         parts = self.log.latest()[1].get("parts", {})
-        due = [b for b, p in parts.items()
-               if len(p) > 1 and (len(p) - 1 > most_deltas or sum(n for _, _, n in p[1:]) >= share * p[0][2])]
+        split = {b: p for b, p in parts.items() if len(p) > 1}
+        old = {f for _, f in sorted({(seq, f) for p in split.values() for f, seq, _ in p})[:-MOST_FOLDERS]}
+        due = [b for b, p in split.items() if len(p) - 1 > most_deltas or sum(n for _, _, n in p[1:]) >= share * p[0][2]
+               or any(f in old for f, _, _ in p)]
         if not due:
             return []
         folder, read = f"b{uuid.uuid4().hex}", {b: [f for f, _, _ in parts[b]] for b in due}

@@ -147,6 +147,18 @@ def test_a_batch_writes_its_buckets_and_compaction_those_that_need_it(spark):
     assert "Exchange" not in table.read()._jdf.queryExecution().executedPlan().toString()
 
 
+def test_buckets_of_too_many_folders_are_compacted(spark, monkeypatch):
+    from ledgerline.sources import keyed_table
+    monkeypatch.setattr(keyed_table, "MOST_FOLDERS", 2)
+    table = keyed(spark)
+    table.append(rows(spark, *((k, "a", 0, 0) for k in range(40))))
+    for k in (1, 11, 21):
+        table.append(rows(spark, (k, "a", 1, 1)))
+    assert table.compact(most_deltas=9, share=10.0) == [0, 1, 2]  # all have their base in the oldest folder
+    assert table.read().count() == 40 and table.read().filter("v = 1").count() == 3
+    assert table.compact(most_deltas=9, share=10.0) == []
+
+
 def test_repeated_batches_change_nothing(spark):
     table = keyed(spark)
     merge = delta_merger(table, "stream", compact_every=2)
