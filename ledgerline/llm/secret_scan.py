@@ -2,7 +2,7 @@
 
 Rule expressions are parsed to a nondeterministic automaton over byte classes, made deterministic by subset
 construction, minimised by partition refinement and stored as one transition array (state x byte class) and
-one array of rule bits per state. One pass over a batch's bytes moves all rules at once.
+one array of rule sets per state. One pass over a batch's bytes moves all rules at once.
 
 The pass is vectorised: a batch's texts, set apart by a byte that no rule reads, are cut into equal lanes that
 step together. Lanes start in the start state; where a lane's predecessor ended in another state, the lane is
@@ -135,7 +135,8 @@ class Automaton:
     classes: np.ndarray  # byte to class, uint8
     step: np.ndarray  # (state, class) to state, int32, flat
     width: int  # classes
-    bits: np.ndarray  # state to rules that end there
+    bits: np.ndarray  # state to the number of the set of rules that end there; 0: none
+    ends: np.ndarray  # rule, number of a set: does it hold the rule?
     start: int
 
 
@@ -191,9 +192,12 @@ def compile_rules(expressions: tuple[str, ...], most_states: int = 60_000) -> Au
                     raise ValueError(f"the rules need more than {most_states} states")
             row.append(known[x])
         rows.append(row)
-    bits = np.array([sum({final[s] for s in x if s in final}) for x in sets], np.int64)
+    # sets of rules by number, so their count has no bound
+    number: dict[int, int] = {0: 0}
+    bits = np.array([number.setdefault(sum({final[s] for s in x if s in final}), len(number)) for x in sets], np.int32)
+    ends = np.array([[m >> r & 1 for m in number] for r in range(len(expressions))], bool).reshape(len(expressions), -1)
     step, bits, begin = _moore(np.array(rows, np.int64), bits)
-    return Automaton(classes, np.ascontiguousarray(step, np.int32).ravel(), width, bits, begin)
+    return Automaton(classes, np.ascontiguousarray(step, np.int32).ravel(), width, bits, ends, begin)
 
 
 @lru_cache(None)
@@ -237,11 +241,11 @@ def walk(a: Automaton, data: np.ndarray, lanes: int = LANES) -> np.ndarray:
 def _spans(text: bytes, states: np.ndarray, a: Automaton, rules: tuple[Rule, ...],
            finds: tuple[re.Pattern, ...]) -> list[tuple[int, int, int]]:
     """(start, end, rule) in bytes, by start and then rule."""
-    bits = a.bits[states]
+    sets = a.bits[states]
     at_start = np.flatnonzero(states == a.start)
     out = []
     for r, (rule, find) in enumerate(zip(rules, finds)):
-        hits = np.flatnonzero(bits >> r & 1)
+        hits = np.flatnonzero(a.ends[r][sets])
         if not len(hits):
             continue
         runs = np.flatnonzero(np.diff(hits, prepend=-2) != 1)

@@ -76,3 +76,13 @@ def test_redaction_leaves_everything_else(spark):
     text = "é [redacted] and [redacted]."
     assert got == {1: (text, len(text)), 2: ("plain", 5), 3: (None, None)}
     assert len(S.redacted(odd_docs(spark)).collect()) == len(odd_rows())
+
+
+def test_any_number_of_rules():
+    """More rules than an integer has bits, several of which end at the same place."""
+    names = [f"k{k // 10}{k % 10}" for k in range(70)]
+    rules = tuple(S.Rule(n, f"{n}[0-9]+", f"{n}[0-9]+", 0, 5) for n in names) + (S.Rule("any", "k[0-9]+", "k[0-9]+", 0, 8),)
+    text = " ".join(f"{n}{k:02d}" for k, n in enumerate(names)).encode() + b" k07999999"
+    want = sorted(((m.start(), m.end(), r) for r, rule in enumerate(rules) for m in re.finditer(rule.find.encode(), text)
+                   if m.end() - m.start() >= rule.least), key=lambda x: (x[0], x[2]))
+    assert S.scan_texts([text, b"", b"k"], rules) == [want, [], []] and len(want) == 72
