@@ -207,13 +207,18 @@ class _Encoder:
     """A tokenizer file of the tokenizers library. The pattern before its merges can't cross a plain space or a single
     line end between other characters, so texts are cut there and ids of such segments are memoised, up to a bound.
     A segment is a word behind its space, or a line's first word with the line end before it. A full stop or comma
-    behind a letter is a match of its own, so only the word before it goes to the library."""
+    behind a letter is a match of its own, so only the word before it goes to the library. With ``names``, texts that hold
+    the name of an added token (rare) go to the library whole, which gives its id; without, the name is ordinary text."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, names: bool = False) -> None:
         from tokenizers import Tokenizer
 
         from ledgerline.llm.bpe_transducer import Codec
 
+        self.whole = Tokenizer.from_file(path)
+        self.whole.no_truncation()
+        self.whole.no_padding()
+        self.names = [t.content for t in self.whole.get_added_tokens_decoder().values()] if names else []
         self.t = Tokenizer.from_file(path)
         self.t.encode_special_tokens = True  # their strings in a text are ordinary text
         self.odd = Codec._ODD.search
@@ -257,6 +262,15 @@ class _Encoder:
             known[s] = known[s[:-1]] + marks[s[-1]]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        named = [k for k, t in enumerate(texts) if any(n in t for n in self.names)]
+        if named:
+            out = self._plain(["" if any(n in t for n in self.names) else t for t in texts])
+            for k, e in zip(named, self.whole.encode_batch_fast([texts[k] for k in named], add_special_tokens=False)):
+                out[k] = np.array(e.ids, "<u4")
+            return out
+        return self._plain(texts)
+
+    def _plain(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.known) > MAX_SEGMENTS:
             self.known.clear()
         get, heads, rows, new = self.known.get, [], [], set()
@@ -278,18 +292,19 @@ class _Encoder:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> _Encoder:
+def encoder(path: str, names: bool = False) -> _Encoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
-    return _Encoder(path)
+    return _Encoder(path, names)
 
 
 def write(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
     """Write the ids of all documents to files in ``folder``; one row a file: shard, file, n_docs, n_ids.
 
     Files in the order of shard hold the documents in ascending doc_id order (null ids first; rows that
-    share a doc_id in the order of their texts). Each document's ids end with END_ID.
+    share a doc_id in the order of their texts). Each document's ids are the library's with add_special_tokens=False (the
+    name of an added token in a text becomes its id) and end with END_ID.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,7 +312,7 @@ def write(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
         fs, root = _fs(folder)
         name = f"ids-{shard:06d}.pfor"
         trial = f"{root}/.{name}-{uuid.uuid4().hex}"
-        enc, writer, n_docs, n = encoder(tokenizer), None, 0, 0
+        enc, writer, n_docs, n = encoder(tokenizer, True), None, 0, 0
         fs.create_dir(root, recursive=True)
         with without_cycle_search(), fs.open_output_stream(trial) as out:
             writer = TokenWriter(out)

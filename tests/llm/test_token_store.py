@@ -87,3 +87,22 @@ def test_empty_table_and_a_second_reading(spark):
     manifest = T.write(table(spark, "documents"), PATH, folder)
     once, again = (sorted(map(tuple, T.read_back(spark, manifest, folder).collect()), key=str) for _ in range(2))
     assert once == again and len(once) == 200
+
+
+NAMED = Tokenizer.from_file(PATH)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["a", " ", "word", "\n", "<|endoftext|>", "<|endof", "é"]), max_size=12).map("".join), max_size=5))
+def test_names_of_added_tokens_are_the_librarys_ids(texts):
+    got = T.encoder(PATH, True).encode(texts)
+    assert [a.tolist() for a in got] == [e.ids for e in NAMED.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_a_stored_name_is_one_id(spark):
+    from cases import docs
+
+    d = docs(spark, {1: "end <|endoftext|> here", 2: "plain"})
+    want = np.array([437, 220, 50256, 994, 0], "<u4")
+    row = T.store(d, PATH).where("doc_id = 1").first()
+    assert (row["n_tokens"], row["ids_crc32"]) == (5, zlib.crc32(want.tobytes()))
