@@ -414,7 +414,7 @@ def not_in_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def open_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J-10 for intervals of any length: per order date and brand, the parts on offer that day; offers last some days, a
+    """J-10 for intervals of any length: per order date and brand, that day's orders times the parts on offer; offers last some days, a
     tenth never end (9999-12-31), some have a NULL end (open) or end before they start, and they overlap."""
     from ledgerline.operators.intervals import interval_join
     src = StandIns.of(spark, sf_dir)
@@ -423,9 +423,9 @@ def open_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     offers = src.raw("part").select("p_brand", "p_size", start.alias("from_day"),
                                     F.when(F.col("p_partkey") % 10 == 0, F.lit("9999-12-31").cast("date"))
                                     .when(F.col("p_partkey") % 17 != 0, F.date_add(start, days)).alias("to_day"))
-    orders = src.raw("orders").select(F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderkey")
+    orders = src.raw("orders").groupBy(F.col("o_orderdate").cast("date").alias("o_orderdate")).agg(F.count(F.lit(1)).alias("orders"))
     out = interval_join(orders, offers, "o_orderdate", "from_day", "to_day", keep=["p_brand", "p_size"], open_end=True)
-    return out.groupBy("o_orderdate", "p_brand").agg(F.count(F.lit(1)).alias("n"), F.sum("p_size").cast("bigint").alias("size"))
+    return out.groupBy("o_orderdate", "p_brand").agg(F.sum("orders").alias("n"), F.sum(F.col("orders") * F.col("p_size")).alias("size"))
 
 
 def session_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,7 +17,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from ledgerline.session import build_session  # noqa: E402
 
-from ledgerline.plans.driver_queries import QUERIES  # noqa: E402
+from ledgerline.plans import driver_queries, write_queries  # noqa: E402
+
+QUERIES = driver_queries.QUERIES | write_queries.QUERIES
 
 COLUMNS = {
     "shuffle": ["ShuffleExchangeExec"],
