@@ -16,29 +16,35 @@ RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; failing lines of the others go."""
+    """Rejected documents go; failing lines of the others go. A null or empty text has under ten words and goes. Repeated rows
+    are judged each by itself, whole, however long; extra columns stay; an empty table stays empty."""
     return line_rules.cleaned(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
+    """One document of each group of near copies stays: that of the smallest doc_id, of rows that share it the one with the
+    smallest text. Documents without words or without doc_id link with nothing and stay; extra columns stay; an empty table
+    stays empty."""
     prepare(spark)
     return ngram_join.one_of_each(docs)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Found secrets are replaced by a mark."""
+    """Found secrets are replaced by a mark; overlapping ones by one. Every row stays, null texts stay null, long texts are read
+    whole; extra columns stay; an empty table stays empty."""
     prepare(spark)
     return secret_scan.redacted(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in the order of the mix, sources by equal weights."""
+    """Documents in the order of the mix, sources by equal weights. Every row stays; a null source is a source of its own; rows
+    without doc_id tie and may change places with each other; extra columns stay; an empty table stays empty."""
     return pfair_mix.mixed(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with digests of the ids and of the text decoded from them."""
+    """Token ids of each document, with digests of the ids and of the text decoded from them. A null text counts as empty and has
+    no ids; repeated rows give a row each, a null doc_id stays null; an empty table gives no rows."""
     prepare(spark)
     # a smaller memo than op9's, dropped after each task: workers go on to other stages, and keep what those left
     return bpe_transducer.tokens(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, ids=True, memo=80_000, forget=True)

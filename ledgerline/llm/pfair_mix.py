@@ -177,7 +177,10 @@ def mix(docs: DataFrame, weights: Mapping[str, int] | None = None, default_weigh
 
 def mixed(docs: DataFrame, weights: Mapping[str, int] | None = None, default_weight: int = 1,
           block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """docs in mixed order: partitions are ranges of positions, sorted, so written files hold the mix in order."""
+    """docs in mixed order: partitions are ranges of positions, sorted, so written files hold the mix in order.
+
+    Every row and column is kept; a null source is a source of its own, texts aren't read, so they may be null or of any
+    length; repeated rows and rows without doc_id tie within their source; an empty table stays empty."""
     d, names = placed(docs, weights, default_weight, block_rows)
     p = names["position"]
     return d.repartitionByRange(p).sortWithinPartitions(p).select(*docs.columns)
