@@ -33,9 +33,9 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
 SEPARATORS = "|»›•·→"
-ENDS = r"[.!?…。！？:;]['\"”’»)\]]*[\x20\x09-\x0D]*$"
+ENDS = r"[.!?…。！？:;]['\"”’»)\]]*[\x20\x09-\x0D]*\z"  # \z: nothing behind, as $ means in the SQL; Java's $ also stops before a last line end
 BOILERPLATE = (
-    r"(?i)(cookie (policy|settings|preferences)|(uses|accept( all)?) cookies|privacy policy|terms of (use|service)"
+    r"(?iu)(cookie (policy|settings|preferences)|(uses|accept( all)?) cookies|privacy policy|terms of (use|service)"
     r"|all rights reserved|enable javascript|javascript is (disabled|required)|skip to (main )?content"
     r"|click here|read more|sign (in|up)|log in|subscribe (now|to our)|back to top|share (this|on)"
     r"|follow us|add to cart|lorem ipsum)")
@@ -164,7 +164,7 @@ def quality(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
 
 
 def cleaned(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """docs without rejected documents, and without the failing lines of those that stay (n_chars follows, if
+    """docs without rejected documents (null, empty ones among them), and without the failing lines of those that stay (n_chars follows, if
     docs has it). All columns are kept."""
     d, c = with_rules(docs, rules)
     kept, = fresh(d, "rules_kept")

@@ -1,3 +1,5 @@
+import duckdb
+
 from cases import PROSE, WORDS, docs, no_docs, odd_docs, odd_rows, table
 from harness import compare, duck
 from ledgerline.llm import line_rules as L
@@ -51,3 +53,16 @@ def test_lines_that_fail_are_removed_and_clean_text_stays(spark):
 def test_no_python_in_the_plan(spark):
     plan = L.quality(table(spark, "documents"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_odd_line_ends_and_folded_letters_follow_the_sql(spark):
+    """A stop before U+0085, U+2028 or U+2029 doesn't end a line; letters fold beyond ASCII (long s, Kelvin sign)."""
+    lines = ["one two three.", "one two three.\u0085", "one two three.\u2028", "one two three.\u2029", "please \u017fign up now, all of you here.",
+             "\u212aclic\u212a here", "clic\u212a here to go on with it.", "SIGN UP."]
+    texts = {k: "\n".join(["The river ran past the old mill and the miller counted his sacks by the door."] * 2 + [x] * (1 + k // 8) + [str(k)])
+             for k, x in enumerate(lines * 3)}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR, n_chars BIGINT)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, 'en', 's', 0)", list(texts.items()))
+    out = compare(L.quality(docs(spark, texts)), L.ORACLE, con)
+    assert out["ok"], out
