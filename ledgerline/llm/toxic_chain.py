@@ -198,13 +198,22 @@ def learn(docs: DataFrame, labels: DataFrame, categories: Mapping[str, str] = CA
     n = y.count()
     place = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS))
     chosen = y.withColumn("place", place).where(F.col("place") < F.lit(min(1.0, sample / max(n, 1)) * BUCKETS))
-    # the sample is bounded by its parameter, so it goes to every task
-    rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes("text").alias("text"))
-            .join(F.broadcast(chosen), "doc_id").collect())
-    rows = sorted(rows, key=lambda r: (r["place"], r["doc_id"], bytes(r["text"])))
+    # the sample is bounded by its parameter, so it goes to every task; of rows that share a doc_id one is learned from
+    one = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), as_bytes("text").alias("text"))
+           .join(F.broadcast(chosen.select("doc_id")), "doc_id")
+           .groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("doc_id", "t.text"))
+
+    def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [b" ".join(sorted(words(t))) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary())], ["doc_id", "words"])
+
+    # the driver gets each sampled document's distinct words, not its text
+    rows = one.mapInArrow(bags, "doc_id long, words binary").join(F.broadcast(chosen), "doc_id").collect()
+    rows = sorted(rows, key=lambda r: (r["place"], r["doc_id"]))
     y = np.array([[r[f"c{k}"] for k in range(len(categories))] for r in rows], np.int64).reshape(-1, len(categories))
     folds = np.array([r["place"] % FOLDS for r in rows], np.int64)
-    return Chain([bytes(r["text"]) for r in rows], y, folds)
+    return Chain([bytes(r["words"]) for r in rows], y, folds)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, categories: Mapping[str, str] = CATEGORIES, sample: int = SAMPLE
@@ -213,7 +222,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, categories: Mapping[str, str] =
 
     docs: doc_id, text; labels: doc_id and the columns that ``categories`` read; other columns are ignored. A
     null text counts as empty. Labels that are null or without doc_id are not learned from; a doc_id labelled twice
-    counts as its strictest labels. Without labels every probability is 0.5 at most and nothing is flagged. Repeated
+    counts as its strictest labels; of rows that share a labelled doc_id one is learned from. Very long texts are read
+    whole; of a sampled one the driver gets its distinct words. Without labels every probability is 0.5 at most and nothing is flagged. Repeated
     rows give a row each; a null doc_id stays null; an empty table gives no rows.
     """
     names = list(categories)

@@ -54,3 +54,18 @@ def test_odd_cases(spark):
     got = X.toxicity(docs(spark, {1: "some words", 2: None}), none).collect()
     assert len(got) == 2 and not any(r["toxic"] for r in got) and all(r["p_toxic"] <= 0.5 for r in got)
     assert X.toxicity(no_docs(spark), y).collect() == []
+
+
+def test_the_sample_is_one_row_a_document_and_its_words(spark, monkeypatch):
+    from cases import prepare
+
+    prepare(spark)
+    texts = {1: "Mean words, mean WORDS. " * 50_000, 2: "kind words", 3: None}
+    d = spark.createDataFrame([(k, t) for k, t in texts.items() for _ in range(1 if k == 1 else 400)] + [(1, "other row")], "doc_id long, text string")
+    y = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (3, 0, 0), (2, 0, 0)], LABELS)
+    got = {}
+    monkeypatch.setattr(X, "Chain", lambda bags, y, folds: got.update(bags=bags, y=y))
+    X.learn(d.repartition(5), y)
+    assert len(got["bags"]) == 3 and sum(map(len, got["bags"])) < 60
+    found = {frozenset(X.words(b)) for b in got["bags"]}
+    assert found in [{frozenset(x), frozenset({b"kind", b"words"}), frozenset()} for x in ({b"mean", b"words"}, {b"other", b"row"})]
