@@ -37,8 +37,8 @@ def _bin(level: int) -> Callable[[Column], Column]:
     return lambda x: F.struct(F.lit(level).alias("level"), x.alias("bin"))
 
 
-def interval_bins(start: Column, end: Column, days: bool) -> Column:
-    """An array of (level, bin) that covers [start, end] (whole numbers); empty if start > end, NULL if one is NULL."""
+def _runs(start: Column, end: Column, days: bool) -> list[tuple[int, Column, Column]]:
+    """(level, a, b): the bins from a up to, but without, b that cover [start, end] with the others; none if a >= b."""
     parts = []
     for k in _widths(days):
         # whole bins of this width inside the interval, without those that the next width's bins cover
@@ -48,9 +48,13 @@ def interval_bins(start: Column, end: Column, days: bool) -> Column:
         inner_low = F.shiftleft(-F.shiftright(-start, up), FAN_BITS)
         inner_high = F.shiftleft(F.shiftright(end + 1, up), FAN_BITS)
         covered = inner_low < inner_high
-        runs = [(low, F.when(covered, inner_low).otherwise(high)), (F.when(covered, inner_high).otherwise(high), high)]
-        for a, b in runs:
-            parts.append(F.when(a < b, F.transform(F.sequence(a, F.greatest(a, b - 1)), _bin(k))))
+        parts += [(k, low, F.when(covered, inner_low).otherwise(high)), (k, F.when(covered, inner_high).otherwise(high), high)]
+    return parts
+
+
+def interval_bins(start: Column, end: Column, days: bool) -> Column:
+    """An array of (level, bin) that covers [start, end] (whole numbers); empty if start > end, NULL if one is NULL."""
+    parts = [F.when(a < b, F.transform(F.sequence(a, F.greatest(a, b - 1)), _bin(k))) for k, a, b in _runs(start, end, days)]
     empty = F.array().cast("array<struct<level:int,bin:bigint>>")
     return F.when(start.isNotNull() & end.isNotNull(), F.flatten(F.array(*[F.coalesce(x, empty) for x in parts])))
 
@@ -64,12 +68,14 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def broadcast_if_small(df: DataFrame, factor: int = 1) -> DataFrame:
-    """``df`` with a broadcast hint if its estimate times ``factor`` is within the session's broadcast threshold; else as it
-    is, for the planner to decide by what it sees at run time."""
+def broadcast_if_small(df: DataFrame, factor: int = 1, otherwise: str | None = None) -> DataFrame:
+    """``df`` with a broadcast hint if its estimate times ``factor`` is within the session's broadcast threshold; else with the
+    hint ``otherwise``, or as it is, for the planner to decide by its own estimate."""
     limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
     bound = int(df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(limit)) if not limit.startswith("-") else -1
-    return F.broadcast(df) if estimated_bytes(df) * factor <= bound else df
+    if estimated_bytes(df) * factor <= bound:
+        return F.broadcast(df)
+    return df.hint(otherwise) if otherwise else df
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, point: str, start: str, end: str, on: list[str] = (),
@@ -83,8 +89,10 @@ def interval_join(points: DataFrame, intervals: DataFrame, point: str, start: st
     one row with NULLs (left).
 
     The distinct points (and ``on`` values) are narrow and few where the points are days; they meet the bins in an equi
-    join, and the rows then meet their point's intervals in another. No side is broadcast unless its estimate says that it
-    is small; a point that a third of all rows share is a skewed join key that is split at run time.
+    join, and the rows then meet their point's intervals in another. The planner's estimates don't know how many bins a row
+    becomes, so it may not choose a broadcast of them: bins are broadcast if the most that they can be is small, else
+    both sides are shuffled and merged. A point that a third of all rows share is a skewed join key that is split at run
+    time.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
@@ -96,17 +104,20 @@ def interval_join(points: DataFrame, intervals: DataFrame, point: str, start: st
     if open_end:
         far = number(F.lit("9999-12-31").cast("date")) + (0 if days else DAY_US - 1)
         last = F.coalesce(last, far)
-    bins = intervals.select(*[F.col(c).alias(n) for c, n in names.items()],
-                            F.explode(interval_bins(number(F.col(start)), last, days)).alias("__b"))
-    bins = bins.select(*names.values(), F.col("__b.level").alias("__level"), F.col("__b.bin").alias("__bin"))
+    # the bins of ``interval_bins``, exploded in two steps: bounds are worked out once, and no array holds all bins
+    bounds = intervals.select(*[F.col(c).alias(n) for c, n in names.items()], number(F.col(start)).alias("__from"), last.alias("__to"))
+    runs = [F.struct(F.lit(k).alias("level"), a.alias("a"), b.alias("b")) for k, a, b in _runs(F.col("__from"), F.col("__to"), days)]
+    runs = bounds.select(*names.values(), F.explode(F.array(*runs)).alias("__r")).filter("__r.a < __r.b")
+    bins = runs.select(*names.values(), F.col("__r.level").alias("__level"),
+                       F.explode(F.sequence(F.col("__r.a"), F.col("__r.b") - 1)).alias("__bin"))
     keys = [F.col(c).alias(f"__o{k}") for k, c in enumerate(on)]
     mine = points.withColumns({f"__o{k}": F.col(c) for k, c in enumerate(on)} | {"__p": number(F.col(point))})
     asked = mine.select(*[f"__o{k}" for k in range(len(keys))], "__p").filter(F.col("__p").isNotNull()).distinct()
     asked = asked.withColumn("__b", F.explode(_point_bins(F.col("__p"), days)))
     same = [F.col(f"__o{k}") == F.col(names[c]) for k, c in enumerate(on)]
     here = reduce(lambda a, b: a & b, [F.col("__b.level") == F.col("__level"), F.col("__b.bin") == F.col("__bin"), *same])
-    levels = len(_widths(days))
-    found = asked.join(broadcast_if_small(bins, 4 * levels), here) \
+    most = 2 * ((1 << FAN_BITS) - 1) * len(_widths(days))  # bins of an interval
+    found = asked.join(broadcast_if_small(bins, most, otherwise="merge"), here) \
         .select(*[F.col(f"__o{k}").alias(f"__f{k}") for k in range(len(on))], F.col("__p").alias("__q"), *[names[c] for c in keep])
     match = reduce(lambda a, b: a & b, [F.col("__p") == F.col("__q"), *[F.col(f"__o{k}") == F.col(f"__f{k}") for k in range(len(on))]])
     out = mine.join(found, match, how)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators.analytics import IDENTIFIER, names_census, rename_names
-from ledgerline.operators.intervals import broadcast_if_small, interval_bins, interval_join
+from ledgerline.operators.intervals import broadcast_if_small, estimated_bytes, interval_bins, interval_join
 from ledgerline.operators.joins import not_in_rows
 from ledgerline.operators.ranks import global_rank
 from ledgerline.operators.recon import differing_rows, reconcile
@@ -147,3 +147,23 @@ def test_only_buckets_that_differ_are_compared(spark):
     # NULLs in other columns make other rows
     x, y = (spark.createDataFrame([v], "k string, s string") for v in ((None, "q"), ("q", None)))
     assert tuple(reconcile(x, y).first()) == (1, 1, 1, 1, True)
+
+
+def _interval_plan(spark, tmp_path, n, kind):
+    """The first plan of an interval join over files whose estimate is under the broadcast threshold, their bins over it."""
+    at = F.timestamp_seconds(F.lit(10**9) + F.col("id") * 977 % 10**7).cast(kind)
+    spark.range(n).select(at.alias("s"), (at + F.expr("INTERVAL 40 DAYS")).cast(kind).alias("e"), at.alias("t"), (F.col("id") % 7).alias("g")) \
+        .coalesce(1).write.parquet(f"{tmp_path}/x")
+    x = spark.read.parquet(f"{tmp_path}/x")
+    key, old = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(key, str(2 * estimated_bytes(x)))
+    try:
+        out = interval_join(x.select("t", "g"), x.select("s", "e", "g"), "t", "s", "e", on=["g"], keep=["s"])
+        return out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_the_bins_of_small_files_of_days_are_not_broadcast(spark, tmp_path):
+    plan = _interval_plan(spark, tmp_path, 3000, "date")
+    assert not re.search(r"BroadcastHashJoin \[[^]]*level", plan) and re.search(r"SortMergeJoin \[[^]]*level", plan)
