@@ -167,3 +167,8 @@ def _interval_plan(spark, tmp_path, n, kind):
 def test_the_bins_of_small_files_of_days_are_not_broadcast(spark, tmp_path):
     plan = _interval_plan(spark, tmp_path, 3000, "date")
     assert not re.search(r"BroadcastHashJoin \[[^]]*level", plan) and re.search(r"SortMergeJoin \[[^]]*level", plan)
+
+
+def test_the_bins_of_small_files_of_time_stamps_are_not_broadcast(spark, tmp_path):
+    plan = _interval_plan(spark, tmp_path, 3000, "timestamp_ntz")
+    assert not re.search(r"BroadcastHashJoin \[[^]]*level", plan) and re.search(r"SortMergeJoin \[[^]]*level", plan)
