@@ -127,6 +127,47 @@ def test_daily_load_backfill_equals_single_days(spark):
     full.unpersist()
 
 
+class Replaced:
+    """A source with some frames of its own."""
+
+    def __init__(self, src, **frames):
+        self.src, self.frames = src, frames
+
+    def __call__(self, name):
+        return self.frames[name] if name in self.frames else self.src(name)
+
+
+def test_daily_load_keeps_one_of_equal_rows_whose_report_id_repeats(spark):
+    from ledgerline.plans.daily_load import daily_load
+    src, cfg, run_ts = StandIns.of(spark, SF), dq.load_config(), dt.datetime(2000, 6, 15, 1)
+    records, reports = src("production_records"), src("station_reports")
+    # each record twice, on two days; the days' reports have one id, so both make the same row
+    twice = records.unionByName(records.withColumn("SiteDate", F.col("SiteDate") + F.expr("INTERVAL 1 DAY")))
+    days = reports.select("StationID", "isDeleted", F.explode(F.array("ReportDate", F.date_add("ReportDate", 1))).alias("ReportDate"))
+    for number in (F.lit(7).cast("bigint"), F.lit(None).cast("bigint")):
+        one = days.withColumn("ID", number)
+        got = daily_load(Replaced(src, production_records=twice, station_reports=one), cfg, None, run_ts).persist()
+        known = daily_load(src, cfg, None, run_ts).withColumn("DailyReportID", number).distinct()
+        assert got.count() == got.distinct().count() and known.count() > 0
+        assert known.exceptAll(got).count() == 0
+        got.unpersist()
+
+
+def test_daily_load_is_made_distinct_where_the_reports_join_left_its_rows(spark, capsys):
+    from ledgerline.plans.daily_load import daily_load
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10k")  # the categories only
+    try:
+        df = daily_load(StandIns.of(spark, SF), dq.load_config(), None, dt.datetime(2000, 6, 15, 1))
+        assert df.collect()
+        df.explain()  # as it ran
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    above = capsys.readouterr().out.split("SortMergeJoin")[0]
+    assert "HashAggregate" in above or "SortAggregate" in above
+    assert "Exchange" not in above
+
+
 def test_run_kanban_with_checkpointed_stages_matches_cached(spark):
     src, cfg = StandIns.of(spark, SF), dq.kanban_config()
     cached = kanban.run_kanban(src, cfg, persist="persist")
