@@ -16,6 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.session import runtime_filters
 from ledgerline.sources import files
 from ledgerline.sources.commits import GRACE, POINTER, CommitLog
 
@@ -49,8 +50,9 @@ def refresh_all(spark: SparkSession, outputs: dict[str, DataFrame], root: str, r
     paths = {name: os.path.join(root, name, version) for name in outputs}
     with log.run(version):
         try:
-            for name, df in outputs.items():
-                df.write.mode("errorifexists").parquet(paths[name])
+            with runtime_filters(spark):
+                for name, df in outputs.items():
+                    df.write.mode("errorifexists").parquet(paths[name])
             for name in outputs:
                 link = os.path.join(root, name, POINTER)
                 if not files.exists(spark, link):
@@ -125,7 +127,8 @@ def load_partition(df: DataFrame, target: str, date_col: str = "ReportDate", par
     out = df.withColumn(part_col, F.col(date_col).cast("date"))
     keys = [part_col] + [c for c in sort_by if c in out.columns]
     out = out.sortWithinPartitions(*keys)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(target)
+    with runtime_filters(df.sparkSession):
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(target)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

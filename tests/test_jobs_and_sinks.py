@@ -168,6 +168,25 @@ def test_daily_load_is_made_distinct_where_the_reports_join_left_its_rows(spark,
     assert "Exchange" not in above
 
 
+def test_writes_use_runtime_filters_and_put_the_settings_back(spark):
+    from ledgerline.session import RUNTIME_FILTERS, runtime_filters
+    was = {k: spark.conf.get(k, None) for k in RUNTIME_FILTERS}
+    with pytest.raises(ZeroDivisionError), runtime_filters(spark):
+        assert {k: spark.conf.get(k) for k in RUNTIME_FILTERS} == RUNTIME_FILTERS
+        raise ZeroDivisionError
+    assert {k: spark.conf.get(k, None) for k in RUNTIME_FILTERS} == was
+
+
+def test_a_day_of_the_load_filters_the_shipments_before_they_are_shuffled(spark, monkeypatch, capsys):
+    from ledgerline import session
+    from ledgerline.plans.daily_load import daily_load
+    monkeypatch.setitem(session.RUNTIME_FILTERS, "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold", "0")
+    monkeypatch.setitem(session.RUNTIME_FILTERS, "spark.sql.autoBroadcastJoinThreshold", "-1")
+    with session.runtime_filters(spark):
+        daily_load(StandIns.of(spark, SF), dq.load_config(), dt.date(1995, 6, 17), dt.datetime(2000, 6, 15, 1)).explain()
+    assert "might_contain" in capsys.readouterr().out
+
+
 def test_run_kanban_with_checkpointed_stages_matches_cached(spark):
     src, cfg = StandIns.of(spark, SF), dq.kanban_config()
     cached = kanban.run_kanban(src, cfg, persist="persist")
