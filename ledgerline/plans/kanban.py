@@ -259,10 +259,9 @@ PKP = PK + ["AccountingPaymentType"]
 
 
 def _in_periods(df: DataFrame, col: str, periods: DataFrame) -> DataFrame:
-    """``col IN (SELECT ID FROM #QueryPeriod)``: semi join on one year's period ids (a calendar
-    year holds at most a few dozen periods, so the list is broadcast without a sizing job)."""
-    ids = F.broadcast(periods.select(F.col("ID").alias("__per")).distinct())
-    return df.join(ids, F.col(col) == F.col("__per"), "left_semi")
+    """``col IN (SELECT ID FROM #QueryPeriod)``: one year's period ids (a calendar year holds at most a few dozen) as an array, a
+    scalar subquery. Unlike a semi join, the filter is moved below the facts' own joins, so other years' rows aren't shuffled."""
+    return df.filter(F.array_contains(periods.agg(F.collect_set("ID")).scalar(), F.col(col)))
 
 
 def _by_project(facts: DataFrame, proj: DataFrame, keys: list[str], aggs: dict, how: str = "inner") -> DataFrame:
@@ -434,9 +433,10 @@ def _keep(df: DataFrame, store) -> DataFrame:
     lineage if an executor is lost; ``"checkpoint"`` writes it to the shared folder named by
     ``spark.checkpoint.dir`` and cuts the lineage; False/None keeps nothing."""
     if store == "checkpoint":
-        from ledgerline.session import checkpoint_dir
+        from ledgerline.session import checkpoint_dir, runtime_filters
         checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
+        with runtime_filters(df.sparkSession):
+            return df.checkpoint(eager=True)
     if store:
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     return df

@@ -187,6 +187,22 @@ def test_a_day_of_the_load_filters_the_shipments_before_they_are_shuffled(spark,
     assert "might_contain" in capsys.readouterr().out
 
 
+def test_facts_of_other_years_are_dropped_below_their_joins(spark, capsys):
+    src, cfg = StandIns.of(spark, SF), dq.kanban_config()
+    periods = kanban.query_periods(src, cfg)
+    kept = kanban._in_periods(src("payments"), "PeriodID", periods)
+    kept.explain()
+    below = capsys.readouterr().out.split("Join", 1)[1].split("Subquery", 1)
+    assert "array_contains" in below[0] + below[1].split("Exchange", 1)[0]
+    ids = {r.ID for r in periods.collect()}
+    want = [r for r in src("payments").collect() if r.PeriodID in ids]
+    assert want and sorted(map(str, kept.collect())) == sorted(map(str, want))
+    none = spark.createDataFrame([(1, None), (2, 5), (3, 6)], "k int, PeriodID bigint")
+    some = spark.createDataFrame([(5,), (5,), (None,)], "ID bigint")
+    assert [r.k for r in kanban._in_periods(none, "PeriodID", some).collect()] == [2]
+    assert kanban._in_periods(none, "PeriodID", some.filter("ID > 9")).count() == 0
+
+
 def test_run_kanban_with_checkpointed_stages_matches_cached(spark):
     src, cfg = StandIns.of(spark, SF), dq.kanban_config()
     cached = kanban.run_kanban(src, cfg, persist="persist")
