@@ -14,6 +14,7 @@ match can cross, and ids of such segments and of their pieces are memoised, also
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
@@ -24,13 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import without_cycle_search
+from ledgerline.llm.common import give_back, without_cycle_search
 
 MAX_STATES = 200_000
 MAX_SEGMENTS = 250_000  # and as many words; some 60 MB more than 80,000 of each
 MAX_SEGMENT_CHARS = 64
 CHUNK_IDS = 8192
 MAX_PAIRS = 150_000
+ROWS = 500  # whose ids are held at once
 TRIED = 32
 _FAR = 1 << 60
 
@@ -283,12 +285,15 @@ class Codec:
         return b"".join(out)
 
     def forget(self) -> None:
-        """Drop states and memos; the vocabulary stays."""
+        """Drop states and memos, also what was found out about tokens, and give their memory back; ranks and trie stay."""
         self.segments.clear()
         self.words.clear()
         self.transducer._reset()
-        self.vocabulary._hope.clear()
-        self.vocabulary._apart.clear()
+        v = self.vocabulary
+        for memo in (v._hope, v._apart, v._edges, v._parts):
+            memo.clear()
+        gc.collect()  # also empties Python's lists of spare tuples, which keep whole blocks of memory
+        give_back()
 
     def decode(self, ids: Iterable[np.ndarray]) -> Iterator[str]:
         """Texts of a stream of id chunks, each as soon as its characters are whole."""
@@ -317,7 +322,7 @@ def tokens(docs: DataFrame, path: str, pattern: str, ids: bool = False, memo: in
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path, pattern, memo)
-        for b in batches:
+        for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             with without_cycle_search():
                 coded = [c.encode(t or "") for t in b.column(1).to_pylist()]
                 back = []

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -108,6 +110,23 @@ def without_cycle_search() -> Iterator[None]:
             gc.enable()
 
 
+@lru_cache(None)
+def _trim():
+    """glibc's malloc_trim; None where the C library has none."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError, TypeError):
+        return None
+
+
+def give_back() -> None:
+    """Give a worker's freed memory back to the system, at the end of a task that held much. Workers live on, idle or in the next
+    stage's tasks, and what they keep is missing to the executor."""
+    pa.default_memory_pool().release_unused()
+    if _trim():
+        _trim()(0)
+
+
 def as_bytes(col: str) -> F.Column:
     """A text column's UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(col), F.lit("")).cast("binary")

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import as_bytes, filter_bits, filter_places, fresh, key_filter, materialise, slices_of, sum_slices
+from ledgerline.llm.common import as_bytes, filter_bits, filter_places, fresh, give_back, key_filter, materialise, slices_of, sum_slices
 from ledgerline.llm.graph import components
 
 WORDS = 5
@@ -44,6 +44,7 @@ SLICES = 256
 RANGES = 16  # of the suffix filter
 ROWS = 1000  # whose shingles are held at once
 CACHED_WORDS = 200_000
+HELD = 1 << 19  # shingles that are counted at once
 
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -86,17 +87,26 @@ def _corpus_counts(docs: DataFrame, width: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNTER_BITS, np.int32)
         sets, held = [], 0
+
+        def add() -> None:
+            # only the counters that occur: a full histogram of these few shingles would take more than the counters
+            place, n = np.unique(np.concatenate(sets), return_counts=True)
+            total[place] += n.astype(np.int32)
+
         for b in batches:
             for t in b.column(0):
                 sets.append((shingles(t.as_py(), width) >> np.uint64(64 - COUNTER_BITS)).astype(np.int32))
                 held += len(sets[-1])
-                if held > 1 << 21:
-                    total += np.bincount(np.concatenate(sets), minlength=len(total)).astype(np.int32)
+                if held > HELD:
+                    add()
                     sets, held = [], 0
         _word_hash.clear()
         if sets:
-            total += np.bincount(np.concatenate(sets), minlength=len(total)).astype(np.int32)
+            add()
+        sets.clear()
         yield from slices_of(total, SLICES)
+        del total
+        give_back()
 
     return sum_slices(docs.select("text").mapInArrow(count, "slice int, counts binary"), SLICES, 1 << COUNTER_BITS)
 
@@ -125,6 +135,8 @@ def _index(docs: DataFrame, counts: np.ndarray, width: int, threshold: int) -> D
                 [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(first, pa.int64()),
                  pa.array(prefix, pa.list_(pa.int64()))], ["doc_id", "n", "first", "prefix"])
         _word_hash.clear()
+        seen.clear()
+        give_back()
 
     return docs.mapInArrow(rows, "doc_id long, n long, first long, prefix array<long>")
 
@@ -150,6 +162,8 @@ def _candidate_sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                      pa.array([x.astype(np.int32) for x in ranges], pa.list_(pa.int32()))],
                     ["id", "n", "hashes", "ranges"])
         _word_hash.clear()
+        del bit
+        give_back()
 
     found = docs.mapInArrow(sets, "id long, n long, hashes array<long>, ranges array<int>")
     return found.join(ids, "id", "left_semi")

@@ -21,6 +21,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -140,8 +141,10 @@ def placed(docs: DataFrame, weights: Mapping[str, int] | None = None, default_we
     w = [int((weights or {}).get(s[1:], default_weight)) if s else default_weight for s in order]
     plan = phases([-(-sizes[s] // block_rows) for s in order], w)
     rows = [(order[p.source], p.first_block, p.end_block, p.first_slot, p.weight, p.period, p.slots) for p in plan]
-    table = spark.createDataFrame(
-        rows, f"{src}_ string, b0 long, b1 long, s0 long, w long, period long, slots array<long>")
+    # as an Arrow table: rows of Python objects would be turned by Python workers of their own kind, which stay beside the others
+    kinds = [("b0", pa.int64()), ("b1", pa.int64()), ("s0", pa.int64()), ("w", pa.int64()), ("period", pa.int64()), ("slots", pa.list_(pa.int64()))]
+    table = spark.createDataFrame(pa.Table.from_arrays(
+        [pa.array(x, t) for x, t in zip(zip(*rows), [pa.string(), *[t for _, t in kinds]])], [f"{src}_", *[k for k, _ in kinds]]))
     b = F.col(names["block"])
     parts = [c for c in d.columns if c != src]
     got = d.join(F.broadcast(table), (F.col(src) == F.col(f"{src}_")) & (b >= F.col("b0")) & (b < F.col("b1")))

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -88,3 +89,25 @@ def test_a_codec_that_forgets_goes_on_as_before(spark):
     d = odd_docs(spark)
     keep, drop = (sorted(map(str, B.tokens(d, PATH, P.PATTERN, ids=True, forget=f).collect())) for f in (False, True))
     assert keep == drop
+
+
+def test_a_worker_keeps_nothing_of_a_task_but_the_vocabulary():
+    c = B.Codec(B.codec(PATH, P.PATTERN).vocabulary.ranks, P.PATTERN, 100)
+    text = "Some words, and other words; über 12345 naïve  spaces."
+    ids = c.encode(text)
+    v = c.vocabulary
+    assert v._edges and v._parts and c.transducer.steps
+    c.forget()
+    assert not any((v._hope, v._apart, v._edges, v._parts, c.segments, c.words, c.transducer.steps))
+    assert c.encode(text) == ids == B.codec(PATH, P.PATTERN).encode(text)
+
+
+def test_tokens_of_long_batches_come_in_short_ones(spark, monkeypatch):
+    sizes = []
+    monkeypatch.setattr(B, "ROWS", 3)
+    df = spark.createDataFrame([(k, f"text {k}") for k in range(10)], "doc_id long, text string")
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, f, kind: f)
+    f = B.tokens(df, PATH, P.PATTERN, ids=True, memo=100)
+    for b in f([pa.RecordBatch.from_pydict({"doc_id": list(range(10)), "text": [f"text {k}" for k in range(10)]})]):
+        sizes.append(b.num_rows)
+    assert sizes == [3, 3, 3, 1]

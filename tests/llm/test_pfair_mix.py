@@ -116,3 +116,8 @@ def test_target_weights(spark):
     assert M.target_weights(d, 20) == {"a": 20, "b": 10, "c": 1, None: 6}
     assert M.target_weights(d.where("text IS NULL")) == {"a": 1, "c": 1}
     assert M.target_weights(no_docs(spark)) == {}
+
+
+def test_the_plan_of_slots_needs_no_python_workers(spark):
+    plan = M.placed(table(spark, "documents"))[0]._jdf.queryExecution().analyzed().toString()
+    assert "LocalRelation" in plan and "LogicalRDD" not in plan  # an RDD of Python rows is turned by workers of its own kind
