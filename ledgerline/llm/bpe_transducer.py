@@ -7,8 +7,9 @@ path. It is made deterministic as texts need it: a state is the set of live path
 not yet emitted), and a step emits what all live paths agree on. A path that ends no token within the longest
 token's length dies, which bounds the lookahead. States are kept up to a bound, then built anew.
 
-Pieces (matches of the pattern) are coded separately. A text is cut at plain spaces between other characters, where no
-match can cross, and ids of such segments and of their pieces are memoised, also up to a bound.
+Pieces (matches of the pattern) are coded separately, the different ones of some hundred rows side by side: one array step reads
+a byte of each, so Python runs once for a new step, not for a byte. A text is cut at plain spaces between other characters, where no
+match can cross; ids of such segments and of uncut texts' pieces are memoised, also up to a bound.
 """
 
 from __future__ import annotations
@@ -17,24 +18,30 @@ import base64
 import gc
 import hashlib
 import re
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import give_back, without_cycle_search
 
-MAX_STATES = 200_000
-MAX_SEGMENTS = 250_000  # and as many words; some 60 MB more than 80,000 of each
+MAX_STATES = 400_000
+MAX_SEGMENTS = 250_000  # and as many words of uncut texts
 MAX_SEGMENT_CHARS = 64
 CHUNK_IDS = 8192
 MAX_PAIRS = 150_000
 ROWS = 500  # whose ids are held at once
 TRIED = 32
+FEW = 32  # pieces left, which are read one by one
+RUN = 1 << 18  # segments or pieces looked up at once
 _FAR = 1 << 60
+_LOW = (1 << 32) - 1
 
 
 class Vocabulary:
@@ -140,6 +147,73 @@ class Vocabulary:
         return True
 
 
+def _parts(data: bytes, stops: np.ndarray) -> list[bytes]:
+    """The parts that end at these places."""
+    return [data[a:b] for a, b in pairwise([0, *stops.tolist()])]
+
+
+def _runs(flat: np.ndarray, stops: np.ndarray, sizes: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The parts of ``flat`` with these numbers, one behind the other."""
+    n = sizes[which]
+    after = np.cumsum(n)
+    return flat[np.arange(n.sum()) + np.repeat(stops[which] - after, n)]
+
+
+class Steps:
+    """Known steps of the transducer, state << 8 | byte: state << 32 | number of what is emitted. A dict for pieces read by
+    themselves, and the same in arrays, open addressed, for pieces read side by side."""
+
+    def __init__(self) -> None:
+        self.of: dict[int, int] = {}
+        self.late: list[int] = []  # keys that aren't in the arrays yet
+        self._room(1 << 12)
+
+    def __len__(self) -> int:
+        return len(self.of)
+
+    def _room(self, size: int) -> None:
+        self.keys, self.values = np.full(size, -1, np.int64), np.zeros(size, np.int64)
+        self.shift = np.uint64(65 - size.bit_length())
+        n = len(self.of)
+        self._enter(np.fromiter(self.of, np.int64, n), np.fromiter(self.of.values(), np.int64, n))
+
+    def _places(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+
+    def _enter(self, keys: np.ndarray, values: np.ndarray) -> None:
+        at, last = self._places(keys), len(self.keys) - 1
+        while len(keys):
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]  # of several at one place one stays, the others go on
+            here = self.keys[at] == keys
+            self.values[at[here]] = values[here]
+            keys, values, at = keys[~here], values[~here], (at[~here] + 1) & last
+
+    def add(self, key: int, value: int) -> None:
+        """A step that isn't known yet."""
+        self.of[key] = value
+        self.late.append(key)
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """Values of keys; -1 for those not known."""
+        if 2 * len(self.of) > len(self.keys):
+            self._room(1 << (3 * len(self.of)).bit_length())
+        elif self.late:
+            self._enter(np.array(self.late, np.int64), np.array([self.of[k] for k in self.late], np.int64))
+        self.late.clear()
+        at, last = self._places(keys), len(self.keys) - 1
+        found = self.keys[at]
+        out = np.where(found == keys, self.values[at], -1)
+        left = np.flatnonzero((found != keys) & (found >= 0))
+        while len(left):
+            at[left] = (at[left] + 1) & last
+            found = self.keys[at[left]]
+            hit = found == keys[left]
+            out[left[hit]] = self.values[at[left[hit]]]
+            left = left[~hit & (found >= 0)]
+        return out
+
+
 class Transducer:
     """Deterministic states, built when first reached."""
 
@@ -148,15 +222,43 @@ class Transducer:
         self._reset()
 
     def _reset(self) -> None:
+        #: emitted tokens by number, one behind the other, and where each ends
+        self.numbers: dict[tuple[int, ...], int] = {(): 0}
+        self.emitted, self.ends = array("I"), array("q", [0])
+        self._no_states()
+
+    def _no_states(self) -> None:
         # a state's paths, one behind the other in a flat tuple (nested ones take three times the memory): last token or
         # -1, trie node, number of tokens held back, and these; the path that has read whole tokens is the last
-        self.keys: list[tuple[int, ...]] = [(-1, 0, 0)]
-        self.known = {self.keys[0]: 0}
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}  # state << 8 | byte: (state, emitted)
-        self.finals: list[tuple[int, ...]] = [()]
-        self.same: dict[tuple[int, ...], tuple[int, ...]] = {}  # emitted tokens, once each
+        self.keys: list[tuple[int, ...]] = []
+        self.known: dict[tuple[int, ...], int] = {}
+        self.steps = Steps()
+        self.finals = array("i")
+        self._state((-1, 0, 0), 0)
 
-    def _build(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _state(self, key: tuple[int, ...], final: int) -> int:
+        to = self.known.get(key)
+        if to is None:
+            to = self.known[key] = len(self.keys)
+            self.keys.append(key)
+            self.finals.append(final)
+        return to
+
+    def _number(self, tokens: tuple[int, ...]) -> int:
+        k = self.numbers.get(tokens)
+        if k is None:
+            k = self.numbers[tokens] = len(self.ends)
+            self.emitted.extend(tokens)
+            self.ends.append(len(self.emitted))
+        return k
+
+    def _anew(self, states: list[int]) -> list[int]:
+        """Drop all states but these; what was emitted keeps its number. The new numbers of these states."""
+        kept = [(self.keys[s], self.finals[s]) for s in states]
+        self._no_states()
+        return [self._state(*x) for x in kept]
+
+    def _build(self, state: int, byte: int) -> int:
         v, key = self.v, self.keys[state]
         trie, token_at, live, whole = v.trie, v.token_at, [], None
         at, end = 0, len(key)
@@ -183,30 +285,74 @@ class Transducer:
         for last, node, held in live:
             flat += (last, node, len(held) - agreed)
             flat += held[agreed:]
-        key = tuple(flat)
-        to = self.known.get(key)
-        if to is None:
-            to = self.known[key] = len(self.keys)
-            self.keys.append(key)
-            self.finals.append(self.same.setdefault(first[agreed:], first[agreed:]))
-            self.built += 1
-        out = first[:agreed]
-        got = self.steps[state << 8 | byte] = to, self.same.setdefault(out, out)
-        return got
+        self.built += 1
+        return self._state(tuple(flat), self._number(first[agreed:])) << 32 | self._number(first[:agreed])
 
-    def encode(self, piece: bytes) -> list[int]:
-        if len(self.keys) > self.max_states:
-            self._reset()
-        out: list[int] = []
-        state, step = 0, self.steps.get
+    def _read(self, piece: bytes, state: int) -> list[int]:
+        """Numbers of what is emitted for the rest of a piece."""
+        out, step = [], self.steps.of.get
         for byte in piece:
-            got = step(state << 8 | byte) or self._build(state, byte)
-            state = got[0]
-            if got[1]:
-                out += got[1]
-        out += self.finals[state]
+            got = step(state << 8 | byte)
+            if got is None:
+                got = self._build(state, byte)
+                self.steps.add(state << 8 | byte, got)
+            state = got >> 32
+            if got & _LOW:
+                out.append(got & _LOW)
+            if len(self.keys) > self.max_states:
+                state, step = self._anew([state])[0], self.steps.of.get
+        out.append(self.finals[state])
         return out
 
+    def encode(self, piece: bytes) -> list[int]:
+        return self.encode_all(np.frombuffer(piece, np.uint8), np.array([len(piece)]))[0].tolist()
+
+    def encode_all(self, flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, and how many each has. Pieces, of these sizes, stand one behind the other in ``flat``. They are read
+        side by side, a byte of each at a time, the longest first; the last few to the end one by one."""
+        if len(self.keys) > self.max_states or len(self.ends) > self.max_states:
+            self._reset()
+        order = np.argsort(-sizes, kind="stable")
+        starts = (np.cumsum(sizes) - sizes)[order]
+        falling = -sizes[order]
+        state = np.zeros(len(sizes), np.int64)
+        who, what = [], []  # pieces by their place in the order, and numbers of what is emitted for them
+        n, at = len(sizes), 0
+        while True:
+            n, before = int(np.searchsorted(falling, -at)), n  # those with more than this many bytes
+            who.append(np.arange(n, before))
+            what.append(np.frombuffer(self.finals, np.int32)[state[n:before]])
+            if n < FEW:
+                break
+            key = state[:n] << 8 | flat[starts[:n] + at]
+            got = self.steps.get(key)
+            if got.min() < 0:
+                for k in np.unique(key[got < 0]).tolist():
+                    self.steps.add(k, self._build(k >> 8, k & 255))
+                got = self.steps.get(key)
+            state[:n] = got >> 32
+            out = got & _LOW
+            some = np.flatnonzero(out)
+            who.append(some)
+            what.append(out[some])
+            if len(self.keys) > self.max_states:
+                live, back = np.unique(state[:n], return_inverse=True)
+                # those at their end are done at the start of the next turn, so their states are live, too
+                state[:n] = np.array(self._anew(live.tolist()), np.int64)[back]
+            at += 1
+        left = [(self.keys[x], self.finals[x]) for x in state[:n].tolist()]  # numbers may change on the way
+        for k, x in enumerate(left):
+            rest = self._read(flat[starts[k] + at:starts[k] - falling[k]].tobytes(), self._state(*x))
+            who.append(np.full(len(rest), k))
+            what.append(np.array(rest, np.int64))
+        who, what = np.concatenate(who), np.concatenate(what).astype(np.int64)
+        ends = np.array(self.ends)
+        n_ids = np.diff(ends, prepend=0)
+        counts = np.zeros(len(sizes), np.int64)
+        counts[order] = np.bincount(who, n_ids[what], len(sizes)).astype(np.int64)
+        what = what[np.argsort(order[who], kind="stable")]
+        return _runs(np.array(self.emitted, np.uint32), ends, n_ids, what), counts
+
 
 class Utf8Machine:
     """Incremental UTF-8: bytes come in any cuts, whole characters go out; a cut character waits for its rest.
@@ -249,40 +395,89 @@ class Codec:
         self.segments: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
         self.max_segments = max_segments
+        names = [self.vocabulary.bytes_of.get(r, b"") for r in range(max(ranks.values()) + 1)]
+        sizes = np.fromiter(map(len, names), np.int64, len(names))
+        self.spelled = np.frombuffer(b"".join(names), np.uint8), np.cumsum(sizes), sizes
 
     #: White space beside " " and "\n"; with it, or with spaces in a row or beside line ends, texts aren't cut.
     _ODD = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
-    def _ids(self, text: str) -> bytes:
-        known, out = self.words, []
-        for piece in self.pieces(text):
-            got = known.get(piece)
-            if got is None:
-                got = np.array(self.transducer.encode(piece.encode()), "<u4").tobytes()
-                if len(piece) <= MAX_SEGMENT_CHARS:
-                    if len(known) >= self.max_segments:
-                        known.clear()
-                    known[piece] = got
-            out.append(got)
-        return b"".join(out)
+    def _known(self, known: dict[str, bytes], items: list[str], code: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """Ids of different segments or words, of the new ones by ``code``."""
+        out: list[bytes] = []
+        for at in range(0, len(items), RUN):
+            run = items[at:at + RUN]
+            new = [x for x in run if x not in known]
+            if len(known) + len(new) > self.max_segments:
+                known.clear()
+                new = run
+            if new:
+                known.update(zip(new, code(new), strict=True))
+            out += map(known.__getitem__, run)
+            if len(known) > self.max_segments:
+                known.clear()
+            else:
+                for x in new:
+                    if len(x) > MAX_SEGMENT_CHARS:
+                        del known[x]
+        return out
+
+    def _ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, and how many each has."""
+        ends = np.frombuffer(words.buffers()[1], np.int64, len(words) + 1, 8 * words.offset)
+        flat = np.frombuffer(words.buffers()[2] or b"", np.uint8)[ends[0]:ends[-1]]
+        return self.transducer.encode_all(flat, np.diff(ends))
+
+    def _words(self, new: list[str]) -> list[bytes]:
+        ids, counts = self._ids(pa.array(new, pa.large_string()))
+        return _parts(ids.astype("<u4").tobytes(), 4 * np.cumsum(counts))
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that aren't cut."""
+        cut = [self.pieces(t) for t in texts]
+        words = list({p for c in cut for p in c})
+        ids = dict(zip(words, self._known(self.words, words, self._words)))
+        return [b"".join(map(ids.__getitem__, c)) for c in cut]
+
+    def _segments(self, new: list[str]) -> list[bytes]:
+        """Ids of segments, each with the space before it. All are matched in one text, where that space begins a piece."""
+        pieces = pa.array(self.pieces(" ".join(["", *new])), pa.large_string())
+        coded = pieces.dictionary_encode()
+        ids, counts = self._ids(coded.dictionary)
+        which = coded.indices.to_numpy()
+        after = np.cumsum(counts[which])
+        starts = np.flatnonzero(pc.starts_with(pieces, " ").to_numpy(zero_copy_only=False))
+        return _parts(_runs(ids, np.cumsum(counts), counts, which).astype("<u4").tobytes(), 4 * after[[*starts[1:] - 1, -1]])
+
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts that are cut at their spaces. A segment's ids are looked up once, then put wherever it stands."""
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        ends = lists.offsets.to_numpy()
+        first, last = ends[:-1], ends[1:] - 1
+        inner = np.ones(len(lists.values), bool)
+        inner[first] = inner[last] = False  # the first has no space before it, the last may be empty or end in a line end
+        coded = lists.values.filter(pa.array(inner)).dictionary_encode()
+        ids = self._known(self.segments, coded.dictionary.to_pylist(), self._segments)
+        which = np.empty(len(inner), np.int64)
+        which[inner] = coded.indices.to_numpy()
+        which[last] = np.arange(len(ids), len(ids) + len(texts))
+        which[first] = np.arange(len(texts)) + len(ids) + len(texts)
+        ids += self._whole([" " + t.rpartition(" ")[2] if " " in t else "" for t in texts])
+        ids += self._whole([t.partition(" ")[0] for t in texts])
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat, stops = np.frombuffer(b"".join(ids), np.uint32), np.cumsum(sizes)
+        joined = b"".join([_runs(flat, stops // 4, sizes // 4, which[k:k + RUN]).tobytes() for k in range(0, len(which), RUN)])
+        return _parts(joined, np.cumsum(sizes[which])[last])
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        odd = ["  " in t or "\n " in t or " \n" in t or self._ODD.search(t) is not None for t in texts]
+        whole = iter(self._whole([t for t, o in zip(texts, odd) if o]))
+        cut = iter(self._cut([t for t, o in zip(texts, odd) if not o]))
+        return [next(whole if o else cut) for o in odd]
 
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if "  " in text or "\n " in text or " \n" in text or self._ODD.search(text):
-            return self._ids(text)
-        known = self.segments
-        first, *rest = text.split(" ")
-        out = [self._ids(first)]
-        for s in rest:
-            got = known.get(s)
-            if got is None:
-                got = self._ids(f" {s}")
-                if len(s) <= MAX_SEGMENT_CHARS:
-                    if len(known) >= self.max_segments:
-                        known.clear()
-                    known[s] = got
-            out.append(got)
-        return b"".join(out)
+        return self.encode_all([text])[0]
 
     def forget(self) -> None:
         """Drop states and memos, also what was found out about tokens, and give their memory back; ranks and trie stay."""
@@ -297,9 +492,9 @@ class Codec:
 
     def decode(self, ids: Iterable[np.ndarray]) -> Iterator[str]:
         """Texts of a stream of id chunks, each as soon as its characters are whole."""
-        machine, name = Utf8Machine(), self.vocabulary.bytes_of
+        machine, spelled = Utf8Machine(), self.spelled
         for chunk in ids:
-            yield machine.feed(b"".join(map(name.__getitem__, chunk.tolist())))
+            yield machine.feed(_runs(*spelled, chunk).tobytes())
         yield machine.feed(b"", last=True)
 
 
@@ -324,7 +519,7 @@ def tokens(docs: DataFrame, path: str, pattern: str, ids: bool = False, memo: in
         c = codec(path, pattern, memo)
         for b in (b.slice(at, ROWS) for b in batches for at in range(0, b.num_rows, ROWS)):
             with without_cycle_search():
-                coded = [c.encode(t or "") for t in b.column(1).to_pylist()]
+                coded = c.encode_all([t or "" for t in b.column(1).to_pylist()])
                 back = []
                 for x in coded:
                     h, a = hashlib.sha256(), np.frombuffer(x, "<u4")

@@ -111,3 +111,49 @@ def test_tokens_of_long_batches_come_in_short_ones(spark, monkeypatch):
     for b in f([pa.RecordBatch.from_pydict({"doc_id": list(range(10)), "text": [f"text {k}" for k in range(10)]})]):
         sizes.append(b.num_rows)
     assert sizes == [3, 3, 3, 1]
+
+
+def _words(n, seed=3):
+    r = random.Random(seed)
+    bits = ["th", "ion", "e", "é", "日", "qu", "zz", "ing", "o", "s'll", "1", "ß"]
+    return ["".join(r.choice(bits) for _ in range(r.randint(1, 9))) for _ in range(n)]
+
+
+def test_new_words_of_a_batch_are_read_side_by_side(monkeypatch):
+    turns, alone = [], []
+    get, read = B.Steps.get, B.Transducer._read
+    monkeypatch.setattr(B.Steps, "get", lambda self, keys: turns.append(len(keys)) or get(self, keys))
+    monkeypatch.setattr(B.Transducer, "_read", lambda self, piece, state: alone.append(piece) or read(self, piece, state))
+    c, words = B.Codec(RANKS, P.PATTERN), _words(4000)
+    texts = [" ".join(words[k:k + 40]) for k in range(0, 4000, 40)]
+    for text, ids in zip(texts, c.encode_all(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == LIB.encode_ordinary(text)
+    # a turn or two for each byte of the longest word, for inner, last and first segments; few words are left at its end
+    assert len(turns) <= 6 * max(len(w.encode()) + 1 for w in words) and sum(turns) > 10_000
+    assert len(alone) < 3 * B.FEW
+
+
+@pytest.mark.parametrize("few", [1, 7, 10**9])
+@pytest.mark.parametrize("max_states", [15, 300, 10**6])
+def test_texts_together_are_coded_as_each_alone(monkeypatch, few, max_states):
+    monkeypatch.setattr(B, "FEW", few)
+    monkeypatch.setattr(B, "RUN", 50)
+    r, words = random.Random(few + max_states), _words(600)
+    c = B.Codec(RANKS, P.PATTERN, max_segments=40)
+    c.transducer.max_states = max_states
+    gaps = [" ", " ", " ", "\n", ", ", "\n\n", "!? "]
+    texts = ["", " ", "\n", "a\n", "a \n", " a", "a ", "x" * 300, "日本" * 100, "a  b", "\ta b", "ab" * 700 + "." * 90 + " 日" * 40]
+    texts += ["".join(x for _ in range(r.randint(1, 30)) for x in (r.choice(words), r.choice(gaps))) for _ in range(60)]
+    r.shuffle(texts)
+    for text, ids in zip(texts, c.encode_all(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == LIB.encode_ordinary(text), text
+        assert "".join(c.decode([np.frombuffer(ids, "<u4")])) == text
+    assert c.encode_all([]) == []
+
+
+def test_states_stay_bounded_within_a_long_piece():
+    c = B.Codec(RANKS, P.PATTERN)
+    c.transducer.max_states = 50
+    piece = "".join(_words(2000)).encode()
+    assert c.transducer.encode(piece) == LIB._core_bpe.encode_single_piece(piece)
+    assert c.transducer.built > 1000 and len(c.transducer.keys) <= 51
