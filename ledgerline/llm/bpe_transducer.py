@@ -36,12 +36,15 @@ MAX_SEGMENTS = 250_000  # and as many words of uncut texts
 MAX_SEGMENT_CHARS = 64
 CHUNK_IDS = 8192
 MAX_PAIRS = 150_000
-ROWS = 500  # whose ids are held at once
+ROWS = 250  # whose ids are held at once
 TRIED = 32
 FEW = 32  # pieces left, which are read one by one
-RUN = 1 << 18  # segments or pieces looked up at once
+RUN = 1 << 16  # segments or words looked up at once
+LATE = 1 << 12
 _FAR = 1 << 60
 _LOW = (1 << 32) - 1
+_ALL = (1 << 64) - 1
+_MIX = 0x9E3779B97F4A7C15
 
 
 class Vocabulary:
@@ -160,25 +163,22 @@ def _runs(flat: np.ndarray, stops: np.ndarray, sizes: np.ndarray, which: np.ndar
 
 
 class Steps:
-    """Known steps of the transducer, state << 8 | byte: state << 32 | number of what is emitted. A dict for pieces read by
-    themselves, and the same in arrays, open addressed, for pieces read side by side."""
+    """Known steps of the transducer, state << 8 | byte: state << 32 | number of what is emitted. They lie in arrays, open
+    addressed, and are looked up many at a time; a dict of them would take three times the memory."""
 
     def __init__(self) -> None:
-        self.of: dict[int, int] = {}
-        self.late: list[int] = []  # keys that aren't in the arrays yet
+        self.n, self.late = 0, {}  # entered in the arrays; not yet
         self._room(1 << 12)
 
     def __len__(self) -> int:
-        return len(self.of)
+        return self.n + len(self.late)
 
     def _room(self, size: int) -> None:
         self.keys, self.values = np.full(size, -1, np.int64), np.zeros(size, np.int64)
-        self.shift = np.uint64(65 - size.bit_length())
-        n = len(self.of)
-        self._enter(np.fromiter(self.of, np.int64, n), np.fromiter(self.of.values(), np.int64, n))
+        self.shift = 65 - size.bit_length()
 
     def _places(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
+        return ((keys.view(np.uint64) * np.uint64(_MIX)) >> np.uint64(self.shift)).view(np.int64)
 
     def _enter(self, keys: np.ndarray, values: np.ndarray) -> None:
         at, last = self._places(keys), len(self.keys) - 1
@@ -189,18 +189,39 @@ class Steps:
             self.values[at[here]] = values[here]
             keys, values, at = keys[~here], values[~here], (at[~here] + 1) & last
 
+    def settle(self) -> None:
+        new = np.fromiter(self.late, np.int64, len(self.late)), np.fromiter(self.late.values(), np.int64, len(self.late))
+        self.n += len(self.late)
+        self.late.clear()
+        if 2 * self.n > len(self.keys):
+            have = np.flatnonzero(self.keys >= 0)
+            old = self.keys[have], self.values[have]
+            self._room(1 << (3 * self.n).bit_length())
+            self._enter(*old)
+        self._enter(*new)
+
     def add(self, key: int, value: int) -> None:
         """A step that isn't known yet."""
-        self.of[key] = value
-        self.late.append(key)
+        self.late[key] = value
+        if len(self.late) > LATE:
+            self.settle()
+
+    def one(self, key: int) -> int:
+        """As ``get``, of one key."""
+        got = self.late.get(key)
+        if got is None:
+            at, last = (key * _MIX & _ALL) >> self.shift, len(self.keys) - 1
+            while (found := self.keys.item(at)) != key:
+                if found < 0:
+                    return -1
+                at = (at + 1) & last
+            got = self.values.item(at)
+        return got
 
     def get(self, keys: np.ndarray) -> np.ndarray:
         """Values of keys; -1 for those not known."""
-        if 2 * len(self.of) > len(self.keys):
-            self._room(1 << (3 * len(self.of)).bit_length())
-        elif self.late:
-            self._enter(np.array(self.late, np.int64), np.array([self.of[k] for k in self.late], np.int64))
-        self.late.clear()
+        if self.late:
+            self.settle()
         at, last = self._places(keys), len(self.keys) - 1
         found = self.keys[at]
         out = np.where(found == keys, self.values[at], -1)
@@ -290,17 +311,18 @@ class Transducer:
 
     def _read(self, piece: bytes, state: int) -> list[int]:
         """Numbers of what is emitted for the rest of a piece."""
-        out, step = [], self.steps.of.get
+        out = []
         for byte in piece:
-            got = step(state << 8 | byte)
-            if got is None:
+            key = state << 8 | byte
+            got = self.steps.one(key)
+            if got < 0:
                 got = self._build(state, byte)
-                self.steps.add(state << 8 | byte, got)
+                self.steps.add(key, got)
             state = got >> 32
             if got & _LOW:
                 out.append(got & _LOW)
             if len(self.keys) > self.max_states:
-                state, step = self._anew([state])[0], self.steps.of.get
+                state = self._anew([state])[0]
         out.append(self.finals[state])
         return out
 
