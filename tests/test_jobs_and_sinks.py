@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import re
 import tempfile
 
 import pytest
@@ -168,6 +169,81 @@ def test_daily_load_is_made_distinct_where_the_reports_join_left_its_rows(spark,
     assert "Exchange" not in above
 
 
+def test_daily_load_carries_rows_narrow_and_shuffles_the_reports_once(spark, capsys):
+    from ledgerline.plans.daily_load import daily_load
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10k")
+    try:
+        daily_load(StandIns.of(spark, SF), dq.load_config(), None, dt.datetime(2000, 6, 15, 1)).explain("formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    plan = capsys.readouterr().out
+    widths = [int(n) for n in re.findall(r"^\(\d+\) Exchange\nInput \[(\d+)\]", plan, re.M)]
+    # only the two DISTINCTs, of rows not alone with their ticket and of rows whose report id comes again, hold the target's columns
+    assert sum(n > 40 for n in widths) <= 2 and len(widths) > 10
+    # no sort holds the target's columns
+    assert max(int(n) for n in re.findall(r"^\(\d+\) Sort\nInput \[(\d+)\]", plan, re.M)) <= 40
+
+
+def test_daily_load_of_plain_sources_equals_that_of_late_ones(spark):
+    from ledgerline.plans.daily_load import daily_load
+    src, cfg, run_ts = StandIns.of(spark, SF), dq.load_config(), dt.datetime(2000, 6, 15, 1)
+    late = sorted(map(str, daily_load(src, cfg, None, run_ts).collect()))
+    assert late and sorted(map(str, daily_load(Replaced(src), cfg, None, run_ts).collect())) == late
+
+
+def test_weighings_of_unknown_user_plans_have_no_columns_of_plans(spark):
+    from ledgerline.plans.daily_load import daily_load
+    src, cfg, run_ts = StandIns.of(spark, SF), dq.load_config(), dt.datetime(2000, 6, 15, 1)
+    few = Replaced(src, user_plans=src("user_plans").filter("id % 3 > 0"))
+    rows = [r for r in daily_load(few, cfg, None, run_ts).collect() if r.ShipmentCount is None]
+    unknown = [r for r in rows if r.PlanType is None]
+    assert len(rows) > len(unknown) > 0
+    assert {(r.Distance, r.ProductionPlanNumber, r.PlatformCustomerPhone, r.ProductCategory) for r in unknown} == {
+        (None, None, None, cfg.default_weighbridge_category)}
+
+
+def test_daily_load_is_distinct_among_rows_of_one_ticket(spark):
+    from ledgerline.plans.daily_load import daily_load
+    src, cfg, run_ts = StandIns.of(spark, SF), dq.load_config(), dt.datetime(2000, 6, 15, 1)
+    records = src("production_records").filter("SiteId < 7").withColumn("Id", F.when(F.col("TerminalNo").isNotNull(), F.col("Id")))
+    other = records.withColumn("Remark", F.lit("other"))
+    plans = src("user_plans").unionByName(src("user_plans").withColumn("Creator", F.lit("other")))
+    once = daily_load(Replaced(src, production_records=records.unionByName(other), user_plans=plans), cfg, None, run_ts)
+    want = once.distinct().persist()
+    twice = Replaced(src, production_records=records.unionByName(other).unionByName(records), user_plans=plans.unionByName(plans),
+                     shipping=src("shipping").unionByName(src("shipping")))
+    got = daily_load(twice, cfg, None, run_ts).persist()
+    assert want.count() == got.count() == once.count() > 0
+    assert got.exceptAll(want).count() == 0 and got.filter("OriginalID IS NULL").count() > 0
+    want.unpersist()
+    got.unpersist()
+
+
+def test_reports_whose_id_comes_again_are_apart(spark):
+    from ledgerline.plans.daily_load import _by_place
+    rows = [(i, i, dt.date(2020, 1, 1)) for i in range(400)] + [(5, 7, dt.date(2020, 1, 2)), (None, 1, dt.date(2020, 1, 3)), (None, 2, None)]
+    reports = spark.createDataFrame(rows, "__rid bigint, __rstation bigint, __rdate date")
+    once, more = _by_place(reports)
+    again = {r["__rid"] for r in more.collect()}
+    assert {5, None} <= again and len(again) < 20
+    assert not again & {r["__rid"] for r in once.collect()}
+    assert sorted(map(str, once.collect() + more.collect())) == sorted(str(r) for r in reports.collect())
+    one, none = _by_place(reports.filter("__rid > 5"))
+    assert one.count() == 394 and none.count() == 0
+    assert all(x.count() == 0 for x in _by_place(reports.filter("__rid > 500")))
+
+
+def test_late_columns_are_null_where_an_outer_join_found_no_row(spark):
+    from ledgerline.sources.late import Late
+    source = Late(spark.createDataFrame([(1, "a"), (1, None)], "k int, v string"),
+                  {"id": F.col("k"), "kind": F.lit("x"), "v": F.coalesce("v", F.lit("none"))})
+    x = spark.createDataFrame([(1,), (2,)], "id int").join(source.carried("__l_", __id=source.columns["id"]), F.col("id") == F.col("__id"), "left")
+    got = source.worked_out(x, "__l_", "l_", "__id").select("id", "l_id", "l_kind", "l_v").collect()
+    assert sorted(map(tuple, got), key=str) == [(1, 1, "x", "a"), (1, 1, "x", "none"), (2, None, None, None)]
+    assert [tuple(r) for r in source.frame().collect()] == [(1, "x", "a"), (1, "x", "none")]
+
+
 def test_writes_use_runtime_filters_and_put_the_settings_back(spark):
     from ledgerline.session import RUNTIME_FILTERS, runtime_filters
     was = {k: spark.conf.get(k, None) for k in RUNTIME_FILTERS}
